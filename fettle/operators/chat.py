@@ -10,7 +10,7 @@ from fettle.functions.text import (
     DEFAULT_SYSTEM_MESSAGE,
     chat_message,
 )
-from fettle.operators.ordered import running_total, with_neighbour
+from fettle.operators.ordered import join_null_safe, running_total, with_neighbour
 
 # Characters of one rendered value: at most 256 MB of UTF-8, well inside what a row can hold.
 MAX_PART_CHARS = 1 << 26
@@ -29,9 +29,9 @@ def chat_pieces(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
         F.col(order).cast("bigint").alias("order"),
         chat_message(F.col(role), F.col(text)).alias("piece"),
     )
-    first_role = F.min_by(role, order).alias("first_role")
+    starts_with_system = F.min_by(F.col(role) == "system", order).alias("has_system")
     header = F.when(
-        F.col("first_role") != "system",
+        ~F.col("has_system"),
         chat_message(F.lit("system"), F.lit(DEFAULT_SYSTEM_MESSAGE)),
     )
     frame = [F.struct(F.lit(0).alias("place"), header.alias("piece"))]
@@ -39,7 +39,7 @@ def chat_pieces(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
         opening = F.lit(f"{CHAT_START}assistant\n")
         frame.append(F.struct(F.lit(2).alias("place"), opening.alias("piece")))
     added = (
-        df.groupBy(key).agg(first_role)
+        df.groupBy(key).agg(starts_with_system)
         .select(key, F.inline(F.array(*frame)))
         .where(F.col("piece").isNotNull())
         .select(key, "place", F.lit(0).cast("bigint").alias("order"), "piece")
@@ -64,7 +64,7 @@ def render_chat(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
     else:
         position = ["place", "order"]
         starts = running_total(pieces, n_chars, position, key, name="start")
-        placed = pieces.join(starts, [key, *position]).withColumn(
+        placed = join_null_safe(pieces, starts, [key, *position]).withColumn(
             "part", F.floor(F.col("start") / F.lit(max_part_chars))
         )
     gathered = placed.groupBy(key, "part").agg(

@@ -1,58 +1,54 @@
-"""Statistics of groups of completions, brought back to the completions."""
+"""Statistics of groups of completions, brought back to the completions.
+
+A group is a prompt's completions and usually small, but nothing here relies on it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fettle.functions.hashing import columns_of
+from fettle.operators.ordered import join_null_safe
 
-# Rows of one group that may meet in one task of a join.
+# Rows of one group that may meet in one task.
 MAX_GROUP_ROWS = 1_000_000
-# Bound of the broadcast list of larger groups.
+# Bound of the broadcast list of groups that are split.
 MAX_HOT_GROUPS = 10_000
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, on: str | Sequence[str], size: str,
-                spread_by: str | Sequence[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Inner join of rows with one row per group, safe against groups of any size.
+def group_limit(sizes: DataFrame, size: str, max_rows: int = MAX_GROUP_ROWS) -> int | None:
+    """None where every group has at most ``max_rows`` rows, else the size to split groups at.
+
+    The limit rises with the data, so at most ``MAX_HOT_GROUPS`` groups can exceed it.
+    """
+    found = sizes.agg(F.max(size).alias("largest"), F.sum(size).alias("total")).first()
+    if (found["largest"] or 0) <= max_rows:
+        return None
+    return max(max_rows, found["total"] // MAX_HOT_GROUPS)
+
+
+def salted_join(rows: DataFrame, groups: DataFrame, on: str | Sequence[str], size: str,
+                spread_by: str | Sequence[str], limit: int) -> DataFrame:
+    """Inner join of rows with one row per group, for groups too large for one task.
 
-    ``size`` is a column of ``groups`` with the group's number of rows; it is kept. Where a
-    group exceeds the limit, the rows of such groups are salted by a hash of ``spread_by`` and
-    their group row is copied once per salt. The limit rises with the data, so that at most
-    ``MAX_HOT_GROUPS`` groups can exceed it and their list stays small enough to broadcast.
+    Rows of a group above ``limit`` are salted by a hash of ``spread_by`` and its group row is
+    copied once per salt. The list of such groups is broadcast; ``group_limit`` bounds it. A
+    null key meets a null key, as in a grouping.
     """
     keys = columns_of(on)
-    found = groups.agg(F.max(size).alias("largest"), F.sum(size).alias("total")).first()
-    limit = max(max_rows, (found["total"] or 0) // MAX_HOT_GROUPS)
-    if (found["largest"] or 0) <= limit:
-        return _join_null_safe(rows, groups, keys)
-    salts = F.ceil(F.col(size) / F.lit(limit)).cast("int")
+    salts = F.greatest(F.ceil(F.col(size) / F.lit(limit)), F.lit(1)).cast("int")
     hot = groups.where(F.col(size) > limit).select(*keys, salts.alias("__salts"))
-    hot = hot.hint("broadcast")
     spread = F.pmod(
         F.xxhash64(*columns_of(spread_by)), F.coalesce(F.col("__salts"), F.lit(1))
     )
-    salted = _join_null_safe(rows, hot, keys, "left").withColumn(
+    salted = join_null_safe(rows, hot.hint("broadcast"), keys, "left").withColumn(
         "__salt", spread.cast("int")
     )
-    copies = groups.withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1))
-    )
-    return _join_null_safe(salted.drop("__salts"), copies, [*keys, "__salt"]).drop("__salt")
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                    how: str = "inner") -> DataFrame:
-    """Equi-join in which a null key meets a null key, as it does in a grouping."""
-    renamed = right.withColumnsRenamed({key: f"__right_{key}" for key in keys})
-    condition = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
-    )
-    return left.join(renamed, condition, how).drop(*[f"__right_{k}" for k in keys])
+    copies = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return join_null_safe(salted.drop("__salts"), copies, [*keys, "__salt"]).drop("__salt")
 
 
 def group_reward_stats(df: DataFrame, group: str | Sequence[str],
@@ -74,11 +70,24 @@ def group_advantage(df: DataFrame, group: str | Sequence[str], key: str | Sequen
     """Add ``advantage``: distance of a reward from its group's mean, in deviations.
 
     ``(reward - mean) / (std + eps)`` with the sample deviation; alone in its group a
-    completion has advantage 0. The reward is read several times: where it was computed from
-    texts, cut the lineage before.
+    completion has advantage 0.
+
+    Groups of up to ``max_rows`` rows are windows, which takes one shuffle; beyond that the
+    statistics are combined on the map side and joined back with salts. The data is read more
+    than once: where rewards were computed from texts, cut the lineage before.
     """
-    stats = group_reward_stats(df, group, reward)
-    joined = join_groups(df, stats, group, "n", key, max_rows)
+    groups = columns_of(group)
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("n"))
+    limit = group_limit(sizes, "n", max_rows)
+    if limit is None:
+        whole = Window.partitionBy(*groups)
+        joined = df.withColumns({
+            "reward_mean": F.avg(reward).over(whole),
+            "reward_std": F.stddev_samp(reward).over(whole),
+        })
+    else:
+        stats = group_reward_stats(df, groups, reward)
+        joined = salted_join(df, stats, groups, "n", key, limit)
     scaled = (F.col(reward) - F.col("reward_mean")) / (F.col("reward_std") + F.lit(eps))
     return joined.select(
         *df.columns,

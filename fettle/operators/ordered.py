@@ -25,27 +25,40 @@ from fettle.shared import cut
 PART = "__part"
 
 
-def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows in key ranges, with the number of their range.
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                   how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key meets a null key, as it does in a grouping."""
+    renamed = right.withColumnsRenamed({key: f"__right_{key}" for key in keys})
+    condition = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    )
+    return left.join(renamed, condition, how).drop(*[f"__right_{k}" for k in keys])
+
+
+def _ranged(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows in ranges of (group, order), with the number of their range.
 
     Range boundaries come from a sample, so the result is materialised: a second evaluation
-    could draw them elsewhere.
+    could draw them elsewhere. A null in the order is an error.
     """
-    if not keys:
+    if not order:
         raise ValueError("an order is needed: tables have none of their own")
-    return cut(df.repartitionByRange(*keys).withColumn(PART, F.spark_partition_id()))
+    null_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in order])
+    part = F.when(
+        null_key, F.raise_error(F.lit(f"null in the order {list(order)}"))
+    ).otherwise(F.spark_partition_id())
+    return cut(df.repartitionByRange(*groups, *order).withColumn(PART, part))
 
 
-def _checked(value: Column, keys: Sequence[str], order_by: Sequence[str]) -> Column:
-    """``value``, or an error where the order has a null or does not decide between two rows."""
+def _unique(value: Column, keys: Sequence[str]) -> Column:
+    """``value``, or an error where two rows have the same keys.
+
+    Equal keys share a range and are neighbours in it, so looking one row back is enough.
+    """
     here = F.struct(*keys)
     before = F.lag(here).over(Window.partitionBy(PART).orderBy(*keys))
-    null_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in order_by])
-    return (
-        F.when(null_key, F.raise_error(F.lit(f"null in the order {list(order_by)}")))
-        .when(before.eqNullSafe(here), F.raise_error(F.lit(f"{list(keys)} is not unique")))
-        .otherwise(value)
-    )
+    repeated = F.raise_error(F.lit(f"{list(keys)} is not unique"))
+    return F.when(before.eqNullSafe(here), repeated).otherwise(value)
 
 
 def running_total(df: DataFrame, value: Column, order_by: str | Sequence[str],
@@ -57,7 +70,7 @@ def running_total(df: DataFrame, value: Column, order_by: str | Sequence[str],
     """
     order, groups = columns_of(order_by), columns_of(group_by)
     keys = [*groups, *order]
-    ranged = _ranged(df.select(*keys, value.alias("__value")), keys)
+    ranged = _ranged(df.select(*keys, value.alias("__value")), groups, order)
 
     totals = ranged.groupBy(PART, *groups).agg(F.sum("__value").alias("__total"))
     earlier = Window.partitionBy(*groups).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -77,8 +90,7 @@ def running_total(df: DataFrame, value: Column, order_by: str | Sequence[str],
     )
     within = ranged.select(
         "*",
-        _checked(F.coalesce(F.sum("__value").over(inside), F.lit(0)), keys, order)
-        .alias("__within"),
+        _unique(F.coalesce(F.sum("__value").over(inside), F.lit(0)), keys).alias("__within"),
     )
     return within.join(F.broadcast(carried), same_group, "left").select(
         *keys,
@@ -108,7 +120,7 @@ def with_neighbour(df: DataFrame, columns: Sequence[str], order_by: str | Sequen
         raise ValueError("step must be -1 or 1")
     order, groups = columns_of(order_by), columns_of(group_by)
     keys = [*groups, *order]
-    ranged = _ranged(df, keys)
+    ranged = _ranged(df, groups, order)
     offset = F.lag if step < 0 else F.lead
     edge = F.max_by if step < 0 else F.min_by
 
@@ -118,9 +130,8 @@ def with_neighbour(df: DataFrame, columns: Sequence[str], order_by: str | Sequen
 
     within = ranged.select(
         "*",
-        _checked(
-            offset(seen).over(Window.partitionBy(PART).orderBy(*keys)), keys, order
-        ).alias("__inside"),
+        _unique(offset(seen).over(Window.partitionBy(PART).orderBy(*keys)), keys)
+        .alias("__inside"),
     )
     found = F.coalesce(F.col("__inside"), F.col("__edge"))
     in_group = reduce(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fettle.functions.hashing import columns_of
 from fettle.functions.tokens import token_count, tokenize
-from fettle.operators.ordered import running_total
+from fettle.operators.ordered import join_null_safe, running_total
 from fettle.operators.split import head_rows
 
 
@@ -53,7 +53,8 @@ def pack_sequences(df: DataFrame, text: str, order_by: str | Sequence[str],
         texts, (count(F.col("__text")) + 1).cast("bigint"), order, groups, name="__start"
     )
 
-    streams = texts.join(starts, keys).select(
+    placed = join_null_safe(texts, starts, keys) if groups else texts.join(starts, keys)
+    streams = placed.select(
         *groups,
         "__start",
         F.concat(tokenizer(F.col("__text")), F.array(F.lit(sep))).alias("__tokens"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fettle.functions.hashing import columns_of
 from fettle.functions.rewards import CORRECT
-from fettle.operators.groups import MAX_GROUP_ROWS, join_groups
+from fettle.operators.groups import MAX_GROUP_ROWS, group_limit, salted_join
 
 
 def _key_counts(completions: DataFrame, targets: DataFrame,
@@ -53,9 +53,12 @@ def align(completions: DataFrame, targets: DataFrame, key: str | Sequence[str],
     if problems:
         raise ValueError(f"completions and targets do not align on {keys}: {problems}")
     sizes = completions.groupBy(*keys).agg(F.count("*").alias("__size"))
-    sized = targets.join(sizes, keys)
-    return join_groups(
-        completions, sized, keys, "__size", spread_by or completions.columns, max_rows
+    limit = group_limit(sizes, "__size", max_rows)
+    if limit is None:
+        return completions.join(targets, keys)
+    return salted_join(
+        completions, targets.join(sizes, keys), keys, "__size",
+        spread_by or completions.columns, limit,
     ).drop("__size")
 
 
