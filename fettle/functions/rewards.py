@@ -71,5 +71,6 @@ def unique_chars(text: Column) -> Column:
 
 def unique_chars_reward(text: Column) -> Column:
     """Different characters scaled to hundredths, at most 1.0; null for a null text."""
-    scaled = unique_chars(text) / F.lit(UNIQUE_CHARS_SCALE)
-    return F.when(scaled > 1.0, F.lit(1.0)).otherwise(scaled)
+    # least() passes over nulls, so the bound is null as well; counting is written once only.
+    bound = F.when(text.isNotNull(), F.lit(1.0))
+    return F.least(unique_chars(text) / F.lit(UNIQUE_CHARS_SCALE), bound)

@@ -103,11 +103,12 @@ def preference_pairs(df: DataFrame, group: str | Sequence[str], question: str, t
     pair. Keeps a running best and worst per group, never a list.
     """
     groups = columns_of(group)
-    best = F.struct(F.col(reward), -F.col(gen_id))
-    worst = F.struct(F.col(reward), F.col(gen_id))
+    # A row without a reward has no rank. A filter would compute the reward once more.
+    has_reward = F.col(reward).isNotNull()
+    best = F.when(has_reward, F.struct(F.col(reward), -F.col(gen_id)))
+    worst = F.when(has_reward, F.struct(F.col(reward), F.col(gen_id)))
     return (
-        df.where(F.col(reward).isNotNull())
-        .groupBy(*groups)
+        df.groupBy(*groups)
         .agg(
             F.min_by(question, gen_id).alias("question"),
             F.max_by(text, best).alias("response_j"),

@@ -11,6 +11,7 @@ from fettle.functions.hashing import columns_of
 from fettle.functions.tokens import token_count, tokenize
 from fettle.operators.ordered import join_null_safe, running_total
 from fettle.operators.split import head_rows
+from fettle.shared import cut
 
 
 def chars_per_token(df: DataFrame, text: str, order_by: str | Sequence[str], n: int = 400,
@@ -49,9 +50,9 @@ def pack_sequences(df: DataFrame, text: str, order_by: str | Sequence[str],
     count = token_count if tokenizer is tokenize else lambda c: F.size(tokenizer(c))
     filled = F.coalesce(F.col(text), F.lit(""))
     texts = df.select(*keys, filled.alias("__text"))
-    starts = running_total(
-        texts, (count(F.col("__text")) + 1).cast("bigint"), order, groups, name="__start"
-    )
+    # Counted once: finding range borders reads its input a second time.
+    sizes = cut(texts.select(*keys, (count(F.col("__text")) + 1).cast("bigint").alias("__n")))
+    starts = running_total(sizes, F.col("__n"), order, groups, name="__start")
 
     placed = join_null_safe(texts, starts, keys) if groups else texts.join(starts, keys)
     streams = placed.select(

@@ -73,24 +73,31 @@ def take_skip(df: DataFrame, n: int, order_by: str | Sequence[str],
     return df.withColumn("split", F.when(inside, F.lit(first)).otherwise(F.lit(rest)))
 
 
-def _last_test_row(keys: DataFrame, order: Sequence[str], rank: int) -> Row:
-    """(hash, key) of the row with the given rank, 1-based.
+def _last_test_row(keys: DataFrame, order: Sequence[str], test_size: float) -> Row | None:
+    """(hash, key) of the row ranked ``ceil(test_size * rows)``, None without such a row.
 
     Each pass counts rows by the next hash digits inside the one bucket that holds the rank, so
     neither a bucket nor the table of counters grows with the data.
     """
-    prefix, left = "", rank
+    prefix, left = "", None
     while True:
         start = len(prefix) + 1
         inside = keys.where(F.startswith(F.col("__hash"), F.lit(prefix)))
         counts = inside.groupBy(
             F.substring("__hash", start, DIGITS_PER_PASS).alias("digits")
         ).agg(F.count("*").alias("n"))
-        up_to = F.sum("n").over(Window.orderBy("digits"))
+        wanted = F.ceil(F.lit(test_size) * F.col("total")) if left is None else F.lit(left)
         bucket = (
-            counts.withColumn("up_to", up_to).where(F.col("up_to") >= left)
-            .orderBy("digits").first()
+            counts.withColumns({
+                "up_to": F.sum("n").over(Window.orderBy("digits")),
+                "total": F.sum("n").over(Window.partitionBy()),
+            })
+            .where(F.col("up_to") >= wanted).orderBy("digits").first()
         )
+        if bucket is None:
+            return None
+        if left is None:
+            left = math.ceil(test_size * bucket["total"])
         prefix += bucket["digits"]
         left -= bucket["up_to"] - bucket["n"]
         if bucket["n"] <= MAX_TOP_ROWS or len(prefix) == HEX_DIGITS:
@@ -121,10 +128,9 @@ def fraction_split(df: DataFrame, key: str | Sequence[str], test_size: float,
     order = columns_of(key)
     hashed = df.withColumn("__hash", seeded_hash(seed, *order))
     keys = hashed.select("__hash", *order)
-    n_test = math.ceil(test_size * df.count())
-    if n_test == 0:
+    last = _last_test_row(keys, order, test_size) if test_size > 0 else None
+    if last is None:
         return df.withColumn("split", F.lit("train"))
-    last = _last_test_row(keys, order, n_test)
     is_test = _row_order(["__hash", *order], last, hashed)
     return hashed.withColumn(
         "split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))

@@ -78,9 +78,9 @@ def agent_dataset(spark: SparkSession, n: int = 32, difficulty: int = 0,
 
 def special_tokens(spark: SparkSession, n_ids: int = POOL_SIZE) -> DataFrame:
     """(token, kind, item_id): the protocol tokens and one token per item id."""
-    protocol = spark.createDataFrame(
-        [(token, "protocol", None) for token in PROTOCOL_TOKENS],
-        "token string, kind string, item_id bigint",
+    protocol = spark.range(1).select(
+        F.explode(F.array(*[F.lit(token) for token in PROTOCOL_TOKENS])).alias("token"),
+        F.lit("protocol").alias("kind"), F.lit(None).cast("bigint").alias("item_id"),
     )
     ids = spark.range(1, n_ids + 1).select(
         id_token(F.col("id")).alias("token"), F.lit("item").alias("kind"),

@@ -28,7 +28,7 @@ from fettle.operators import (
 from fettle.plans import jobs
 from fettle.shared import cut, new_folder
 from fettle.sources import artifacts
-from fettle.sources.corpus import read_corpus, stream_corpus
+from fettle.sources.corpus import read_corpus, spread, stream_corpus
 from fettle.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_corpus(spark, f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` for work on their texts, over all cores even if they are one file."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def rounded(value: Column) -> Column:
     # Adding zero turns a rounded -0.0 into 0.0.
     return F.round(value, 6) + F.lit(0.0)
@@ -179,7 +184,7 @@ def batch_plan_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id", tokens.token_count(F.col("text")).alias("n_tokens")
     )
 
@@ -191,7 +196,7 @@ def chars_per_token(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = packing.pack_sequences(table(spark, sf_dir, "documents"), "text", "doc_id", 1024)
+    chunks = packing.pack_sequences(texts(spark, sf_dir), "text", "doc_id", 1024)
     return chunks.select("chunk_id", digest(F.col("tokens")).alias("tokens_md5"))
 
 
@@ -203,7 +208,7 @@ def packed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truncate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = table(spark, sf_dir, "documents").select(
+    listed = texts(spark, sf_dir).select(
         "doc_id", tokens.tokenize(F.col("text")).alias("tokens")
     )
     size = F.size("tokens")
@@ -333,20 +338,20 @@ def agent_round(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unique_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id", rewards.unique_chars(F.col("text")).alias("unique_chars")
     )
 
 
 def unique_chars_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id", rounded(rewards.unique_chars_reward(F.col("text"))).alias("reward")
     )
 
 
 def combined_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scoring.apply_rewards(
-        table(spark, sf_dir, "documents"),
+        texts(spark, sf_dir),
         {
             "unique_chars": rewards.unique_chars(F.col("text")),
             "unique_chars_reward": rewards.unique_chars_reward(F.col("text")),
@@ -360,7 +365,7 @@ def combined_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored_groups(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id", *columns,
         F.floor(F.col("doc_id") / 4).alias("prompt_id"),
         (F.col("doc_id") % 4).alias("gen_id"),
@@ -391,7 +396,7 @@ def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _step_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.step_completion_stats(_as_completions(table(spark, sf_dir, "documents")))
+    return runs.step_completion_stats(_as_completions(texts(spark, sf_dir)))
 
 
 def _as_completions(documents: DataFrame) -> DataFrame:
@@ -418,11 +423,11 @@ def log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cumulative_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = table(spark, sf_dir, "documents").select(
+    steps = texts(spark, sf_dir).select(
         F.col("source").alias("run"), F.col("doc_id").alias("step"),
         tokens.token_count(F.col("text")).alias("n_tokens"),
     )
-    return runs.cumulative_tokens(steps)
+    return runs.cumulative_tokens(cut(steps))
 
 
 def _metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -533,14 +538,14 @@ def reward_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
         return [len(set(c)) / n for c, n in zip(completions, columns["n_chars"])]
 
     score = hooks.reward_udf(share_of_letters_used, ["n_chars"])
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir).select(
         "doc_id", rounded(score(F.col("text"))).alias("reward")
     )
 
 
 def tokenize_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = hooks.tokenizer_udf(lambda t: [word for word in t.split(" ") if word])
-    listed = table(spark, sf_dir, "documents").select(
+    listed = texts(spark, sf_dir).select(
         "doc_id", words(F.col("text")).alias("words")
     )
     return listed.select(

@@ -27,7 +27,7 @@ def packed_answers(pairs: DataFrame, key: str | Sequence[str], test_size: float
     test rows are read once.
     """
     order = columns_of(key)
-    texts = with_qa_text(pairs).select(*order, "text")
+    texts = cut(with_qa_text(pairs).select(*order, "text"))
     split = fraction_split(texts, order, test_size, seed)
     if epochs > 1:
         repeated = repeat_rows(split, epochs)

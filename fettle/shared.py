@@ -20,7 +20,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="fettle-checkpoint-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
 
@@ -31,10 +30,13 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and go on from there.
+    """Write ``df`` as a table into the shared folder and go on from there.
 
     Used where evaluating twice could give two answers (sampled range boundaries) or would
-    repeat expensive work (scoring whole texts).
+    repeat expensive work (counting tokens, scoring whole texts). A table survives the loss of
+    any executor, later passes read only the columns they need, and its size is known to the
+    planner. The folder can be removed when the results are written.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = new_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

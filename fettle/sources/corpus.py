@@ -29,6 +29,16 @@ def read_corpus(spark: SparkSession, path: str, subset: str | None = None,
     return reader.load(corpus_path(path, subset, split))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, where there are fewer input splits than cores.
+
+    A corpus in one file that cannot be split would be worked on by one task. A corpus with as
+    many splits as cores is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def stream_corpus(spark: SparkSession, path: str, schema: str | StructType,
                   max_files: int | None = None, fmt: str = "parquet",
                   **options) -> DataFrame:
