@@ -71,11 +71,13 @@ def repeat_until(df: DataFrame, order_by: str | Sequence[str], rows_needed: int)
 
     Adds ``epoch`` and ``position``, the 0-based place in the repeated sequence.
     """
-    n_rows = df.count()
+    order = columns_of(order_by)
+    placed = ordinals(df, order, "__ordinal")
+    n_rows = placed.count()
     if n_rows == 0:
         raise ValueError("no rows to repeat")
     epochs = max(1, math.ceil(rows_needed / n_rows))
-    numbered = with_ordinal(df, order_by, "__ordinal")
+    numbered = df.join(placed, order)
     position = F.col("epoch").cast("bigint") * n_rows + F.col("__ordinal")
     return (
         repeat_rows(numbered, epochs)
@@ -98,9 +100,9 @@ def plan_batches(df: DataFrame, order_by: str | Sequence[str], batch: int, accum
     if min(batch, accum, generations) < 1:
         raise ValueError("batch, accum and generations must be at least 1")
     order = columns_of(order_by)
-    n_samples = df.count() * generations
-    placed = df.join(ordinals(df, order, "__ordinal"), order)
-    samples = placed.select(
+    places = ordinals(df, order, "__ordinal")
+    n_samples = places.count() * generations
+    samples = df.join(places, order).select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(generations - 1))).alias("gen_id")
     ).withColumn("__sample", F.col("__ordinal") * generations + F.col("gen_id"))
     planned = samples.withColumn(

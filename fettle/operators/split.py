@@ -33,16 +33,38 @@ def _row_order(names: Sequence[str], bound: Row, df: DataFrame) -> Column:
     return at_or_before
 
 
-def head_rows(df: DataFrame, n: int, order_by: str | Sequence[str]) -> DataFrame:
+def _nth_key(df: DataFrame, n: int, order: Sequence[str]) -> Row | None:
+    """Key of the n-th row of the order, None if there are no more than ``n`` rows.
+
+    Reads the key columns only; every task keeps its own ``n + 1`` smallest.
+    """
+    top = df.select(*order).orderBy(*order).limit(n + 1)
+    rank = F.row_number().over(Window.orderBy(*order))
+    around = top.withColumn("__rank", rank).where(F.col("__rank") >= n).orderBy("__rank").collect()
+    if len(around) < 2:
+        return None
+    last, after = around
+    if all(last[name] == after[name] for name in order):
+        raise ValueError(f"{list(order)} is not unique around row {n}")
+    return last
+
+
+def head_rows(df: DataFrame, n: int, order_by: str | Sequence[str],
+              max_top_rows: int = MAX_TOP_ROWS) -> DataFrame:
     """The first ``n`` rows of the order, unsorted.
 
-    Up to ``MAX_TOP_ROWS`` each task keeps only its own best ``n``; a larger head is the
-    ``take`` side of ``take_skip``.
+    The n-th key is looked up among the keys alone; the rows are then selected by a filter on
+    the key that files can be skipped by. A head above ``max_top_rows`` rows is found by
+    numbering instead.
     """
     order = columns_of(order_by)
-    if n <= MAX_TOP_ROWS:
-        return df.orderBy(*order).limit(n)
-    return take_skip(df, n, order).where(F.col("split") == "take").drop("split")
+    if n <= 0:
+        return df.limit(0)
+    if n > max_top_rows:
+        numbered = with_ordinal(df, order, "__ordinal")
+        return numbered.where(F.col("__ordinal") < n).select(*df.columns)
+    last = _nth_key(df, n, order)
+    return df if last is None else df.where(_row_order(order, last, df))
 
 
 def take_skip(df: DataFrame, n: int, order_by: str | Sequence[str],
@@ -50,27 +72,21 @@ def take_skip(df: DataFrame, n: int, order_by: str | Sequence[str],
               max_top_rows: int = MAX_TOP_ROWS) -> DataFrame:
     """Add ``split``: the first label for the first ``n`` rows of the order, else the second.
 
-    Only the n-th key is looked up; the rows are then compared with it where they are, so
-    nothing but keys is sorted. A larger ``n`` is found by numbering the rows.
+    Found like a head: only keys are sorted, and the rows are compared with the n-th key where
+    they are.
     """
     order = columns_of(order_by)
-    first, rest = labels
+    first, rest = F.lit(labels[0]), F.lit(labels[1])
     if n <= 0:
-        return df.withColumn("split", F.lit(rest))
+        return df.withColumn("split", rest)
     if n > max_top_rows:
         return with_ordinal(df, order, "__ordinal").select(
-            *df.columns,
-            F.when(F.col("__ordinal") < n, F.lit(first)).otherwise(F.lit(rest)).alias("split"),
+            *df.columns, F.when(F.col("__ordinal") < n, first).otherwise(rest).alias("split")
         )
-    keys = df.select(*order)
-    top = keys.orderBy(*order).limit(n)
-    last = top.agg(F.max(F.struct(*order)).alias("last")).first()["last"]
+    last = _nth_key(df, n, order)
     if last is None:
-        return df.withColumn("split", F.lit(first))
-    inside = _row_order(order, last, df)
-    if keys.where(inside).limit(n + 1).count() > n:
-        raise ValueError(f"{order} is not unique around row {n}")
-    return df.withColumn("split", F.when(inside, F.lit(first)).otherwise(F.lit(rest)))
+        return df.withColumn("split", first)
+    return df.withColumn("split", F.when(_row_order(order, last, df), first).otherwise(rest))
 
 
 def _last_test_row(keys: DataFrame, order: Sequence[str], test_size: float) -> Row | None:
@@ -143,9 +159,21 @@ def split_sizes(df: DataFrame) -> DataFrame:
 
 
 def describe_corpus(df: DataFrame, order_by: str | Sequence[str]) -> DataFrame:
-    """One row: number of rows, column names, and the first row of the order as a struct."""
+    """One row: number of rows, column names, and the first row of the order as a struct.
+
+    Keys are read for all rows, the other columns only where the first key is found.
+    """
     order = columns_of(order_by)
-    return df.agg(
-        F.count("*").alias("n_rows"),
-        F.min_by(F.struct(*df.columns), F.struct(*order)).alias("first_row"),
-    ).withColumn("columns", F.array(*[F.lit(name) for name in df.columns]))
+    facts = df.agg(
+        F.count("*").alias("n_rows"), F.min(F.struct(*order)).alias("first_key")
+    ).first()
+    described = [
+        F.lit(facts["n_rows"]).cast("bigint").alias("n_rows"),
+        F.array(*[F.lit(name) for name in df.columns]).alias("columns"),
+    ]
+    if facts["first_key"] is None:
+        return df.agg(F.first(F.struct(*df.columns)).alias("first_row")).select(
+            *described, "first_row"
+        )
+    first = df.where(_row_order(order, facts["first_key"], df))
+    return first.limit(1).select(*described, F.struct(*df.columns).alias("first_row"))

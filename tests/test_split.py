@@ -38,11 +38,12 @@ def test_ambiguous_heads_are_refused(spark):
         split.take_skip(df, 2, "k")
 
 
-def test_head_rows(spark, monkeypatch):
+def test_head_rows(spark):
     df = ids(spark, 50).repartition(5)
-    assert rows(split.head_rows(df, 7, "k")) == [(k,) for k in range(7)]
-    monkeypatch.setattr(split, "MAX_TOP_ROWS", 3)
-    assert rows(split.head_rows(df, 7, "k")) == [(k,) for k in range(7)]
+    for n in (0, 7, 50, 60):
+        expected = rows(df.where(f"k < {n}"))
+        assert rows(split.head_rows(df, n, "k")) == expected
+        assert rows(split.head_rows(df, n, "k", max_top_rows=0)) == expected
 
 
 @pytest.mark.parametrize("test_size", [0.0, 0.005, 0.1, 0.37, 1.0])
@@ -130,3 +131,5 @@ def test_description(spark):
                                   "k").first()
     assert facts["n_rows"] == 2 and facts["columns"] == ["k", "t"]
     assert tuple(facts["first_row"]) == (1, "a")
+    empty = split.describe_corpus(spark.createDataFrame([], "k int, t string"), "k").first()
+    assert empty["n_rows"] == 0 and empty["first_row"] is None
