@@ -29,6 +29,17 @@ def chars_per_token(df: DataFrame, text: str, order_by: str | Sequence[str], n:
     return sums.withColumn("chars_per_token", F.try_divide("n_chars", "n_tokens"))
 
 
+def chunk_estimate(df: DataFrame, text: str, order_by: str | Sequence[str],
+                   seq_length: int = 1024, n: int = 400,
+                   tokenizer: Callable[[Column], Column] = tokenize) -> DataFrame:
+    """One row: characters of all texts, and the chunks to expect of them by the ratio of the
+    first ``n``. Only those are tokenized."""
+    ratio = chars_per_token(df, text, order_by, n, tokenizer).first()["chars_per_token"]
+    return df.agg(F.sum(F.length(text)).alias("n_chars")).withColumn(
+        "expected_chunks", F.col("n_chars") / F.lit(ratio) / F.lit(seq_length)
+    )
+
+
 def pack_sequences(df: DataFrame, text: str, order_by: str | Sequence[str],
                    seq_length: int = 1024, sep: str = "<eos>",
                    group_by: str | Sequence[str] = (),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fettle.functions.hashing import columns_of
-from fettle.operators.ordered import running_total, with_neighbour
+from fettle.operators.ordered import join_null_safe, running_total, with_neighbour
 
 # Runs that can stand side by side as columns.
 MAX_COMPARED_RUNS = 1_000
@@ -40,15 +40,42 @@ def window_end(step: Column, every: int) -> Column:
     return (F.floor((step - 1) / F.lit(every)) + 1) * every
 
 
+def step_reward_stats(df: DataFrame, group: str | Sequence[str], rewards: Sequence[str] = (),
+                      step: str | Sequence[str] = "step",
+                      reward: str = "reward") -> DataFrame:
+    """Per step: mean reward, mean deviation inside its groups, and mean and deviation of each
+    named reward over all its completions.
+
+    Both levels are combined on the map side; a group of one has no deviation and is passed
+    over, as is a step without any.
+    """
+    steps = columns_of(step)
+    moments = [
+        column
+        for name in rewards
+        for column in (F.avg(name).alias(f"rewards__{name}__mean"),
+                       F.stddev_samp(name).alias(f"rewards__{name}__std"))
+    ]
+    whole = df.groupBy(*steps).agg(F.avg(reward).alias("reward"), *moments)
+    in_groups = (
+        df.groupBy(*steps, *columns_of(group)).agg(F.stddev_samp(reward).alias("__std"))
+        .groupBy(*steps).agg(F.avg("__std").alias("reward_std"))
+    )
+    return join_null_safe(whole, in_groups, steps)
+
+
 def log_windows(df: DataFrame, metrics: Sequence[str], every: int = 5, step: str = "step",
-                run: str | Sequence[str] = ()) -> DataFrame:
-    """Log records: the mean of each per-step metric over every ``every`` steps.
+                run: str | Sequence[str] = (), last: Sequence[str] = ()) -> DataFrame:
+    """Log records: the mean of each per-step metric over every ``every`` steps, and the last
+    value of counters such as the epoch or the tokens seen.
 
     ``df`` holds one row per step, so the record is a mean of step statistics, not of the
     completions below them.
     """
     return df.groupBy(*columns_of(run), window_end(F.col(step), every).alias("step")).agg(
-        F.count("*").alias("n_steps"), *[F.avg(m).alias(m) for m in metrics]
+        F.count("*").alias("n_steps"),
+        *[F.avg(m).alias(m) for m in metrics],
+        *[F.max_by(m, step).alias(m) for m in last],
     )
 
 

@@ -31,7 +31,12 @@ def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFram
         "__bucket",
         (F.sum("__n").over(Window.orderBy("__bucket")) - F.col("__n")).alias("__start"),
     )
-    rank = F.row_number().over(Window.partitionBy("__bucket").orderBy("__hash", *order))
+    inside = Window.partitionBy("__bucket").orderBy("__hash", *order)
+    here = F.struct(*order)
+    repeated = F.raise_error(F.lit(f"{order} is not unique"))
+    rank = F.when(F.lag(here).over(inside).eqNullSafe(here), repeated).otherwise(
+        F.row_number().over(inside)
+    )
     return (
         hashed.withColumn("__rank", rank)
         .join(F.broadcast(starts), "__bucket")

@@ -195,6 +195,11 @@ def chars_per_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratio.withColumn("chars_per_token", rounded(F.col("chars_per_token")))
 
 
+def chunk_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.chunk_estimate(table(spark, sf_dir, "documents"), "text", "doc_id", 1024)
+    return found.withColumn("expected_chunks", rounded(F.col("expected_chunks")))
+
+
 def packed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = packing.pack_sequences(texts(spark, sf_dir), "text", "doc_id", 1024)
     return chunks.select("chunk_id", digest(F.col("tokens")).alias("tokens_md5"))
@@ -416,6 +421,15 @@ def _all_rounded(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys, *[rounded(F.col(c)).alias(c) for c in df.columns if c not in keys])
 
 
+def step_reward_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = cut(_scored_groups(spark, sf_dir)).select(
+        "prompt_id", (F.floor(F.col("prompt_id") / 2) + 1).alias("step"),
+        F.col("reward").alias("unique_chars"), "reward",
+    )
+    stats = runs.step_reward_stats(scored, "prompt_id", ["unique_chars"])
+    return _all_rounded(stats, ["step"])
+
+
 def log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = _step_stats(spark, sf_dir)
     windows = runs.log_windows(stats, [c for c in stats.columns if c != "step"], 5)
@@ -580,12 +594,12 @@ QUERIES: dict[str, Query] = {
         chat_prompt_gen, strip_special, generated_part, head_rows, take_skip,
         take_skip_sizes, fraction_split, fraction_split_wide, shuffle_positions,
         shuffle_blocks, repeat_epochs, repeat_until, batch_plan, batch_plan_generations,
-        token_counts, chars_per_token, packed_chunks, packed_answers, truncate_tokens,
+        token_counts, chars_per_token, chunk_estimate, packed_chunks, packed_answers, truncate_tokens,
         agent_tasks, agent_dataset, agent_dataset_graded, special_tokens,
         expand_generations, parse_action, task_reward, outcome_summary, accuracy,
         reward_alignment, alignment_report, agent_round, unique_chars, unique_chars_reward,
         combined_reward, group_reward_stats, group_advantage, preference_pairs,
-        step_completion_stats, log_windows, cumulative_tokens, metric_deltas, run_summary,
+        step_completion_stats, step_reward_stats, log_windows, cumulative_tokens, metric_deltas, run_summary,
         compare_runs, summary_batches, stream_split, stream_shuffle, stream_log_windows,
         stream_completion_windows, map_rows, reward_udf, tokenize_udf, generate_with,
     )

@@ -242,6 +242,14 @@ WITH first AS (SELECT text FROM documents ORDER BY doc_id LIMIT 400)
 SELECT sum(length(text))::BIGINT AS n_chars, sum(len({DOCUMENT_TOKENS}))::BIGINT AS n_tokens,
   round(sum(length(text)) / sum(len({DOCUMENT_TOKENS}))::DOUBLE, 6) AS chars_per_token
 FROM first""",
+    "chunk_estimate": f"""
+WITH first AS (SELECT text FROM documents ORDER BY doc_id LIMIT 400),
+ratio AS (
+  SELECT sum(length(text)) / sum(len({DOCUMENT_TOKENS}))::DOUBLE AS chars_per_token FROM first
+)
+SELECT sum(length(text))::BIGINT AS n_chars,
+  round(sum(length(text)) / any_value(chars_per_token) / 1024, 6) AS expected_chunks
+FROM documents, ratio""",
     "packed_chunks": f"""
 SELECT chunk_id, tokens_md5 FROM (
 {_packed("SELECT doc_id AS pos, text FROM documents", "0", 1024)})""",
@@ -342,6 +350,18 @@ WITH {STEP_STATS}
 SELECT step,
   {', '.join(f'round(completions__{n}, 6) AS completions__{n}' for n in STAT_NAMES)}
 FROM stats""",
+    "step_reward_stats": f"""
+WITH {SCORED},
+by_prompt AS (
+  SELECT prompt_id // 2 + 1 AS step, stddev_samp(reward) AS std FROM scored GROUP BY prompt_id
+),
+deviations AS (SELECT step, avg(std) AS std FROM by_prompt GROUP BY step)
+SELECT s.step, round(avg(reward), 6) AS reward,
+  round(avg(reward), 6) AS rewards__unique_chars__mean,
+  round(stddev_samp(reward), 6) AS rewards__unique_chars__std,
+  round(any_value(d.std), 6) AS reward_std
+FROM (SELECT *, prompt_id // 2 + 1 AS step FROM scored) s JOIN deviations d ON d.step = s.step
+GROUP BY s.step""",
     "log_windows": LOG_WINDOWS,
     "cumulative_tokens": f"""
 WITH steps AS (SELECT source AS run, doc_id AS step, len({DOCUMENT_TOKENS}) AS n FROM documents)

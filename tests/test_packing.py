@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fettle.functions.hooks import tokenizer_udf
-from fettle.operators.packing import chars_per_token, pack_sequences
+from fettle.operators.packing import chars_per_token, chunk_estimate, pack_sequences
 from fettle.plans.jobs import packed_answers
 from tests.helpers import plan_of
 
@@ -74,6 +74,8 @@ def test_ratio_of_sums(spark):
     df = texts(spark, [(0, "a b"), (1, "abcd"), (2, "ignored entirely")])
     assert tuple(chars_per_token(df, "text", "k", n=2).first()) == (7, 3, 7 / 3)
     assert chars_per_token(df, "text", "k").first()["n_tokens"] == 5
+    estimate = chunk_estimate(df, "text", "k", 2, n=2).first()
+    assert tuple(estimate) == (23, pytest.approx(23 / (7 / 3) / 2))
     assert chars_per_token(texts(spark, [(0, "")]), "text", "k").first()[2] is None
 
 

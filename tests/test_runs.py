@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from fettle.operators import groups, runs
+from fettle.operators import runs
 from fettle.sources.runs import read_run_configs, read_run_logs, with_run_configs
 from tests.helpers import rows
 
@@ -127,12 +127,19 @@ def test_a_log_record_is_a_mean_of_steps(spark):
 
 def test_logged_deviations_are_sample_deviations(spark):
     """Pairs of rewards whose difference is in whole hundredths give the logged mean."""
+    # Five steps of one prompt with two completions each.
     difference = GRPO[0][3] * 5 * math.sqrt(2)  # summed over five steps
     assert difference == pytest.approx(0.28, abs=1e-6)
     data = [(s, 0.372 - d / 2) for s, d in enumerate([0.28, 0, 0, 0, 0])]
     data += [(s, 0.372 + d / 2) for s, d in enumerate([0.28, 0, 0, 0, 0])]
     df = spark.createDataFrame(data, "step int, reward double")
-    stats = groups.group_reward_stats(df, "step").withColumn("step", F.col("step") + 1)
-    window = runs.log_windows(stats, ["reward_mean", "reward_std"]).first()
+    df = df.select((F.col("step") + 1).alias("step"), F.lit(0).alias("prompt"), "reward",
+                   F.col("reward").alias("unique"), (F.col("step") * 0.02 + 0.02).alias("epoch"))
+    stats = runs.step_reward_stats(df, "prompt", ["unique"])
+    stats = stats.join(df.select("step", "epoch").distinct(), "step")
+    metrics = ["reward", "reward_std", "rewards__unique__mean", "rewards__unique__std"]
+    window = runs.log_windows(stats, metrics, last=["epoch"]).first()
     assert window["reward_std"] == pytest.approx(GRPO[0][3], abs=1e-6)
-    assert window["reward_mean"] == pytest.approx(0.372)
+    assert window["rewards__unique__std"] == pytest.approx(GRPO[0][3], abs=1e-6)
+    assert window["reward"] == window["rewards__unique__mean"] == pytest.approx(0.372)
+    assert (window["step"], window["epoch"]) == (5, pytest.approx(0.1))

@@ -87,6 +87,8 @@ def test_shuffle_is_the_seeded_order(spark):
     order = sorted(range(500), key=lambda k: (hashed(4, k), k))
     assert [r["k"] for r in found.orderBy("shuffle_pos").collect()] == order
     assert found.columns == ["k", "x", "shuffle_pos"]
+    with pytest.raises(Exception, match="not unique"):
+        shuffle.shuffle_rows(ids(spark, 5).union(ids(spark, 5)), "k", 4).collect()
     assert found.agg(F.max("shuffle_pos")).first()[0] == 499
 
 
