@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEX_DIGITS = 32
@@ -19,6 +19,13 @@ def columns_of(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def require_new(df: DataFrame, *names: str) -> None:
+    """Refuse to add columns a frame already has."""
+    taken = sorted({c.lower() for c in df.columns} & {name.lower() for name in names})
+    if taken:
+        raise ValueError(f"columns {taken} exist already; rename them first")
+
+
 def seeded_hash(seed: int, *keys: Column | str) -> Column:
     """32 hex digits: md5 of the seed and the keys, joined by ``|``."""
     parts = [F.lit(str(seed))] + [F.coalesce(_col(k).cast("string"), F.lit("")) for k in keys]

@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fettle.functions.hashing import columns_of, hash_number, seeded_hash
+from fettle.functions.hashing import columns_of, require_new, seeded_hash
 from fettle.operators.ordered import ordinals, with_ordinal
+from fettle.operators.tasks import expand_generations
 
 # 16**4 = 65,536 hash buckets at most; this also bounds the broadcast table of their starts.
 BUCKET_DIGITS = 4
@@ -24,7 +25,7 @@ def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFram
     """
     order = columns_of(key)
     hashed = df.withColumn("__hash", seeded_hash(seed, *order)).withColumn(
-        "__bucket", hash_number(F.col("__hash"), 1, BUCKET_DIGITS)
+        "__bucket", F.substring("__hash", 1, BUCKET_DIGITS)
     )
     counts = hashed.groupBy("__bucket").agg(F.count("*").alias("__n"))
     starts = counts.select(
@@ -68,6 +69,7 @@ def repeat_rows(df: DataFrame, epochs: int) -> DataFrame:
     """Each row once per epoch, with ``epoch`` from 0."""
     if epochs < 1:
         raise ValueError("epochs must be at least 1")
+    require_new(df, "epoch")
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
 
 
@@ -97,24 +99,26 @@ def plan_batches(df: DataFrame, order_by: str | Sequence[str], batch: int, accum
                  max_steps: int | None = None) -> DataFrame:
     """Place every sample into a training step.
 
-    A sample is a row, or one of its ``generations``. In order, ``batch`` samples form a
-    micro-batch and ``accum`` micro-batches a step. Adds ``gen_id``, ``micro_step`` (0-based
-    inside its step), ``step`` (1-based) and ``epoch_progress`` at the end of the step.
-    ``drop_last`` leaves out an unfilled last micro-batch, ``max_steps`` the later steps.
+    A sample is a row, or with several ``generations`` one of a row's completions. In order,
+    ``batch`` samples form a micro-batch and ``accum`` micro-batches a step. Adds
+    ``micro_step`` (0-based inside its step), ``step`` (1-based), ``epoch_progress`` at the end
+    of the step, and ``gen_id`` if there are several. ``drop_last`` leaves out an unfilled last
+    micro-batch, ``max_steps`` the later steps.
     """
     if min(batch, accum, generations) < 1:
         raise ValueError("batch, accum and generations must be at least 1")
+    added = ["gen_id"] if generations > 1 else []
+    require_new(df, "step", "micro_step", "epoch_progress", *added)
     order = columns_of(order_by)
     places = ordinals(df, order, "__ordinal")
     n_samples = places.count() * generations
-    samples = df.join(places, order).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(generations - 1))).alias("gen_id")
-    ).withColumn("__sample", F.col("__ordinal") * generations + F.col("gen_id"))
-    planned = samples.withColumn(
-        "__micro", F.floor(F.col("__sample") / F.lit(batch))
-    ).select(
+    samples, number = df.join(places, order), F.col("__ordinal")
+    if generations > 1:
+        samples = expand_generations(samples, generations)
+        number = number * generations + F.col("gen_id")
+    planned = samples.withColumn("__micro", F.floor(number / F.lit(batch))).select(
         *df.columns,
-        "gen_id",
+        *added,
         (F.floor(F.col("__micro") / F.lit(accum)) + 1).alias("step"),
         (F.col("__micro") % accum).alias("micro_step"),
         "__micro",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fettle.functions.hashing import columns_of, hash_number, seeded_hash
+from fettle.functions.hashing import columns_of, hash_number, require_new, seeded_hash
 from fettle.functions.text import id_token, observation_prompt
 
 # The protocol tokens, the pool of item ids and the largest task.
@@ -108,4 +108,5 @@ def expand_generations(df: DataFrame, g: int) -> DataFrame:
     """Each prompt ``g`` times, with ``gen_id`` from 0."""
     if g < 1:
         raise ValueError("g must be at least 1")
+    require_new(df, "gen_id")
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(g - 1))).alias("gen_id"))

@@ -157,7 +157,7 @@ METRIC_LOG = """
 log AS (SELECT event_type AS run, event_id AS step, value AS loss FROM events)"""
 
 BATCH_PLAN = """
-SELECT {keys}, gen_id, s // {step} + 1 AS step, s // {batch} % {accum} AS micro_step,
+SELECT {keys}, s // {step} + 1 AS step, s // {batch} % {accum} AS micro_step,
   round(least((s // {step} + 1) * {step}, total) / total::DOUBLE, 6) AS epoch_progress
 FROM samples"""
 
@@ -224,8 +224,7 @@ SELECT * FROM placed WHERE position < 40000""",
     "batch_plan": f"""
 WITH {PAIRS},
 samples AS (
-  SELECT *, 0 AS gen_id, row_number() OVER (ORDER BY conv_id, turn) - 1 AS s,
-    count(*) OVER () AS total
+  SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS s, count(*) OVER () AS total
   FROM pairs QUALIFY s < total // 4 * 4
 )
 {_plan("conv_id, turn", 4, 1)}""",
@@ -235,7 +234,7 @@ WITH rows AS (
   FROM documents
 ),
 samples AS (SELECT doc_id, g::INTEGER AS gen_id, n * 4 + g AS s, total FROM rows, range(4) AS r(g))
-{_plan("doc_id", 2, 2)}""",
+{_plan("doc_id, gen_id", 2, 2)}""",
     "token_counts": f"SELECT doc_id, len({DOCUMENT_TOKENS}) AS n_tokens FROM documents",
     "chars_per_token": f"""
 WITH first AS (SELECT text FROM documents ORDER BY doc_id LIMIT 400)

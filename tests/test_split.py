@@ -121,6 +121,13 @@ def test_plans_agree_with_logged_epochs(spark):
     assert rows(plan.where("step = 3"), "k", "gen_id", "micro_step") == [(2, 0, 0), (2, 1, 1)]
 
 
+def test_existing_columns_are_not_overwritten(spark):
+    with pytest.raises(ValueError, match="step"):
+        shuffle.plan_batches(ids(spark, 3).withColumn("step", F.lit(1)), "k", 1)
+    with pytest.raises(ValueError, match="epoch"):
+        shuffle.repeat_rows(ids(spark, 3).withColumn("Epoch", F.lit(1)), 2)
+
+
 def test_the_last_unfilled_batch(spark):
     kept = shuffle.plan_batches(ids(spark, 11), "k", 4, 2)
     dropped = shuffle.plan_batches(ids(spark, 11), "k", 4, 2, drop_last=True)
