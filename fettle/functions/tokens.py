@@ -32,6 +32,11 @@ def truncate_tokens(tokens: Column, limit: int, side: str) -> Column:
     raise ValueError(f"side must be 'prompt' or 'completion', not {side!r}")
 
 
+def generated_tokens(prompt: Column, full: Column) -> Column:
+    """The tokens of a full sequence after as many as the prompt has."""
+    return F.slice(full, F.size(prompt) + 1, F.greatest(F.size(full), F.lit(1)))
+
+
 def completion_length(n_tokens: Column, limit: int) -> Column:
     """Length of a completion after the limit."""
     return F.least(n_tokens, F.lit(limit)).cast("bigint")

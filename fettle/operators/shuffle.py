@@ -45,7 +45,7 @@ def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFram
     )
 
 
-def shuffle_blocks(df: DataFrame, key: str | Sequence[str], seed: int, buffer: int,
+def shuffle_blocks(df: DataFrame, key: str | Sequence[str], seed: int, buffer: int = 5000,
                    order_by: str | Sequence[str] | None = None) -> DataFrame:
     """Add ``block`` and ``shuffle_pos``: rows shuffled inside blocks of ``buffer`` rows.
 

@@ -118,6 +118,17 @@ def generated_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def generated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = text.with_qa_text(dialogue_pairs(spark, sf_dir))
+    listed = pairs.select(
+        "conv_id", "turn",
+        tokens.tokenize(text.qa_text(F.col("question"), F.lit(""))).alias("prompt"),
+        tokens.tokenize(F.col("text")).alias("full"),
+    )
+    rest = tokens.generated_tokens(F.col("prompt"), F.col("full"))
+    return listed.select("conv_id", "turn", digest(rest).alias("tokens_md5"))
+
+
 # Heads, splits, shuffles, batches
 
 
@@ -591,7 +602,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         corpus_stats, artifact_inventory, dialogue_pairs, qa_text, tldr_text, chat_prompt,
-        chat_prompt_gen, strip_special, generated_part, head_rows, take_skip,
+        chat_prompt_gen, strip_special, generated_part, generated_tokens, head_rows, take_skip,
         take_skip_sizes, fraction_split, fraction_split_wide, shuffle_positions,
         shuffle_blocks, repeat_epochs, repeat_until, batch_plan, batch_plan_generations,
         token_counts, chars_per_token, chunk_estimate, packed_chunks, packed_answers, truncate_tokens,

@@ -185,6 +185,11 @@ FROM chats""",
 WITH {PAIRS}, texts AS (SELECT *, {QA} AS text FROM pairs)
 SELECT conv_id, turn, substr(text, length('Question: ' || question || 'Answer: ') + 3) AS answer
 FROM texts""",
+    "generated_tokens": f"""
+WITH {PAIRS}
+SELECT conv_id, turn,
+  md5(array_to_string({TOKENS.format("response_j")}, ' ')) AS tokens_md5
+FROM pairs""",
     "head_rows": "SELECT * FROM documents ORDER BY doc_id LIMIT 100",
     "take_skip": """
 SELECT conv_id, turn,

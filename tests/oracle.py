@@ -28,10 +28,21 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# Spark and DuckDB names of the column types the catalogue gives.
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def difference(df, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What differs, or None."""
     cursor = connection.execute(sql)
     names = [column[0] for column in cursor.description]
+    types = {column[0]: str(column[1]) for column in cursor.description}
+    wrong = {n: (t, types.get(n)) for n, t in df.dtypes if SAME_TYPE[t] != types.get(n)}
+    if wrong:
+        return f"types {wrong}"
     expected = cursor.fetchall()
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"

@@ -46,6 +46,8 @@ def test_truncation_keeps_prompt_ends_and_completion_starts(spark):
     assert one(spark, tokens.truncate_tokens(listed, 2, "prompt")) == ["d", "e"]
     assert one(spark, tokens.truncate_tokens(listed, 2, "completion")) == ["a", "b"]
     assert one(spark, tokens.truncate_tokens(listed, 9, "prompt")) == list("abcde")
+    assert one(spark, tokens.generated_tokens(F.slice(listed, 1, 3), listed)) == ["d", "e"]
+    assert one(spark, tokens.generated_tokens(listed, listed)) == []
     assert one(spark, tokens.is_clipped(F.size(listed), 5)) is True
     assert one(spark, tokens.completion_length(F.size(listed), 3)) == 3
     with pytest.raises(ValueError):
