@@ -79,21 +79,25 @@ def pack_sequences(df: DataFrame, text: str, order_by: str | Sequence[str],
     pieces = streams.select("*", F.explode(touched).alias("chunk_id"))
     begin = F.greatest(F.col("chunk_id") * length, F.col("__start"))
     end = F.least((F.col("chunk_id") + 1) * length, last + 1)
+    piece = F.slice(
+        F.col("__tokens"),
+        (begin - F.col("__start") + 1).cast("int"),
+        (end - begin).cast("int"),
+    )
+    # Tokens of the default tokenizer have no spaces, so a piece can travel as one string,
+    # which is far smaller than an array of strings.
+    as_text = tokenizer is tokenize and not any(c.isspace() for c in sep)
     pieces = pieces.select(
         *groups,
         "chunk_id",
         F.struct(
-            begin.alias("at"),
-            F.slice(
-                F.col("__tokens"),
-                (begin - F.col("__start") + 1).cast("int"),
-                (end - begin).cast("int"),
-            ).alias("piece"),
+            begin.alias("at"), (F.array_join(piece, " ") if as_text else piece).alias("piece")
         ).alias("__piece"),
+        (end - begin).alias("__n"),
     )
     chunks = pieces.groupBy(*groups, "chunk_id").agg(
-        F.array_sort(F.collect_list("__piece")).alias("__pieces")
-    )
-    return chunks.select(
-        *groups, "chunk_id", F.flatten(F.col("__pieces.piece")).alias("tokens")
-    ).where(F.size("tokens") == seq_length)
+        F.array_sort(F.collect_list("__piece")).alias("__pieces"), F.sum("__n").alias("__n")
+    ).where(F.col("__n") == seq_length)
+    gathered = F.col("__pieces.piece")
+    tokens = F.split(F.array_join(gathered, " "), " ") if as_text else F.flatten(gathered)
+    return chunks.select(*groups, "chunk_id", tokens.alias("tokens"))
