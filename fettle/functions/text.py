@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 # The formats of the training texts, the agent prompt and the chat messages.
 TLDR_PARTS = ("Post: ", "\n\nTL;DR: ")
 QA_PARTS = ("Question: ", "\n\nAnswer: ")
-OBSERVATION_START = "<|obs|>"
-AGENT_START = "<|agent|>"
-THINK_START = "<THINK>"
-THINK_END = "<END_THINK>"
-THOUGHT_PARTS = ("The items are ", ". I need to identify the first item and select it.")
+OBSERVATION_PROMPT = (
+    "<|obs|>{ids}<|agent|><THINK>The items are {ids}. "
+    "I need to identify the first item and select it.<END_THINK>"
+)
 CHAT_START = "<|im_start|>"
 CHAT_END = "<|im_end|>"
 DEFAULT_SYSTEM_MESSAGE = "You are a helpful assistant."
@@ -60,11 +59,7 @@ def id_token(item_id: Column) -> Column:
 def observation_prompt(item_ids: Column) -> Column:
     """The prompt that shows an agent its items, up to the end of its given thought."""
     shown = F.array_join(F.transform(item_ids, id_token), " ")
-    thought = F.concat(F.lit(THOUGHT_PARTS[0]), shown, F.lit(THOUGHT_PARTS[1]))
-    return F.concat(
-        F.lit(OBSERVATION_START), shown, F.lit(AGENT_START),
-        F.lit(THINK_START), thought, F.lit(THINK_END),
-    )
+    return F.replace(F.lit(OBSERVATION_PROMPT), F.lit("{ids}"), shown)
 
 
 def chat_message(role: Column, content: Column) -> Column:

@@ -100,21 +100,37 @@ def preference_pairs(df: DataFrame, group: str | Sequence[str], question: str, t
     """(group, ``question``, ``response_j``, ``response_k``): best and worst of each group.
 
     Equal rewards go to the smaller ``gen_id``; a group whose rewards are all equal gives no
-    pair. Keeps a running best and worst per group, never a list.
+    pair, a completion without a reward is passed over. (group, ``gen_id``) must be unique.
+
+    The winners are found among rewards alone; their texts are then fetched by key, so a text
+    is shuffled once, and again only if it won.
     """
     groups = columns_of(group)
-    # A row without a reward has no rank. A filter would compute the reward once more.
     has_reward = F.col(reward).isNotNull()
     best = F.when(has_reward, F.struct(F.col(reward), -F.col(gen_id)))
     worst = F.when(has_reward, F.struct(F.col(reward), F.col(gen_id)))
-    return (
+    winners = (
         df.groupBy(*groups)
         .agg(
-            F.min_by(question, gen_id).alias("question"),
-            F.max_by(text, best).alias("response_j"),
-            F.min_by(text, worst).alias("response_k"),
+            F.min(gen_id).alias("question"),
+            F.max_by(gen_id, best).alias("response_j"),
+            F.min_by(gen_id, worst).alias("response_k"),
             (F.max(reward) > F.min(reward)).alias("__differ"),
         )
         .where("__differ")
-        .drop("__differ")
     )
+    places = ("question", "response_j", "response_k")
+    wanted = winners.select(*groups, F.inline(F.array(*[
+        F.struct(F.lit(place).alias("__place"), F.col(place).alias(gen_id)) for place in places
+    ])))
+    fetched = join_null_safe(
+        df.select(*groups, gen_id, F.col(question).alias("__question"),
+                  F.col(text).alias("__text")),
+        wanted, [*groups, gen_id],
+    )
+    shown = F.when(F.col("__place") == "question", F.col("__question")).otherwise(
+        F.col("__text")
+    )
+    return fetched.groupBy(*groups).agg(*[
+        F.max(F.when(F.col("__place") == place, shown)).alias(place) for place in places
+    ])

@@ -91,17 +91,14 @@ def special_tokens(spark: SparkSession, n_ids: int = POOL_SIZE) -> DataFrame:
 
 def special_token_usage(df: DataFrame, text: str, n_ids: int = POOL_SIZE) -> DataFrame:
     """``special_tokens`` with ``n_uses``, the number of times each occurs in the texts."""
-    spark = df.sparkSession
-    vocabulary = special_tokens(spark, n_ids)
+    vocabulary = special_tokens(df.sparkSession, n_ids)
     protocol = "|".join(token.replace("|", r"\|") for token in PROTOCOL_TOKENS)
     pattern = rf"{protocol}|<ID_[0-9]+>"
     found = df.select(
         F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("token")
     )
     uses = found.groupBy("token").agg(F.count("*").alias("n_uses"))
-    # The vocabulary side is fixed: five protocol tokens and n_ids item tokens.
-    known = uses.join(F.broadcast(vocabulary), "token", "left_semi")
-    return vocabulary.join(known, "token", "left").fillna(0, ["n_uses"])
+    return vocabulary.join(uses, "token", "left").fillna(0, ["n_uses"])
 
 
 def expand_generations(df: DataFrame, g: int) -> DataFrame:
