@@ -223,6 +223,14 @@ def packed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.select("split", "chunk_id", digest(F.col("tokens")).alias("tokens_md5"))
 
 
+def packed_answers_by_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = jobs.packed_answers_by_head(
+        dialogue_pairs(spark, sf_dir), ["conv_id", "turn"], n_valid=100, buffer=50,
+        seq_length=256,
+    )
+    return chunks.select("split", "chunk_id", digest(F.col("tokens")).alias("tokens_md5"))
+
+
 def truncate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = texts(spark, sf_dir).select(
         "doc_id", tokens.tokenize(F.col("text")).alias("tokens")
@@ -605,7 +613,7 @@ QUERIES: dict[str, Query] = {
         chat_prompt_gen, strip_special, generated_part, generated_tokens, head_rows, take_skip,
         take_skip_sizes, fraction_split, fraction_split_wide, shuffle_positions,
         shuffle_blocks, repeat_epochs, repeat_until, batch_plan, batch_plan_generations,
-        token_counts, chars_per_token, chunk_estimate, packed_chunks, packed_answers, truncate_tokens,
+        token_counts, chars_per_token, chunk_estimate, packed_chunks, packed_answers, packed_answers_by_head, truncate_tokens,
         agent_tasks, agent_dataset, agent_dataset_graded, special_tokens,
         expand_generations, parse_action, task_reward, outcome_summary, accuracy,
         reward_alignment, alignment_report, agent_round, unique_chars, unique_chars_reward,

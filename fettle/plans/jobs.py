@@ -7,13 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fettle.functions.hashing import columns_of
+from fettle.functions.hashing import columns_of, seeded_hash
 from fettle.functions.rewards import action_outcome, task_reward
 from fettle.functions.text import with_qa_text, with_tldr_text
 from fettle.operators.groups import group_advantage
 from fettle.operators.packing import pack_sequences
-from fettle.operators.shuffle import plan_batches, repeat_rows
-from fettle.operators.split import fraction_split, head_rows
+from fettle.operators.shuffle import plan_batches, repeat_rows, shuffle_blocks
+from fettle.operators.split import fraction_split, head_rows, take_skip
 from fettle.operators.tasks import expand_generations, tasks_for, with_prompts
 from fettle.shared import cut
 
@@ -21,19 +21,37 @@ from fettle.shared import cut
 def packed_answers(pairs: DataFrame, key: str | Sequence[str], test_size: float = 0.005,
                    seed: int = 0, seq_length: int = 1024, sep: str = "<eos>",
                    epochs: int = 1) -> DataFrame:
-    """(split, chunk_id, tokens) from (question, response_j): text, split, pack.
+    """(split, chunk_id, tokens) from (question, response_j): text, split, shuffle, pack.
 
-    Each split is a stream of its own. With several epochs the training rows are repeated; the
-    test rows are read once.
+    Each split is a stream of its own, in seeded order. With several epochs the training rows
+    are repeated, each time in another order; the test rows are read once.
     """
-    order = columns_of(key)
-    texts = cut(with_qa_text(pairs).select(*order, "text"))
-    split = fraction_split(texts, order, test_size, seed)
-    if epochs > 1:
-        repeated = repeat_rows(split, epochs)
-        split = repeated.where((F.col("split") == "train") | (F.col("epoch") == 0))
-        order = ["epoch", *order]
-    return pack_sequences(split, "text", order, seq_length, sep, group_by="split")
+    keys = columns_of(key)
+    texts = cut(with_qa_text(pairs).select(*keys, "text"))
+    split = repeat_rows(fraction_split(texts, keys, test_size, seed), epochs)
+    split = split.where((F.col("split") == "train") | (F.col("epoch") == 0))
+    placed = split.withColumn("place", F.when(
+        F.col("epoch") == 0, seeded_hash(seed, *keys)
+    ).otherwise(seeded_hash(seed, *keys, "epoch")))
+    order = ["epoch", "place", *keys]
+    return pack_sequences(placed, "text", order, seq_length, sep, group_by="split")
+
+
+def packed_answers_by_head(pairs: DataFrame, key: str | Sequence[str], n_valid: int = 4000,
+                           buffer: int = 5000, seed: int = 0, seq_length: int = 1024,
+                           sep: str = "<eos>") -> DataFrame:
+    """The same where data is taken in order: the first ``n_valid`` rows are ``valid``, the
+    rest is ``train``, shuffled in blocks of ``buffer`` rows."""
+    keys = columns_of(key)
+    texts = cut(with_qa_text(pairs).select(*keys, "text"))
+    split = take_skip(texts, n_valid, keys, ("valid", "train"))
+    valid = split.where(F.col("split") == "valid")
+    train = shuffle_blocks(split.where(F.col("split") == "train"), keys, seed, buffer)
+
+    def packed(part: DataFrame, order: Sequence[str]) -> DataFrame:
+        return pack_sequences(part, "text", order, seq_length, sep, group_by="split")
+
+    return packed(valid, keys).unionByName(packed(train, ["shuffle_pos"]))
 
 
 def agent_round(samples: DataFrame, key: str | Sequence[str],

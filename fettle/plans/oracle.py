@@ -263,8 +263,18 @@ SELECT grp AS split, chunk_id, tokens_md5 FROM ({_packed(f'''
   SELECT CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '0', conv_id, turn)),
                                       conv_id, turn)
            <= ceil(0.2::DOUBLE * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split,
-    [conv_id, turn] AS pos, {QA} AS text
+    row(md5(concat_ws('|', '0', conv_id, turn)), conv_id, turn) AS pos, {QA} AS text
   FROM pairs''', "split", 256)})""",
+    "packed_answers_by_head": f"""
+SELECT grp AS split, chunk_id, tokens_md5 FROM ({_packed(f'''
+  WITH {PAIRS},
+  placed AS (
+    SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS n FROM pairs
+  )
+  SELECT CASE WHEN n < 100 THEN 'valid' ELSE 'train' END AS split, {QA} AS text,
+    CASE WHEN n < 100 THEN row(n, '')
+         ELSE row((n - 100) // 50, md5(concat_ws('|', '0', conv_id, turn))) END AS pos
+  FROM placed''', "split", 256)})""",
     "truncate_tokens": f"""
 WITH listed AS (SELECT doc_id, {DOCUMENT_TOKENS} AS toks FROM documents)
 SELECT doc_id, md5(array_to_string(toks[greatest(len(toks) - 255, 1):], ' ')) AS prompt_md5,
