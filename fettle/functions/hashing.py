@@ -7,6 +7,7 @@ any partitioning, after any retry, and in any other SQL engine.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ def columns_of(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def any_null(names: Sequence[str]) -> Column:
+    """Whether one of the columns is null."""
+    return reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
+
+
 def require_new(df: DataFrame, *names: str) -> None:
     """Refuse to add columns a frame already has."""
     taken = sorted({c.lower() for c in df.columns} & {name.lower() for name in names})

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fettle.functions.text import (
-    CHAT_START,
-    DEFAULT_SYSTEM_MESSAGE,
-    chat_message,
-)
+from fettle.functions.hashing import any_null
+from fettle.functions.text import CHAT_START, DEFAULT_SYSTEM_MESSAGE, chat_message
 from fettle.operators.ordered import join_null_safe, running_total, with_neighbour
 
 # Characters of one rendered value: at most 256 MB of UTF-8, well inside what a row can hold.
@@ -78,10 +75,13 @@ def _turns_have_gaps(df: DataFrame, key: str, order: str) -> bool:
     spans = turns.groupBy(key).agg(
         (F.max(order) - F.min(order) + 1 != F.sum("n")).alias("gap"),
         (F.max("n") > 1).alias("twice"),
+        F.bool_or(any_null([key, order])).alias("null_key"),
     )
     found = spans.agg(
-        F.bool_or("gap").alias("gap"), F.bool_or("twice").alias("twice")
+        *[F.bool_or(name).alias(name) for name in ("gap", "twice", "null_key")]
     ).first()
+    if found["null_key"]:
+        raise ValueError(f"null in ({key}, {order})")
     if found["twice"]:
         raise ValueError(f"({key}, {order}) is not unique")
     return bool(found["gap"])

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fettle.functions.hashing import columns_of
+from fettle.functions.hashing import any_null, columns_of
 from fettle.shared import cut
 
 PART = "__part"
@@ -43,9 +43,8 @@ def _ranged(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataF
     """
     if not order:
         raise ValueError("an order is needed: tables have none of their own")
-    null_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in order])
     part = F.when(
-        null_key, F.raise_error(F.lit(f"null in the order {list(order)}"))
+        any_null(order), F.raise_error(F.lit(f"null in the order {list(order)}"))
     ).otherwise(F.spark_partition_id())
     return cut(df.repartitionByRange(*groups, *order).withColumn(PART, part))
 

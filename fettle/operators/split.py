@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from fettle.functions.hashing import HEX_DIGITS, columns_of, seeded_hash
+from fettle.functions.hashing import HEX_DIGITS, any_null, columns_of, seeded_hash
 from fettle.operators.ordered import with_ordinal
 
 # Hash digits looked at per pass: 16**4 = 65,536 counters, whatever the size of the data.
@@ -40,13 +40,19 @@ def _nth_key(df: DataFrame, n: int, order: Sequence[str]) -> Row | None:
     """
     top = df.select(*order).orderBy(*order).limit(n + 1)
     rank = F.row_number().over(Window.orderBy(*order))
-    around = top.withColumn("__rank", rank).where(F.col("__rank") >= n).orderBy("__rank").collect()
-    if len(around) < 2:
+    here = F.struct(*order)
+    found = top.withColumn("__rank", rank).agg(
+        F.max(F.when(F.col("__rank") == n, here)).alias("last"),
+        F.max(F.when(F.col("__rank") == n + 1, here)).alias("after"),
+        F.bool_or(any_null(order)).alias("has_null"),
+    ).first()
+    if found["has_null"]:
+        raise ValueError(f"null in the order {list(order)}")
+    if found["after"] is None:
         return None
-    last, after = around
-    if all(last[name] == after[name] for name in order):
+    if found["last"] == found["after"]:
         raise ValueError(f"{list(order)} is not unique around row {n}")
-    return last
+    return found["last"]
 
 
 def head_rows(df: DataFrame, n: int, order_by: str | Sequence[str],

@@ -36,6 +36,9 @@ def test_ambiguous_heads_are_refused(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k int")
     with pytest.raises(ValueError, match="not unique"):
         split.take_skip(df, 2, "k")
+    nulls = spark.createDataFrame([(1, 1), (1, None), (2, 1), (2, 2)], "a int, b int")
+    with pytest.raises(ValueError, match="null"):
+        split.take_skip(nulls, 3, ["a", "b"])
 
 
 def test_head_rows(spark):

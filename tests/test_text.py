@@ -127,3 +127,5 @@ def test_pairs_with_and_without_gaps_in_one_large_conversation(spark, gap):
 def test_repeated_turns_are_an_error(spark):
     with pytest.raises(ValueError, match="not unique"):
         dialogue_pairs(messages(spark, MESSAGES + MESSAGES[:1]))
+    with pytest.raises(ValueError, match="null"):
+        dialogue_pairs(messages(spark, MESSAGES + [(None, 0, "user", "x")]))
