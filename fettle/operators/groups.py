@@ -14,7 +14,7 @@ from fettle.functions.hashing import columns_of
 from fettle.operators.ordered import join_null_safe
 
 # Rows of one group that may meet in one task.
-MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS = 100_000
 # Bound of the broadcast list of groups that are split.
 MAX_HOT_GROUPS = 10_000
 

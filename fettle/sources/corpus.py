@@ -30,13 +30,13 @@ def read_corpus(spark: SparkSession, path: str, subset: str | None = None,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, where there are fewer input splits than cores.
+    """Rows over all cores, where most cores would be idle.
 
-    A corpus in one file that cannot be split would be worked on by one task. A corpus with as
-    many splits as cores is returned as it is, without a shuffle.
+    A corpus in a few files that cannot be split would be worked on by as few tasks. One with
+    splits for a quarter of the cores or more is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() * 4 >= cores else df.repartition(cores)
 
 
 def stream_corpus(spark: SparkSession, path: str, schema: str | StructType,

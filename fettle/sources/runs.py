@@ -20,7 +20,8 @@ def read_run_logs(spark: SparkSession, paths: str | Sequence[str],
     """One row per run and logged step.
 
     ``run`` is the path of the file. Records may have different keys; a missing one is null.
-    ``/`` in a name becomes ``__``, so that names need no quoting.
+    ``/`` in a name becomes ``__``, so that names need no quoting. ``schemas.run_log_schema``
+    gives a schema; without one the files are read an extra time to find their keys.
     """
     reader = spark.read.option("multiLine", True)
     if schema is not None:

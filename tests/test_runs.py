@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fettle.operators import runs
+from fettle.sources import schemas
 from fettle.sources.runs import read_run_configs, read_run_logs, with_run_configs
 from tests.helpers import rows
 
@@ -66,6 +67,18 @@ def test_ragged_logs_are_read_as_one_table(spark, run_files):
     assert all(r["loss"] is None for r in grpo)
 
 
+def test_declared_schema(spark, run_files):
+    schema = schemas.run_log_schema(
+        schemas.SUPERVISED_LOG, schemas.GROUP_REWARD_LOG,
+        schemas.reward_log_fields("reward_num_unique_chars"),
+    )
+    found = read_run_logs(spark, str(run_files / "*" / "*" / "trainer_state.json"), schema)
+    inferred = logs(spark, run_files)
+    assert len(found.columns) == 1 + 24  # run, and 23 keys of one kind with one of the other
+    shared = [c for c in inferred.columns if c != "run"]
+    assert rows(found, *shared) == rows(inferred, *shared)
+
+
 def test_summary(spark, run_files):
     found = runs.run_summary(logs(spark, run_files), ["loss", "reward", "mean_token_accuracy"])
     by_key = {(r["run"], r["metric"]): r for r in found.collect()}

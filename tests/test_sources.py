@@ -4,7 +4,13 @@ from pyspark.sql import functions as F
 from fettle.operators.split import fraction_split, split_sizes
 from fettle.shared import new_folder, shared_dir
 from fettle.sources.artifacts import artifact_inventory, artifact_total
-from fettle.sources.corpus import corpus_path, read_corpus, stream_corpus, write_prepared
+from fettle.sources.corpus import (
+    corpus_path,
+    read_corpus,
+    spread,
+    stream_corpus,
+    write_prepared,
+)
 from tests.helpers import plan_of, rows
 
 
@@ -56,6 +62,14 @@ def test_streams_read_folders_and_files(spark, tmp_path):
         assert spark.read.parquet(out).count() == (expected or spark.read.parquet(source).count())
 
 
+def test_spread_leaves_wide_input_alone(spark):
+    wide = spark.range(0, 100, numPartitions=4)
+    assert spread(wide) is wide
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 100, numPartitions=1)
+    assert spread(narrow).rdd.getNumPartitions() == (cores if cores > 4 else 1)
+
+
 def test_inventory_is_of_the_folder_itself(spark, tmp_path):
     (tmp_path / "model.bin").write_bytes(b"x" * 2048)
     (tmp_path / "config.json").write_text("{}")
