@@ -19,15 +19,15 @@ MAX_GROUP_ROWS = 100_000
 MAX_HOT_GROUPS = 10_000
 
 
-def group_limit(sizes: DataFrame, size: str, max_rows: int = MAX_GROUP_ROWS) -> int | None:
-    """None where every group has at most ``max_rows`` rows, else the size to split groups at.
+def group_limit(largest: int | None, total: int | None,
+                max_rows: int = MAX_GROUP_ROWS) -> int | None:
+    """None where the largest group has at most ``max_rows`` rows, else the size to split at.
 
-    The limit rises with the data, so at most ``MAX_HOT_GROUPS`` groups can exceed it.
+    The limit rises with the total, so at most ``MAX_HOT_GROUPS`` groups can exceed it.
     """
-    found = sizes.agg(F.max(size).alias("largest"), F.sum(size).alias("total")).first()
-    if (found["largest"] or 0) <= max_rows:
+    if (largest or 0) <= max_rows:
         return None
-    return max(max_rows, found["total"] // MAX_HOT_GROUPS)
+    return max(max_rows, total // MAX_HOT_GROUPS)
 
 
 def salted_join(rows: DataFrame, groups: DataFrame, on: str | Sequence[str], size: str,
@@ -78,7 +78,7 @@ def group_advantage(df: DataFrame, group: str | Sequence[str], key: str | Sequen
     """
     groups = columns_of(group)
     sizes = df.groupBy(*groups).agg(F.count("*").alias("n"))
-    limit = group_limit(sizes, "n", max_rows)
+    limit = group_limit(*sizes.agg(F.max("n"), F.sum("n")).first(), max_rows)
     if limit is None:
         whole = Window.partitionBy(*groups)
         joined = df.withColumns({

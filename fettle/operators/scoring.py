@@ -24,14 +24,17 @@ def _key_counts(completions: DataFrame, targets: DataFrame,
 def alignment_report(completions: DataFrame, targets: DataFrame,
                      key: str | Sequence[str]) -> DataFrame:
     """One row: keys on both sides, on one side only, and keys repeated among the targets."""
-    counts = _key_counts(completions, targets, columns_of(key))
+    return _key_counts(completions, targets, columns_of(key)).agg(*_report())
+
+
+def _report() -> list[Column]:
     left, right = F.col("n_completions"), F.col("n_targets")
-    return counts.agg(
+    return [
         F.count_if(left.isNotNull() & right.isNotNull()).alias("n_aligned"),
         F.count_if(right.isNull()).alias("n_without_target"),
         F.count_if(left.isNull()).alias("n_without_completion"),
         F.count_if(right > 1).alias("n_repeated_targets"),
-    )
+    ]
 
 
 def align(completions: DataFrame, targets: DataFrame, key: str | Sequence[str],
@@ -44,18 +47,21 @@ def align(completions: DataFrame, targets: DataFrame, key: str | Sequence[str],
     columns that tell them apart.
     """
     keys = columns_of(key)
-    report = alignment_report(completions, targets, keys).first()
+    counts = _key_counts(completions, targets, keys)
+    found = counts.agg(
+        *_report(), F.max("n_completions").alias("largest"), F.sum("n_completions").alias("total")
+    ).first()
     problems = {
-        name: report[name]
+        name: found[name]
         for name in ("n_without_target", "n_without_completion", "n_repeated_targets")
-        if report[name]
+        if found[name]
     }
     if problems:
         raise ValueError(f"completions and targets do not align on {keys}: {problems}")
-    sizes = completions.groupBy(*keys).agg(F.count("*").alias("__size"))
-    limit = group_limit(sizes, "__size", max_rows)
+    limit = group_limit(found["largest"], found["total"], max_rows)
     if limit is None:
         return completions.join(targets, keys)
+    sizes = completions.groupBy(*keys).agg(F.count("*").alias("__size"))
     return salted_join(
         completions, targets.join(sizes, keys), keys, "__size",
         spread_by or completions.columns, limit,

@@ -45,8 +45,11 @@ def test_salted_groups_give_the_same(spark):
 def test_salts_spread_a_hot_group(spark):
     df = scored(spark)
     stats = groups.group_reward_stats(df, "grp")
-    limit = groups.group_limit(stats, "n", 100)
-    assert limit == 100 and groups.group_limit(stats, "n") is None
+    sizes = tuple(stats.agg(F.max("n"), F.sum("n")).first())
+    limit = groups.group_limit(*sizes, 100)
+    assert limit == 100 and groups.group_limit(*sizes) is None
+    assert groups.group_limit(3_000_000, 5_000_000_000) == 500_000
+    assert groups.group_limit(None, None) is None
     joined = groups.salted_join(df, stats, "grp", "n", ["grp", "gen_id"], limit)
     assert joined.count() == df.count()
     sizes = joined.where("grp = 'hot'").groupBy(F.spark_partition_id()).count().collect()
