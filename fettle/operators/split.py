@@ -171,8 +171,12 @@ def describe_corpus(df: DataFrame, order_by: str | Sequence[str]) -> DataFrame:
     """
     order = columns_of(order_by)
     facts = df.agg(
-        F.count("*").alias("n_rows"), F.min(F.struct(*order)).alias("first_key")
+        F.count("*").alias("n_rows"),
+        F.min(F.struct(*order)).alias("first_key"),
+        F.bool_or(any_null(order)).alias("has_null"),
     ).first()
+    if facts["has_null"]:
+        raise ValueError(f"null in the order {list(order)}")
     described = [
         F.lit(facts["n_rows"]).cast("bigint").alias("n_rows"),
         F.array(*[F.lit(name) for name in df.columns]).alias("columns"),

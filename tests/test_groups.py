@@ -56,6 +56,17 @@ def test_salts_spread_a_hot_group(spark):
     assert len(sizes) > 3
 
 
+def test_only_the_list_of_hot_groups_is_broadcast(spark):
+    df = scored(spark)
+    stats = groups.group_reward_stats(df, "grp")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(groups.salted_join(df, stats, "grp", "n", ["grp", "gen_id"], 100))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastExchange") == 1 and plan.count("SortMergeJoin") == 1
+
+
 def test_group_stats_use_the_sample_deviation(spark):
     stats = {r["grp"]: r for r in groups.group_reward_stats(scored(spark), "grp").collect()}
     assert stats["a"]["reward_std"] == pytest.approx(statistics.stdev([1.0, -0.5, -1.0, -1.0]))
