@@ -30,13 +30,14 @@ def read_corpus(spark: SparkSession, path: str, subset: str | None = None,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, where most cores would be idle.
+    """Rows over all cores, where one wave of tasks would read all of the input.
 
-    A corpus in a few files that cannot be split would be worked on by as few tasks. One with
-    splits for a quarter of the cores or more is returned as it is, without a shuffle.
+    Such an input is small, at most one split per core, but can still sit in a single file that
+    cannot be split, so that one task would do all the work. Anything larger is returned as it
+    is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() * 4 >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores)
 
 
 def stream_corpus(spark: SparkSession, path: str, schema: str | StructType,

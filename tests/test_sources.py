@@ -63,11 +63,11 @@ def test_streams_read_folders_and_files(spark, tmp_path):
 
 
 def test_spread_leaves_wide_input_alone(spark):
-    wide = spark.range(0, 100, numPartitions=4)
-    assert spread(wide) is wide
     cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, numPartitions=cores + 1)
+    assert spread(wide) is wide
     narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == (cores if cores > 4 else 1)
+    assert spread(narrow).rdd.getNumPartitions() == cores
 
 
 def test_inventory_is_of_the_folder_itself(spark, tmp_path):
