@@ -31,14 +31,14 @@ def run_files(tmp_path):
         path.mkdir(parents=True)
         (path / name).write_text(json.dumps(content, indent=2))
 
-    save("sft", "checkpoint-20", "trainer_state.json", {
+    save("sft", "step-20", "state.json", {
         "best_metric": None, "global_step": 20, "is_hyper_param_search": False,
         "log_history": [
             {"epoch": e, "loss": x, "mean_token_accuracy": a, "num_tokens": t, "step": s}
             for s, e, x, a, t in SFT
         ],
     })
-    save("grpo", "checkpoint-20", "trainer_state.json", {
+    save("grpo", "step-20", "state.json", {
         "best_metric": None, "global_step": 20, "log_history": [
             {"epoch": e, "reward": r, "reward_std": d, "num_tokens": t, "step": s,
              "rewards/reward_num_unique_chars/mean": r}
@@ -46,7 +46,7 @@ def run_files(tmp_path):
         ],
     })
     for run, rank in (("sft", 8), ("grpo", 16)):
-        save(run, "lora_adapter", "adapter_config.json", {
+        save(run, "adapter", "settings.json", {
             "r": rank, "lora_alpha": 2 * rank, "lora_dropout": 0.1, "bias": "none",
             "target_modules": ["q_proj", "v_proj"], "task_type": "CAUSAL_LM", "revision": None,
         })
@@ -54,8 +54,8 @@ def run_files(tmp_path):
 
 
 def logs(spark, run_files):
-    found = read_run_logs(spark, str(run_files / "*" / "*" / "trainer_state.json"))
-    return found.withColumn("run", F.regexp_extract("run", "/([a-z]+)/checkpoint", 1))
+    found = read_run_logs(spark, str(run_files / "*" / "*" / "state.json"))
+    return found.withColumn("run", F.regexp_extract("run", "/([a-z]+)/step", 1))
 
 
 def test_ragged_logs_are_read_as_one_table(spark, run_files):
@@ -72,7 +72,7 @@ def test_declared_schema(spark, run_files):
         schemas.SUPERVISED_LOG, schemas.GROUP_REWARD_LOG,
         schemas.reward_log_fields("reward_num_unique_chars"),
     )
-    found = read_run_logs(spark, str(run_files / "*" / "*" / "trainer_state.json"), schema)
+    found = read_run_logs(spark, str(run_files / "*" / "*" / "state.json"), schema)
     inferred = logs(spark, run_files)
     assert len(found.columns) == 1 + 24  # run, and 23 keys of one kind with one of the other
     shared = [c for c in inferred.columns if c != "run"]
@@ -114,10 +114,10 @@ def test_runs_side_by_side(spark, run_files):
 
 
 def test_settings_join_their_run(spark, run_files):
-    configs = read_run_configs(spark, str(run_files / "*" / "lora_adapter" / "*.json"))
-    found = read_run_logs(spark, str(run_files / "*" / "*" / "trainer_state.json"))
+    configs = read_run_configs(spark, str(run_files / "*" / "adapter" / "*.json"))
+    found = read_run_logs(spark, str(run_files / "*" / "*" / "state.json"))
     ranks = with_run_configs(found, configs).select(
-        F.regexp_extract("run", "/([a-z]+)/checkpoint", 1), "r", "target_modules"
+        F.regexp_extract("run", "/([a-z]+)/step", 1), "r", "target_modules"
     ).distinct()
     assert rows(ranks) == [("grpo", 16, ["q_proj", "v_proj"]), ("sft", 8, ["q_proj", "v_proj"])]
 
