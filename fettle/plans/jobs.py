@@ -45,13 +45,15 @@ def packed_answers_by_head(pairs: DataFrame, key: str | Sequence[str], n_valid:
     keys = columns_of(key)
     texts = cut(with_qa_text(pairs).select(*keys, "text"))
     split = take_skip(texts, n_valid, keys, ("valid", "train"))
-    valid = split.where(F.col("split") == "valid")
     train = shuffle_blocks(split.where(F.col("split") == "train"), keys, seed, buffer)
-
-    def packed(part: DataFrame, order: Sequence[str]) -> DataFrame:
-        return pack_sequences(part, "text", order, seq_length, sep, group_by="split")
-
-    return packed(valid, keys).unionByName(packed(train, ["shuffle_pos"]))
+    # Validation rows share one place, so that their key orders them.
+    valid = split.where(F.col("split") == "valid").withColumn(
+        "shuffle_pos", F.lit(0).cast("bigint")
+    )
+    placed = train.drop("block").unionByName(valid)
+    return pack_sequences(
+        placed, "text", ["shuffle_pos", *keys], seq_length, sep, group_by="split"
+    )
 
 
 def agent_round(samples: DataFrame, key: str | Sequence[str],
