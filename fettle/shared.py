@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -17,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="fettle-checkpoint-")
         context.setCheckpointDir(named)
@@ -26,7 +30,42 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path under the shared folder that no other call returns."""
-    return f"{shared_dir(spark).rstrip('/')}/fettle-{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/fettle-{purpose}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``new_folder`` named."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the folders made inside the block, and remove them at its end.
+
+    Results are lazy, so write them inside the block::
+
+        with scratch(spark):
+            write_prepared(packed_answers(pairs, key, 0.1, 0, 1024), "s3a://prepared/answers")
+    """
+    folders: list[str] = []
+    _scopes.append(folders)
+    try:
+        yield
+    finally:
+        _scopes.remove(folders)
+        for path in folders:
+            remove_folder(spark, path)
+
+
+def write_table(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, and the folder's path."""
+    path = new_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -35,8 +74,6 @@ def cut(df: DataFrame) -> DataFrame:
     Used where evaluating twice could give two answers (sampled range boundaries) or would
     repeat expensive work (counting tokens, scoring whole texts). A table survives the loss of
     any executor, later passes read only the columns they need, and its size is known to the
-    planner. The folder can be removed when the results are written.
+    planner. ``scratch`` removes it once the results are written.
     """
-    path = new_folder(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_table(df)[0]
