@@ -74,12 +74,11 @@ def table_sql(shards: Sequence[str], slots: int = SLOTS) -> str:
     names = ", ".join(f"({k}, {_quoted(name)})" for k, name in enumerate(shards))
     return f"""
 WITH RECURSIVE names(k, name) AS (VALUES {names}),
-orders AS (
+orders AS MATERIALIZED (
   SELECT list(prefers ORDER BY k) AS prefers FROM (
-    SELECT k, list_transform(range({slots}), lambda j:
-        1 + ((('0x' || substr(md5(name), 1, 15))::BIGINT % {slots})
-             + j * (('0x' || substr(md5(name), 17, 15))::BIGINT % {slots - 1} + 1)) % {slots}
-      ) AS prefers FROM names)
+    SELECT k, list_transform(range({slots}), lambda j: 1 + (start + j * step) % {slots}) AS prefers
+    FROM (SELECT k, ('0x' || substr(md5(name), 1, 15))::BIGINT % {slots} AS start,
+            ('0x' || substr(md5(name), 17, 15))::BIGINT % {slots - 1} + 1 AS step FROM names))
 ),
 turns(turn, owner) AS (
   SELECT 0::BIGINT, list_transform(range({slots}), lambda j: -1)
