@@ -7,10 +7,14 @@ two collections agree: with p = s**rows they are missed with probability
 ``(1-p)**m + m*p*(1-p)**(m-1)``, 0.0002 at s = 0.8 for the 16 collections of three used here.
 
 Copies with equal shingle sets are one node. In a table, members of a bucket are first compared
-with its smallest member only; after the links found so have been contracted, buckets that still
-hold different components have those compared across. So no bucket emits all its pairs, and every
-pair that shares a bucket is either compared or already in one component. Links are confirmed on
-the full shingle sets.
+with its smallest member only, and the links found so are contracted. Buckets that still hold
+different components have those compared across if they are small; a large one, as a passage that
+many documents share makes it, is split by further collections until its parts are small. So no
+bucket emits all its pairs, and the number of pairs follows the number of members.
+
+Before full sets are fetched, a pair must agree in enough of its min-hashes, kept to four bits
+each: at most ``MISMATCHES`` of 48 may differ, which a pair at s = 0.8 exceeds once in a million.
+Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -27,6 +31,12 @@ from fettle.llm import words
 from fettle.llm.components import components
 from fettle.shared import cut
 
+SMALL_BUCKET = 8  # members that are compared across; more are split first
+SPLITS = 2  # further collections by which a large bucket is split, each on its own
+LEVELS = 2  # times it is split; parts left are compared across whatever their size
+MISMATCHES = 22 / 48
+SKETCH = ["s0", "s1", "s2"]  # 16 min-hashes of four bits each in every number
+
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                     shingle_words: int = 5, similarity: tuple[int, int] = (80, 100),
@@ -47,23 +57,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     signed = cut(texts.mapInArrow(
         _signer(shingle_words, collections, rows),
-        f"id {kind}, n bigint, f1 bigint, f2 bigint, bands array<bigint>",
+        f"id {kind}, n bigint, f1 bigint, f2 bigint, bands array<bigint>, "
+        "s0 bigint, s1 bigint, s2 bigint",
     ))
     sets = cut(
         signed.where("n > 0 and id is not null").groupBy("f1", "f2")
-        .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        .agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "bands", *SKETCH)])
     )
     buckets = cut(_buckets(sets, kind, collections))
-    close = _may_reach(similarity)
 
-    stars = buckets.select(
-        F.col("leader").alias("a"), F.col("leader_n").alias("a_n"),
-        F.col("rep").alias("b"), F.col("n").alias("b_n"),
-    ).where(close).select("a", "b").distinct()
+    stars = _likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
+                    similarity)
     links = cut(_confirmed(texts, stars, kind, shingle_words, similarity))
     found = cut(components(links, "a", "b"))
-
-    apart = _across(buckets, found).where(close).select("a", "b").distinct()
+    apart = _likely(_across(buckets, sets, found, similarity), sets, similarity)
     more = cut(_confirmed(texts, apart, kind, shingle_words, similarity))
     joined = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
     found = cut(components(joined, "a", "b"))
@@ -91,18 +98,27 @@ def _signer(size: int, collections: int, rows: int):
             for k in range(rows):
                 bands = words.mix(bands ^ minima[:, k::rows]) + np.uint64(k + 1)
             f1, f2 = words.set_fingerprints(shingles, begin)
+            sketch = _sketch(minima)
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * collections)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.diff(begin)), words.signed(f1), words.signed(f2),
-                 pa.ListArray.from_arrays(offsets, words.signed(bands.ravel()))],
-                ["id", "n", "f1", "f2", "bands"],
+                 pa.ListArray.from_arrays(offsets, words.signed(bands.ravel())),
+                 *map(words.signed, sketch)],
+                ["id", "n", "f1", "f2", "bands", *SKETCH],
             )
 
     return run
 
 
+def _sketch(minima: np.ndarray) -> list[np.ndarray]:
+    """48 min-hashes of four bits; fewer are repeated in turn."""
+    chosen = minima[:, np.arange(48) % minima.shape[1]] >> np.uint64(32) & np.uint64(15)
+    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return [np.bitwise_or.reduce(chosen[:, k:k + 16] << shifts, axis=1) for k in (0, 16, 32)]
+
+
 def _buckets(sets: DataFrame, kind: str, collections: int) -> DataFrame:
-    """(key, rep, n, leader, leader_n): members of shared buckets other than the smallest."""
+    """(key, rep, leader): members of shared buckets other than the smallest."""
     pairs = list(combinations(range(collections), 2))
     left, right = (np.array(side) for side in zip(*pairs))
     salts = words.mix(np.arange(1, len(pairs) + 1, dtype=np.uint64) * words.BASE)
@@ -116,44 +132,83 @@ def _buckets(sets: DataFrame, kind: str, collections: int) -> DataFrame:
                 keys = words.mix(words.mix(bands[:, left] ^ salts) ^ bands[:, right])
                 rows = pa.array(np.repeat(np.arange(part.num_rows), len(pairs)))
                 yield pa.RecordBatch.from_arrays(
-                    [words.signed(keys.ravel()), part.column("rep").take(rows),
-                     part.column("n").take(rows)],
-                    ["key", "rep", "n"],
-                )
+                    [words.signed(keys.ravel()), part.column("rep").take(rows)], ["key", "rep"])
 
-    keyed = sets.select("rep", "n", "bands").mapInArrow(tables, f"key bigint, rep {kind}, n bigint")
+    return _with_leader(sets.select("rep", "bands").mapInArrow(tables, f"key bigint, rep {kind}"))
+
+
+def _with_leader(members: DataFrame) -> DataFrame:
+    """Members of buckets other than the smallest, with the smallest."""
     order = Window.partitionBy("key").orderBy("rep").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return keyed.select(
-        "key", "rep", "n", F.first("rep").over(order).alias("leader"),
-        F.first("n").over(order).alias("leader_n"),
-    ).where("rep <> leader")
-
-
-def _across(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, a_n, b, b_n): members of one bucket that are still in different components."""
-    leaders = buckets.groupBy("key").agg(
-        F.min("leader").alias("rep"), F.min("leader_n").alias("n"), F.count(F.lit(1)).alias("others")
-    ).where("others > 1").drop("others")
-    members = buckets.select("key", "rep", "n").join(leaders.select("key"), "key", "left_semi")
-    members = members.union(leaders.select("key", "rep", "n")).join(
-        found.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    mixed = members.groupBy("key").agg(
-        (F.min("component") != F.max("component")).alias("mixed")
-    ).where("mixed").select("key")
-    members = cut(members.join(mixed, "key", "left_semi"))
-    one = members.select("key", F.col("rep").alias("a"), F.col("n").alias("a_n"),
-                         F.col("component").alias("a_component"))
-    two = members.select("key", F.col("rep").alias("b"), F.col("n").alias("b_n"),
-                         F.col("component").alias("b_component"))
-    return one.join(two, "key").where("a < b and a_component <> b_component")
+    return members.select("key", "rep", F.first("rep").over(order).alias("leader")).where(
+        "rep <> leader")
+
+
+def _across(buckets: DataFrame, sets: DataFrame, found: DataFrame,
+            similarity: tuple[int, int]) -> DataFrame:
+    """(a, b): members of one bucket that are still in different components."""
+    labels = found.select(F.col("node").alias("rep"), "component")
+    traits = ["rep", "n", "bands", *SKETCH]
+    pairs = None
+    for level in range(LEVELS + 1):
+        leaders = buckets.groupBy("key").agg(
+            F.min("leader").alias("rep"), (F.count(F.lit(1)) + 1).alias("size")).where("size > 2")
+        members = buckets.select("key", "rep").join(leaders.select("key"), "key", "left_semi")
+        members = members.union(leaders.select("key", "rep")).join(labels, "rep", "left").select(
+            "key", "rep", F.coalesce("component", "rep").alias("component"))
+        mixed = members.groupBy("key").agg(
+            (F.min("component") != F.max("component")).alias("mixed"),
+            F.count(F.lit(1)).alias("size"),
+        ).where("mixed").select("key", "size")
+        members = cut(members.join(mixed, "key").join(sets.select(*traits), "rep"))
+        last = level == LEVELS
+        small = members if last else members.where(F.col("size") <= SMALL_BUCKET)
+        one, two = (
+            small.select("key", *[F.col(c).alias(f"{side}_{c}") for c in
+                                  ("rep", "component", "n", *SKETCH)]) for side in "ab"
+        )
+        met = one.join(two, "key").where("a_rep < b_rep and a_component <> b_component").where(
+            _may_reach(similarity)).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
+        pairs = met if pairs is None else pairs.union(met)
+        large = members.where(F.col("size") > SMALL_BUCKET)
+        if last or not large.limit(1).count():
+            return pairs
+        # One more collection in the key; which ones differs between buckets and levels.
+        count = F.size("bands")
+        which = F.pmod(F.xxhash64("key", F.lit(level)), count.cast("bigint")).cast("int")
+        parts = large.withColumn("which", which).withColumn("step", F.explode(
+            F.sequence(F.lit(0), F.lit(SPLITS - 1))))
+        at = F.pmod(F.col("which") + F.col("step") * 3, count)
+        parts = parts.select(
+            F.xxhash64("key", at, F.element_at("bands", at + 1)).alias("key"), "rep")
+        buckets = cut(_with_leader(parts))
+        pairs = pairs.union(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")))
 
 
 def _may_reach(similarity: tuple[int, int]) -> Column:
-    """Whether two sets of these sizes can be similar enough at all."""
+    """Whether sizes and min-hashes leave it open that two sets are similar enough."""
     least, most = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    return similarity[1] * least >= similarity[0] * most
+    unlike = F.lit(0)
+    for name in SKETCH:
+        apart = F.col(f"a_{name}").bitwiseXOR(F.col(f"b_{name}"))
+        any_bit = apart
+        for shift in (1, 2, 3):
+            any_bit = any_bit.bitwiseOR(F.shiftrightunsigned(apart, shift))
+        unlike += F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+    allowed = MISMATCHES * (1 - similarity[0] / similarity[1]) / 0.2
+    return (similarity[1] * least >= similarity[0] * most) & (unlike <= int(48 * min(1, allowed)))
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The distinct pairs that may reach the similarity."""
+    traits = ("n", *SKETCH)
+    one, two = (
+        sets.select(F.col("rep").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in traits])
+        for side in "ab"
+    )
+    return pairs.distinct().join(one, "a").join(two, "b").where(_may_reach(similarity)).select(
+        "a", "b").distinct()
 
 
 def _confirmed(texts: DataFrame, pairs: DataFrame, kind: str, size: int,

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from public_tokenizers import path as tokenizer_path
 
 from fettle.llm.decontaminate import contaminated
 from fettle.llm.mixing import mix_sources
 from fettle.llm.neardup import near_duplicates
 from fettle.llm.sharding import SLOTS, assign_shards, table_sql
+from fettle.llm.substrings import repeated_strings
+from fettle.llm.tokencount import token_counts
+from fettle.llm.topk import quantized, top_inner_products
 from fettle.llm.toxicity import fit_toxicity, held_out, score_toxicity
+from fettle.llm.warc import read_archives, write_archives
 
 TOXIC_FROM = 0.3
 SHARDS = [f"shard-{k:02d}" for k in range(24)]
@@ -35,6 +40,29 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text without its repeated strings of 200 bytes."""
+    return repeated_strings(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the archives, then reads every record back."""
+    return read_archives(write_archives(_read(spark, sf_dir, "pages")))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings").select(
+        "vec_id", quantized(F.col("embedding")).alias("embedding"))
+    return top_inner_products(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), shingle_words=2)
 
@@ -52,11 +80,37 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontaminate, op3_toxicity, op8_near_duplicates, op9_sharding, op10_mixing,
+        op1_decontaminate, op3_toxicity, op4_token_counts, op5_substrings, op6_warc, op7_top_k,
+        op8_near_duplicates, op9_sharding, op10_mixing,
     )
 }
 
 SQL: dict[str, str] = {
+    "op6_warc": """
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+  CASE WHEN page_id IS NOT DISTINCT FROM largest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to,
+  payload_digest
+FROM (
+  SELECT page_id, payload, max(page_id) OVER (PARTITION BY payload) AS largest,
+    (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+        ('0x' || substr(sha1(payload) || '0000', 1 + 5 * (g // 4), 5))::BIGINT
+        >> (15 - 5 * (g % 4)) & 31)::INTEGER, 1), '' ORDER BY g)
+     FROM range(32) t(g)) AS payload_digest
+  FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages)
+)""",
+    "op7_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
+  AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
     "op9_sharding": f"""
 SELECT doc_id, md5(coalesce(text, '')) AS text_md5, source, slot, shard
 FROM (

@@ -145,7 +145,8 @@ class Bundle:
         files, root = pyarrow.fs.FileSystem.from_uri(folder)
         files.create_dir(root, recursive=True)
         self.file = f"{folder}/{uuid.uuid4().hex}.warc.zst"
-        self.stream = files.open_output_stream(f"{root}/{self.file.rsplit('/', 1)[1]}")
+        path = f"{root}/{self.file.rsplit('/', 1)[1]}"
+        self.stream = files.open_output_stream(path, compression=None)
         self.compress = zstandard.ZstdCompressor(level=3).compress
         self.sizes: list[tuple[int, int]] = []
         self.written = 0
