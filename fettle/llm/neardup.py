@@ -66,11 +66,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     buckets = cut(_buckets(sets, kind, collections))
 
-    stars = _likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
+    stars = likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
                     similarity)
     links = cut(_confirmed(texts, stars, kind, shingle_words, similarity))
     found = cut(components(links, "a", "b"))
-    apart = _likely(_across(buckets, sets, found, similarity), sets, similarity)
+    apart = likely(across(buckets, sets, found, similarity), sets, similarity)
     more = cut(_confirmed(texts, apart, kind, shingle_words, similarity))
     joined = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
     found = cut(components(joined, "a", "b"))
@@ -94,11 +94,9 @@ def _signer(size: int, collections: int, rows: int):
             hashes, first = words.word_hashes(batch.column("text"))
             shingles, begin = words.shingle_sets(hashes, first, size)
             minima = words.min_hashes(shingles, begin, collections * rows)
-            bands = np.zeros((batch.num_rows, collections), dtype=np.uint64)
-            for k in range(rows):
-                bands = words.mix(bands ^ minima[:, k::rows]) + np.uint64(k + 1)
+            bands = words.band_values(minima, collections, rows)
             f1, f2 = words.set_fingerprints(shingles, begin)
-            sketch = _sketch(minima)
+            sketch = sketches(minima)
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * collections)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.diff(begin)), words.signed(f1), words.signed(f2),
@@ -110,7 +108,7 @@ def _signer(size: int, collections: int, rows: int):
     return run
 
 
-def _sketch(minima: np.ndarray) -> list[np.ndarray]:
+def sketches(minima: np.ndarray) -> list[np.ndarray]:
     """48 min-hashes of four bits; fewer are repeated in turn."""
     chosen = minima[:, np.arange(48) % minima.shape[1]] >> np.uint64(32) & np.uint64(15)
     shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
@@ -134,10 +132,10 @@ def _buckets(sets: DataFrame, kind: str, collections: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [words.signed(keys.ravel()), part.column("rep").take(rows)], ["key", "rep"])
 
-    return _with_leader(sets.select("rep", "bands").mapInArrow(tables, f"key bigint, rep {kind}"))
+    return with_leader(sets.select("rep", "bands").mapInArrow(tables, f"key bigint, rep {kind}"))
 
 
-def _with_leader(members: DataFrame) -> DataFrame:
+def with_leader(members: DataFrame) -> DataFrame:
     """Members of buckets other than the smallest, with the smallest."""
     order = Window.partitionBy("key").orderBy("rep").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -145,7 +143,7 @@ def _with_leader(members: DataFrame) -> DataFrame:
         "rep <> leader")
 
 
-def _across(buckets: DataFrame, sets: DataFrame, found: DataFrame,
+def across(buckets: DataFrame, sets: DataFrame, found: DataFrame,
             similarity: tuple[int, int]) -> DataFrame:
     """(a, b): members of one bucket that are still in different components."""
     labels = found.select(F.col("node").alias("rep"), "component")
@@ -182,7 +180,7 @@ def _across(buckets: DataFrame, sets: DataFrame, found: DataFrame,
         at = F.pmod(F.col("which") + F.col("step") * 3, count)
         parts = parts.select(
             F.xxhash64("key", at, F.element_at("bands", at + 1)).alias("key"), "rep")
-        buckets = cut(_with_leader(parts))
+        buckets = cut(with_leader(parts))
         pairs = pairs.union(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")))
 
 
@@ -200,7 +198,7 @@ def _may_reach(similarity: tuple[int, int]) -> Column:
     return (similarity[1] * least >= similarity[0] * most) & (unlike <= int(48 * min(1, allowed)))
 
 
-def _likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The distinct pairs that may reach the similarity."""
     traits = ("n", *SKETCH)
     one, two = (
@@ -234,9 +232,13 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, kind: str, size: int,
         .mapInArrow(full_sets, f"id {kind}, f1 bigint, f2 bigint, shingles array<bigint>")
         .groupBy("id", "f1", "f2").agg(F.first("shingles").alias("shingles"))
     )
-    sets = cut(sets)
-    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("one"))
-    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("two"))
+    return similar(pairs, cut(sets.select(F.col("id").alias("rep"), "shingles")), similarity)
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose sets (rep, shingles) are similar enough."""
+    one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("one"))
+    two = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("two"))
     both = F.size(F.array_intersect("one", "two"))
     union = F.size("one") + F.size("two") - both
     return (

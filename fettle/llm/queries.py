@@ -11,6 +11,7 @@ from public_tokenizers import path as tokenizer_path
 from fettle.llm.decontaminate import contaminated
 from fettle.llm.mixing import mix_sources
 from fettle.llm.neardup import near_duplicates
+from fettle.llm.paragraphs import repeated_passages
 from fettle.llm.sharding import SLOTS, assign_shards, table_sql
 from fettle.llm.substrings import repeated_strings
 from fettle.llm.tokencount import token_counts
@@ -31,6 +32,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per occurrence of a passage that has others, with the occurrence that stays."""
+    return repeated_passages(_read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     model = fit_toxicity(docs, _read(spark, sf_dir, "labels"))
@@ -80,8 +86,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_decontaminate, op3_toxicity, op4_token_counts, op5_substrings, op6_warc, op7_top_k,
-        op8_near_duplicates, op9_sharding, op10_mixing,
+        op1_decontaminate, op2_paragraphs, op3_toxicity, op4_token_counts, op5_substrings,
+        op6_warc, op7_top_k, op8_near_duplicates, op9_sharding, op10_mixing,
     )
 }
 

@@ -155,9 +155,9 @@ def set_fingerprints(shingles: np.ndarray, begin: np.ndarray) -> tuple[np.ndarra
 
 
 def permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fixed odd factors and summands of ``count`` min-hash functions."""
+    """Fixed odd factors and summands of the first ``count`` min-hash functions."""
     numbers = mix(np.arange(1, 2 * count + 1, dtype=np.uint64) * BASE)
-    return numbers[:count] | np.uint64(1), numbers[count:]
+    return numbers[::2] | np.uint64(1), numbers[1::2]
 
 
 def min_hashes(shingles: np.ndarray, begin: np.ndarray, count: int) -> np.ndarray:
@@ -171,6 +171,14 @@ def min_hashes(shingles: np.ndarray, begin: np.ndarray, count: int) -> np.ndarra
     return out
 
 
+def band_values(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One number per band of ``rows`` neighbouring min-hashes."""
+    out = np.zeros((len(minima), bands), dtype=np.uint64)
+    for k in range(rows):
+        out = mix(out ^ minima[:, k:bands * rows:rows]) + np.uint64(k + 1)
+    return out
+
+
 def signed(x: np.ndarray) -> pa.Array:
     """64-bit fingerprints as Spark's BIGINT."""
     return pa.array(x.astype(np.uint64).view(np.int64))
