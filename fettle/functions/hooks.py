@@ -9,36 +9,43 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
 def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: str | StructType) -> DataFrame:
-    """Apply a dict-to-dict function to every row. Prefer a column expression where one will do."""
+    """Apply a dict-to-dict function to every row. Prefer a column expression where one will do.
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame([fn(row) for row in frame.to_dict("records")])
+    Values are plain Python ones: a null is None and an integer stays one.
+    """
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(wanted)
 
-    return df.mapInPandas(batches, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([fn(row) for row in batch.to_pylist()], arrow)
+
+    return df.mapInArrow(run, wanted)
 
 
 def reward_udf(fn: Callable[..., list], columns: Sequence[str] = ()) -> Callable[[Column], Column]:
     """Make a Column function of ``fn(completions, **columns) -> list of float``.
 
-    The named columns are handed over as keyword lists, aligned with the completions; an answer
-    of another length is an error.
+    The named columns are handed over as keyword lists, aligned with the completions, a null as
+    None; an answer of another length is an error.
     """
 
-    @F.pandas_udf("double")
-    def score(*series: pd.Series) -> pd.Series:
-        completions = series[0].tolist()
-        extra = {name: values.tolist() for name, values in zip(columns, series[1:])}
+    @F.arrow_udf("double")
+    def score(*arrays: pa.Array) -> pa.Array:
+        completions = arrays[0].to_pylist()
+        extra = {name: values.to_pylist() for name, values in zip(columns, arrays[1:])}
         rewards = list(fn(completions, **extra))
         if len(rewards) != len(completions):
             raise ValueError(f"{len(rewards)} rewards for {len(completions)} completions")
-        return pd.Series(rewards, dtype="float64")
+        return pa.array(rewards, pa.float64())
 
     return lambda completion: score(completion, *[F.col(name) for name in columns])
 

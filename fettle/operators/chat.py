@@ -19,12 +19,15 @@ def chat_pieces(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
 
     Sorted by (place, order) and joined, they are the rendered chat: a default system message
     where the first message is none, the messages, and on request an open assistant header.
+    A message without a role is an error; the order keeps its own type.
     """
+    no_role = F.raise_error(F.lit(f"null in {role}"))
     messages = df.select(
         key,
         F.lit(1).alias("place"),
-        F.col(order).cast("bigint").alias("order"),
-        chat_message(F.col(role), F.col(text)).alias("piece"),
+        F.col(order).alias("order"),
+        F.when(F.col(role).isNull(), no_role)
+        .otherwise(chat_message(F.col(role), F.col(text))).alias("piece"),
     )
     starts_with_system = F.min_by(F.col(role) == "system", order).alias("has_system")
     header = F.when(
@@ -39,7 +42,7 @@ def chat_pieces(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
         df.groupBy(key).agg(starts_with_system)
         .select(key, F.inline(F.array(*frame)))
         .where(F.col("piece").isNotNull())
-        .select(key, "place", F.lit(0).cast("bigint").alias("order"), "piece")
+        .select(key, "place", F.lit(0).cast(df.schema[order].dataType).alias("order"), "piece")
     )
     return messages.unionByName(added)
 
@@ -49,21 +52,17 @@ def render_chat(df: DataFrame, key: str = "conv_id", order: str = "turn", role:
                 max_part_chars: int = MAX_PART_CHARS) -> DataFrame:
     """(key, ``part``, ``prompt``): each conversation in chat markup.
 
-    A conversation is one value, part 0, as long as the largest one fits ``max_part_chars``.
-    Otherwise the values are split: joined in order of ``part`` they are the whole chat, and no
-    task has to hold a conversation that does not fit.
+    A conversation up to ``max_part_chars`` characters is part 0. A longer one has several:
+    joined in order of ``part`` they are the whole chat, and no task has to hold a conversation
+    that does not fit. (key, order) must be unique and the order not null.
     """
     pieces = chat_pieces(df, key, order, role, text, add_generation_prompt)
     n_chars = F.length("piece").cast("bigint")
-    largest = pieces.groupBy(key).agg(F.sum(n_chars).alias("n")).agg(F.max("n")).first()[0]
-    if (largest or 0) <= max_part_chars:
-        placed = pieces.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        position = ["place", "order"]
-        starts = running_total(pieces, n_chars, position, key, name="start")
-        placed = join_null_safe(pieces, starts, [key, *position]).withColumn(
-            "part", F.floor(F.col("start") / F.lit(max_part_chars))
-        )
+    position = ["place", "order"]
+    starts = running_total(pieces, n_chars, position, key, name="start")
+    placed = join_null_safe(pieces, starts, [key, *position]).withColumn(
+        "part", F.expr(f"start div {int(max_part_chars)}")
+    )
     gathered = placed.groupBy(key, "part").agg(
         F.array_sort(F.collect_list(F.struct("place", "order", "piece"))).alias("pieces")
     )

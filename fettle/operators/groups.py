@@ -7,50 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fettle.functions.hashing import columns_of
+from fettle.functions.hashing import columns_of, require_new
 from fettle.operators.ordered import join_null_safe
 
-# Rows of one group that may meet in one task.
-MAX_GROUP_ROWS = 100_000
-# Bound of the broadcast list of groups that are split.
-MAX_HOT_GROUPS = 10_000
-
-
-def group_limit(largest: int | None, total: int | None,
-                max_rows: int = MAX_GROUP_ROWS) -> int | None:
-    """None where the largest group has at most ``max_rows`` rows, else the size to split at.
-
-    The limit rises with the total, so at most ``MAX_HOT_GROUPS`` groups can exceed it.
-    """
-    if (largest or 0) <= max_rows:
-        return None
-    return max(max_rows, total // MAX_HOT_GROUPS)
-
-
-def salted_join(rows: DataFrame, groups: DataFrame, on: str | Sequence[str], size: str,
-                spread_by: str | Sequence[str], limit: int) -> DataFrame:
-    """Inner join of rows with one row per group, for groups too large for one task.
-
-    Rows of a group above ``limit`` are salted by a hash of ``spread_by`` and its group row is
-    copied once per salt. The list of such groups is broadcast; ``group_limit`` bounds it. A
-    null key meets a null key, as in a grouping.
-    """
-    keys = columns_of(on)
-    salts = F.greatest(F.ceil(F.col(size) / F.lit(limit)), F.lit(1)).cast("int")
-    hot = groups.where(F.col(size) > limit).select(*keys, salts.alias("__salts"))
-    spread = F.pmod(
-        F.xxhash64(*columns_of(spread_by)), F.coalesce(F.col("__salts"), F.lit(1))
-    )
-    salted = join_null_safe(rows, hot.hint("broadcast"), keys, "left").withColumn(
-        "__salt", spread.cast("int")
-    )
-    copies = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    return join_null_safe(salted.drop("__salts"), copies, [*keys, "__salt"]).drop("__salt")
-
-
 def group_reward_stats(df: DataFrame, group: str | Sequence[str],
                        reward: str = "reward") -> DataFrame:
     """Per group: ``n``, mean and sample standard deviation of the reward.
@@ -64,30 +26,20 @@ def group_reward_stats(df: DataFrame, group: str | Sequence[str],
     )
 
 
-def group_advantage(df: DataFrame, group: str | Sequence[str], key: str | Sequence[str],
-                    reward: str = "reward", eps: float = 1e-4,
-                    max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def group_advantage(df: DataFrame, group: str | Sequence[str], reward: str = "reward",
+                    eps: float = 1e-4) -> DataFrame:
     """Add ``advantage``: distance of a reward from its group's mean, in deviations.
 
     ``(reward - mean) / (std + eps)`` with the sample deviation; alone in its group a
     completion has advantage 0.
 
-    Groups of up to ``max_rows`` rows are windows, which takes one shuffle; beyond that the
-    statistics are combined on the map side and joined back with salts. The data is read more
-    than once: where rewards were computed from texts, cut the lineage before.
+    The statistics are combined on the map side and joined back, one row per group; a group of
+    any size is a stretch of the join that adaptive execution splits. The data is read twice:
+    where rewards were computed from texts, cut the lineage before.
     """
     groups = columns_of(group)
-    sizes = df.groupBy(*groups).agg(F.count("*").alias("n"))
-    limit = group_limit(*sizes.agg(F.max("n"), F.sum("n")).first(), max_rows)
-    if limit is None:
-        whole = Window.partitionBy(*groups)
-        joined = df.withColumns({
-            "reward_mean": F.avg(reward).over(whole),
-            "reward_std": F.stddev_samp(reward).over(whole),
-        })
-    else:
-        stats = group_reward_stats(df, groups, reward)
-        joined = salted_join(df, stats, groups, "n", key, limit)
+    require_new(df, "advantage", "n", "reward_mean", "reward_std")
+    joined = join_null_safe(df, group_reward_stats(df, groups, reward), groups)
     scaled = (F.col(reward) - F.col("reward_mean")) / (F.col("reward_std") + F.lit(eps))
     return joined.select(
         *df.columns,
@@ -100,7 +52,8 @@ def preference_pairs(df: DataFrame, group: str | Sequence[str], question: str, t
     """(group, ``question``, ``response_j``, ``response_k``): best and worst of each group.
 
     Equal rewards go to the smaller ``gen_id``; a group whose rewards are all equal gives no
-    pair, a completion without a reward is passed over. (group, ``gen_id``) must be unique.
+    pair, a completion without a reward is passed over. (group, ``gen_id``) must be unique; a
+    repeat of a completion that is shown is an error.
 
     The winners are found among rewards alone; their texts are then fetched by key, so a text
     is shuffled once, and again only if it won.
@@ -131,6 +84,10 @@ def preference_pairs(df: DataFrame, group: str | Sequence[str], question: str, t
     shown = F.when(F.col("__place") == "question", F.col("__question")).otherwise(
         F.col("__text")
     )
-    return fetched.groupBy(*groups).agg(*[
-        F.max(F.when(F.col("__place") == place, shown)).alias(place) for place in places
-    ])
+    found = fetched.groupBy(*groups).agg(
+        *[F.max(F.when(F.col("__place") == place, shown)).alias(place) for place in places],
+        (F.count(F.lit(1)) > len(places)).alias("__repeated"),
+    )
+    repeated = F.raise_error(F.lit(f"({', '.join(groups)}, {gen_id}) is not unique"))
+    return found.select(*groups, F.when(F.col("__repeated"), repeated).otherwise(
+        F.col("question")).alias("question"), "response_j", "response_k")

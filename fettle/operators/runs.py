@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from fettle.functions.hashing import columns_of
 from fettle.operators.ordered import join_null_safe, running_total, with_neighbour
 
-# Runs that can stand side by side as columns.
-MAX_COMPARED_RUNS = 1_000
-
 
 def step_completion_stats(df: DataFrame, step: str | Sequence[str] = "step",
                           length: str = "n_tokens", clipped: str = "clipped") -> DataFrame:
@@ -117,15 +114,12 @@ def run_summary(df: DataFrame, metrics: Sequence[str], step: str = "step",
 
 def compare_runs(logs: Sequence[DataFrame], metric: str, step: str = "step",
                  run: str = "run", runs: Sequence[str] | None = None) -> DataFrame:
-    """One row per step, one column per run with its metric.
+    """One row per step, one column for each of the named ``runs`` with its metric.
 
-    The logs may have different columns. Without ``runs`` their names are looked up first; more
-    than ``MAX_COMPARED_RUNS`` is an error.
+    Without names the table is long, (step, run, metric), for any number of runs. The logs may
+    have different columns.
     """
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)
     if runs is None:
-        found = merged.select(run).distinct().limit(MAX_COMPARED_RUNS + 1).collect()
-        if len(found) > MAX_COMPARED_RUNS:
-            raise ValueError(f"more than {MAX_COMPARED_RUNS} runs; name those to compare")
-        runs = sorted(row[0] for row in found)
+        return merged.groupBy(step, run).agg(F.avg(metric).alias(metric))
     return merged.groupBy(step).pivot(run, list(runs)).agg(F.avg(metric))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from fettle.functions.hashing import columns_of
 from fettle.functions.rewards import CORRECT
-from fettle.operators.groups import MAX_GROUP_ROWS, group_limit, salted_join
 
 
 def _key_counts(completions: DataFrame, targets: DataFrame,
@@ -24,48 +23,37 @@ def _key_counts(completions: DataFrame, targets: DataFrame,
 def alignment_report(completions: DataFrame, targets: DataFrame,
                      key: str | Sequence[str]) -> DataFrame:
     """One row: keys on both sides, on one side only, and keys repeated among the targets."""
-    return _key_counts(completions, targets, columns_of(key)).agg(*_report())
-
-
-def _report() -> list[Column]:
     left, right = F.col("n_completions"), F.col("n_targets")
-    return [
+    return _key_counts(completions, targets, columns_of(key)).agg(
         F.count_if(left.isNotNull() & right.isNotNull()).alias("n_aligned"),
         F.count_if(right.isNull()).alias("n_without_target"),
         F.count_if(left.isNull()).alias("n_without_completion"),
         F.count_if(right > 1).alias("n_repeated_targets"),
-    ]
-
+    )
 
-def align(completions: DataFrame, targets: DataFrame, key: str | Sequence[str],
-          spread_by: str | Sequence[str] | None = None,
-          max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Completions with the columns of their targets.
 
-    A completion without a target, a target without a completion, or a key repeated among the
-    targets is an error. A target may have any number of completions; ``spread_by`` names the
-    columns that tell them apart.
-    """
-    keys = columns_of(key)
-    counts = _key_counts(completions, targets, keys)
-    found = counts.agg(
-        *_report(), F.max("n_completions").alias("largest"), F.sum("n_completions").alias("total")
-    ).first()
+def check_aligned(completions: DataFrame, targets: DataFrame, key: str | Sequence[str]) -> None:
+    """Raise unless every key is on both sides, and only once among the targets."""
+    found = alignment_report(completions, targets, key).first()
     problems = {
         name: found[name]
         for name in ("n_without_target", "n_without_completion", "n_repeated_targets")
         if found[name]
     }
     if problems:
-        raise ValueError(f"completions and targets do not align on {keys}: {problems}")
-    limit = group_limit(found["largest"], found["total"], max_rows)
-    if limit is None:
-        return completions.join(targets, keys)
-    sizes = completions.groupBy(*keys).agg(F.count("*").alias("__size"))
-    return salted_join(
-        completions, targets.join(sizes, keys), keys, "__size",
-        spread_by or completions.columns, limit,
-    ).drop("__size")
+        raise ValueError(
+            f"completions and targets do not align on {columns_of(key)}: {problems}")
+
+
+def align(completions: DataFrame, targets: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Completions with the columns of their targets.
+
+    A completion without a target, a target without a completion, or a key repeated among the
+    targets is an error. A target may have any number of completions: they are a stretch of the
+    join that adaptive execution splits.
+    """
+    check_aligned(completions, targets, key)
+    return completions.join(targets, columns_of(key))
 
 
 def apply_rewards(df: DataFrame, rewards: Mapping[str, Column | Callable[[], Column]],

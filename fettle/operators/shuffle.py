@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fettle.functions.hashing import columns_of, require_new, seeded_hash
+from fettle.functions.hashing import any_null, columns_of, require_new, seeded_hash
 from fettle.operators.ordered import ordinals, with_ordinal
 from fettle.operators.tasks import expand_generations
 
@@ -19,7 +19,7 @@ BUCKET_DIGITS = 4
 def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFrame:
     """Add ``shuffle_pos``: the 0-based position in a seeded order of all rows.
 
-    Our definition: the order of ``md5(seed|key)``, then key; the key must be unique. Hash
+    Our definition: the order of ``md5(seed|key)``, then key; the key must be unique and not null. Hash
     digits form even buckets, so the position is the bucket's start plus the rank inside it:
     one shuffle and no window over all rows.
     """
@@ -35,8 +35,11 @@ def shuffle_rows(df: DataFrame, key: str | Sequence[str], seed: int) -> DataFram
     inside = Window.partitionBy("__bucket").orderBy("__hash", *order)
     here = F.struct(*order)
     repeated = F.raise_error(F.lit(f"{order} is not unique"))
-    rank = F.when(F.lag(here).over(inside).eqNullSafe(here), repeated).otherwise(
-        F.row_number().over(inside)
+    null_key = F.raise_error(F.lit(f"null in {order}"))
+    rank = (
+        F.when(any_null(order), null_key)
+        .when(F.lag(here).over(inside).eqNullSafe(here), repeated)
+        .otherwise(F.row_number().over(inside))
     )
     return (
         hashed.withColumn("__rank", rank)

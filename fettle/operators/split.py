@@ -5,17 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from fettle.functions.hashing import HEX_DIGITS, any_null, columns_of, seeded_hash
-from fettle.operators.ordered import with_ordinal
-
-# Hash digits looked at per pass: 16**4 = 65,536 counters, whatever the size of the data.
-DIGITS_PER_PASS = 4
-# Largest head taken by a top-n sort in one task; larger ones are numbered instead.
-MAX_TOP_ROWS = 100_000
-
+from fettle.functions.hashing import any_null, columns_of, require_new, seeded_hash
+from fettle.operators.ordered import ordinals
 
 def _literal(name: str, value, df: DataFrame) -> Column:
     return F.lit(value).cast(df.schema[name].dataType)
@@ -34,124 +28,65 @@ def _row_order(names: Sequence[str], bound: Row, df: DataFrame) -> Column:
 
 
 def _nth_key(df: DataFrame, n: int, order: Sequence[str]) -> Row | None:
-    """Key of the n-th row of the order, None if there are no more than ``n`` rows.
+    """Key of the n-th row of the order, None if there are fewer than ``n`` rows.
 
-    Reads the key columns only; every task keeps its own ``n + 1`` smallest.
+    The keys alone are numbered, in ranges, so no task receives the first ``n`` of every other
+    one; every key is checked to be unique and not null on the way.
     """
-    top = df.select(*order).orderBy(*order).limit(n + 1)
-    rank = F.row_number().over(Window.orderBy(*order))
     here = F.struct(*order)
-    found = top.withColumn("__rank", rank).agg(
-        F.max(F.when(F.col("__rank") == n, here)).alias("last"),
-        F.max(F.when(F.col("__rank") == n + 1, here)).alias("after"),
-        F.bool_or(any_null(order)).alias("has_null"),
+    found = ordinals(df.select(*order), order, "__ordinal").agg(
+        F.max(F.when(F.col("__ordinal") == n - 1, here)).alias("key")
     ).first()
-    if found["has_null"]:
-        raise ValueError(f"null in the order {list(order)}")
-    if found["after"] is None:
-        return None
-    if found["last"] == found["after"]:
-        raise ValueError(f"{list(order)} is not unique around row {n}")
-    return found["last"]
+    return found["key"]
 
 
-def head_rows(df: DataFrame, n: int, order_by: str | Sequence[str],
-              max_top_rows: int = MAX_TOP_ROWS) -> DataFrame:
+def head_rows(df: DataFrame, n: int, order_by: str | Sequence[str]) -> DataFrame:
     """The first ``n`` rows of the order, unsorted.
 
     The n-th key is looked up among the keys alone; the rows are then selected by a filter on
-    the key that files can be skipped by. A head above ``max_top_rows`` rows is found by
-    numbering instead.
+    the key that files can be skipped by.
     """
     order = columns_of(order_by)
     if n <= 0:
         return df.limit(0)
-    if n > max_top_rows:
-        numbered = with_ordinal(df, order, "__ordinal")
-        return numbered.where(F.col("__ordinal") < n).select(*df.columns)
     last = _nth_key(df, n, order)
     return df if last is None else df.where(_row_order(order, last, df))
 
 
 def take_skip(df: DataFrame, n: int, order_by: str | Sequence[str],
-              labels: tuple[str, str] = ("take", "skip"),
-              max_top_rows: int = MAX_TOP_ROWS) -> DataFrame:
+              labels: tuple[str, str] = ("take", "skip")) -> DataFrame:
     """Add ``split``: the first label for the first ``n`` rows of the order, else the second.
 
-    Found like a head: only keys are sorted, and the rows are compared with the n-th key where
+    Found like a head: only keys are numbered, and the rows are compared with the n-th key where
     they are.
     """
+    require_new(df, "split")
     order = columns_of(order_by)
     first, rest = F.lit(labels[0]), F.lit(labels[1])
     if n <= 0:
         return df.withColumn("split", rest)
-    if n > max_top_rows:
-        return with_ordinal(df, order, "__ordinal").select(
-            *df.columns, F.when(F.col("__ordinal") < n, first).otherwise(rest).alias("split")
-        )
     last = _nth_key(df, n, order)
     if last is None:
         return df.withColumn("split", first)
     return df.withColumn("split", F.when(_row_order(order, last, df), first).otherwise(rest))
 
 
-def _last_test_row(keys: DataFrame, order: Sequence[str], test_size: float) -> Row | None:
-    """(hash, key) of the row ranked ``ceil(test_size * rows)``, None without such a row.
-
-    Each pass counts rows by the next hash digits inside the one bucket that holds the rank, so
-    neither a bucket nor the table of counters grows with the data.
-    """
-    prefix, left = "", None
-    while True:
-        start = len(prefix) + 1
-        inside = keys.where(F.startswith(F.col("__hash"), F.lit(prefix)))
-        counts = inside.groupBy(
-            F.substring("__hash", start, DIGITS_PER_PASS).alias("digits")
-        ).agg(F.count("*").alias("n"))
-        wanted = F.ceil(F.lit(test_size) * F.col("total")) if left is None else F.lit(left)
-        bucket = (
-            counts.withColumns({
-                "up_to": F.sum("n").over(Window.orderBy("digits")),
-                "total": F.sum("n").over(Window.partitionBy()),
-            })
-            .where(F.col("up_to") >= wanted).orderBy("digits").first()
-        )
-        if bucket is None:
-            return None
-        if left is None:
-            left = math.ceil(test_size * bucket["total"])
-        prefix += bucket["digits"]
-        left -= bucket["up_to"] - bucket["n"]
-        if bucket["n"] <= MAX_TOP_ROWS or len(prefix) == HEX_DIGITS:
-            break
-    # Equal keys count as one row here, so that a repeated key cannot fill the bucket.
-    by_key = ["__hash", *order]
-    found = (
-        keys.where(F.startswith(F.col("__hash"), F.lit(prefix)))
-        .groupBy(*by_key).agg(F.count("*").alias("n"))
-        .withColumn("up_to", F.sum("n").over(Window.orderBy(*by_key)))
-        .where(F.col("up_to") >= left).orderBy("up_to").first()
-    )
-    if found["up_to"] != left:
-        raise ValueError(f"{list(order)} is not unique, so the split cannot be exact")
-    return found
-
-
 def fraction_split(df: DataFrame, key: str | Sequence[str], test_size: float,
                    seed: int) -> DataFrame:
     """Add ``split``: exactly ``ceil(test_size * rows)`` rows are ``test``, the rest ``train``.
 
     Our definition: the test rows are those with the smallest ``md5(seed|key)``. The last of
-    them is located by counting; the labels are then a comparison inside each row, without a
-    shuffle.
+    them is found among the keys; the labels are then a comparison inside each row, without a
+    shuffle of the rows. The key must be unique and not null.
     """
     if not 0.0 <= test_size <= 1.0:
         raise ValueError("test_size must lie between 0 and 1")
+    require_new(df, "split")
     order = columns_of(key)
     hashed = df.withColumn("__hash", seeded_hash(seed, *order))
-    keys = hashed.select("__hash", *order)
-    last = _last_test_row(keys, order, test_size) if test_size > 0 else None
-    if last is None:
+    n_test = math.ceil(test_size * df.count())
+    last = _nth_key(hashed, n_test, ["__hash", *order])
+    if last is None:  # a test part of no rows
         return df.withColumn("split", F.lit("train"))
     is_test = _row_order(["__hash", *order], last, hashed)
     return hashed.withColumn(

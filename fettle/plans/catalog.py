@@ -27,8 +27,7 @@ from fettle.operators import (
 )
 from fettle.plans import jobs
 from fettle.shared import cut, new_folder
-from fettle.sources import artifacts
-from fettle.sources.corpus import read_corpus, spread, stream_corpus
+from fettle.sources.corpus import read_corpus, stream_corpus
 from fettle.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,16 +44,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_corpus(spark, f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` for work on their texts, over all cores even if they are one file."""
-    return spread(table(spark, sf_dir, "documents"))
-
-
 def rounded(value: Column) -> Column:
     # Adding zero turns a rounded -0.0 into 0.0.
     return F.round(value, 6) + F.lit(0.0)
 
 
+def with_md5(df: DataFrame, *columns: str, of: str = "text") -> DataFrame:
+    """The columns and a digest of the text the rows carried along."""
+    return df.select(*columns, F.md5(of).alias("text_md5"))
+
+
 def digest(token_list: Column) -> Column:
     return F.md5(F.array_join(token_list, " "))
 
@@ -72,10 +71,6 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def artifact_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return artifacts.artifact_inventory(spark, sf_dir)
-
-
 def dialogue_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.dialogue_pairs(table(spark, sf_dir, "conversations"))
 
@@ -140,7 +135,7 @@ def take_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = split.take_skip(
         table(spark, sf_dir, "conversations"), 400, ["conv_id", "turn"]
     )
-    return labelled.select("conv_id", "turn", "split")
+    return with_md5(labelled, "conv_id", "turn", "split")
 
 
 def take_skip_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,53 +144,56 @@ def take_skip_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fraction_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return split.fraction_split(documents, "doc_id", 0.005, 0).select("doc_id", "split")
+    return with_md5(split.fraction_split(documents, "doc_id", 0.005, 0), "doc_id", "split")
 
 
 def fraction_split_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = table(spark, sf_dir, "conversations")
-    return split.fraction_split(messages, ["conv_id", "turn"], 0.37, 3).select(
-        "conv_id", "turn", "split"
-    )
+    labelled = split.fraction_split(messages, ["conv_id", "turn"], 0.37, 3)
+    return with_md5(labelled, "conv_id", "turn", "split")
 
 
 def shuffle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return shuffle.shuffle_rows(documents, "doc_id", 0).select("doc_id", "shuffle_pos")
+    return with_md5(shuffle.shuffle_rows(documents, "doc_id", 0), "doc_id", "shuffle_pos")
 
 
 def shuffle_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id")
-    return shuffle.shuffle_blocks(events, "event_id", 0, 5000)
+    blocks = shuffle.shuffle_blocks(
+        table(spark, sf_dir, "conversations"), ["conv_id", "turn"], 0, 500)
+    return with_md5(blocks, "conv_id", "turn", "block", "shuffle_pos")
 
 
 def repeat_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shuffle.repeat_rows(table(spark, sf_dir, "documents").select("doc_id"), 3)
+    return with_md5(shuffle.repeat_rows(table(spark, sf_dir, "documents"), 3), "doc_id", "epoch")
 
 
 def repeat_until(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shuffle.repeat_until(
-        table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 10_000 * 4
-    )
+    repeated = shuffle.repeat_until(table(spark, sf_dir, "documents"), "doc_id", 10_000 * 4)
+    return with_md5(repeated, "doc_id", "epoch", "position")
 
 
 def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = dialogue_pairs(spark, sf_dir).select("conv_id", "turn")
-    plan = shuffle.plan_batches(keys, ["conv_id", "turn"], 4, drop_last=True)
-    return plan.withColumn("epoch_progress", rounded(F.col("epoch_progress")))
+    pairs = text.with_qa_text(dialogue_pairs(spark, sf_dir))
+    plan = shuffle.plan_batches(pairs, ["conv_id", "turn"], 4, drop_last=True)
+    return with_md5(
+        plan.withColumn("epoch_progress", rounded(F.col("epoch_progress"))),
+        "conv_id", "turn", "step", "micro_step", "epoch_progress")
 
 
 def batch_plan_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompts = table(spark, sf_dir, "documents").select("doc_id")
+    prompts = table(spark, sf_dir, "documents")
     plan = shuffle.plan_batches(prompts, "doc_id", 2, 2, GENERATIONS)
-    return plan.withColumn("epoch_progress", rounded(F.col("epoch_progress")))
+    return with_md5(
+        plan.withColumn("epoch_progress", rounded(F.col("epoch_progress"))),
+        "doc_id", "gen_id", "step", "micro_step", "epoch_progress")
 
 
 # Tokens
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", tokens.token_count(F.col("text")).alias("n_tokens")
     )
 
@@ -212,7 +210,7 @@ def chunk_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = packing.pack_sequences(texts(spark, sf_dir), "text", "doc_id", 1024)
+    chunks = packing.pack_sequences(table(spark, sf_dir, "documents"), "text", "doc_id", 1024)
     return chunks.select("chunk_id", digest(F.col("tokens")).alias("tokens_md5"))
 
 
@@ -232,7 +230,7 @@ def packed_answers_by_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truncate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = texts(spark, sf_dir).select(
+    listed = table(spark, sf_dir, "documents").select(
         "doc_id", tokens.tokenize(F.col("text")).alias("tokens")
     )
     size = F.size("tokens")
@@ -251,20 +249,22 @@ def truncate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = table(spark, sf_dir, "documents").select("doc_id")
+    samples = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tasks.with_prompts(tasks.tasks_for(samples, "doc_id", DIFFICULTY, TASK_SEED))
 
 
 def stub_completion(key: str = "doc_id") -> Column:
-    """A stand-in for a model: by hash, the target, another item, or no action at all."""
+    """A stand-in for a model: it writes the document, then by hash names the target, another
+    item, or no action at all."""
     pick = hash_number(seeded_hash(TASK_SEED, key, "gen_id")) % 3
     target = F.col("target_id")
-    return (
+    return F.concat(
+        F.col("text"),
         F.when(pick == 0, F.concat(
             F.lit("It is the first one.<END_THINK> "), text.id_token(target)))
         .when(pick == 1, F.concat(
             F.lit("<END_THINK>"), text.id_token(target % tasks.POOL_SIZE + 1)))
-        .otherwise(text.id_token(target))
+        .otherwise(text.id_token(target)),
     )
 
 
@@ -333,7 +333,7 @@ def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reward_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     completions = _completions(spark, sf_dir).select("doc_id", "gen_id", "completion")
     targets = _tasks(spark, sf_dir).select("doc_id", "target_id")
-    aligned = scoring.align(completions, targets, "doc_id", ["doc_id", "gen_id"])
+    aligned = scoring.align(completions, targets, "doc_id")
     return aligned.select(
         "doc_id", "gen_id", "target_id",
         rewards.task_reward(F.col("completion"), F.col("target_id")).alias("reward"),
@@ -348,7 +348,7 @@ def alignment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agent_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = jobs.agent_round(
-        table(spark, sf_dir, "documents"), "doc_id",
+        table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id",
         lambda asked: asked.withColumn("completion", stub_completion()),
         DIFFICULTY, GENERATIONS, TASK_SEED,
     )
@@ -362,20 +362,20 @@ def agent_round(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unique_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", rewards.unique_chars(F.col("text")).alias("unique_chars")
     )
 
 
 def unique_chars_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", rounded(rewards.unique_chars_reward(F.col("text"))).alias("reward")
     )
 
 
 def combined_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scoring.apply_rewards(
-        texts(spark, sf_dir),
+        table(spark, sf_dir, "documents"),
         {
             "unique_chars": rewards.unique_chars(F.col("text")),
             "unique_chars_reward": rewards.unique_chars_reward(F.col("text")),
@@ -389,9 +389,9 @@ def combined_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored_groups(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", *columns,
-        F.floor(F.col("doc_id") / 4).alias("prompt_id"),
+        F.expr("doc_id div 4").alias("prompt_id"),
         (F.col("doc_id") % 4).alias("gen_id"),
         rewards.unique_chars_reward(F.col("text")).alias("reward"),
     )
@@ -407,7 +407,7 @@ def group_reward_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def group_advantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = cut(_scored_groups(spark, sf_dir))
-    found = groups.group_advantage(scored, "prompt_id", "doc_id")
+    found = groups.group_advantage(scored, "prompt_id")
     return found.select("doc_id", rounded(F.col("advantage")).alias("advantage"))
 
 
@@ -420,13 +420,13 @@ def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _step_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.step_completion_stats(_as_completions(texts(spark, sf_dir)))
+    return runs.step_completion_stats(_as_completions(table(spark, sf_dir, "documents")))
 
 
 def _as_completions(documents: DataFrame) -> DataFrame:
     size = tokens.token_count(F.col("text"))
     return documents.select(
-        (F.floor(F.col("doc_id") / 2) + 1).alias("step"),
+        (F.expr("doc_id div 2") + 1).alias("step"),
         tokens.completion_length(size, COMPLETION_LIMIT).alias("n_tokens"),
         tokens.is_clipped(size, COMPLETION_LIMIT).alias("clipped"),
     )
@@ -442,7 +442,7 @@ def _all_rounded(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def step_reward_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = cut(_scored_groups(spark, sf_dir)).select(
-        "prompt_id", (F.floor(F.col("prompt_id") / 2) + 1).alias("step"),
+        "prompt_id", (F.expr("prompt_id div 2") + 1).alias("step"),
         F.col("reward").alias("unique_chars"), "reward",
     )
     stats = runs.step_reward_stats(scored, "prompt_id", ["unique_chars"])
@@ -456,7 +456,7 @@ def log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cumulative_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = texts(spark, sf_dir).select(
+    steps = table(spark, sf_dir, "documents").select(
         F.col("source").alias("run"), F.col("doc_id").alias("step"),
         tokens.token_count(F.col("text")).alias("n_tokens"),
     )
@@ -483,10 +483,16 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _metric_log(spark, sf_dir).withColumn("step", F.floor(F.col("step") / 50))
+    log = _metric_log(spark, sf_dir).withColumn("step", F.expr("step div 50"))
     first = log.where(F.col("run") == "click")
     others = log.where(F.col("run") != "click").withColumn("kl", F.lit(0.0))
-    return _all_rounded(runs.compare_runs([first, others], "loss"), ["step"])
+    named = ["click", "error", "purchase", "signup", "view"]
+    return _all_rounded(runs.compare_runs([first, others], "loss", runs=named), ["step"])
+
+
+def compare_all_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _metric_log(spark, sf_dir).withColumn("step", F.expr("step div 50"))
+    return _all_rounded(runs.compare_runs([log], "loss"), ["step", "run"])
 
 
 # Jobs
@@ -510,20 +516,20 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = streams.stream_split(
-        _stream(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.1, 0
+        _stream(spark, sf_dir, "documents"), "doc_id", 0.1, 0
     )
     out = new_folder(spark, "split")
     streams.write_batches(labelled, out, new_folder(spark, "state")).awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "split")
+    return with_md5(spark.read.parquet(out), "doc_id", "split")
 
 
 def stream_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "shuffle")
     streams.stream_shuffle(
-        _stream(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0, out,
+        _stream(spark, sf_dir, "documents"), "doc_id", 0, out,
         new_folder(spark, "state"),
     ).awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "batch_id", "shuffle_pos")
+    return with_md5(spark.read.parquet(out), "doc_id", "batch_id", "shuffle_pos")
 
 
 def stream_log_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -571,14 +577,14 @@ def reward_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
         return [len(set(c)) / n for c, n in zip(completions, columns["n_chars"])]
 
     score = hooks.reward_udf(share_of_letters_used, ["n_chars"])
-    return texts(spark, sf_dir).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", rounded(score(F.col("text"))).alias("reward")
     )
 
 
 def tokenize_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = hooks.tokenizer_udf(lambda t: [word for word in t.split(" ") if word])
-    listed = texts(spark, sf_dir).select(
+    listed = table(spark, sf_dir, "documents").select(
         "doc_id", words(F.col("text")).alias("words")
     )
     return listed.select(
@@ -591,17 +597,17 @@ def generate_with(spark: SparkSession, sf_dir: str) -> DataFrame:
     def answer(batch: pd.DataFrame) -> pd.DataFrame:
         first = batch["prompt"].str.extract(r"(<ID_\d+>)", expand=False)
         return batch[["doc_id", "gen_id", "target_id"]].assign(
-            completion="So I select it.<END_THINK>\n" + first
+            completion=batch["text"] + "So I select it.<END_THINK>\n" + first
         )
 
     asked = tasks.expand_generations(_tasks(spark, sf_dir), GENERATIONS).select(
-        "doc_id", "gen_id", "target_id", "prompt"
+        "doc_id", "gen_id", "target_id", "prompt", "text"
     )
     answered = hooks.generate_with(
         asked, answer, "doc_id bigint, gen_id int, target_id bigint, completion string"
     )
     return answered.select(
-        "doc_id", "gen_id", "completion",
+        "doc_id", "gen_id", F.md5("completion").alias("completion_md5"),
         rewards.task_reward(F.col("completion"), F.col("target_id")).alias("reward"),
     )
 
@@ -609,7 +615,7 @@ def generate_with(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        corpus_stats, artifact_inventory, dialogue_pairs, qa_text, tldr_text, chat_prompt,
+        corpus_stats, dialogue_pairs, qa_text, tldr_text, chat_prompt,
         chat_prompt_gen, strip_special, generated_part, generated_tokens, head_rows, take_skip,
         take_skip_sizes, fraction_split, fraction_split_wide, shuffle_positions,
         shuffle_blocks, repeat_epochs, repeat_until, batch_plan, batch_plan_generations,
@@ -619,7 +625,7 @@ QUERIES: dict[str, Query] = {
         reward_alignment, alignment_report, agent_round, unique_chars, unique_chars_reward,
         combined_reward, group_reward_stats, group_advantage, preference_pairs,
         step_completion_stats, step_reward_stats, log_windows, cumulative_tokens, metric_deltas, run_summary,
-        compare_runs, summary_batches, stream_split, stream_shuffle, stream_log_windows,
+        compare_runs, compare_all_runs, summary_batches, stream_split, stream_shuffle, stream_log_windows,
         stream_completion_windows, map_rows, reward_udf, tokenize_udf, generate_with,
     )
 }

@@ -12,6 +12,7 @@ from fettle.functions.rewards import action_outcome, task_reward
 from fettle.functions.text import with_qa_text, with_tldr_text
 from fettle.operators.groups import group_advantage
 from fettle.operators.packing import pack_sequences
+from fettle.operators.scoring import check_aligned
 from fettle.operators.shuffle import plan_batches, repeat_rows, shuffle_blocks
 from fettle.operators.split import fraction_split, head_rows, take_skip
 from fettle.operators.tasks import expand_generations, tasks_for, with_prompts
@@ -62,17 +63,20 @@ def agent_round(samples: DataFrame, key: str | Sequence[str],
     """One scoring round: a task per sample, ``generations`` completions, rewards, advantages.
 
     ``complete`` adds a ``completion`` to rows with ``prompt``; it is called for one row per
-    completion and its answers are kept, so a model is asked once only.
+    completion and its answers are kept, so a model is asked once only. It may keep any columns,
+    but must answer every prompt exactly once; anything else is an error.
     """
     keys = columns_of(key)
-    tasks = with_prompts(tasks_for(samples.select(*keys), keys, difficulty, seed))
-    asked = complete(expand_generations(tasks, generations))
-    scored = cut(asked.select(
+    tasks = with_prompts(tasks_for(samples, keys, difficulty, seed))
+    asked = expand_generations(tasks, generations)
+    scored = cut(complete(asked).select(
         *keys, "gen_id", "target_id", "completion",
         task_reward(F.col("completion"), F.col("target_id")).alias("reward"),
         action_outcome(F.col("completion"), F.col("target_id")).alias("outcome"),
     ))
-    return group_advantage(scored, keys, [*keys, "gen_id"])
+    one_each = [*keys, "gen_id"]
+    check_aligned(asked.select(*one_each), scored.select(*one_each), one_each)
+    return group_advantage(scored, keys)
 
 
 def summary_batches(pairs: DataFrame, key: str | Sequence[str], n: int = 100,

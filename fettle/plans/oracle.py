@@ -1,8 +1,7 @@
 """The catalogue's queries as plain SQL over the same tables, for DuckDB.
 
 Written from the definition of each operator, with windows over whole tables where the Spark
-side avoids them. Left out: ``stream_shuffle`` (batch borders belong to the stream) and
-``artifact_inventory`` (a folder, not a table).
+side avoids them.
 """
 
 from __future__ import annotations
@@ -59,7 +58,7 @@ def _hash_number(*keys: str) -> str:
 def _tasks(difficulty: str, columns: str = "") -> str:
     draw = f"{_hash_number(chr(39) + '7' + chr(39), 'doc_id', 'j')} % j + 1"
     return f"""
-sizes AS (SELECT doc_id, least({difficulty} + 1, 299) AS k{columns} FROM documents),
+sizes AS (SELECT doc_id, text, least({difficulty} + 1, 299) AS k{columns} FROM documents),
 drawn AS (
   SELECT *, list_transform(range(301 - k, 301), lambda j: {{'j': j, 'd': {draw}}}) AS draws
   FROM sizes
@@ -91,7 +90,7 @@ asked AS (
   SELECT agent.*, g::INTEGER AS gen_id FROM agent, range(4) AS r(g)
 ),
 completions AS (
-  SELECT *, CASE {_hash_number(_SEVEN, 'doc_id', 'gen_id')} % 3
+  SELECT *, text || CASE {_hash_number(_SEVEN, 'doc_id', 'gen_id')} % 3
       WHEN 0 THEN 'It is the first one.<END_THINK> <ID_' || target_id || '>'
       WHEN 1 THEN '<END_THINK><ID_' || (target_id % 300 + 1) || '>'
       ELSE '<ID_' || target_id || '>' END AS completion
@@ -149,7 +148,8 @@ SELECT ((step - 1) // 5 + 1) * 5 AS step, count(*) AS n_steps,
 FROM stats GROUP BY (step - 1) // 5"""
 
 SPLIT_ROWS = """
-SELECT {keys}, CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '{seed}', {keys})), {keys})
+SELECT {keys}, md5(text) AS text_md5,
+  CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '{seed}', {keys})), {keys})
     <= ceil({size}::DOUBLE * (SELECT count(*) FROM {table})) THEN 'test' ELSE 'train' END AS split
 FROM {table}"""
 
@@ -157,7 +157,7 @@ METRIC_LOG = """
 log AS (SELECT event_type AS run, event_id AS step, value AS loss FROM events)"""
 
 BATCH_PLAN = """
-SELECT {keys}, s // {step} + 1 AS step, s // {batch} % {accum} AS micro_step,
+SELECT {keys}, md5(text) AS text_md5, s // {step} + 1 AS step, s // {batch} % {accum} AS micro_step,
   round(least((s // {step} + 1) * {step}, total) / total::DOUBLE, 6) AS epoch_progress
 FROM samples"""
 
@@ -192,7 +192,7 @@ SELECT conv_id, turn,
 FROM pairs""",
     "head_rows": "SELECT * FROM documents ORDER BY doc_id LIMIT 100",
     "take_skip": """
-SELECT conv_id, turn,
+SELECT conv_id, turn, md5(text) AS text_md5,
   CASE WHEN row_number() OVER (ORDER BY conv_id, turn) <= 400 THEN 'take' ELSE 'skip' END AS split
 FROM conversations""",
     "take_skip_sizes": """
@@ -204,41 +204,47 @@ FROM numbered GROUP BY 1""",
         keys="conv_id, turn", seed=3, size=0.37, table="conversations"
     ),
     "shuffle_positions": """
-SELECT doc_id, row_number() OVER (ORDER BY md5('0|' || doc_id), doc_id) - 1 AS shuffle_pos
+SELECT doc_id, md5(text) AS text_md5, row_number() OVER (ORDER BY md5('0|' || doc_id), doc_id) - 1 AS shuffle_pos
 FROM documents""",
     "shuffle_blocks": """
 WITH blocks AS (
-  SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 5000 AS block FROM events
+  SELECT *, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 500 AS block FROM conversations
 )
-SELECT event_id, block, block * 5000 - 1
-  + row_number() OVER (PARTITION BY block ORDER BY md5('0|' || event_id), event_id)
+SELECT conv_id, turn, md5(text) AS text_md5, block, block * 500 - 1
+  + row_number() OVER (
+      PARTITION BY block ORDER BY md5(concat_ws('|', '0', conv_id, turn)), conv_id, turn)
   AS shuffle_pos
 FROM blocks""",
     "repeat_epochs": """
-SELECT doc_id, e::INTEGER AS epoch FROM documents, range(3) AS r(e)""",
+SELECT doc_id, md5(text) AS text_md5, e::INTEGER AS epoch FROM documents, range(3) AS r(e)""",
     "repeat_until": """
 WITH sized AS (
-  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n, count(*) OVER () AS total
+  SELECT doc_id, md5(text) AS text_md5, row_number() OVER (ORDER BY doc_id) - 1 AS n,
+    count(*) OVER () AS total
   FROM documents
 ),
 placed AS (
-  SELECT doc_id, e::INTEGER AS epoch, e * total + n AS position
+  SELECT doc_id, text_md5, e::INTEGER AS epoch, e * total + n AS position
   FROM sized, range((SELECT (40000 + total - 1) // total FROM sized LIMIT 1)) AS r(e)
 )
 SELECT * FROM placed WHERE position < 40000""",
     "batch_plan": f"""
 WITH {PAIRS},
 samples AS (
-  SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS s, count(*) OVER () AS total
+  SELECT *, {QA} AS text, row_number() OVER (ORDER BY conv_id, turn) - 1 AS s,
+    count(*) OVER () AS total
   FROM pairs QUALIFY s < total // 4 * 4
 )
 {_plan("conv_id, turn", 4, 1)}""",
     "batch_plan_generations": f"""
 WITH rows AS (
-  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n, count(*) OVER () * 4 AS total
+  SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS n,
+    count(*) OVER () * 4 AS total
   FROM documents
 ),
-samples AS (SELECT doc_id, g::INTEGER AS gen_id, n * 4 + g AS s, total FROM rows, range(4) AS r(g))
+samples AS (
+  SELECT doc_id, text, g::INTEGER AS gen_id, n * 4 + g AS s, total FROM rows, range(4) AS r(g)
+)
 {_plan("doc_id, gen_id", 2, 2)}""",
     "token_counts": f"SELECT doc_id, len({DOCUMENT_TOKENS}) AS n_tokens FROM documents",
     "chars_per_token": f"""
@@ -398,6 +404,9 @@ SELECT step // 50 AS step,
   {', '.join(f"round(avg(loss) FILTER (run = '{run}'), 6) AS {run}"
              for run in ("click", "error", "purchase", "signup", "view"))}
 FROM log GROUP BY step // 50""",
+    "compare_all_runs": f"""
+WITH {METRIC_LOG}
+SELECT step // 50 AS step, run, round(avg(loss), 6) AS loss FROM log GROUP BY step // 50, run""",
     "summary_batches": f"""
 WITH {PAIRS},
 head AS (SELECT * FROM pairs ORDER BY conv_id, turn LIMIT 100),
@@ -409,8 +418,13 @@ SELECT conv_id, turn, {TLDR} AS text, s // 4 + 1 AS step, s % 4 AS micro_step,
   round(least((s // 4 + 1) * 4, total) / total::DOUBLE, 6) AS epoch_progress
 FROM samples WHERE s // 4 + 1 <= 20""",
     "stream_split": f"""
-SELECT doc_id, CASE WHEN {_hash_number("'0'", "doc_id")} < {int(0.1 * 16**8)}
+SELECT doc_id, md5(text) AS text_md5,
+  CASE WHEN {_hash_number("'0'", "doc_id")} < {int(0.1 * 16**8)}
   THEN 'test' ELSE 'train' END AS split
+FROM documents""",
+    "stream_shuffle": """
+SELECT doc_id, md5(text) AS text_md5, 0 AS batch_id,
+  row_number() OVER (ORDER BY md5('0|' || doc_id), doc_id) - 1 AS shuffle_pos
 FROM documents""",
     "stream_log_windows": f"""
 WITH {METRIC_LOG}
@@ -428,7 +442,8 @@ SELECT doc_id, len(words) AS n_words, md5(array_to_string(words, ' ')) AS words_
     "generate_with": f"""
 WITH {TASKS}
 SELECT doc_id, g::INTEGER AS gen_id,
-  'So I select it.<END_THINK>' || {NEWLINE} || '<ID_' || target_id || '>' AS completion,
+  md5(text || 'So I select it.<END_THINK>' || {NEWLINE} || '<ID_' || target_id || '>')
+    AS completion_md5,
   1.0::DOUBLE AS reward
 FROM agent, range(4) AS r(g)""",
 }

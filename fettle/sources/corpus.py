@@ -30,14 +30,11 @@ def read_corpus(spark: SparkSession, path: str, subset: str | None = None,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, where one wave of tasks would read all of the input.
+    """Rows over all cores: a shuffle of everything, for the caller to ask for.
 
-    Such an input is small, at most one split per core, but can still sit in a single file that
-    cannot be split, so that one task would do all the work. Anything larger is returned as it
-    is, without a shuffle.
+    It is worth its price where the input is one file that cannot be split.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def stream_corpus(spark: SparkSession, path: str, schema: str | StructType,

@@ -51,7 +51,17 @@ def run_folder(path_column: str = "run", levels: int = 2) -> Column:
 def with_run_configs(logs: DataFrame, configs: DataFrame) -> DataFrame:
     """Logs with the settings of their run: both lie one folder deep in the same run folder.
 
-    Settings are one row per run; Spark broadcasts them where they are small enough.
+    A run folder may hold its settings several times, saved with a checkpoint and again at the
+    end; that they differ is an error. Spark broadcasts them where they are small enough.
     """
-    settings = configs.withColumn("folder", run_folder()).drop("run")
-    return logs.withColumn("folder", run_folder()).join(settings, "folder", "left")
+    names = [name for name in configs.columns if name != "run"]
+    here = F.struct(*names)
+    differ = F.raise_error(F.concat(F.lit("different settings in "), F.col("folder")))
+    settings = (
+        configs.withColumn("folder", run_folder()).groupBy("folder")
+        .agg(F.min(here).alias("least"), F.max(here).alias("most"))
+        .select("folder", F.when(F.col("least").eqNullSafe(F.col("most")), F.col("least"))
+                .otherwise(differ).alias("settings"))
+    )
+    joined = logs.withColumn("folder", run_folder()).join(settings, "folder", "left")
+    return joined.select("*", "settings.*").drop("settings")

@@ -18,7 +18,7 @@ def scored(spark):
 
 
 def advantages(df, **options):
-    found = groups.group_advantage(df, "grp", ["grp", "gen_id"], **options).collect()
+    found = groups.group_advantage(df, "grp", **options).collect()
     return {(r["grp"], r["gen_id"]): r["advantage"] for r in found}
 
 
@@ -34,37 +34,14 @@ def test_advantages(spark):
     assert sum(v for (g, _), v in found.items() if g == "hot") == pytest.approx(0, abs=1e-6)
 
 
-def test_salted_groups_give_the_same(spark):
-    whole, salted = advantages(scored(spark)), advantages(scored(spark), max_rows=100)
-    assert whole.keys() == salted.keys()
-    assert all(whole[k] == pytest.approx(salted[k], abs=1e-9) for k in whole)
-    spread = groups.group_advantage(scored(spark), "grp", ["grp", "gen_id"], max_rows=100)
-    assert "Window" not in plan_of(spread) and "CartesianProduct" not in plan_of(spread)
-
-
-def test_salts_spread_a_hot_group(spark):
-    df = scored(spark)
-    stats = groups.group_reward_stats(df, "grp")
-    sizes = tuple(stats.agg(F.max("n"), F.sum("n")).first())
-    limit = groups.group_limit(*sizes, 100)
-    assert limit == 100 and groups.group_limit(*sizes) is None
-    assert groups.group_limit(3_000_000, 5_000_000_000) == 500_000
-    assert groups.group_limit(None, None) is None
-    joined = groups.salted_join(df, stats, "grp", "n", ["grp", "gen_id"], limit)
-    assert joined.count() == df.count()
-    sizes = joined.where("grp = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-    assert len(sizes) > 3
-
-
-def test_only_the_list_of_hot_groups_is_broadcast(spark):
-    df = scored(spark)
-    stats = groups.group_reward_stats(df, "grp")
+def test_statistics_are_joined_back(spark):
+    """No window gathers a group; a hot one is a stretch of a join, which can be split."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(groups.salted_join(df, stats, "grp", "n", ["grp", "gen_id"], 100))
+        plan = plan_of(groups.group_advantage(scored(spark), "grp"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("BroadcastExchange") == 1 and plan.count("SortMergeJoin") == 1
+    assert "Window" not in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
 def test_group_stats_use_the_sample_deviation(spark):
@@ -82,6 +59,9 @@ def test_preference_pairs(spark):
     pairs = groups.preference_pairs(df, "grp", "question", "text")
     assert rows(pairs) == [("a", "q-a", "y", "x")]
     assert pairs.columns == ["grp", "question", "response_j", "response_k"]
+    twice = df.union(df.where("gen_id = 1").withColumn("text", F.lit("other")))
+    with pytest.raises(Exception, match="not unique"):
+        groups.preference_pairs(twice, "grp", "question", "text").collect()
 
 
 def test_alignment(spark):
@@ -90,11 +70,10 @@ def test_alignment(spark):
         "k int, gen_id int, completion string",
     )
     targets = spark.createDataFrame([(0, 0), (1, 1), (2, 2)], "k int, target_id int")
-    for max_rows in (1_000, 50):
-        aligned = scoring.align(completions, targets, "k", ["k", "gen_id"], max_rows)
-        reward = task_reward(F.col("completion"), F.col("target_id"))
-        assert aligned.count() == 900
-        assert rows(aligned.where(reward == 1.0), "k", "gen_id") == [(0, 0), (1, 1), (2, 2)]
+    aligned = scoring.align(completions, targets, "k")
+    reward = task_reward(F.col("completion"), F.col("target_id"))
+    assert aligned.count() == 900
+    assert rows(aligned.where(reward == 1.0), "k", "gen_id") == [(0, 0), (1, 1), (2, 2)]
     for broken in (targets.where("k < 2"), targets.union(targets.limit(1)),
                    targets.union(spark.createDataFrame([(9, 9)], targets.schema))):
         with pytest.raises(ValueError, match="do not align"):
@@ -138,3 +117,7 @@ def test_a_round_asks_once_per_completion(spark):
         (3, "INVALID ACTION", 10),
     ]
     assert found.where("gen_id = 0 and advantage <= 0").count() == 0
+    for wrong in (lambda asked: complete(asked).where("gen_id < 1"),
+                  lambda asked: complete(asked).union(complete(asked).limit(1))):
+        with pytest.raises(ValueError, match="do not align"):
+            agent_round(spark.range(10).toDF("k"), "k", wrong, 2, generations=4)

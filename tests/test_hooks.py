@@ -11,6 +11,9 @@ def test_row_function(spark):
     shaped = hooks.map_rows(df, lambda row: {"k": row["k"], "u": f"<{row['t']}>"},
                             "k int, u string")
     assert rows(shaped) == [(1, "<a>"), (2, "<None>")]
+    numbers = spark.createDataFrame([(None,), (2**60 + 1,)], "k bigint")
+    shown = hooks.map_rows(numbers, lambda row: {"u": repr(row["k"])}, "u string")
+    assert rows(shown) == [("1152921504606846977",), ("None",)]
 
 
 def test_reward_function_gets_its_columns(spark):
@@ -21,6 +24,10 @@ def test_reward_function_gets_its_columns(spark):
 
     reward = hooks.reward_udf(score, ["target"])
     assert rows(df.select("t", reward(F.col("t")))) == [("ab", 1.0), ("abc", 0.0)]
+    seen = hooks.reward_udf(lambda completions, **columns: [
+        float(value is None) for value in columns["target"]], ["target"])
+    nulls = spark.createDataFrame([("a", None), ("b", 1)], "t string, target bigint")
+    assert rows(nulls.select("t", seen(F.col("t")))) == [("a", 1.0), ("b", 0.0)]
 
 
 def test_a_reward_function_must_answer_for_all(spark):

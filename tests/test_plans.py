@@ -18,7 +18,7 @@ def documents(spark):
 
 @pytest.mark.parametrize("name", [
     "head_rows", "take_skip", "fraction_split", "repeat_epochs", "agent_dataset",
-    "expand_generations", "parse_action", "task_reward",
+    "expand_generations", "parse_action", "task_reward", "token_counts",
 ])
 def test_nothing_moves(spark, name):
     assert "Exchange" not in plan_of(QUERIES[name](spark, SMALL))
@@ -30,9 +30,9 @@ def test_heads_skip_files(spark, documents):
 
 
 @pytest.mark.parametrize("name, columns", [
-    ("chars_per_token", {"doc_id", "text"}), ("shuffle_positions", {"doc_id"}),
-    ("fraction_split", {"doc_id"}), ("token_counts", {"doc_id", "text"}),
-    ("agent_dataset", {"doc_id"}), ("stream_split", {"doc_id", "split"}),
+    ("chars_per_token", {"doc_id", "text"}), ("shuffle_positions", {"doc_id", "text"}),
+    ("fraction_split", {"doc_id", "text"}), ("token_counts", {"doc_id", "text"}),
+    ("agent_dataset", {"doc_id"}), ("stream_split", {"doc_id", "text", "split"}),
 ])
 def test_only_needed_columns_are_read(spark, name, columns):
     plan = plan_of(QUERIES[name](spark, SMALL))
@@ -51,6 +51,14 @@ def test_a_single_task_sees_totals_only(spark, documents):
     assert "HashAggregate" in lines[single[0] + 1]
 
 
+def test_a_head_is_found_without_a_funnel(spark, documents):
+    """Keys are numbered in ranges; only totals per range ever meet in one task."""
+    numbered = ordered.ordinals(documents.select("doc_id"), "doc_id")
+    plan = plan_of(numbered.agg({"ordinal": "max"}))
+    assert "TakeOrdered" not in plan and "rangepartitioning" not in plan  # the ranges are a table
+    assert "TakeOrdered" not in plan_of(split.head_rows(documents, 10, "doc_id"))
+
+
 def test_texts_move_twice_to_be_packed(spark, documents):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

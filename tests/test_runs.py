@@ -9,7 +9,7 @@ from fettle.sources import schemas
 from fettle.sources.runs import read_run_configs, read_run_logs, with_run_configs
 from tests.helpers import rows
 
-# Two logged runs.
+# Two logged runs, and below the names of the files and folders they are kept in.
 SFT = [
     (5, 0.2, 2.627, 0.44191823825240134, 7884.0),
     (10, 0.4, 2.4156, 0.4614388182759285, 14875.0),
@@ -28,17 +28,17 @@ GRPO = [
 def run_files(tmp_path):
     def save(run, folder, name, content):
         path = tmp_path / run / folder
-        path.mkdir(parents=True)
+        path.mkdir(parents=True, exist_ok=True)
         (path / name).write_text(json.dumps(content, indent=2))
 
-    save("sft", "step-20", "state.json", {
+    save("sft", "checkpoint-20", "trainer_state.json", {
         "best_metric": None, "global_step": 20, "is_hyper_param_search": False,
         "log_history": [
             {"epoch": e, "loss": x, "mean_token_accuracy": a, "num_tokens": t, "step": s}
             for s, e, x, a, t in SFT
         ],
     })
-    save("grpo", "step-20", "state.json", {
+    save("grpo", "checkpoint-20", "trainer_state.json", {
         "best_metric": None, "global_step": 20, "log_history": [
             {"epoch": e, "reward": r, "reward_std": d, "num_tokens": t, "step": s,
              "rewards/reward_num_unique_chars/mean": r}
@@ -46,16 +46,18 @@ def run_files(tmp_path):
         ],
     })
     for run, rank in (("sft", 8), ("grpo", 16)):
-        save(run, "adapter", "settings.json", {
-            "r": rank, "lora_alpha": 2 * rank, "lora_dropout": 0.1, "bias": "none",
-            "target_modules": ["q_proj", "v_proj"], "task_type": "CAUSAL_LM", "revision": None,
-        })
+        for folder in ("checkpoint-20", "lora_adapter"):  # saved with the checkpoint and at the end
+            save(run, folder, "adapter_config.json", {
+                "r": rank, "lora_alpha": 2 * rank, "lora_dropout": 0.1, "bias": "none",
+                "target_modules": ["q_proj", "v_proj"], "task_type": "CAUSAL_LM",
+                "revision": None,
+            })
     return tmp_path
 
 
 def logs(spark, run_files):
-    found = read_run_logs(spark, str(run_files / "*" / "*" / "state.json"))
-    return found.withColumn("run", F.regexp_extract("run", "/([a-z]+)/step", 1))
+    found = read_run_logs(spark, str(run_files / "*" / "*" / "trainer_state.json"))
+    return found.withColumn("run", F.regexp_extract("run", "/([a-z]+)/checkpoint", 1))
 
 
 def test_ragged_logs_are_read_as_one_table(spark, run_files):
@@ -72,7 +74,7 @@ def test_declared_schema(spark, run_files):
         schemas.SUPERVISED_LOG, schemas.GROUP_REWARD_LOG,
         schemas.reward_log_fields("reward_num_unique_chars"),
     )
-    found = read_run_logs(spark, str(run_files / "*" / "*" / "state.json"), schema)
+    found = read_run_logs(spark, str(run_files / "*" / "*" / "trainer_state.json"), schema)
     inferred = logs(spark, run_files)
     assert len(found.columns) == 1 + 24  # run, and 23 keys of one kind with one of the other
     shared = [c for c in inferred.columns if c != "run"]
@@ -108,16 +110,24 @@ def test_runs_side_by_side(spark, run_files):
     both = logs(spark, run_files)
     sft = both.where("run = 'sft'").drop("reward", "reward_std")
     grpo = both.where("run = 'grpo'").drop("loss")
-    found = runs.compare_runs([sft, grpo], "num_tokens").orderBy("step").collect()
+    found = runs.compare_runs([sft, grpo], "num_tokens", runs=["sft", "grpo"])
+    found = found.orderBy("step").collect()
     assert [(r["sft"], r["grpo"]) for r in found] == [(s[4], g[4]) for s, g in zip(SFT, GRPO)]
     assert runs.compare_runs([sft, grpo], "loss", runs=["sft"]).columns == ["step", "sft"]
+    long = runs.compare_runs([sft, grpo], "num_tokens")
+    assert rows(long, "run", "step", "num_tokens") == sorted(
+        [("sft", s[0], s[4]) for s in SFT] + [("grpo", g[0], g[4]) for g in GRPO], key=repr)
 
 
 def test_settings_join_their_run(spark, run_files):
-    configs = read_run_configs(spark, str(run_files / "*" / "adapter" / "*.json"))
-    found = read_run_logs(spark, str(run_files / "*" / "*" / "state.json"))
+    configs = read_run_configs(spark, str(run_files / "*" / "*" / "adapter_config.json"))
+    found = read_run_logs(spark, str(run_files / "*" / "*" / "trainer_state.json"))
+    assert with_run_configs(found, configs).count() == found.count()
+    other = configs.withColumn("r", F.col("r") + F.monotonically_increasing_id())
+    with pytest.raises(Exception, match="different settings"):
+        with_run_configs(found, other).collect()
     ranks = with_run_configs(found, configs).select(
-        F.regexp_extract("run", "/([a-z]+)/step", 1), "r", "target_modules"
+        F.regexp_extract("run", "/([a-z]+)/checkpoint", 1), "r", "target_modules"
     ).distinct()
     assert rows(ranks) == [("grpo", 16, ["q_proj", "v_proj"]), ("sft", 8, ["q_proj", "v_proj"])]
 

@@ -1,8 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from fettle.operators.split import fraction_split, split_sizes
-from fettle.shared import new_folder, shared_dir
+from fettle.shared import cut, new_folder, scratch, shared_dir
 from fettle.sources.artifacts import artifact_inventory, artifact_total
 from fettle.sources.corpus import (
     corpus_path,
@@ -62,12 +64,9 @@ def test_streams_read_folders_and_files(spark, tmp_path):
         assert spark.read.parquet(out).count() == (expected or spark.read.parquet(source).count())
 
 
-def test_spread_leaves_wide_input_alone(spark):
+def test_spread(spark):
     cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, numPartitions=cores + 1)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == cores
+    assert spread(spark.range(0, 100, numPartitions=1)).rdd.getNumPartitions() == cores
 
 
 def test_inventory_is_of_the_folder_itself(spark, tmp_path):
@@ -75,6 +74,8 @@ def test_inventory_is_of_the_folder_itself(spark, tmp_path):
     (tmp_path / "config.json").write_text("{}")
     (tmp_path / "inner").mkdir()
     (tmp_path / "inner" / "other.txt").write_text("not counted")
+    (tmp_path / "split=train").mkdir()
+    (tmp_path / "split=train" / "part.bin").write_text("not counted either")
     inventory = artifact_inventory(spark, str(tmp_path))
     assert rows(inventory) == [("config.json", 2), ("model.bin", 2048)]
     assert rows(artifact_total(inventory)) == [(2, 2050, 2050 / 1024 / 1024)]
@@ -85,3 +86,11 @@ def test_the_shared_folder_is_the_one_named(spark):
     if named:
         assert shared_dir(spark) == named
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_scratch_removes_what_was_cut(spark, tmp_path):
+    with scratch(spark):
+        kept = cut(spark.range(10))
+        path = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(path) and kept.count() == 10
+    assert not os.path.exists(path)

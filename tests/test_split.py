@@ -18,12 +18,10 @@ def ids(spark, n):
 
 
 @pytest.mark.parametrize("n", [0, 1, 40, 100, 250])
-def test_take_skip_both_ways(spark, n):
+def test_take_skip(spark, n):
     df = ids(spark, 100).withColumn("extra", F.col("k") * 2)
     expected = [(k, 2 * k, "take" if k < n else "skip") for k in range(100)]
-    for max_top_rows in (10_000, 0):
-        found = split.take_skip(df, n, "k", max_top_rows=max_top_rows)
-        assert rows(found) == sorted(expected, key=repr)
+    assert rows(split.take_skip(df, n, "k")) == sorted(expected, key=repr)
 
 
 def test_take_skip_on_two_columns(spark):
@@ -34,11 +32,16 @@ def test_take_skip_on_two_columns(spark):
 
 def test_ambiguous_heads_are_refused(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k int")
-    with pytest.raises(ValueError, match="not unique"):
-        split.take_skip(df, 2, "k")
+    for n in (1, 2, 3):  # wherever the repeated key lies
+        with pytest.raises(Exception, match="not unique"):
+            split.take_skip(df, n, "k")
+        with pytest.raises(Exception, match="not unique"):
+            split.head_rows(df, n, "k")
     nulls = spark.createDataFrame([(1, 1), (1, None), (2, 1), (2, 2)], "a int, b int")
-    with pytest.raises(ValueError, match="null"):
+    with pytest.raises(Exception, match="null"):
         split.take_skip(nulls, 3, ["a", "b"])
+    with pytest.raises(ValueError, match="split"):
+        split.take_skip(ids(spark, 3).withColumn("Split", F.lit(1)), 2, "k")
 
 
 def test_head_rows(spark):
@@ -46,15 +49,10 @@ def test_head_rows(spark):
     for n in (0, 7, 50, 60):
         expected = rows(df.where(f"k < {n}"))
         assert rows(split.head_rows(df, n, "k")) == expected
-        assert rows(split.head_rows(df, n, "k", max_top_rows=0)) == expected
 
 
 @pytest.mark.parametrize("test_size", [0.0, 0.005, 0.1, 0.37, 1.0])
-@pytest.mark.parametrize("small_buckets", [False, True])
-def test_fraction_split_is_exact(spark, monkeypatch, test_size, small_buckets):
-    if small_buckets:  # several passes, one hash digit each
-        monkeypatch.setattr(split, "MAX_TOP_ROWS", 2)
-        monkeypatch.setattr(split, "DIGITS_PER_PASS", 1)
+def test_fraction_split_is_exact(spark, test_size):
     n = 700
     order = sorted(range(n), key=lambda k: (hashed(11, k), k))
     expected = set(order[: math.ceil(test_size * n)])
@@ -71,11 +69,15 @@ def test_fraction_split_does_not_depend_on_partitions(spark):
         assert rows(again) == base
 
 
-def test_a_split_through_a_repeated_key_is_refused(spark):
+def test_splits_by_repeated_or_null_keys_are_refused(spark):
     df = spark.createDataFrame([(5,)] * 10, "k int")
-    with pytest.raises(ValueError, match="not unique"):
-        split.fraction_split(df, "k", 0.5, 0)
-    assert rows(split.split_sizes(split.fraction_split(df, "k", 1.0, 0))) == [("test", 10)]
+    for test_size in (0.5, 1.0):
+        with pytest.raises(Exception, match="not unique"):
+            split.fraction_split(df, "k", test_size, 0)
+    with pytest.raises(Exception, match="null"):
+        split.fraction_split(spark.createDataFrame([(None,)], "k int"), "k", 1.0, 0)
+    with pytest.raises(Exception, match="null"):
+        shuffle.shuffle_rows(spark.createDataFrame([(None,), (1,)], "k int"), "k", 0).collect()
 
 
 def test_hash_split_is_close_and_nested(spark):

@@ -98,6 +98,18 @@ def test_long_chats_come_in_parts_that_join_to_the_whole(spark):
     assert chat_pieces(messages(spark, data)).count() == len(data) + 29
 
 
+def test_chats_that_cannot_be_ordered_are_refused(spark):
+    with pytest.raises(Exception, match="not unique"):
+        render_chat(messages(spark, MESSAGES + MESSAGES[:1])).collect()
+    with pytest.raises(Exception, match="null in role"):
+        render_chat(messages(spark, MESSAGES + [(1, 2, None, "x")])).collect()
+    fractions = spark.createDataFrame(
+        [(1, 1.7, "assistant", "a"), (1, 1.2, "user", "b")],
+        "conv_id bigint, turn double, role string, text string")
+    assert render_chat(fractions).first()["prompt"].index("b<") < render_chat(
+        fractions).first()["prompt"].index("a<")
+
+
 def brute_pairs(data):
     found, ordered = [], sorted(data)
     for (conv, turn, role, question), (other, _, reply_role, reply) in zip(ordered, ordered[1:]):
