@@ -8,13 +8,13 @@ two collections agree: with p = s**rows they are missed with probability
 
 Copies with equal shingle sets are one node. In a table, members of a bucket are first compared
 with its smallest member only, and the links found so are contracted. Buckets that still hold
-different components have those compared across if they are small; a large one, as a passage that
-many documents share makes it, is split by further collections until its parts are small. So no
-bucket emits all its pairs, and the number of pairs follows the number of members.
-
-Before full sets are fetched, a pair must agree in enough of its min-hashes, kept to four bits
-each: at most ``MISMATCHES`` of 48 may differ, which a pair at s = 0.8 exceeds once in a million.
-Links are confirmed on the full shingle sets.
+different components are looked at by sketches: a pair is a candidate if at most ``MISMATCHES`` of
+its 48 min-hashes, kept to four bits each, differ, which a pair at s = 0.8 exceeds once in a
+million. What leaves a bucket is not its candidates but which components have some. Of two such
+components the members of the smaller are then compared with all of the larger, on full sets and
+in blocks, so that a set is moved once per block and not once per pair. Buckets too large for one
+task, as a passage that very many documents share makes them, are first split by further
+collections.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,9 +32,10 @@ from fettle.llm import words
 from fettle.llm.components import components
 from fettle.shared import cut
 
-SMALL_BUCKET = 8  # members that are compared across; more are split first
+TASK_BUCKET = 4_096  # members of a bucket that one task looks at; more are split first
 SPLITS = 2  # further collections by which a large bucket is split, each on its own
-LEVELS = 2  # times it is split; parts left are compared across whatever their size
+LEVELS = 8  # times it can be split; what is left shares most of its min-hashes
+BLOCK = 256  # sets of either side compared in one task
 MISMATCHES = 22 / 48
 SKETCH = ["s0", "s1", "s2"]  # 16 min-hashes of four bits each in every number
 
@@ -68,10 +70,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     stars = likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
                     similarity)
-    links = cut(_confirmed(texts, stars, kind, shingle_words, similarity))
+    stars = cut(stars)
+    asked = stars.select(F.col("a").alias("rep")).union(stars.select("b")).distinct()
+    links = cut(similar(stars, _full_sets(texts, asked, kind, shingle_words), similarity))
     found = cut(components(links, "a", "b"))
-    apart = likely(across(buckets, sets, found, similarity), sets, similarity)
-    more = cut(_confirmed(texts, apart, kind, shingle_words, similarity))
+    full = lambda asked: _full_sets(texts, asked, kind, shingle_words)
+    more = across(buckets, sets, found, similarity, full)
     joined = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
     found = cut(components(joined, "a", "b"))
 
@@ -143,12 +147,55 @@ def with_leader(members: DataFrame) -> DataFrame:
         "rep <> leader")
 
 
-def across(buckets: DataFrame, sets: DataFrame, found: DataFrame,
-            similarity: tuple[int, int]) -> DataFrame:
-    """(a, b): members of one bucket that are still in different components."""
+def across(buckets: DataFrame, sets: DataFrame, found: DataFrame, similarity: tuple[int, int],
+           full_sets) -> DataFrame:
+    """(a, b): links between members of one bucket that are still in different components.
+
+    ``full_sets`` gives the sets (rep, shingles) of a table of (rep). Of the links between two
+    components those found first in each block are returned, at least one.
+    """
+    edges = cut(_candidates(buckets, sets, found, similarity))
+    members = found.select(F.col("node").alias("rep"), "component")
+    named = edges.select(F.col("a").alias("component")).union(edges.select("b")).distinct()
+    members = cut(named.join(members, "component", "left").select(
+        "component", F.coalesce("rep", "component").alias("rep")))
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    side = [sizes.select(F.col("component").alias(x), F.col("size").alias(f"{x}_size"))
+            for x in "ab"]
+    swap = F.struct("a_size", "a") > F.struct("b_size", "b")
+    pairs = edges.join(side[0], "a").join(side[1], "b").select(
+        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("small"),
+        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("large"))
+    guests = pairs.join(members.withColumnRenamed("component", "small"), "small").select(
+        "large", "rep").distinct()
+    hosts = pairs.select("large").distinct().join(
+        members.withColumnRenamed("component", "large"), "large")
+    counts = guests.groupBy("large").agg(F.count(F.lit(1)).alias("guests")).join(
+        sizes.withColumnsRenamed({"component": "large", "size": "hosts"}), "large")
+    rows = None
+    for table, mine, other, which in ((guests, "guests", "hosts", 0), (hosts, "hosts", "guests", 1)):
+        blocks = F.ceil(F.col(mine) / BLOCK)
+        others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col(other) / BLOCK) - 1))
+        part = table.join(counts, "large").withColumn(
+            "mine", F.pmod(F.xxhash64("rep"), blocks)).withColumn("other", others)
+        left, right = ("mine", "other") if which == 0 else ("other", "mine")
+        part = part.select(F.xxhash64("large", left, right).alias("task"), "rep",
+                           F.lit(which).alias("side"))
+        rows = part if rows is None else rows.union(part)
+    rows = cut(rows)
+    full = full_sets(rows.select("rep").distinct())
+    kind = sets.schema["rep"].dataType.simpleString()
+    return cut(
+        rows.join(full, "rep").repartition("task").sortWithinPartitions("task", "side")
+        .mapInArrow(_compared(similarity), f"a {kind}, b {kind}"))
+
+
+def _candidates(buckets: DataFrame, sets: DataFrame, found: DataFrame,
+                similarity: tuple[int, int]) -> DataFrame:
+    """(a, b): components with members in one bucket whose sketches are near enough."""
     labels = found.select(F.col("node").alias("rep"), "component")
-    traits = ["rep", "n", "bands", *SKETCH]
-    pairs = None
+    kind = sets.schema["rep"].dataType.simpleString()
+    edges = None
     for level in range(LEVELS + 1):
         leaders = buckets.groupBy("key").agg(
             F.min("leader").alias("rep"), (F.count(F.lit(1)) + 1).alias("size")).where("size > 2")
@@ -159,19 +206,17 @@ def across(buckets: DataFrame, sets: DataFrame, found: DataFrame,
             (F.min("component") != F.max("component")).alias("mixed"),
             F.count(F.lit(1)).alias("size"),
         ).where("mixed").select("key", "size")
-        members = cut(members.join(mixed, "key").join(sets.select(*traits), "rep"))
-        last = level == LEVELS
-        small = members if last else members.where(F.col("size") <= SMALL_BUCKET)
-        one, two = (
-            small.select("key", *[F.col(c).alias(f"{side}_{c}") for c in
-                                  ("rep", "component", "n", *SKETCH)]) for side in "ab"
-        )
-        met = one.join(two, "key").where("a_rep < b_rep and a_component <> b_component").where(
-            _may_reach(similarity)).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
-        pairs = met if pairs is None else pairs.union(met)
-        large = members.where(F.col("size") > SMALL_BUCKET)
-        if last or not large.limit(1).count():
-            return pairs
+        members = cut(members.join(mixed, "key").join(
+            sets.select("rep", "n", "bands", *SKETCH), "rep"))
+        large = members.where(F.col("size") > TASK_BUCKET)
+        more = level < LEVELS and large.limit(1).count() > 0
+        small = members.where(F.col("size") <= TASK_BUCKET) if more else members
+        near = small.select("key", "component", "n", *SKETCH).repartition(
+            "key").sortWithinPartitions("key").mapInArrow(
+            _near_components(similarity), f"a {kind}, b {kind}")
+        edges = near if edges is None else edges.union(near)
+        if not more:
+            return edges.distinct()
         # One more collection in the key; which ones differs between buckets and levels.
         count = F.size("bands")
         which = F.pmod(F.xxhash64("key", F.lit(level)), count.cast("bigint")).cast("int")
@@ -181,7 +226,101 @@ def across(buckets: DataFrame, sets: DataFrame, found: DataFrame,
         parts = parts.select(
             F.xxhash64("key", at, F.element_at("bands", at + 1)).alias("key"), "rep")
         buckets = cut(with_leader(parts))
-        pairs = pairs.union(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")))
+    raise AssertionError
+
+
+def _by_key(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    """The rows of each key, from batches in order of it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column(name).to_numpy(False)
+        edges = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+        for at, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if at == stop:
+                continue
+            if held and held[0].column(name)[0].as_py() != int(keys[at]):
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            held.append(batch.slice(at, stop - at))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _near_components(similarity: tuple[int, int]):
+    """Per bucket: pairs of components that have members with near sketches."""
+    least, of = similarity
+    allowed = _allowed(similarity)
+    ones = np.uint64(0x1111111111111111)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket in _by_key(batches, "key"):
+            component, names = _codes(bucket.column("component"))
+            n = bucket.column("n").to_numpy(False)
+            sketch = [bucket.column(c).to_numpy(False).view(np.uint64) for c in SKETCH]
+            near: set[tuple[int, int]] = set()
+            for at in range(0, len(n), 512):
+                mine = slice(at, at + 512)
+                unlike = np.zeros((len(n[mine]), len(n)), dtype=np.int64)
+                for number in sketch:
+                    apart = number[mine, None] ^ number[None, :]
+                    apart = (apart | apart >> np.uint64(1) | apart >> np.uint64(2)
+                             | apart >> np.uint64(3)) & ones
+                    unlike += np.bitwise_count(apart)
+                small = np.minimum(n[mine, None], n[None, :])
+                large = np.maximum(n[mine, None], n[None, :])
+                row, column = np.nonzero((unlike <= allowed) & (of * small >= least * large)
+                                         & (component[mine, None] < component[None, :]))
+                found = np.unique(component[mine][row] * len(names) + component[column])
+                near.update((int(x) // len(names), int(x) % len(names)) for x in found)
+            if near:
+                a, b = (pa.array(side, pa.int64()) for side in zip(*sorted(near)))
+                yield pa.RecordBatch.from_arrays([names.take(a), names.take(b)], ["a", "b"])
+
+    return run
+
+
+def _codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Places of the values in their sorted distinct list, and the list."""
+    names = values.unique()
+    names = names.take(pc.sort_indices(names))
+    return pc.index_in(values, names).to_numpy(False).astype(np.int64), names
+
+
+def _compared(similarity: tuple[int, int]):
+    """Per task: links between the sets of one side and those of the other."""
+    least, of = similarity
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task in _by_key(batches, "task"):
+            side = task.column("side").to_numpy(False)
+            hosts = task.filter(pa.array(side == 1))
+            guests = task.filter(pa.array(side == 0))
+            lists = hosts.column("shingles")
+            sizes = lists.value_lengths().to_numpy(False).astype(np.int64)
+            values = pc.list_flatten(lists).to_numpy(False)
+            order = np.argsort(values, kind="stable")
+            owner = np.repeat(np.arange(len(sizes)), sizes)[order]
+            values = values[order]
+            links: list[tuple[int, int]] = []
+            for row in range(guests.num_rows):
+                mine = guests.column("shingles")[row].values.to_numpy(False)
+                low = np.searchsorted(values, mine, "left")
+                many = np.searchsorted(values, mine, "right") - low
+                at = np.arange(int(many.sum())) + np.repeat(low - (np.cumsum(many) - many), many)
+                both = np.bincount(owner[at], minlength=len(sizes))
+                hit = of * both >= least * (len(mine) + sizes - both)
+                links += [(row, int(other)) for other in np.flatnonzero(hit)[:1]]
+            if links:
+                a, b = (pa.array(side, pa.int64()) for side in zip(*links))
+                yield pa.RecordBatch.from_arrays(
+                    [guests.column("rep").take(a), hosts.column("rep").take(b)], ["a", "b"])
+
+    return run
+
+
+def _allowed(similarity: tuple[int, int]) -> int:
+    """Min-hashes of 48 that may differ: in proportion to the share that does at the threshold."""
+    return int(48 * min(1, MISMATCHES * (1 - similarity[0] / similarity[1]) / 0.2))
 
 
 def _may_reach(similarity: tuple[int, int]) -> Column:
@@ -194,8 +333,7 @@ def _may_reach(similarity: tuple[int, int]) -> Column:
         for shift in (1, 2, 3):
             any_bit = any_bit.bitwiseOR(F.shiftrightunsigned(apart, shift))
         unlike += F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
-    allowed = MISMATCHES * (1 - similarity[0] / similarity[1]) / 0.2
-    return (similarity[1] * least >= similarity[0] * most) & (unlike <= int(48 * min(1, allowed)))
+    return (similarity[1] * least >= similarity[0] * most) & (unlike <= _allowed(similarity))
 
 
 def likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -209,9 +347,8 @@ def likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> Da
         "a", "b").distinct()
 
 
-def _confirmed(texts: DataFrame, pairs: DataFrame, kind: str, size: int,
-               similarity: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
+def _full_sets(texts: DataFrame, asked: DataFrame, kind: str, size: int) -> DataFrame:
+    """(rep, shingles): the whole sets of the documents asked for (rep)."""
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches):
@@ -225,14 +362,12 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, kind: str, size: int,
                 ["id", "f1", "f2", "shingles"],
             )
 
-    pairs = cut(pairs)
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = (
-        texts.join(asked, "id", "left_semi")
+    return cut(
+        texts.join(asked.withColumnRenamed("rep", "id"), "id", "left_semi")
         .mapInArrow(full_sets, f"id {kind}, f1 bigint, f2 bigint, shingles array<bigint>")
         .groupBy("id", "f1", "f2").agg(F.first("shingles").alias("shingles"))
+        .select(F.col("id").alias("rep"), "shingles")
     )
-    return similar(pairs, cut(sets.select(F.col("id").alias("rep"), "shingles")), similarity)
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:

@@ -68,8 +68,8 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
                    similarity)
     links = cut(similar(stars, sets, similarity))
     found = cut(components(links, "a", "b"))
-    more = similar(likely(across(buckets, sets, found, similarity), sets, similarity), sets,
-                   similarity)
+    more = across(buckets, sets, found, similarity,
+                  lambda asked: sets.select("rep", "shingles").join(asked, "rep", "left_semi"))
     joined = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
     found = cut(components(joined, "a", "b"))
 
