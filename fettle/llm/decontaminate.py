@@ -196,13 +196,14 @@ def _reporter(block: list[tuple], error_rate: float, id_name: str, item_name: st
                     rows.append(row)
                     found.append((matcher.items[number][0], distance, places,
                                   *_original(text, begin, end)))
-            items, distance, places, begin, end = zip(*found) if found else ([],) * 5
+            if not found:
+                continue
+            items, distance, places, begin, end = zip(*found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(rows, pa.int64())), pa.array(items),
                  pa.array(distance, pa.int32()), pa.array(places, pa.int32()),
                  pa.array(begin, pa.int64()), pa.array(end, pa.int64())],
-                [id_name, item_name, "distance", "n_places", "begin", "end"],
-            ) if found else pa.RecordBatch.from_pylist([])
+                [id_name, item_name, "distance", "n_places", "begin", "end"])
 
     return run
 

@@ -1,0 +1,88 @@
+import random
+import re
+
+import pytest
+
+from fettle.llm import neardup
+from fettle.llm.neardup import near_duplicates
+
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def shingles(text, size):
+    found = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if len(found) < size:
+        return frozenset([tuple(found)]) if found else frozenset()
+    return frozenset(zip(*[found[k:] for k in range(size)]))
+
+
+def brute(data, size):
+    sets = {}
+    for key, text in data:
+        sets.setdefault(key, []).append(shingles(text, size))
+    keys = sorted(sets)
+    parent = {k: k for k in keys}
+
+    def find(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if any(s and t and 100 * len(s & t) >= 80 * len(s | t)
+                   for s in sets[a] for t in sets[b]):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {k: find(k) for k in keys}
+
+
+def corpus():
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = [rng.choice(vocabulary) for _ in range(40)]
+    data = []
+    for base in range(25):
+        text = [rng.choice(vocabulary) for _ in range(rng.randrange(3, 120))]
+        if base % 3 == 0:
+            text = text[:30] + passage  # many documents share a passage
+        data.append(" ".join(text))
+        for _ in range(rng.randrange(0, 6)):
+            copy = list(text)
+            for _ in range(rng.randrange(0, 1 + len(copy) // 12)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            data.append(" ".join(copy).upper() if rng.random() < 0.3 else "  ".join(copy))
+    rng.shuffle(data)
+    return list(enumerate(data))
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_classes_equal_brute_force(spark, size):
+    data = corpus()
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    found = near_duplicates(df, shingle_words=size).collect()
+    want = brute(data, size)
+    assert {r.doc_id: r.component_id for r in found} == want
+    assert {r.doc_id: r.n_shingles for r in found} == {k: len(shingles(t, size)) for k, t in data}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_large_buckets_are_split(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TASK_BUCKET", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    data = corpus()
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    found = near_duplicates(df, shingle_words=2).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute(data, 2)
+
+
+def test_odd_rows(spark):
+    data = [(3, "a b c d e f"), (3, "a b c d e f"), (1, None), (2, ""), (4, " \t"), (None, "a b c d e f"),
+            (5, "A B c d e f"), (9, "x")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "1 AS n", "2 AS component_id", "3 AS rep")
+    found = sorted(map(tuple, near_duplicates(df, shingle_words=2).collect()), key=repr)
+    assert found == sorted([
+        (3, 5, 3, True), (3, 5, 3, True), (1, 0, 1, True), (2, 0, 2, True), (4, 0, 4, True),
+        (None, 5, None, None), (5, 5, 3, False), (9, 1, 9, True)], key=repr)
+    assert near_duplicates(df.limit(0)).collect() == []
