@@ -33,7 +33,7 @@ def vectors():
     rng = random.Random(8)
     data = [(k, [rng.uniform(-1, 1) for _ in range(6)]) for k in range(300)]
     data += [(k, [0.5] * 6) for k in range(300, 420)]  # ties, in every partition
-    data += [(1_000, [1e7] * 6), (1_001, [-1e7, 1e7, 3.0, 0.0, 1e-9, -1e-9])]
+    data += [(1_000, [8e6] * 6), (1_001, [-8e6, 8e6, 3.0, 0.0, 1e-9, -1e-9])]
     data += [(2_000, None), (2_010, [0.1, None, 0.0, 0.0, 0.0, 0.0]), (None, [1.0] * 6),
              (2_020, [float("nan")] * 6), (2_030, [float("inf")] * 6)]
     return data
