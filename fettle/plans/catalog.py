@@ -221,6 +221,20 @@ def packed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.select("split", "chunk_id", digest(F.col("tokens")).alias("tokens_md5"))
 
 
+def packed_answers_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = jobs.packed_answers(
+        dialogue_pairs(spark, sf_dir), ["conv_id", "turn"], test_size=0.2, seq_length=256,
+        epochs=2, max_chunks=30,
+    )
+    return chunks.select("split", "chunk_id", digest(F.col("tokens")).alias("tokens_md5"))
+
+
+def train_chars_per_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratio = jobs.train_chars_per_token(
+        dialogue_pairs(spark, sf_dir), ["conv_id", "turn"], test_size=0.2)
+    return ratio.withColumn("chars_per_token", rounded(F.col("chars_per_token")))
+
+
 def packed_answers_by_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = jobs.packed_answers_by_head(
         dialogue_pairs(spark, sf_dir), ["conv_id", "turn"], n_valid=100, buffer=50,
@@ -619,7 +633,8 @@ QUERIES: dict[str, Query] = {
         chat_prompt_gen, strip_special, generated_part, generated_tokens, head_rows, take_skip,
         take_skip_sizes, fraction_split, fraction_split_wide, shuffle_positions,
         shuffle_blocks, repeat_epochs, repeat_until, batch_plan, batch_plan_generations,
-        token_counts, chars_per_token, chunk_estimate, packed_chunks, packed_answers, packed_answers_by_head, truncate_tokens,
+        token_counts, chars_per_token, chunk_estimate, packed_chunks, packed_answers,
+        packed_answers_epochs, packed_answers_by_head, train_chars_per_token, truncate_tokens,
         agent_tasks, agent_dataset, agent_dataset_graded, special_tokens,
         expand_generations, parse_action, task_reward, outcome_summary, accuracy,
         reward_alignment, alignment_report, agent_round, unique_chars, unique_chars_reward,

@@ -11,7 +11,7 @@ from fettle.functions.hashing import columns_of, seeded_hash
 from fettle.functions.rewards import action_outcome, task_reward
 from fettle.functions.text import with_qa_text, with_tldr_text
 from fettle.operators.groups import group_advantage
-from fettle.operators.packing import pack_sequences
+from fettle.operators.packing import chars_per_token, pack_sequences
 from fettle.operators.scoring import check_aligned
 from fettle.operators.shuffle import plan_batches, repeat_rows, shuffle_blocks
 from fettle.operators.split import fraction_split, head_rows, take_skip
@@ -21,11 +21,12 @@ from fettle.shared import cut
 
 def packed_answers(pairs: DataFrame, key: str | Sequence[str], test_size: float = 0.005,
                    seed: int = 0, seq_length: int = 1024, sep: str = "<eos>",
-                   epochs: int = 1) -> DataFrame:
+                   epochs: int = 1, max_chunks: int | None = None) -> DataFrame:
     """(split, chunk_id, tokens) from (question, response_j): text, split, shuffle, pack.
 
     Each split is a stream of its own, in seeded order. With several epochs the training rows
-    are repeated, each time in another order; the test rows are read once.
+    are repeated, each time in another order; the test rows are read once. ``max_chunks`` cuts
+    the training stream after as many chunks as the steps of a run will read.
     """
     keys = columns_of(key)
     texts = cut(with_qa_text(pairs).select(*keys, "text"))
@@ -35,7 +36,20 @@ def packed_answers(pairs: DataFrame, key: str | Sequence[str], test_size: float
         F.col("epoch") == 0, seeded_hash(seed, *keys)
     ).otherwise(seeded_hash(seed, *keys, "epoch")))
     order = ["epoch", "place", *keys]
-    return pack_sequences(placed, "text", order, seq_length, sep, group_by="split")
+    chunks = pack_sequences(placed, "text", order, seq_length, sep, group_by="split")
+    if max_chunks is None:
+        return chunks
+    return chunks.where((F.col("split") != "train") | (F.col("chunk_id") < max_chunks))
+
+
+def train_chars_per_token(pairs: DataFrame, key: str | Sequence[str], test_size: float = 0.005,
+                          seed: int = 0, n: int = 400) -> DataFrame:
+    """Characters per token of the formatted texts, over the first ``n`` rows of the training
+    split in its seeded order."""
+    keys = columns_of(key)
+    split = fraction_split(with_qa_text(pairs).select(*keys, "text"), keys, test_size, seed)
+    train = split.where(F.col("split") == "train").withColumn("place", seeded_hash(seed, *keys))
+    return chars_per_token(train, "text", ["place", *keys], n)
 
 
 def packed_answers_by_head(pairs: DataFrame, key: str | Sequence[str], n_valid: int = 4000,

@@ -271,6 +271,32 @@ SELECT grp AS split, chunk_id, tokens_md5 FROM ({_packed(f'''
            <= ceil(0.2::DOUBLE * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split,
     row(md5(concat_ws('|', '0', conv_id, turn)), conv_id, turn) AS pos, {QA} AS text
   FROM pairs''', "split", 256)})""",
+    "packed_answers_epochs": f"""
+SELECT grp AS split, chunk_id, tokens_md5 FROM ({_packed(f'''
+  WITH {PAIRS},
+  labelled AS (
+    SELECT *, {QA} AS text, CASE WHEN row_number() OVER (
+        ORDER BY md5(concat_ws('|', '0', conv_id, turn)), conv_id, turn)
+      <= ceil(0.2::DOUBLE * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split
+    FROM pairs
+  )
+  SELECT split, text, row(e, CASE e WHEN 0 THEN md5(concat_ws('|', '0', conv_id, turn))
+      ELSE md5(concat_ws('|', '0', conv_id, turn, e)) END, conv_id, turn) AS pos
+  FROM labelled, range(2) AS r(e) WHERE split = 'train' OR e = 0''', "split", 256)})
+WHERE grp <> 'train' OR chunk_id < 30""",
+    "train_chars_per_token": f"""
+WITH {PAIRS},
+ranked AS (
+  SELECT {QA} AS text, count(*) OVER () AS total, row_number() OVER (
+    ORDER BY md5(concat_ws('|', '0', conv_id, turn)), conv_id, turn) AS n
+  FROM pairs
+),
+first AS (
+  SELECT text FROM ranked WHERE n > ceil(0.2::DOUBLE * total) ORDER BY n LIMIT 400
+)
+SELECT sum(length(text))::BIGINT AS n_chars, sum(len({TOKENS.format("text")}))::BIGINT AS n_tokens,
+  round(sum(length(text)) / sum(len({TOKENS.format("text")}))::DOUBLE, 6) AS chars_per_token
+FROM first""",
     "packed_answers_by_head": f"""
 SELECT grp AS split, chunk_id, tokens_md5 FROM ({_packed(f'''
   WITH {PAIRS},
