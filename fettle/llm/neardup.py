@@ -75,7 +75,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     links = cut(similar(stars, _full_sets(texts, asked, kind, shingle_words), similarity))
     found = cut(components(links, "a", "b"))
     full = lambda asked: _full_sets(texts, asked, kind, shingle_words)
-    more = across(buckets, sets, found, similarity, full)
+    more = across(buckets, sets, found, similarity, full, _first_table)
     joined = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
     found = cut(components(joined, "a", "b"))
 
@@ -148,13 +148,14 @@ def with_leader(members: DataFrame) -> DataFrame:
 
 
 def across(buckets: DataFrame, sets: DataFrame, found: DataFrame, similarity: tuple[int, int],
-           full_sets) -> DataFrame:
+           full_sets, first_key) -> DataFrame:
     """(a, b): links between members of one bucket that are still in different components.
 
-    ``full_sets`` gives the sets (rep, shingles) of a table of (rep). Of the links between two
-    components those found first in each block are returned, at least one.
+    ``full_sets`` gives the sets (rep, shingles) of a table of (rep), ``first_key`` the key of the
+    first bucket that pairs of members share, from their collections and which of them agree. Of
+    the links between two components those found first in each block are returned, at least one.
     """
-    edges = cut(_candidates(buckets, sets, found, similarity))
+    edges = cut(_candidates(buckets, sets, found, similarity, first_key))
     members = found.select(F.col("node").alias("rep"), "component")
     named = edges.select(F.col("a").alias("component")).union(edges.select("b")).distinct()
     members = cut(named.join(members, "component", "left").select(
@@ -191,8 +192,12 @@ def across(buckets: DataFrame, sets: DataFrame, found: DataFrame, similarity: tu
 
 
 def _candidates(buckets: DataFrame, sets: DataFrame, found: DataFrame,
-                similarity: tuple[int, int]) -> DataFrame:
-    """(a, b): components with members in one bucket whose sketches are near enough."""
+                similarity: tuple[int, int], first_key) -> DataFrame:
+    """(a, b): components with members in one bucket whose sketches are near enough.
+
+    Members meet in many tables. Where every bucket is looked at whole, a pair counts in the first
+    one it shares only.
+    """
     labels = found.select(F.col("node").alias("rep"), "component")
     kind = sets.schema["rep"].dataType.simpleString()
     edges = None
@@ -211,9 +216,10 @@ def _candidates(buckets: DataFrame, sets: DataFrame, found: DataFrame,
         large = members.where(F.col("size") > TASK_BUCKET)
         more = level < LEVELS and large.limit(1).count() > 0
         small = members.where(F.col("size") <= TASK_BUCKET) if more else members
-        near = small.select("key", "component", "n", *SKETCH).repartition(
+        whole = level == 0 and not more
+        near = small.select("key", "component", "n", "bands", *SKETCH).repartition(
             "key").sortWithinPartitions("key").mapInArrow(
-            _near_components(similarity), f"a {kind}, b {kind}")
+            _near_components(similarity, first_key if whole else None), f"a {kind}, b {kind}")
         edges = near if edges is None else edges.union(near)
         if not more:
             return edges.distinct()
@@ -246,7 +252,19 @@ def _by_key(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordB
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _near_components(similarity: tuple[int, int]):
+def _first_table(bands: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Key of the first table, in the order of ``_buckets``, whose two collections agree."""
+    rows, count = np.arange(len(bands)), bands.shape[1]
+    left = agree.argmax(axis=1)
+    rest = agree.copy()
+    rest[rows, left] = False
+    right = rest.argmax(axis=1)
+    table = left * count - left * (left + 1) // 2 + right - left - 1
+    salt = words.mix((table + 1).astype(np.uint64) * words.BASE)
+    return words.mix(words.mix(bands[rows, left] ^ salt) ^ bands[rows, right])
+
+
+def _near_components(similarity: tuple[int, int], first_key):
     """Per bucket: pairs of components that have members with near sketches."""
     least, of = similarity
     allowed = _allowed(similarity)
@@ -256,10 +274,14 @@ def _near_components(similarity: tuple[int, int]):
         for bucket in _by_key(batches, "key"):
             component, names = _codes(bucket.column("component"))
             n = bucket.column("n").to_numpy(False)
+            key = np.int64(bucket.column("key")[0].as_py()).view(np.uint64)
+            bands = pc.list_flatten(bucket.column("bands")).to_numpy(False).view(np.uint64)
+            bands = bands.reshape(len(n), -1)
             sketch = [bucket.column(c).to_numpy(False).view(np.uint64) for c in SKETCH]
             near: set[tuple[int, int]] = set()
-            for at in range(0, len(n), 512):
-                mine = slice(at, at + 512)
+            step = max(1, (1 << 18) // len(n))
+            for at in range(0, len(n), step):
+                mine = slice(at, at + step)
                 unlike = np.zeros((len(n[mine]), len(n)), dtype=np.int64)
                 for number in sketch:
                     apart = number[mine, None] ^ number[None, :]
@@ -270,6 +292,10 @@ def _near_components(similarity: tuple[int, int]):
                 large = np.maximum(n[mine, None], n[None, :])
                 row, column = np.nonzero((unlike <= allowed) & (of * small >= least * large)
                                          & (component[mine, None] < component[None, :]))
+                if first_key is not None and len(row):
+                    mine_bands, others = bands[mine][row], bands[column]
+                    here = first_key(others, mine_bands == others) == key
+                    row, column = row[here], column[here]
                 found = np.unique(component[mine][row] * len(names) + component[column])
                 near.update((int(x) // len(names), int(x) % len(names)) for x in found)
             if near:

@@ -69,7 +69,8 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     links = cut(similar(stars, sets, similarity))
     found = cut(components(links, "a", "b"))
     more = across(buckets, sets, found, similarity,
-                  lambda asked: sets.select("rep", "shingles").join(asked, "rep", "left_semi"))
+                  lambda asked: sets.select("rep", "shingles").join(asked, "rep", "left_semi"),
+                  _first_band)
     joined = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
     found = cut(components(joined, "a", "b"))
 
@@ -150,6 +151,13 @@ def _binary(names: np.ndarray) -> pa.Array:
     return fixed.cast(pa.binary())
 
 
+def _first_band(bands: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Key of the first band that agrees."""
+    first = agree.argmax(axis=1)
+    salt = words.mix((first + 1).astype(np.uint64) * words.BASE)
+    return words.mix(bands[np.arange(len(bands)), first] ^ salt)
+
+
 def _keys(size: int, min_words: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts = words.mix(np.arange(1, bands + 1, dtype=np.uint64) * words.BASE)
