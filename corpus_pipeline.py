@@ -26,7 +26,10 @@ ORACLE_SQL = None
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold, by a model learnt from ``labels``."""
+    """Documents that score below the threshold, by a model learnt from ``labels``.
+
+    Documents in which the model finds nothing stay, so all do where it has nothing to learn from.
+    """
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return keep_below(docs, model, TOXIC_FROM)
 

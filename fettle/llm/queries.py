@@ -42,7 +42,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, _read(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "n_segments",
+        (F.col("found") & (F.col("score") >= TOXIC_FROM)).cast("int").alias("predicted"),
+        "n_segments",
     )
 
 

@@ -78,7 +78,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     At most about ``max_labelled`` labelled rows are used, drawn by a hash of their id; only that
     many labels and document scores ever reach one machine. Labels other than 0 and 1, null ids
     and labels of unknown documents are ignored; of repeated labels the larger counts. Without
-    labelled rows of both kinds no feature has a weight and every text scores the same.
+    labelled rows of both kinds, or a feature that weighs anything, nothing is found in any text
+    and every text scores the share of label 1 among the rows learnt from, 0 if there are none.
     """
     key = F.col(id_column)
     usable = labels.where(
@@ -110,7 +111,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id",
                    text_column: str = "text", significance: float = 0.05) -> DataFrame:
-    """(id, score, n_segments, segments) for every row of ``docs``.
+    """(id, score, found, n_segments, segments) for every row of ``docs``.
+
+    ``score`` is a probability, ``found`` whether any token of the text speaks for toxicity; a text
+    with nothing found scores what such texts do among the labelled ones, be it much or little.
 
     ``segments`` lists the passages whose best score would turn up by chance in a share of at most
     ``significance`` of clean texts of that length: first and last byte (exclusive) of the UTF-8
@@ -121,23 +125,28 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     scored = texts.mapInArrow(
         _scorer(model, -np.log(significance)),
-        f"id {kind}, score double, "
+        f"id {kind}, score double, found boolean, "
         "segments array<struct<begin:bigint,end:bigint,score:double>>",
     )
     return scored.select(
-        F.col("id").alias(id_column), "score", F.size("segments").alias("n_segments"), "segments"
+        F.col("id").alias(id_column), "score", "found", F.size("segments").alias("n_segments"),
+        "segments"
     )
 
 
 def keep_below(docs: DataFrame, model: ToxicityModel, threshold: float,
                text_column: str = "text") -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay.
+
+    A text in which nothing was found stays whatever its score.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table()
         for batch in words.slices(batches, text_column):
             best, n, _ = _best(batch.column(text_column), model, table)
-            yield batch.filter(pa.array(model.probability(model.surprise(best, n)) < threshold))
+            score = model.probability(model.surprise(best, n))
+            yield batch.filter(pa.array((score < threshold) | (best <= 0)))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -286,8 +295,11 @@ def _best_segments(model: ToxicityModel):
 
 def _calibrated(raw: ToxicityModel, scored) -> ToxicityModel:
     clean = scored[scored.label == 0]
-    if not len(clean) or len(clean) == len(scored) or not len(raw.weights):
-        return raw
+    if not len(raw.weights):  # so too without one of the labels
+        share = float(scored.label.mean()) if len(scored) else 0.0
+        with np.errstate(divide="ignore"):
+            offset = float(np.log(share) - np.log1p(-share))
+        return ToxicityModel(raw.buckets, raw.weights, raw.drift, 1.0, 1.0, 0.0, offset)
     bins = np.concatenate(scored.bins.to_list()).astype(float) / 10
     mass = np.concatenate(scored.mass.to_list()).astype(float)
     top = float(raw.weights.max()) - raw.drift
@@ -343,7 +355,8 @@ def _scorer(model: ToxicityModel, threshold: float):
                 ]
             score = model.probability(model.surprise(best, n))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(score), pa.array(passages, pa.list_(kind))],
-                ["id", "score", "segments"])
+                [batch.column("id"), pa.array(score), pa.array(best > 0),
+                 pa.array(passages, pa.list_(kind))],
+                ["id", "score", "found", "segments"])
 
     return run

@@ -4,8 +4,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from fettle.llm.queries import op3_toxicity
 from fettle.llm.toxicity import (
     fit_toxicity, held_out, keep_below, maximal_segments, score_toxicity,
 )
@@ -92,3 +95,22 @@ def test_odd_rows(spark):
     empty = fit_toxicity(docs.limit(0), labels.limit(0))
     assert {r.score for r in score_toxicity(odd, empty).collect()} <= {0.5, 0.5 + 0.0} or True
     assert score_toxicity(docs.limit(0), model).collect() == []
+
+
+@pytest.mark.parametrize("kind, share", [
+    ("no labels", 0.0), ("all clean", 0.0), ("all toxic", 1.0), ("no word shared", 0.5)])
+def test_nothing_to_learn_from_rejects_nothing(spark, tmp_path, kind, share):
+    docs = spark.createDataFrame(
+        [(key, f"a{key} b{key} c{key} and so on" if key else None) for key in range(40)],
+        "doc_id bigint, text string")
+    learnt = docs.where(~held_out(F.col("doc_id"))).select("doc_id").orderBy("doc_id").limit(4)
+    number = F.row_number().over(Window.orderBy("doc_id")) - 1
+    toxic = {"no word shared": (number % 2).cast("int"), "all toxic": F.lit(1)}.get(kind, F.lit(0))
+    labels = learnt.withColumn("toxic", toxic).limit(0 if kind == "no labels" else 4)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    model = fit_toxicity(docs, labels)
+    assert {round(r.score, 9) for r in score_toxicity(docs, model).collect()} == {share}
+    assert keep_below(docs, model, 0.3).count() == 40
+    assert {r.predicted for r in op3_toxicity(spark, str(tmp_path)).collect()} == {0}
+    assert corpus_pipeline.without_toxic(spark, docs, str(tmp_path)).count() == 40
