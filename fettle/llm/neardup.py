@@ -13,8 +13,8 @@ its 48 min-hashes, kept to four bits each, differ, which a pair at s = 0.8 excee
 million. What leaves a bucket is not its candidates but which components have some. Of two such
 components the members of the smaller are then compared with all of the larger, on full sets and
 in blocks, so that a set is moved once per block and not once per pair. Buckets too large for one
-task, as a passage that very many documents share makes them, are first split by further
-collections.
+task, as a passage that very many documents share makes them, are cut into blocks of members too,
+and every two blocks are compared in a task of their own; no pair is left out.
 """
 
 from __future__ import annotations
@@ -32,9 +32,7 @@ from fettle.llm import words
 from fettle.llm.components import components
 from fettle.shared import cut
 
-TASK_BUCKET = 4_096  # members of a bucket that one task looks at; more are split first
-SPLITS = 2  # further collections by which a large bucket is split, each on its own
-LEVELS = 8  # times it can be split; what is left shares most of its min-hashes
+TASK_BUCKET = 4_096  # members of a block of a bucket; a task compares two blocks
 BLOCK = 256  # sets of either side compared in one task
 MISMATCHES = 22 / 48
 SKETCH = ["s0", "s1", "s2"]  # 16 min-hashes of four bits each in every number
@@ -195,44 +193,34 @@ def _candidates(buckets: DataFrame, sets: DataFrame, found: DataFrame,
                 similarity: tuple[int, int], first_key) -> DataFrame:
     """(a, b): components with members in one bucket whose sketches are near enough.
 
-    Members meet in many tables. Where every bucket is looked at whole, a pair counts in the first
-    one it shares only.
+    Members meet in many tables; a pair counts in the first bucket it shares only. All members of a
+    bucket are compared with all others, block by block, so its size changes nothing but the number
+    of tasks.
     """
     labels = found.select(F.col("node").alias("rep"), "component")
     kind = sets.schema["rep"].dataType.simpleString()
-    edges = None
-    for level in range(LEVELS + 1):
-        leaders = buckets.groupBy("key").agg(
-            F.min("leader").alias("rep"), (F.count(F.lit(1)) + 1).alias("size")).where("size > 2")
-        members = buckets.select("key", "rep").join(leaders.select("key"), "key", "left_semi")
-        members = members.union(leaders.select("key", "rep")).join(labels, "rep", "left").select(
-            "key", "rep", F.coalesce("component", "rep").alias("component"))
-        mixed = members.groupBy("key").agg(
-            (F.min("component") != F.max("component")).alias("mixed"),
-            F.count(F.lit(1)).alias("size"),
-        ).where("mixed").select("key", "size")
-        members = cut(members.join(mixed, "key").join(
-            sets.select("rep", "n", "bands", *SKETCH), "rep"))
-        large = members.where(F.col("size") > TASK_BUCKET)
-        more = level < LEVELS and large.limit(1).count() > 0
-        small = members.where(F.col("size") <= TASK_BUCKET) if more else members
-        whole = level == 0 and not more
-        near = small.select("key", "component", "n", "bands", *SKETCH).repartition(
-            "key").sortWithinPartitions("key").mapInArrow(
-            _near_components(similarity, first_key if whole else None), f"a {kind}, b {kind}")
-        edges = near if edges is None else edges.union(near)
-        if not more:
-            return edges.distinct()
-        # One more collection in the key; which ones differs between buckets and levels.
-        count = F.size("bands")
-        which = F.pmod(F.xxhash64("key", F.lit(level)), count.cast("bigint")).cast("int")
-        parts = large.withColumn("which", which).withColumn("step", F.explode(
-            F.sequence(F.lit(0), F.lit(SPLITS - 1))))
-        at = F.pmod(F.col("which") + F.col("step") * 3, count)
-        parts = parts.select(
-            F.xxhash64("key", at, F.element_at("bands", at + 1)).alias("key"), "rep")
-        buckets = cut(with_leader(parts))
-    raise AssertionError
+    leaders = buckets.groupBy("key").agg(
+        F.min("leader").alias("rep"), (F.count(F.lit(1)) + 1).alias("size")).where("size > 2")
+    members = buckets.select("key", "rep").join(leaders.select("key"), "key", "left_semi")
+    members = members.union(leaders.select("key", "rep")).join(labels, "rep", "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = members.groupBy("key").agg(
+        (F.min("component") != F.max("component")).alias("mixed"),
+        F.ceil(F.count(F.lit(1)) / TASK_BUCKET).alias("blocks"),
+    ).where("mixed").select("key", "blocks")
+    members = cut(members.join(mixed, "key").join(
+        sets.select("rep", "n", "bands", *SKETCH), "rep"))
+    # A member goes to the tasks of its block with every other; side 1 is the block of the two
+    # with the larger number, and a block alone in its task is compared with itself.
+    members = members.withColumn("mine", F.pmod(F.xxhash64("rep"), "blocks")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    task = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
+    return (
+        members.select(task.alias("task"), (F.col("mine") > F.col("other")).cast("int").alias("side"),
+                       "key", "component", "n", "bands", *SKETCH)
+        .repartition("task").sortWithinPartitions("task")
+        .mapInArrow(_near_components(similarity, first_key), f"a {kind}, b {kind}").distinct()
+    )
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
@@ -265,38 +253,42 @@ def _first_table(bands: np.ndarray, agree: np.ndarray) -> np.ndarray:
 
 
 def _near_components(similarity: tuple[int, int], first_key):
-    """Per bucket: pairs of components that have members with near sketches."""
+    """Per pair of blocks of a bucket: pairs of components that have members with near sketches."""
     least, of = similarity
     allowed = _allowed(similarity)
     ones = np.uint64(0x1111111111111111)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket in _by_key(batches, "key"):
-            component, names = _codes(bucket.column("component"))
-            n = bucket.column("n").to_numpy(False)
-            key = np.int64(bucket.column("key")[0].as_py()).view(np.uint64)
-            bands = pc.list_flatten(bucket.column("bands")).to_numpy(False).view(np.uint64)
+        for task in _by_key(batches, "task"):
+            component, names = _codes(task.column("component"))
+            n = task.column("n").to_numpy(False)
+            key = np.int64(task.column("key")[0].as_py()).view(np.uint64)
+            bands = pc.list_flatten(task.column("bands")).to_numpy(False).view(np.uint64)
             bands = bands.reshape(len(n), -1)
-            sketch = [bucket.column(c).to_numpy(False).view(np.uint64) for c in SKETCH]
+            sketch = [task.column(c).to_numpy(False).view(np.uint64) for c in SKETCH]
+            side = task.column("side").to_numpy(False)
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            right = right if len(right) else left
             near: set[tuple[int, int]] = set()
-            step = max(1, (1 << 18) // len(n))
-            for at in range(0, len(n), step):
-                mine = slice(at, at + step)
-                unlike = np.zeros((len(n[mine]), len(n)), dtype=np.int64)
+            step = max(1, (1 << 18) // max(1, len(right)))
+            for at in range(0, len(left), step):
+                mine = left[at:at + step]
+                unlike = np.zeros((len(mine), len(right)), dtype=np.int64)
                 for number in sketch:
-                    apart = number[mine, None] ^ number[None, :]
+                    apart = number[mine, None] ^ number[None, right]
                     apart = (apart | apart >> np.uint64(1) | apart >> np.uint64(2)
                              | apart >> np.uint64(3)) & ones
                     unlike += np.bitwise_count(apart)
-                small = np.minimum(n[mine, None], n[None, :])
-                large = np.maximum(n[mine, None], n[None, :])
+                small = np.minimum(n[mine, None], n[None, right])
+                large = np.maximum(n[mine, None], n[None, right])
                 row, column = np.nonzero((unlike <= allowed) & (of * small >= least * large)
-                                         & (component[mine, None] < component[None, :]))
-                if first_key is not None and len(row):
-                    mine_bands, others = bands[mine][row], bands[column]
-                    here = first_key(others, mine_bands == others) == key
+                                         & (component[mine, None] != component[None, right]))
+                row, column = mine[row], right[column]
+                if len(row):
+                    here = first_key(bands[column], bands[row] == bands[column]) == key
                     row, column = row[here], column[here]
-                found = np.unique(component[mine][row] * len(names) + component[column])
+                one, two = component[row], component[column]
+                found = np.unique(np.minimum(one, two) * len(names) + np.maximum(one, two))
                 near.update((int(x) // len(names), int(x) % len(names)) for x in found)
             if near:
                 a, b = (pa.array(side, pa.int64()) for side in zip(*sorted(near)))

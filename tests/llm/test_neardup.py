@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from fettle.llm import neardup
@@ -86,3 +87,22 @@ def test_odd_rows(spark):
         (3, 5, 3, True), (3, 5, 3, True), (1, 0, 1, True), (2, 0, 2, True), (4, 0, 4, True),
         (None, 5, None, None), (5, 5, 3, False), (9, 1, 9, True)], key=repr)
     assert near_duplicates(df.limit(0)).collect() == []
+
+
+def test_a_large_bucket_loses_no_pair(spark, monkeypatch):
+    """Members of one bucket agree on its two collections and on nothing else."""
+    monkeypatch.setattr(neardup, "TASK_BUCKET", 4)
+    rng = np.random.default_rng(4)
+    bands = rng.integers(-2**62, 2**62, (30, 16))
+    bands[:, :2] = 7
+    sketch = rng.integers(-2**62, 2**62, (30, 3))
+    twins = [(3, 9), (5, 28), (11, 12), (20, 29)]
+    for a, b in twins:
+        sketch[b] = sketch[a]
+    sets = spark.createDataFrame(
+        [(k, 50, bands[k].tolist(), *sketch[k].tolist()) for k in range(30)],
+        "rep bigint, n bigint, bands array<bigint>, s0 bigint, s1 bigint, s2 bigint")
+    buckets = neardup._buckets(sets, "bigint", 16)
+    found = spark.createDataFrame([], "node bigint, component bigint")
+    near = neardup._candidates(buckets, sets, found, (80, 100), neardup._first_table)
+    assert sorted(map(tuple, near.collect())) == twins
