@@ -5,6 +5,12 @@ set, is read as its sentences. Paragraphs with equal word sequences are one node
 in a band of min-hashes collide; ``bands_for`` finds the number of bands that misses a pair at the
 threshold with at most a given probability. Collisions are confirmed on the full shingle sets,
 and all links of a component make one cluster, of which the first occurrence stays.
+
+What repeats under other line breaks or stops, or in lines and sentences too short for a paragraph,
+is found as runs: ``RUN`` neighbouring words, wherever lines end. Of every ``ANCHORS`` runs in a row
+the one with the least hash counts, so equal stretches have equal runs, and one of at least
+``RUN + ANCHORS - 1`` words always has some, which leave at most ``ANCHORS - 1`` words at either end.
+Runs of equal words are a cluster; those that the paragraphs remove already are not counted again.
 """
 
 from __future__ import annotations
@@ -23,6 +29,9 @@ from fettle.llm.neardup import SKETCH, across, likely, similar, sketches, with_l
 from fettle.shared import cut
 
 LONG_LINE = 25
+RUN = 16
+ANCHORS = 8  # a power of two
+BLOCK = 64  # words by which runs and paragraphs of a text are brought together
 SKETCHED = 48  # min-hashes of the paragraphs that collide
 
 STOP = np.zeros(256, dtype=bool)
@@ -37,19 +46,22 @@ def bands_for(similarity: float, miss: float, rows: int) -> int:
 def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                       shingle_words: int = 5, similarity: tuple[int, int] = (80, 100),
                       min_words: int = 8, rows: int = 2, miss: float = 5e-4) -> DataFrame:
-    """(id, passage, begin, end, n_words, keep_id, keep_passage, removed): clustered paragraphs.
+    """(id, passage, begin, end, n_words, keep_id, keep_passage, removed): paragraphs and runs.
 
-    One row for each paragraph whose cluster has at least two occurrences, in one text or several.
+    One row for each paragraph whose cluster has at least two occurrences, in one text or several,
+    and for each run that still has two after the removal of paragraphs. A run's ``passage`` is its
+    first word's number plus the number of paragraphs, so they never meet; runs may overlap.
     ``passage`` is its number in the text, from 0, ``begin`` and ``end`` its bytes. The occurrence
     with the smallest (id, passage), null ids last, stays; the others have ``removed``. Words are
-    runs without ASCII white space, A-Z lower-cased; paragraphs under ``min_words`` words are not
-    looked at. Null and empty texts have no paragraphs. Rows that repeat an id have equal places,
+    runs without ASCII white space, A-Z lower-cased; paragraphs under ``min_words`` words are
+    looked at in runs only, which are whole texts where those have ``min_words`` to ``RUN`` words. Null and empty texts have no paragraphs. Rows that repeat an id have equal places,
     so a repeated row that holds the first occurrence keeps it in each copy.
     """
     if min_words < shingle_words:
         raise ValueError("paragraphs need at least as many words as a shingle")
     kind = docs.schema[id_column].dataType.simpleString()
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
+                        F.xxhash64(F.col(text_column).cast("string")).alias("t"))
     bands = bands_for(similarity[0] / similarity[1], miss, rows)
 
     keyed = texts.select("text").mapInArrow(
@@ -75,8 +87,8 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     found = cut(components(joined, "a", "b"))
 
     places = texts.mapInArrow(
-        _places(min_words), f"id {kind}, passage bigint, begin bigint, end bigint, "
-        "n_words bigint, rep binary")
+        _places(min_words), f"id {kind}, t bigint, passage bigint, at bigint, begin bigint, "
+        "end bigint, n_words bigint, rep binary")
     here = F.struct(F.col("id").isNull().alias("unnamed"), "id", "passage")
     kinds = places.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("keep"))
     kinds = cut(
@@ -86,11 +98,42 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     )
     clusters = kinds.groupBy("cluster").agg(F.sum("n").alias("n"), F.min("keep").alias("keep"))
     chosen = kinds.select("rep", "cluster").join(clusters.where("n > 1"), "cluster")
-    return places.join(chosen.select("rep", "keep"), "rep").select(
+    clustered = cut(places.join(chosen.select("rep", "keep"), "rep").withColumn(
+        "removed", ~here.eqNullSafe(F.col("keep"))))
+
+    runs = cut(_left_over(texts, clustered.where("removed"), kind, min_words))
+    again = runs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("keep"))
+    runs = runs.join(again.where("n > 1"), ["u", "v"]).withColumn(
+        "removed", ~here.eqNullSafe(F.col("keep")))
+    columns = [
         F.col("id").alias(id_column), "passage", "begin", "end", "n_words",
-        F.col("keep.id").alias("keep_id"), F.col("keep.passage").alias("keep_passage"),
-        (~here.eqNullSafe(F.col("keep"))).alias("removed"),
-    )
+        F.col("keep.id").alias("keep_id"), F.col("keep.passage").alias("keep_passage"), "removed",
+    ]
+    return clustered.select(*columns).union(runs.select(*columns))
+
+
+def _left_over(texts: DataFrame, removed: DataFrame, kind: str, min_words: int) -> DataFrame:
+    """Runs that may occur twice and have a word outside of the ``removed`` paragraphs."""
+    every = texts.mapInArrow(
+        _runs(min_words), f"u bigint, v bigint, id {kind}, t bigint, passage bigint, at bigint, "
+        "begin bigint, end bigint, n_words bigint")
+    twice = every.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+    runs = cut(every.join(twice, "u", "left_semi"))
+    # Both sides by stretches of BLOCK words, so that a long text is no product of its own.
+    last = F.expr(f"(at + n_words - 1) div {BLOCK}")
+    blocks = F.explode(F.sequence(F.expr(f"at div {BLOCK}"), last)).alias("block")
+    one = runs.select("id", "t", "at", "n_words", blocks).distinct()
+    two = removed.select(
+        F.col("id").alias("p_id"), F.col("t").alias("p_t"), F.col("at").alias("p_at"),
+        F.col("n_words").alias("p_words"), blocks.alias("p_block")).distinct()
+    low = F.greatest("at", "p_at", F.col("block") * BLOCK)
+    high = F.least(F.expr("at + n_words"), F.expr("p_at + p_words"), (F.col("block") + 1) * BLOCK)
+    gone = one.join(two, F.col("id").eqNullSafe(F.col("p_id")) & F.col("t").eqNullSafe(F.col("p_t"))
+                    & (F.col("block") == F.col("p_block"))).groupBy(
+        F.col("id").alias("g_id"), F.col("t").alias("g_t"), F.col("at").alias("g_at"), "n_words"
+    ).agg(F.sum(F.greatest(high - low, F.lit(0))).alias("covered")).where("covered >= n_words")
+    return runs.join(gone.drop("n_words"), F.col("id").eqNullSafe(F.col("g_id"))
+                     & (F.col("t") == F.col("g_t")) & (F.col("at") == F.col("g_at")), "left_anti")
 
 
 class Paragraphs:
@@ -114,6 +157,8 @@ class Paragraphs:
         count = np.diff(np.append(begin, len(starts)))
         owner = text[begin]
         number = np.arange(len(begin)) - np.searchsorted(owner, owner)
+        self.total = np.bincount(owner, minlength=len(offsets) - 1)
+        self.starts, self.ends, self.offsets, self.words = starts, ends, offsets, first
         keep = np.flatnonzero(count >= min_words)
         self.first, self.count, self.text = begin[keep], count[keep], owner[keep]
         self.number = number[keep]
@@ -144,6 +189,78 @@ class Paragraphs:
         return whole[np.repeat(self.first, each) + inside], begin
 
 
+def runs(hashes: np.ndarray, first: np.ndarray, min_words: int):
+    """(text, first word, words, two hashes) of the runs that count, in order.
+
+    ``hashes`` are those of the words, ``first`` is the first word of each text. Of runs of one
+    text with equal words none overlap.
+    """
+    size = np.diff(first)
+    text = np.repeat(np.arange(len(size)), size)
+    u, v = hashes, words.mix(hashes ^ words.BASE)
+    width = 1
+    while width < RUN:
+        u, v = (words.mix(x[:-width] * words.BASE ^ x[width:]) + np.uint64(width) for x in (u, v))
+        width *= 2
+    least = u
+    width = 1
+    while width < ANCHORS:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    chosen = np.zeros(len(u), dtype=bool)
+    windows = np.flatnonzero(text[:len(least)] == text[RUN + ANCHORS - 2:])
+    for k in range(ANCHORS):
+        chosen[windows[u[windows + k] == least[windows]] + k] = True
+    whole = []
+    for i in np.flatnonzero((size >= min_words) & (size < RUN + ANCHORS - 1)).tolist():
+        if size[i] < RUN:
+            whole.append(i)
+        else:
+            own = slice(first[i], first[i + 1] - RUN + 1)
+            chosen[own] |= u[own] == u[own].min()
+    at = np.flatnonzero(chosen)
+    order = np.lexsort((at, u[at], text[at]))
+    at = at[order]
+    same = np.zeros(len(at), dtype=bool)
+    same[1:] = (u[at[1:]] == u[at[:-1]]) & (text[at[1:]] == text[at[:-1]])
+    keep = np.ones(len(at), dtype=bool)
+    last = 0
+    for k in np.flatnonzero(same).tolist():
+        last = last if k and same[k - 1] else k - 1
+        keep[k] = at[k] - at[last] >= RUN
+        last = k if keep[k] else last
+    at = np.sort(at[keep])
+    short = np.array(whole, dtype=np.int64)
+    names = np.zeros((2, len(short)), dtype=np.uint64)
+    for k, i in enumerate(whole):
+        for row, salt in enumerate((np.uint64(0), words.BASE)):
+            value = np.array([size[i]], dtype=np.uint64)
+            own = words.mix(hashes[first[i]:first[i + 1]] ^ salt)
+            for step in range(size[i]):
+                value = words.mix(words.mix(value * words.BASE) ^ own[step:step + 1])
+            names[row, k] = value[0]
+    return (np.concatenate((text[at], short)), np.concatenate((at, first[short])),
+            np.concatenate((np.full(len(at), RUN), size[short])),
+            np.concatenate((u[at], names[0])), np.concatenate((v[at], names[1])))
+
+
+def _runs(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.slices(batches):
+            found = Paragraphs(batch.column("text"), min_words)
+            text, at, count, u, v = runs(found.hashes, found.words, min_words)
+            which = pa.array(text)
+            inside = at - found.words[text]
+            yield pa.RecordBatch.from_arrays(
+                [words.signed(u), words.signed(v), batch.column("id").take(which),
+                 batch.column("t").take(which), pa.array(found.total[text] + inside),
+                 pa.array(inside), pa.array(found.starts[at] - found.offsets[text]),
+                 pa.array(found.ends[at + count - 1] - found.offsets[text]), pa.array(count)],
+                ["u", "v", "id", "t", "passage", "at", "begin", "end", "n_words"])
+
+    return run
+
+
 def _binary(names: np.ndarray) -> pa.Array:
     """Names as Spark's BINARY."""
     fixed = pa.FixedSizeBinaryArray.from_buffers(
@@ -207,9 +324,10 @@ def _places(min_words: int):
         for batch in words.slices(batches):
             found = Paragraphs(batch.column("text"), min_words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(found.text)), pa.array(found.number),
-                 pa.array(found.begin), pa.array(found.end), pa.array(found.count),
+                [batch.column("id").take(pa.array(found.text)),
+                 batch.column("t").take(pa.array(found.text)), pa.array(found.number),
+                 pa.array(found.first - found.words[found.text]), pa.array(found.begin), pa.array(found.end), pa.array(found.count),
                  _binary(found.names())],
-                ["id", "passage", "begin", "end", "n_words", "rep"])
+                ["id", "t", "passage", "at", "begin", "end", "n_words", "rep"])
 
     return run

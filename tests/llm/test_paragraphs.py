@@ -91,3 +91,33 @@ def test_bands_reach_the_recall_asked_for():
     for rows in (1, 2, 3):
         bands = bands_for(0.8, 1e-3, rows)
         assert (1 - 0.8**rows) ** bands <= 1e-3 < (1 - 0.8**rows) ** (bands - 1)
+
+
+def test_every_shared_run_of_51_words_has_a_shared_passage(spark):
+    """Passages set inline without stops, wrapped anew, and in short lines."""
+    rng = random.Random(8)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    passages = [fresh(51) for _ in range(4)]
+    data = []
+    for key in range(40):
+        passage, style = passages[key % 4], key // 4 % 4
+        text = fresh(rng.randrange(3, 30)) + passage + fresh(rng.randrange(3, 30))
+        width = (7, 11, 6, 200)[style]
+        lines = [" ".join(text[k:k + width]) for k in range(0, len(text), width)]
+        data.append((key, "\n".join(lines)))
+    short = "five words in one line\nand then four more"
+    data += [(50, short), (51, short), (52, short + " here"), (60, "na " * 100)]
+    found = repeated_passages(spark.createDataFrame(data, "doc_id bigint, text string")).collect()
+    texts = {key: text.encode() for key, text in data}
+    words_of = lambda r, key: texts[key][r.begin:r.end].decode().split()
+    assert all(len(words_of(r, r.doc_id)) == r.n_words for r in found)
+    for key in range(40):
+        mine = [r for r in found if r.doc_id == key]
+        assert {r.keep_id % 4 for r in mine} == {key % 4}
+        gone = {w for r in mine if r.removed for w in words_of(r, key)}
+        assert not gone if key < 4 else len(gone & set(passages[key % 4])) >= 51 - 14
+    assert sorted((r.doc_id, r.keep_id, r.removed) for r in found if r.doc_id in (50, 51, 52)) == [
+        (50, 50, False), (51, 50, True)]
+    own = sorted((r.begin, r.end, r.removed) for r in found if r.doc_id == 60)
+    assert own and all(a[1] <= b[0] for a, b in zip(own, own[1:])) and not own[0][2]
+    assert all(r.removed or r.doc_id == r.keep_id for r in found)
