@@ -8,8 +8,8 @@ two collections agree: with p = s**rows they are missed with probability
 
 Copies with equal shingle sets are one node. In a table, members of a bucket are first compared
 with its smallest member only, and the links found so are contracted. Buckets that still hold
-different components are looked at by sketches: a pair is a candidate if at most ``MISMATCHES`` of
-its 48 min-hashes, kept to four bits each, differ, which a pair at s = 0.8 exceeds once in a
+different components are looked at by sketches: a pair is a candidate if at most 24 (for s = 0.8)
+of its 48 min-hashes, kept to four bits each, differ, which a pair at s exceeds less than once in a
 million. What leaves a bucket is not its candidates but which components have some. Of two such
 components the members of the smaller are then compared with all of the larger, on full sets and
 in blocks, so that a set is moved once per block and not once per pair. Buckets too large for one
@@ -19,6 +19,7 @@ and every two blocks are compared in a task of their own; no pair is left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -34,7 +35,7 @@ from fettle.shared import cut
 
 TASK_BUCKET = 4_096  # members of a block of a bucket; a task compares two blocks
 BLOCK = 256  # sets of either side compared in one task
-MISMATCHES = 22 / 48
+RARE = 1_000_000  # a sketch fails a pair at the threshold less than once in so many
 SKETCH = ["s0", "s1", "s2"]  # 16 min-hashes of four bits each in every number
 
 
@@ -337,8 +338,13 @@ def _compared(similarity: tuple[int, int]):
 
 
 def _allowed(similarity: tuple[int, int]) -> int:
-    """Min-hashes of 48 that may differ: in proportion to the share that does at the threshold."""
-    return int(48 * min(1, MISMATCHES * (1 - similarity[0] / similarity[1]) / 0.2))
+    """Min-hashes of 48 that may differ: a pair at the threshold exceeds it with chance < RARE."""
+    least, of = similarity
+    ways = [math.comb(48, k) * (of - least)**k * least**(48 - k) for k in range(49)]
+    limit = 48
+    while limit and sum(ways[limit:]) * RARE < of**48:
+        limit -= 1
+    return limit
 
 
 def _may_reach(similarity: tuple[int, int]) -> Column:

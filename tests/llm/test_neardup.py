@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -106,3 +107,11 @@ def test_a_large_bucket_loses_no_pair(spark, monkeypatch):
     found = spark.createDataFrame([], "node bigint, component bigint")
     near = neardup._candidates(buckets, sets, found, (80, 100), neardup._first_table)
     assert sorted(map(tuple, near.collect())) == twins
+
+
+@pytest.mark.parametrize("least", [50, 70, 80, 90, 100])
+def test_a_sketch_fails_a_pair_at_the_threshold_less_than_once_in_a_million(least):
+    tail = lambda most: sum(math.comb(48, k) * (1 - least / 100)**k * (least / 100)**(48 - k)
+                            for k in range(most + 1, 49))
+    limit = neardup._allowed((least, 100))
+    assert tail(limit) < 1e-6 and (limit == 0 or tail(limit - 1) >= 1e-6)
