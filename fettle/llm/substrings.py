@@ -260,7 +260,7 @@ def _repeats(pieces: DataFrame, length: int) -> DataFrame:
         found = flags if found is None else found.union(flags)
         if not some:
             break
-        half //= 2
+        half = (half + 1) // 2  # never under half: every string of a part holds its core
         halves = cut(pieces.join(heavy, "core", "left_semi").mapInArrow(
             _halver(length, half), "old_core bigint, old_piece bigint, at int, " + _PIECE))
         mine = halves.select("old_core", "old_piece", "at", "core", "piece")
