@@ -38,16 +38,18 @@ def op2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document; labels that are held out are never learnt from."""
     docs = _read(spark, sf_dir, "documents")
     model = fit_toxicity(docs, _read(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-        (F.col("found") & (F.col("score") >= TOXIC_FROM)).cast("int").alias("predicted"),
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
         "n_segments",
     )
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
     return token_counts(_read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
@@ -65,12 +67,14 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows by integer inner product for every 50th vector."""
     vectors = _read(spark, sf_dir, "embeddings").select(
         "vec_id", quantized(F.col("embedding")).alias("embedding"))
     return top_inner_products(vectors, F.col("vec_id") % 50 == 0)
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, on shingles of two words."""
     return near_duplicates(_read(spark, sf_dir, "documents"), shingle_words=2)
 
 
@@ -82,6 +86,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of all sources takes."""
     return mix_sources(_read(spark, sf_dir, "documents"))
 
 

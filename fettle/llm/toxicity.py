@@ -55,9 +55,12 @@ class ToxicityModel:
         return table
 
     def surprise(self, best: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Minus the log of the chance of a segment as good in ``n`` clean tokens."""
+        """Minus the log of the chance of a segment as good in ``n`` clean tokens.
+
+        Every text reaches a best score of zero, so nothing found is no surprise at any length.
+        """
         expected = self.scale * n * np.exp(-self.rate * best)
-        chance = -np.expm1(-expected)
+        chance = np.where(best > 0, -np.expm1(-expected), 1.0)
         return np.clip(-np.log(np.maximum(chance, 1e-300)), 0, MAX_SURPRISE)
 
     def probability(self, surprise: np.ndarray) -> np.ndarray:

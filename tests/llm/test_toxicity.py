@@ -93,7 +93,7 @@ def test_odd_rows(spark):
     assert len(found) == 6 and all(0 <= r.score <= 1 for r in found)
     assert [r.n_segments for r in found if r.doc_id in (1, 2, 4)] == [0] * 4
     empty = fit_toxicity(docs.limit(0), labels.limit(0))
-    assert {r.score for r in score_toxicity(odd, empty).collect()} <= {0.5, 0.5 + 0.0} or True
+    assert {r.score for r in score_toxicity(odd, empty).collect()} == {0.0}
     assert score_toxicity(docs.limit(0), model).collect() == []
 
 
@@ -112,5 +112,19 @@ def test_nothing_to_learn_from_rejects_nothing(spark, tmp_path, kind, share):
     model = fit_toxicity(docs, labels)
     assert {round(r.score, 9) for r in score_toxicity(docs, model).collect()} == {share}
     assert keep_below(docs, model, 0.3).count() == 40
-    assert {r.predicted for r in op3_toxicity(spark, str(tmp_path)).collect()} == {0}
+    assert {r.predicted for r in op3_toxicity(spark, str(tmp_path)).collect()} == {
+        int(share >= 0.3)}
     assert corpus_pipeline.without_toxic(spark, docs, str(tmp_path)).count() == 40
+
+
+def test_predicted_is_the_score_at_its_threshold(spark, tmp_path):
+    docs, labels = corpus(spark, 600)
+    odd = spark.createDataFrame([(10_000 + k, t) for k, t in enumerate(
+        ["", None, "a", "bap", "grumph", "..."])], docs.schema)
+    docs.union(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    found = op3_toxicity(spark, str(tmp_path)).collect()
+    assert len(found) == 606
+    assert all(r.predicted == int(r.score >= 0.3) for r in found)
+    nothing = {r.score for r in found if r.doc_id in (10_000, 10_001, 10_002, 10_005)}
+    assert len(nothing) == 1 and nothing.pop() < 0.3  # whatever their length
