@@ -11,6 +11,7 @@ Queries are taken in blocks of ``QUERY_BLOCK``, the only thing that is broadcast
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,19 +26,20 @@ QUERY_BLOCK = 2_048
 ROW_BLOCK = 1_024  # rows scored at a time in a task
 BINS = 256
 EXACT = float(1 << 53)
+FITS = float(1 << 62)  # no sum below it, rounded as it may be, passes 64 bits
 
 
 def quantized(vector: Column, steps: int = 256) -> Column:
     """floor(steps * x) of every component, x as double; null if a component is null or not finite.
 
-    Components beyond 2**31 / steps are an error: their scores would not fit.
+    Components whose multiple is no BIGINT are an error.
     """
     value = vector.cast("array<double>")
     good = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     whole = F.transform(value, lambda x: F.floor(x * steps))
-    fits = F.forall(value, lambda x: F.abs(x * steps) <= float(1 << 31))
+    fits = F.forall(value, lambda x: F.abs(x * steps) < float(1 << 63))
     return F.when(good, F.when(fits, whole).otherwise(
-        F.raise_error(F.lit("a component is too large to be scored"))))
+        F.raise_error(F.lit("a component is too large for a BIGINT"))))
 
 
 def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5,
@@ -49,7 +51,8 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5,
     a candidate. Ties go to the smaller id, ranks begin at 1; with fewer candidates than ``k`` all
     are returned. Vectors of another length than a query's are no candidates of it. Rows that
     repeat an id are separate candidates; a query id that is repeated asks once per row and is
-    answered once, by the copy that sorts first.
+    answered once, by the copy that sorts first. A score beyond a BIGINT is an error that names
+    both rows; large components alone are not.
     """
     spark = vectors.sparkSession
     rows = cut(vectors.where(F.col(id_column).isNotNull()).select(
@@ -59,12 +62,13 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5,
     asked = rows.where("asks").groupBy("id").agg(F.min("vector").alias("vector"))
     total = asked.count()
     blocks = -(-total // QUERY_BLOCK)
-    answers = None
+    answers = None  # each block's are written, so that no more than one block's queries are held
     for number in range(blocks):
         mine = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number).toPandas()
         for _, same in mine.groupby(mine.vector.map(len)):
-            found = _block(rows, same.id.to_numpy(np.int64),
-                           np.array(same.vector.to_list(), dtype=np.int64).reshape(len(same), -1), k)
+            found = cut(_block(
+                rows, same.id.to_numpy(np.int64),
+                np.array(same.vector.to_list(), dtype=np.int64).reshape(len(same), -1), k))
             answers = found if answers is None else answers.union(found)
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     return answers if answers is not None else spark.createDataFrame([], schema)
@@ -80,35 +84,54 @@ def _block(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> Dat
         open_ = np.flatnonzero((high > low) & (wanted > 0))
         if not len(open_):
             break
-        width = (high - low) // BINS + 1
+        # Distances of BIGINTs may need their 64th bit.
+        span = high.view(np.uint64) - low.view(np.uint64)
+        width = span // np.uint64(BINS) + np.uint64(1)
         counts = _histograms(candidates, ids[open_], queries[open_], low[open_], high[open_],
                              width[open_])
         from_top = np.cumsum(counts[:, ::-1], axis=1)
         place = (from_top >= (wanted - above)[open_, None]).argmax(axis=1)
         above[open_] += np.where(place > 0, from_top[np.arange(len(open_)), place - 1], 0)
-        bin_ = BINS - 1 - place
-        new_low = low[open_] + bin_ * width[open_]
-        high[open_] = np.minimum(high[open_], new_low + width[open_] - 1)
-        low[open_] = new_low
+        skipped = (BINS - 1 - place).astype(np.uint64) * width[open_]
+        left = np.minimum(span[open_] - skipped, width[open_] - np.uint64(1))
+        low[open_] = (low[open_].view(np.uint64) + skipped).view(np.int64)
+        high[open_] = (low[open_].view(np.uint64) + left).view(np.int64)
     some = wanted > 0
     return _filtered(candidates, ids[some], queries[some], low[some], k)
 
 
 def _scored(ids: np.ndarray, queries: np.ndarray, batches: Iterator[pa.RecordBatch]):
     """(row ids, scores of queries by rows, whether each pair may count), a block at a time."""
-    largest = np.abs(queries).max(initial=0)
+    largest = np.abs(queries.astype(float)).sum(axis=1).max(initial=0)
     for batch in batches:
         for at in range(0, batch.num_rows, ROW_BLOCK):
             part = batch.slice(at, ROW_BLOCK)
             rows = part.column("id").to_numpy(False)
             vectors = pc.list_flatten(part.column("vector")).to_numpy(False)
             vectors = vectors.reshape(part.num_rows, queries.shape[1])
-            bound = float(largest) * float(np.abs(vectors).max(initial=0)) * queries.shape[1]
-            if bound < EXACT:  # every partial sum is a whole number that doubles hold exactly
+            counts = ids[:, None] != rows[None, :]
+            bound = largest * np.abs(vectors.astype(float)).max(axis=1, initial=0)
+            if bound.max(initial=0) < EXACT:  # doubles hold every partial sum exactly
                 scores = (queries.astype(float) @ vectors.T.astype(float)).astype(np.int64)
             else:
                 scores = queries @ vectors.T
-            yield rows, scores, ids[:, None] != rows[None, :]
+                for row in np.flatnonzero(bound >= FITS):
+                    scores[:, row] = _checked(ids, queries, int(rows[row]), vectors[row],
+                                              counts[:, row])
+            yield rows, scores, counts
+
+
+def _checked(ids: np.ndarray, queries: np.ndarray, row: int, vector: np.ndarray,
+             counts: np.ndarray) -> list[int]:
+    """Scores of a row whose products may pass 64 bits, in whole numbers of any size."""
+    scores = [0] * len(ids)
+    whole = vector.tolist()
+    for query in np.flatnonzero(counts):
+        score = sum(map(operator.mul, queries[query].tolist(), whole))
+        if not -1 << 63 <= score < 1 << 63:
+            raise OverflowError(f"the score of query {ids[query]} and row {row} is no BIGINT: {score}")
+        scores[query] = score
+    return scores
 
 
 def _ranges(candidates: DataFrame, ids: np.ndarray, queries: np.ndarray):
@@ -144,7 +167,8 @@ def _histograms(candidates: DataFrame, ids: np.ndarray, queries: np.ndarray, low
         first = (np.arange(len(ids)) * BINS)[:, None]
         for _, scores, counts in _scored(ids, queries, batches):
             inside = counts & (scores >= low[:, None]) & (scores <= high[:, None])
-            bins = (scores - low[:, None]) // width[:, None] + first
+            apart = scores.view(np.uint64) - low.view(np.uint64)[:, None]
+            bins = (apart // width[:, None]).view(np.int64) + first
             total += np.bincount(bins[inside], minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bin", "n"])

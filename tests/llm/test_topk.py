@@ -56,3 +56,14 @@ def test_few_candidates_and_other_lengths(spark):
     assert answer(alone) == []
     with pytest.raises(Exception, match="too large"):
         answer(spark.createDataFrame([(0, [1e300]), (1, [1.0])], SCHEMA))
+
+
+def test_large_scores(spark):
+    data = [(0, [2.0**45, 1.0]), (1, [3.9, -3.5]), (2, [-3.9, 2.0**44]), (20, [0.0, 2.0]),
+            (3, [0.0, 0.5]), (4, [3.9, 2.0])]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert answer(df) == brute(data, 5, 10)  # close to 2**63 on both sides
+    too_large = spark.createDataFrame(
+        [(0, [2.0**40] * 4), (5, [2.0**46] * 4), (1, [1.0] * 4)], SCHEMA)
+    with pytest.raises(Exception, match="query 0 and row 5"):
+        answer(too_large)
