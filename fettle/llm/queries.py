@@ -12,6 +12,7 @@ from fettle.llm.decontaminate import contaminated
 from fettle.llm.mixing import mix_sources
 from fettle.llm.neardup import near_duplicates
 from fettle.llm.paragraphs import repeated_passages
+from fettle.llm.pieces import decode_pieces, encode_pieces
 from fettle.llm.sharding import SLOTS, assign_shards, table_sql
 from fettle.llm.substrings import repeated_strings
 from fettle.llm.tokencount import token_counts
@@ -90,10 +91,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the text they decode to."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    encoded = encode_pieces(_read(spark, sf_dir, "documents"), model)
+    return decode_pieces(encoded, model).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "unlike",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_paragraphs, op3_toxicity, op4_token_counts, op5_substrings,
-        op6_warc, op7_top_k, op8_near_duplicates, op9_sharding, op10_mixing,
+        op6_warc, op7_top_k, op8_near_duplicates, op9_sharding, op10_mixing, op11_sentencepiece,
     )
 }
 
