@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
+from fettle.llm.centroids import cluster, whole_vectors
 from fettle.llm.decontaminate import contaminated
 from fettle.llm.mixing import mix_sources
 from fettle.llm.neardup import near_duplicates
@@ -102,10 +103,58 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector of 64 components after five rounds with 40 centroids."""
+    vectors = _read(spark, sf_dir, "embeddings").select(
+        "vec_id", whole_vectors(F.col("embedding"), 64).alias("embedding"))
+    return cluster(vectors)
+
+
+def _cluster_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """Centroids as rows (number, place, value); each round is two common table expressions."""
+    steps = ["""
+v AS (
+  SELECT row_number() OVER () AS row, vec_id, e FROM (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings WHERE len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+)""", f"""
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1 AS number, e
+  FROM v WHERE vec_id IS NOT NULL
+  QUALIFY number < {clusters}
+)"""]
+    nearest = """
+a{0} AS MATERIALIZED (
+  SELECT row, min(struct_pack(distance, number)) AS best FROM (
+    SELECT row, number, list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) ** 2))
+      ::BIGINT AS distance
+    FROM v, c{0} c) GROUP BY row
+)"""
+    for k in range(rounds):
+        steps += [nearest.format(k), f"""
+c{k + 1} AS MATERIALIZED (
+  SELECT number, coalesce(moved, c.e) AS e FROM c{k} c LEFT JOIN (
+    SELECT number, list(value ORDER BY place) AS moved FROM (
+      SELECT number, place, ((s - ((s % n) + n) % n) // n)::BIGINT AS value FROM (
+        SELECT best.number AS number, place, sum(e[place]) AS s, count(*) AS n
+        FROM a{k} JOIN v USING (row), range(1, 65) t(place) GROUP BY ALL)
+    ) GROUP BY number) USING (number)
+)"""]
+    steps.append(nearest.format(rounds))
+    return "WITH " + ",".join(steps) + f"""
+SELECT vec_id, best.number::INTEGER AS cluster, best.distance AS distance,
+  (sum(best.distance) OVER (PARTITION BY best.number))::BIGINT AS cluster_inertia,
+  (sum(best.distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (row) JOIN c{rounds} c ON number = best.number"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_paragraphs, op3_toxicity, op4_token_counts, op5_substrings,
         op6_warc, op7_top_k, op8_near_duplicates, op9_sharding, op10_mixing, op11_sentencepiece,
+        op13_centroids,
     )
 }
 
@@ -142,4 +191,5 @@ FROM (
     % {SLOTS} AS slot
   FROM documents
 ) JOIN ({table_sql(SHARDS)}) USING (slot)""",
+    "op13_centroids": _cluster_sql(),
 }
