@@ -10,6 +10,7 @@ from public_tokenizers import path as tokenizer_path
 
 from fettle.llm.centroids import cluster, whole_vectors
 from fettle.llm.decontaminate import contaminated
+from fettle.llm.divergence import source_divergence
 from fettle.llm.mixing import mix_sources
 from fettle.llm.neardup import near_duplicates
 from fettle.llm.paragraphs import repeated_passages
@@ -103,6 +104,11 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source is from the others of its language, and the terms that set it apart."""
+    return source_divergence(_read(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster of every vector of 64 components after five rounds with 40 centroids."""
     vectors = _read(spark, sf_dir, "embeddings").select(
@@ -154,7 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_paragraphs, op3_toxicity, op4_token_counts, op5_substrings,
         op6_warc, op7_top_k, op8_near_duplicates, op9_sharding, op10_mixing, op11_sentencepiece,
-        op13_centroids,
+        op12_source_divergence, op13_centroids,
     )
 }
 
@@ -191,5 +197,41 @@ FROM (
     % {SLOTS} AS slot
   FROM documents
 ) JOIN ({table_sql(SHARDS)}) USING (slot)""",
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    coalesce("text", '') AS body FROM documents
+), t AS MATERIALIZED (
+  SELECT doc, lang, source, translate(unnest(regexp_extract_all(
+      body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT doc) >= 3
+), groups AS (SELECT DISTINCT lang, source FROM d),
+counted AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+vocabulary AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM counted GROUP BY ALL),
+shares AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(s.total, 0) + v.v)) AS p,
+    (1 + (1000000000::HUGEINT * (k.n + 1)) // (v.total + v.v)) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN vocabulary v USING (lang)
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN totals s ON s.lang = g.lang AND s.source = g.source
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY ALL
+  ) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+  FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (
+  PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (FROM pairs UNION ALL FROM terms) QUALIFY part = 'pair' OR rank <= 200""",
     "op13_centroids": _cluster_sql(),
 }
