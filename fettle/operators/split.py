@@ -2,73 +2,43 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fettle.functions.hashing import any_null, columns_of, require_new, seeded_hash
-from fettle.operators.ordered import ordinals
-
-def _literal(name: str, value, df: DataFrame) -> Column:
-    return F.lit(value).cast(df.schema[name].dataType)
-
-
-def _row_order(names: Sequence[str], bound: Row, df: DataFrame) -> Column:
-    """Whether (names) is at or before the bound, column by column."""
-    at_or_before = None
-    for name in reversed(list(names)):
-        limit = _literal(name, bound[name], df)
-        if at_or_before is None:
-            at_or_before = F.col(name) <= limit
-        else:
-            at_or_before = (F.col(name) < limit) | ((F.col(name) == limit) & at_or_before)
-    return at_or_before
-
-
-def _nth_key(df: DataFrame, n: int, order: Sequence[str]) -> Row | None:
-    """Key of the n-th row of the order, None if there are fewer than ``n`` rows.
-
-    The keys alone are numbered, in ranges, so no task receives the first ``n`` of every other
-    one; every key is checked to be unique and not null on the way.
-    """
-    here = F.struct(*order)
-    found = ordinals(df.select(*order), order, "__ordinal").agg(
-        F.max(F.when(F.col("__ordinal") == n - 1, here)).alias("key")
-    ).first()
-    return found["key"]
+from fettle.operators.selection import at_or_before, nth_by_hash, nth_key, share_of
 
 
 def head_rows(df: DataFrame, n: int, order_by: str | Sequence[str]) -> DataFrame:
     """The first ``n`` rows of the order, unsorted.
 
-    The n-th key is looked up among the keys alone; the rows are then selected by a filter on
-    the key that files can be skipped by.
+    The n-th key is found by counts per range of keys (``selection.nth_key``); the rows are then
+    selected by a filter on the key that files can be skipped by.
     """
     order = columns_of(order_by)
     if n <= 0:
         return df.limit(0)
-    last = _nth_key(df, n, order)
-    return df if last is None else df.where(_row_order(order, last, df))
+    last = nth_key(df, n, order)
+    return df if last is None else df.where(at_or_before(order, last, df))
 
 
 def take_skip(df: DataFrame, n: int, order_by: str | Sequence[str],
               labels: tuple[str, str] = ("take", "skip")) -> DataFrame:
     """Add ``split``: the first label for the first ``n`` rows of the order, else the second.
 
-    Found like a head: only keys are numbered, and the rows are compared with the n-th key where
-    they are.
+    Found like a head; the rows are compared with the n-th key where they are.
     """
     require_new(df, "split")
     order = columns_of(order_by)
     first, rest = F.lit(labels[0]), F.lit(labels[1])
     if n <= 0:
         return df.withColumn("split", rest)
-    last = _nth_key(df, n, order)
+    last = nth_key(df, n, order)
     if last is None:
         return df.withColumn("split", first)
-    return df.withColumn("split", F.when(_row_order(order, last, df), first).otherwise(rest))
+    return df.withColumn("split", F.when(at_or_before(order, last, df), first).otherwise(rest))
 
 
 def fraction_split(df: DataFrame, key: str | Sequence[str], test_size: float,
@@ -76,19 +46,19 @@ def fraction_split(df: DataFrame, key: str | Sequence[str], test_size: float,
     """Add ``split``: exactly ``ceil(test_size * rows)`` rows are ``test``, the rest ``train``.
 
     Our definition: the test rows are those with the smallest ``md5(seed|key)``. The last of
-    them is found among the keys; the labels are then a comparison inside each row, without a
-    shuffle of the rows. The key must be unique and not null.
+    them is found by counts per prefix of the hash (``selection.nth_by_hash``); the labels are
+    then a comparison inside each row. Neither rows nor keys are shuffled. The key must not be
+    null, and not repeated where the border falls.
     """
     if not 0.0 <= test_size <= 1.0:
         raise ValueError("test_size must lie between 0 and 1")
     require_new(df, "split")
     order = columns_of(key)
     hashed = df.withColumn("__hash", seeded_hash(seed, *order))
-    n_test = math.ceil(test_size * df.count())
-    last = _nth_key(hashed, n_test, ["__hash", *order])
+    last = nth_by_hash(hashed, "__hash", order, share_of(test_size))
     if last is None:  # a test part of no rows
         return df.withColumn("split", F.lit("train"))
-    is_test = _row_order(["__hash", *order], last, hashed)
+    is_test = at_or_before(["__hash", *order], last, hashed)
     return hashed.withColumn(
         "split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))
     ).drop("__hash")
@@ -120,5 +90,5 @@ def describe_corpus(df: DataFrame, order_by: str | Sequence[str]) -> DataFrame:
         return df.agg(F.first(F.struct(*df.columns)).alias("first_row")).select(
             *described, "first_row"
         )
-    first = df.where(_row_order(order, facts["first_key"], df))
+    first = df.where(at_or_before(order, facts["first_key"], df))
     return first.limit(1).select(*described, F.struct(*df.columns).alias("first_row"))
