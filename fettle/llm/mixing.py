@@ -54,45 +54,66 @@ def mix_sources(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     size, a hash of seed and id, the id and a hash of the text, so reruns and other partitionings
     agree; repeated rows get their copies one by one, in no particular order.
     """
-    rows = cut(docs.select(
+    copies, sources = _copies(docs.select(*_reduced(id_column, text_column, source_column)),
+                              weights, cap, seed, length_tilt)
+    return copies.join(sources.select(*SOURCE, "source_size", "target"), SOURCE).select(
+        F.col("id").alias(id_column), "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"), "copies",
+    )
+
+
+def _reduced(id_column: str, text_column: str, source_column: str) -> list[Column]:
+    return [
         F.col(id_column).alias("id"),
         F.col(source_column).isNull().cast("int").alias("no_source"),
         F.coalesce(F.col(source_column).cast("string"), F.lit("")).alias("name"),
         word_count(F.col(text_column)).alias("size"),
         F.xxhash64(F.col(text_column).cast("string")).alias("tie"),
-    ))
+    ]
+
+
+def _copies(reduced: DataFrame, weights: Sequence[float], cap: int, seed: int,
+            length_tilt: float) -> tuple[DataFrame, DataFrame]:
+    """The rows with their ``copies``, and the sources with their targets.
+
+    Columns of ``reduced`` beside those of ``_reduced`` break ties and are passed on.
+    """
+    rows = cut(reduced)
     sizes = cut(rows.groupBy(*SOURCE, "size").agg(F.count(F.lit(1)).alias("n")))
     sources = cut(_targets(sizes, weights, cap))
     rates = cut(_rates(sizes, sources, cap, length_tilt))
     rounded = _rounded(rows, rates, cap, seed)
-    copies = _exchanged(rounded, sources, cap)
-    return copies.join(sources.select(*SOURCE, "source_size", "target"), SOURCE).select(
-        F.col("id").alias(id_column), "size", "source_size", "target",
-        (F.col("copies") * F.col("size")).alias("taken"), "copies",
-    )
+    return _exchanged(rounded, sources, cap), sources
 
 
 def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                    source_column: str = "source", **options) -> DataFrame:
-    """``docs`` with every row as often as ``mix_sources`` gives it copies; columns unchanged."""
-    key = F.md5(F.concat_ws(
-        "|", F.coalesce(F.col(id_column).cast("string"), F.lit("null")),
-        F.coalesce(F.xxhash64(F.col(text_column).cast("string")), F.lit(0)),
-        F.coalesce(F.concat(F.lit("="), F.col(source_column).cast("string")), F.lit("null")),
-    ))
-    keyed = docs.withColumn("__row", key)
-    copies = mix_sources(keyed, "__row", text_column, source_column, **options)
-    totals = copies.groupBy("__row").agg(
-        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    number = F.row_number().over(Window.partitionBy("__row").orderBy("__row"))
-    mine = F.expr("__copies div __rows") + (
-        F.col("__number") <= F.col("__copies") % F.col("__rows")).cast("int")
-    return (
-        keyed.join(totals, "__row").withColumn("__number", number).withColumn("__mine", mine)
-        .where("__mine > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__mine").cast("int"))))
-        .select(*docs.columns)
-    )
+                    source_column: str = "source", weights: Sequence[float] = (5, 2, 1),
+                    cap: int = 3, seed: int = 0, length_tilt: float = 0.0) -> DataFrame:
+    """``docs`` with every row as often as ``mix_sources`` gives it copies; columns unchanged.
+
+    Rows with equal ids and texts are taken in the order of a hash of their other columns, so
+    reruns agree; rows equal in all columns are one like the other. Columns of any name are kept.
+    """
+    row, other = _free("__row", docs), _free("__other", docs)
+    whole = F.xxhash64(*[f.name for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    # Written, as the numbers must be the same when the rows are read again to be repeated.
+    keyed = cut(docs.withColumns({row: F.monotonically_increasing_id(), other: whole}))
+    copies, _ = _copies(
+        keyed.select(*_reduced(id_column, text_column, source_column),
+                     F.col(other).alias("other"), F.col(row).alias("row")),
+        weights, cap, seed, length_tilt)
+    times = copies.where("copies > 0").select(
+        F.col("row").alias(row), F.col("copies").cast("int").alias(other))
+    again = F.array_repeat(F.lit(0), F.col(other))
+    return keyed.drop(other).join(times, row).withColumn(other, F.explode(again)).select(*docs.columns)
+
+
+def _free(name: str, df: DataFrame) -> str:
+    """A helper column's name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def _targets(sizes: DataFrame, weights: Sequence[float], cap: int) -> DataFrame:
@@ -123,7 +144,8 @@ def _targets(sizes: DataFrame, weights: Sequence[float], cap: int) -> DataFrame:
 def _rates(sizes: DataFrame, sources: DataFrame, cap: int, tilt: float) -> DataFrame:
     """(source, size, units): the rate of the documents of each size, by Newton's method.
 
-    Steps that leave the bracket known so far are replaced by its middle.
+    The multipliers start at zero, that is at one copy of everything. Steps that leave the bracket
+    known so far are replaced by its middle.
     """
     tilted = F.when(F.col("size") > 0, F.pow(F.col("size") * F.col("n_docs") / F.col("source_size"),
                                              F.lit(float(tilt)))).otherwise(F.lit(1.0))
@@ -133,8 +155,7 @@ def _rates(sizes: DataFrame, sources: DataFrame, cap: int, tilt: float) -> DataF
     full = F.col("target") >= cap * F.col("source_size")
     state = cut(sources.select(
         *SOURCE, "target", "source_size",
-        F.when(full | (F.col("target") <= 0), F.lit(0.0))
-        .otherwise(F.log(F.col("target") / F.col("source_size"))).alias("m"),
+        F.lit(0.0).alias("m"),
         F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"),
         (full | (F.col("target") <= 0)).alias("done"),
     ))
@@ -172,7 +193,8 @@ def _rounded(rows: DataFrame, rates: DataFrame, cap: int, seed: int) -> DataFram
     stretch of that sum. Rows go to ranges of (source, order), so a hot source fills many ranges;
     at most one source continues into a range, so what is carried over has one row per range.
     """
-    order = ["size", "lot", "id", "tie"]
+    extra = [c for c in rows.columns if c in ("other", "row")]
+    order = ["size", "lot", "id", "tie", *extra]
     ranged = cut(
         rows.join(rates, [*SOURCE, "size"]).withColumn("lot", seeded_hash(seed, "id"))
         .repartitionByRange(*SOURCE, *order).withColumn(PART, F.spark_partition_id())
@@ -193,7 +215,7 @@ def _rounded(rows: DataFrame, rates: DataFrame, cap: int, seed: int) -> DataFram
         .withColumn("rows_here", F.count(F.lit(1)).over(inside))
         .join(F.broadcast(carried), [PART, *SOURCE], "left")
         .select(
-            "id", *SOURCE, "size",
+            "id", *extra, *SOURCE, "size",
             (F.shiftright(until, whole) - F.shiftright(until - F.col("units"), whole)).alias("copies"),
             (F.coalesce("rows_before", F.lit(0)) + F.col("rows_here")).alias("place"),
         )
@@ -201,20 +223,31 @@ def _rounded(rows: DataFrame, rates: DataFrame, cap: int, seed: int) -> DataFram
 
 
 def _exchanged(rows: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
-    """One copy more or less of one document per source and round, where that narrows the gap."""
+    """One copy more or less of one document per source and round, where that narrows the gap.
+
+    Choices are made on the first place of every (source, size, copies), which is combined before
+    it moves; rows meet their change by their place at the end.
+    """
     rows = cut(rows)
+    taken = rows.groupBy(*SOURCE).agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
+    gaps = cut(taken.join(sources, SOURCE).select(
+        *SOURCE, (F.col("target") - F.col("taken")).alias("gap")))
+    changes = None
     for _ in range(EXCHANGES):
-        gaps = rows.groupBy(*SOURCE).agg(
-            F.sum(F.col("copies") * F.col("size")).alias("taken")
-        ).join(sources, SOURCE).select(*SOURCE, (F.col("target") - F.col("taken")).alias("gap"))
+        left = rows if changes is None else rows.join(changes, [*SOURCE, "place"], "left_anti")
+        kinds = left.where("size > 0").groupBy(*SOURCE, "size", "copies").agg(
+            F.min("place").alias("place"))
         gap, size = F.col("gap"), F.col("size")
         fits = F.when(gap > 0, F.col("copies") < cap).otherwise(F.col("copies") > 0)
         after = F.abs(F.abs(gap) - size)
-        best = rows.join(gaps, SOURCE).where(fits & (size > 0) & (after < F.abs(gap))).groupBy(
-            *SOURCE).agg(F.min_by(F.struct("place", F.signum(gap).cast("bigint").alias("step")),
+        best = kinds.join(gaps, SOURCE).where(fits & (after < F.abs(gap))).groupBy(
+            *SOURCE).agg(F.min_by(F.struct("place", "size", F.signum(gap).cast("bigint").alias("step")),
                                   F.struct(after.alias("after"), F.col("place"))).alias("best"))
-        chosen = best.select(*SOURCE, "best.place", "best.step")
-        rows = cut(rows.join(chosen, [*SOURCE, "place"], "left").select(
-            "id", *SOURCE, "size", "place",
-            (F.col("copies") + F.coalesce("step", F.lit(0))).alias("copies")))
-    return rows
+        chosen = cut(best.select(*SOURCE, "best.place", "best.step", "best.size"))
+        gaps = cut(gaps.join(chosen.drop("place"), SOURCE, "left").select(
+            *SOURCE, (gap - F.coalesce(F.col("step") * size, F.lit(0))).alias("gap")))
+        chosen = chosen.drop("size")
+        changes = chosen if changes is None else changes.union(chosen)
+    changed = rows.join(changes, [*SOURCE, "place"], "left")
+    return changed.withColumn(
+        "copies", F.col("copies") + F.coalesce("step", F.lit(0))).drop("step", "place")

@@ -23,6 +23,7 @@ from fettle.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from fettle.llm.warc import read_archives, write_archives
 
 TOXIC_FROM = 0.3
+LENGTH_TILT = 1.0  # the entropy counts documents: long ones bear more of the change
 SHARDS = [f"shard-{k:02d}" for k in range(24)]
 
 
@@ -90,7 +91,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix of all sources takes."""
-    return mix_sources(_read(spark, sf_dir, "documents"))
+    return mix_sources(_read(spark, sf_dir, "documents"), length_tilt=LENGTH_TILT)
 
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import re
 
 import pytest
@@ -97,3 +98,50 @@ def test_documents_come_as_often_as_they_have_copies(spark):
 def test_nothing_runs_in_python(spark):
     plan = plan_of(mix_sources(corpus(spark, 50))) + plan_of(mixed_documents(corpus(spark, 50)))
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("tilt", [0.0, 1.0, 0.5])
+def test_rates_solve_the_balance(spark, tilt):
+    """Copies against rates found by bisection on sums over every document."""
+    docs = corpus(spark)
+    found = mix_sources(docs, length_tilt=tilt).collect()
+    by_source = {}
+    source = {r.doc_id: r.source for r in docs.collect()}
+    for r in found:
+        by_source.setdefault(source[r.doc_id], []).append(r)
+    steps = 0
+    for mine in by_source.values():
+        mean, target = mine[0].source_size / len(mine), mine[0].target
+        if target >= 3 * mine[0].source_size:
+            assert all(r.copies == 3 for r in mine)
+            continue
+        g = {r.doc_id: (r["size"] / mean)**tilt for r in mine}
+        rate = lambda m, k: math.exp(min(m * g[k], math.log(3)))  # noqa: E731, B023
+        low, high = -1e4, 1e4
+        for _ in range(200):
+            m = (low + high) / 2
+            over = sum(r["size"] * rate(m, r.doc_id) for r in mine) > target
+            low, high = (low, m) if over else (m, high)
+        steps += abs(m) > 1e-3
+        away = [r for r in mine if abs(r.copies - rate(m, r.doc_id)) >= 1 + 1e-5]
+        assert len(away) <= 5  # exchanges of single copies; all others are the rate, rounded
+    assert steps  # some source needs more than one copy of everything
+
+
+def test_helper_columns_clash_with_none(spark):
+    docs = corpus(spark, 60).withColumns({"__row": F.lit(7), "__copies": F.lit("a"), "row": F.lit(1.5),
+                                          "copies": F.lit(2), "__other": F.col("doc_id") % 2})
+    mixed = mixed_documents(docs)
+    assert mixed.dtypes == docs.dtypes
+    kept = {tuple(r) for r in docs.collect()}
+    assert all(tuple(r) in kept for r in mixed.collect())
+    assert mixed_documents(docs.limit(0)).collect() == []
+
+
+def test_a_hot_row_is_mixed_like_any(spark):
+    docs = corpus(spark, 90).union(
+        spark.range(60).select(F.lit(7).cast("bigint"), F.lit("one two three"), F.lit("hot"), F.lit(1)))
+    docs = docs.withColumn("other", F.monotonically_increasing_id() % 3)
+    base = rows(mixed_documents(docs, length_tilt=1.0))
+    assert rows(mixed_documents(docs.repartition(5), length_tilt=1.0)) == base
+    assert sum(r[0] == 7 and r[1] == "one two three" for r in base) <= 180
