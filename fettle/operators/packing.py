@@ -54,6 +54,19 @@ def pack_sequences(df: DataFrame, text: str, order_by: str | Sequence[str],
     one per token, and a chunk gathers at most ``seq_length`` such pieces. (group, order) must
     be unique.
     """
+    chunks = all_chunks(df, text, order_by, seq_length, sep, group_by, tokenizer)
+    return chunks.where(F.size("tokens") == seq_length)
+
+
+def all_chunks(df: DataFrame, text: str, order_by: str | Sequence[str], seq_length: int = 1024,
+               sep: str = "<eos>", group_by: str | Sequence[str] = (),
+               tokenizer: Callable[[Column], Column] = tokenize,
+               carried: DataFrame | None = None) -> DataFrame:
+    """As ``pack_sequences``, with the last chunk of each group even if it is not filled.
+
+    ``carried`` (group, ``chunk_id``, ``tokens``) holds the unfilled chunks an earlier call left:
+    the texts of a group go on where its own one ends, and it comes back where it has no text.
+    """
     if seq_length < 1:
         raise ValueError("seq_length must be at least 1")
     order, groups = columns_of(order_by), columns_of(group_by)
@@ -65,12 +78,22 @@ def pack_sequences(df: DataFrame, text: str, order_by: str | Sequence[str],
     sizes = cut(texts.select(*keys, (count(F.col("__text")) + 1).cast("bigint").alias("__n")))
     starts = running_total(sizes, F.col("__n"), order, groups, name="__start")
 
+    if carried is not None:
+        before = carried.select(*groups, (
+            F.col("chunk_id") * seq_length + F.size("tokens")).alias("__before"))
+        starts = (join_null_safe(starts, before, groups, "left") if groups
+                  else starts.join(before, F.lit(True), "left"))
+        starts = starts.select(
+            *keys, (F.col("__start") + F.coalesce("__before", F.lit(0))).alias("__start"))
     placed = join_null_safe(texts, starts, keys) if groups else texts.join(starts, keys)
     streams = placed.select(
         *groups,
         "__start",
         F.concat(tokenizer(F.col("__text")), F.array(F.lit(sep))).alias("__tokens"),
     )
+    if carried is not None:
+        streams = streams.union(carried.where(F.size("tokens") > 0).select(
+            *groups, (F.col("chunk_id") * seq_length).alias("__start"), "tokens"))
     length = F.lit(seq_length)
     last = F.col("__start") + F.size("__tokens") - 1
     touched = F.sequence(
@@ -93,11 +116,9 @@ def pack_sequences(df: DataFrame, text: str, order_by: str | Sequence[str],
         F.struct(
             begin.alias("at"), (F.array_join(piece, " ") if as_text else piece).alias("piece")
         ).alias("__piece"),
-        (end - begin).alias("__n"),
     )
     chunks = pieces.groupBy(*groups, "chunk_id").agg(
-        F.array_sort(F.collect_list("__piece")).alias("__pieces"), F.sum("__n").alias("__n")
-    ).where(F.col("__n") == seq_length)
+        F.array_sort(F.collect_list("__piece")).alias("__pieces"))
     gathered = F.col("__pieces.piece")
     tokens = F.split(F.array_join(gathered, " "), " ") if as_text else F.flatten(gathered)
     return chunks.select(*groups, "chunk_id", tokens.alias("tokens"))

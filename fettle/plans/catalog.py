@@ -12,6 +12,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from fettle.functions import hooks, rewards, text, tokens
 from fettle.functions.hashing import hash_number, seeded_hash
@@ -26,9 +27,12 @@ from fettle.operators import (
     tasks,
 )
 from fettle.plans import jobs
+from fettle.operators.selection import nth_key
 from fettle.shared import cut, new_folder
+from fettle.sources import layout
 from fettle.sources.corpus import read_corpus, stream_corpus
-from fettle.streaming import streams
+from fettle.sources.runs import log_values, read_log_records
+from fettle.streaming import buffers, carried, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -570,6 +574,105 @@ def stream_completion_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed(df: DataFrame, key: str, start: Callable[[DataFrame], StreamingQuery],
+         parts: int = 3) -> None:
+    """``df`` as a stream that grows by ``parts`` in the order of ``key``.
+
+    The query is started once per part and stops when it has read it, so all but the first start
+    is a restart from the state of the one before.
+    """
+    spark, folder = df.sparkSession, new_folder(df.sparkSession, "fed")
+    n, below = df.count(), F.lit(False)
+    for part in range(1, parts + 1):
+        last = nth_key(df, n * part // parts, [key]) if part < parts and n >= parts else None
+        mine = ~below
+        if last is not None:
+            below = F.col(key) <= last[key]
+            mine = mine & below
+        df.where(mine).write.mode("append").parquet(folder)
+        start(stream_corpus(spark, folder, df.schema)).awaitTermination()
+        if last is None:
+            break
+
+
+def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, state = new_folder(spark, "packed"), new_folder(spark, "state")
+    feed(table(spark, sf_dir, "documents"), "doc_id", lambda texts: carried.stream_pack(
+        texts, "text", "doc_id", out, state, 1024))
+    return spark.read.parquet(out).select("chunk_id", digest(F.col("tokens")).alias("tokens_md5"))
+
+
+def stream_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, state = new_folder(spark, "buffer"), new_folder(spark, "state")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    feed(documents, "doc_id", lambda rows: buffers.stream_buffer(
+        rows, "doc_id", 0, out, state, buffer=100, shards=4))
+    written = spark.read.parquet(out).drop("batch_id")
+    left = buffers.drained(spark, state, documents, "doc_id")
+    return with_md5(written.unionByName(left), "doc_id", "shard", "shuffle_pos")
+
+
+def stream_cumulative_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, state = new_folder(spark, "totals"), new_folder(spark, "state")
+    steps = table(spark, sf_dir, "documents").select(
+        F.col("source").alias("run"), F.col("doc_id").alias("step"),
+        tokens.token_count(F.col("text")).alias("n_tokens"))
+    feed(steps, "step", lambda rows: carried.stream_cumulative_tokens(rows, out, state))
+    return spark.read.parquet(out).select("run", "step", "num_tokens", "late")
+
+
+def stream_windows_evicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, state = new_folder(spark, "windows"), new_folder(spark, "state")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    feed(documents, "doc_id", lambda rows: streams.stream_completion_windows(
+        _as_completions(rows), 5, 20, out, state))
+    return _all_rounded(spark.read.parquet(out).drop("batch_id"), ["step", "n_steps"])
+
+
+def stream_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, state = new_folder(spark, "aligned"), new_folder(spark, "state")
+    completions, targets = (
+        _stream(spark, sf_dir, name).select("doc_id", column, F.col("doc_id").alias("number"))
+        for name, column in (("documents", "n_chars"), ("labels", "quality")))
+    streams.stream_alignment(
+        completions, targets, "doc_id", "number", 50, out, state).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "status", "n_chars", "quality")
+
+
+# Prepared tables and logs of any keys
+
+
+def prepared_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = streams.stream_split(table(spark, sf_dir, "conversations"), "conv_id", 0.2, 0)
+    openings = messages.groupBy("conv_id").agg(F.min_by("text", "turn").alias("opening"))
+    names = []
+    for df, order, parts in ((messages, "turn", "split"), (openings, (), ())):
+        name, path = layout.new_table(spark)
+        names.append(layout.write_layout(df, name, "conv_id", 8, order, parts, path))
+    train = spark.table(names[0]).where("split = 'train'").join(spark.table(names[1]), "conv_id")
+    return train.select("conv_id", "turn", F.md5("text").alias("text_md5"),
+                        F.md5("opening").alias("opening_md5"))
+
+
+def log_record_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def or_null(value: Column) -> Column:
+        return F.coalesce(value.cast("string"), F.lit("null"))
+
+    kind = F.col("event_type")
+    line = F.concat(
+        F.lit('{"step":'), F.col("event_id").cast("string"), F.lit(',"run":"'), kind, F.lit('","'),
+        kind, F.lit('/value":'), or_null(F.col("value")), F.lit(',"'), kind, F.lit('/k":'),
+        or_null(F.get_json_object("props", "$.k")), F.lit("}"))
+    folder = new_folder(spark, "lines")
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(folder)
+    records = read_log_records(spark, folder, history=None).select(
+        F.try_variant_get("record", "$.run", "string").alias("run"), "record")
+    found = log_values(records).groupBy("run", "key").agg(
+        F.count("*").alias("n"), F.min("step").alias("first_step"), F.max("step").alias("last_step"),
+        F.avg("value").alias("mean"))
+    return found.withColumn("mean", rounded(F.col("mean")))
+
+
 # User-supplied Python
 
 
@@ -641,6 +744,7 @@ QUERIES: dict[str, Query] = {
         combined_reward, group_reward_stats, group_advantage, preference_pairs,
         step_completion_stats, step_reward_stats, log_windows, cumulative_tokens, metric_deltas, run_summary,
         compare_runs, compare_all_runs, summary_batches, stream_split, stream_shuffle, stream_log_windows,
-        stream_completion_windows, map_rows, reward_udf, tokenize_udf, generate_with,
+        stream_completion_windows, stream_pack, stream_buffer, stream_cumulative_tokens,
+        stream_windows_evicted, stream_alignment, prepared_layout, log_record_values, map_rows, reward_udf, tokenize_udf, generate_with,
     )
 }

@@ -457,6 +457,48 @@ WITH {METRIC_LOG}
 SELECT run, (step // 50 + 1) * 50 AS step, count(*) AS n_steps, round(avg(loss), 6) AS loss
 FROM log GROUP BY run, step // 50""",
     "stream_completion_windows": LOG_WINDOWS,
+    "stream_pack": f"""
+SELECT chunk_id, tokens_md5 FROM (
+{_packed("SELECT doc_id AS pos, text FROM documents", "0", 1024)})""",
+    "stream_buffer": """
+WITH hashed AS (SELECT doc_id, text, md5('0|' || doc_id) AS h FROM documents),
+sharded AS (
+  SELECT *, (('0x' || substr(h, 1, 8))::BIGINT % 4)::INTEGER AS shard,
+    ('0x' || substr(h, 9, 8))::BIGINT % 100 AS delay FROM hashed
+),
+leaving AS (
+  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 + delay AS leaves FROM sharded
+)
+SELECT doc_id, shard, md5(text) AS text_md5,
+  row_number() OVER (PARTITION BY shard ORDER BY leaves, h, doc_id) - 1 AS shuffle_pos
+FROM leaving""",
+    "stream_cumulative_tokens": f"""
+WITH steps AS (SELECT source AS run, doc_id AS step, len({DOCUMENT_TOKENS}) AS n FROM documents)
+SELECT run, step, (sum(n) OVER (PARTITION BY run ORDER BY step))::BIGINT AS num_tokens, false AS late
+FROM steps""",
+    "stream_windows_evicted": f"""
+SELECT * FROM ({LOG_WINDOWS}) WHERE step + 1 <= (SELECT max(doc_id // 2 + 1) FROM documents) - 20""",
+    "stream_alignment": """
+WITH closed AS (
+  SELECT least((SELECT max(doc_id) FROM documents), (SELECT max(doc_id) FROM labels)) - 100 AS last
+)
+SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, n_chars, quality,
+  CASE WHEN l.doc_id IS NULL THEN 'without_target' WHEN d.doc_id IS NULL THEN 'without_completion'
+       ELSE 'aligned' END AS status
+FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id
+WHERE d.doc_id = l.doc_id OR coalesce(d.doc_id, l.doc_id) < (SELECT last FROM closed)""",
+    "prepared_layout": f"""
+SELECT conv_id, turn, md5(text) AS text_md5,
+  md5(arg_min(text, turn) OVER (PARTITION BY conv_id)) AS opening_md5
+FROM conversations WHERE {_hash_number("'0'", "conv_id")} >= {int(0.2 * 16**8)}""",
+    "log_record_values": """
+SELECT run, key, count(*) AS n, min(step) AS first_step, max(step) AS last_step,
+  round(avg(v), 6) + 0::DOUBLE AS mean
+FROM (
+  SELECT event_type AS run, event_id AS step, event_type || '/value' AS key, value AS v FROM events
+  UNION ALL
+  SELECT event_type, event_id, event_type || '/k', (props ->> '$.k')::DOUBLE FROM events
+) WHERE v IS NOT NULL GROUP BY run, key""",
     "map_rows": f"WITH {PAIRS} SELECT conv_id, turn, {TLDR} AS text FROM pairs",
     "reward_udf": f"""
 SELECT doc_id, round({UNIQUE} / n_chars::DOUBLE, 6) AS reward FROM documents""",

@@ -65,3 +65,38 @@ def with_run_configs(logs: DataFrame, configs: DataFrame) -> DataFrame:
     )
     joined = logs.withColumn("folder", run_folder()).join(settings, "folder", "left")
     return joined.select("*", "settings.*").drop("settings")
+
+
+def read_log_records(spark: SparkSession, paths: str | Sequence[str],
+                     history: str | None = "log_history") -> DataFrame:
+    """(run, ``record``): one VARIANT per logged record, whatever keys it has.
+
+    ``history`` names the list of records in a file that is one JSON object; None reads files of
+    one record per line. Nothing is inferred, so the files are read once, and records of different
+    runs need no keys in common.
+    """
+    reader = spark.read.option("singleVariantColumn", "record").option(
+        "multiLine", history is not None)
+    files = reader.json(paths).select(F.col("_metadata.file_path").alias("run"), "record")
+    if history is None:
+        return files
+    listed = files.select("run", F.variant_get("record", f"$.{history}", "variant").alias("listed"))
+    each = listed.lateralJoin(spark.tvf.variant_explode(F.col("listed").outer()))
+    return each.select("run", F.col("value").alias("record"))
+
+
+def log_values(records: DataFrame, step: str = "step", record: str = "record") -> DataFrame:
+    """One row per record and key: the record's other columns, ``step``, ``key``, ``value``.
+
+    Only numbers are values; keys that hold something else, or null, give no row. The step itself
+    is no key of its own, and a record without one has a null step.
+    """
+    spark = records.sparkSession
+    others = [c for c in records.columns if c != record]
+    numbered = records.select(
+        *others, F.try_variant_get(record, f"$.{step}", "bigint").alias("step"), record)
+    each = numbered.lateralJoin(spark.tvf.variant_explode(F.col(record).outer()))
+    kind = F.schema_of_variant("value")
+    is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    return each.where((F.col("key") != step) & is_number).select(
+        *others, "step", "key", F.try_variant_get("value", "$", "double").alias("value"))

@@ -107,3 +107,75 @@ def read_completion_windows(spark: SparkSession, path: str, every: int, step: st
     steps = latest(spark, path, keys)
     metrics = [c for c in steps.columns if c not in keys]
     return log_windows(steps, metrics, every, step, run)
+
+
+def _at(number: str, first: int = 0) -> Column:
+    """A number as event time, one second each. Time must come after the first watermark, which
+    is second 0; ``first`` is added to the number for that."""
+    return F.timestamp_seconds(F.col(number) + first)
+
+
+def stream_completion_windows(df: DataFrame, every: int, late: int, path: str, state_path: str,
+                              step: str = "step", run: str | Sequence[str] = (),
+                              length: str = "n_tokens", clipped: str = "clipped",
+                              trigger: dict | None = None) -> StreamingQuery:
+    """Log windows of a stream of completions in one query: statistics per step, then their mean
+    over ``every`` steps.
+
+    Two aggregations follow one another in append mode. Steps count as event time: a row may come
+    up to ``late`` steps behind the highest step seen in earlier batches, in any run; later ones
+    are left out. A window is written once, when no row of it can come any more, and its state is
+    dropped then; the last ``late`` steps of a stream stay open. State is bounded by the steps
+    and windows still open.
+    """
+    runs = columns_of(run)
+    timed = df.withColumn("__at", _at(step)).withWatermark("__at", f"{late} seconds")
+    timed = timed.withColumn("__step", F.window("__at", "1 second"))
+    stats = step_completion_stats(timed, [*runs, "__step"], length, clipped)
+    metrics = [c for c in stats.columns if c not in (*runs, "__step")]
+    # Steps count from 1: the window of steps 1 to ``every`` begins at second 1.
+    wide = F.window(F.window_time("__step"), f"{every} seconds", startTime="1 seconds")
+    windows = stats.groupBy(*runs, wide.alias("__window")).agg(
+        F.count("*").alias("n_steps"), *[F.avg(m).alias(m) for m in metrics])
+    end = F.unix_seconds(F.col("__window.end")) - 1
+    return write_batches(windows.select(*runs, end.alias("step"), "n_steps", *metrics), path,
+                         state_path, "append", trigger=trigger)
+
+
+EARLIEST = 10**9  # numbers above minus this can be aligned
+ALIGNED, NO_TARGET, NO_COMPLETION = "aligned", "without_target", "without_completion"
+
+
+def stream_alignment(completions: DataFrame, targets: DataFrame, key: str, number: str, late: int,
+                     path: str, state_path: str, trigger: dict | None = None) -> StreamingQuery:
+    """Two streams meet by ``key``: rows (key, ``status``, completion and target columns).
+
+    ``number`` is a sequence number that both sides have. A completion and its target may be up to
+    ``late`` numbers apart, and each stream may deliver rows up to ``late`` numbers late. What has
+    found nobody when its time is over comes out with the status of an error; the last rows of
+    the streams wait. State holds the rows of both sides that can still meet.
+    """
+    span = f"{late} seconds"
+    sides = []
+    for df, mark in ((completions, "c"), (targets, "t")):
+        named = df.withColumn("__at", _at(number, EARLIEST)).withWatermark("__at", span)
+        sides.append(named.withColumnsRenamed({"__at": f"__{mark}_at", key: f"__{mark}_key"}).drop(number))
+    wait = F.expr(f"INTERVAL {late} SECONDS")
+    left, right = sides
+    meet = (F.col("__c_key") == F.col("__t_key")) & (
+        F.col("__t_at") >= F.col("__c_at") - wait) & (F.col("__t_at") <= F.col("__c_at") + wait)
+    joined = left.join(right, meet, "full_outer")
+    status = F.when(F.col("__t_key").isNull(), NO_TARGET).when(
+        F.col("__c_key").isNull(), NO_COMPLETION).otherwise(ALIGNED)
+    found = joined.select(
+        F.coalesce("__c_key", "__t_key").alias(key), status.alias("status"),
+        *[c for c in joined.columns if not c.startswith("__")])
+    return write_batches(found, path, state_path, "append", trigger=trigger)
+
+
+def read_alignment_report(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """``alignment_report`` of what ``stream_alignment`` has written so far, but for repeats."""
+    keys = spark.read.parquet(path).groupBy(key).agg(F.min("status").alias("status"))
+    return keys.agg(*[F.count_if(F.col("status") == s).alias(name) for s, name in (
+        (ALIGNED, "n_aligned"), (NO_TARGET, "n_without_target"),
+        (NO_COMPLETION, "n_without_completion"))])
