@@ -376,6 +376,13 @@ def agent_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def round_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reward = rewards.task_reward(F.col("completion"), F.col("target_id"))
+    scored = _completions(spark, sf_dir).withColumns({"reward": reward, "task_reward": reward})
+    records = jobs.round_records(scored, "doc_id", ["task_reward"], 2, 2, GENERATIONS)
+    return _all_rounded(records, ["step", "n_steps", "num_tokens"])
+
+
 # Text rewards and groups
 
 
@@ -740,7 +747,7 @@ QUERIES: dict[str, Query] = {
         packed_answers_epochs, packed_answers_by_head, train_chars_per_token, truncate_tokens,
         agent_tasks, agent_dataset, agent_dataset_graded, special_tokens,
         expand_generations, parse_action, task_reward, outcome_summary, accuracy,
-        reward_alignment, alignment_report, agent_round, unique_chars, unique_chars_reward,
+        reward_alignment, alignment_report, agent_round, round_records, unique_chars, unique_chars_reward,
         combined_reward, group_reward_stats, group_advantage, preference_pairs,
         step_completion_stats, step_reward_stats, log_windows, cumulative_tokens, metric_deltas, run_summary,
         compare_runs, compare_all_runs, summary_batches, stream_split, stream_shuffle, stream_log_windows,

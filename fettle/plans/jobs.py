@@ -1,4 +1,4 @@
-"""The three preparation jobs: packed answers, agent scoring rounds, summary batches."""
+"""The preparation jobs: packed answers, agent scoring rounds and their log records, summary batches."""
 
 from __future__ import annotations
 
@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from fettle.functions.hashing import columns_of, seeded_hash
 from fettle.functions.rewards import action_outcome, task_reward
 from fettle.functions.text import with_qa_text, with_tldr_text
+from fettle.functions.tokens import completion_length, is_clipped, token_count
 from fettle.operators.groups import group_advantage
 from fettle.operators.packing import chars_per_token, pack_sequences
+from fettle.operators.runs import (
+    cumulative_tokens, log_windows, step_completion_stats, step_reward_stats,
+)
 from fettle.operators.scoring import check_aligned
 from fettle.operators.shuffle import plan_batches, repeat_rows, shuffle_blocks
 from fettle.operators.split import fraction_split, head_rows, take_skip
@@ -93,6 +97,45 @@ def agent_round(samples: DataFrame, key: str | Sequence[str],
     return group_advantage(scored, keys)
 
 
+def round_records(scored: DataFrame, key: str | Sequence[str], rewards: Sequence[str] = ("reward",),
+                  batch: int = 1, accum: int = 2, generations: int = 2, every: int = 5,
+                  limit: int = 128, max_steps: int | None = None, reward: str = "reward",
+                  prompt: str = "prompt", completion: str = "completion") -> DataFrame:
+    """The log records of a scoring round: one row per ``every`` steps.
+
+    ``scored`` has one row per (key, ``gen_id``) with its prompt, completion and rewards, as
+    ``agent_round`` scores them. Samples are planned into steps (``plan_batches``, unfilled
+    micro-batches left out); a record holds the means over its steps of completion lengths, of
+    the combined reward and its deviation inside the prompts' groups, and of each named reward's
+    mean and deviation, and the epoch and the number of tokens seen at its last step. A
+    completion's length is capped at ``limit``; tokens seen are those of prompts and completions.
+    """
+    keys = columns_of(key)
+    whole = token_count(F.coalesce(F.col(completion), F.lit("")))
+    named = [name for name in dict.fromkeys([reward, *rewards])]
+    measured = cut(scored.select(
+        *keys, "gen_id", *named, whole.alias("__whole"),
+        token_count(F.coalesce(F.col(prompt), F.lit(""))).alias("__prompt")))
+    plan = plan_batches(measured.where("gen_id = 0").select(*keys), keys, batch, accum, generations,
+                        drop_last=True, max_steps=max_steps)
+    samples = cut(measured.select(
+        *keys, "gen_id", *named, "__prompt",
+        completion_length(F.col("__whole"), limit).alias("n_tokens"),
+        is_clipped(F.col("__whole"), limit).alias("clipped"),
+    ).join(plan.select(*keys, "gen_id", "step", "epoch_progress"), [*keys, "gen_id"]))
+    moments = step_reward_stats(samples, keys, rewards, "step", reward)
+    seen = samples.groupBy("step").agg(
+        F.sum(F.col("__prompt") + F.col("n_tokens")).alias("n_tokens"),
+        F.max("epoch_progress").alias("epoch"))
+    per_step = (
+        step_completion_stats(samples, "step").join(moments, "step")
+        .join(seen.select("step", "epoch"), "step")
+        .join(cumulative_tokens(seen, run=()), "step")
+    )
+    metrics = [c for c in per_step.columns if c not in ("step", "epoch", "num_tokens")]
+    return log_windows(per_step, metrics, every, last=["epoch", "num_tokens"])
+
+
 def summary_batches(pairs: DataFrame, key: str | Sequence[str], n: int = 100,
                     batch: int = 1, accum: int = 4, drop_last: bool = True,
                     max_steps: int | None = 20) -> DataFrame:

@@ -363,6 +363,41 @@ WITH {COMPLETIONS}
 SELECT doc_id, gen_id, reward, outcome,
   round((reward - avg(reward) OVER w) / (stddev_samp(reward) OVER w + 1e-4), 6) + 0::DOUBLE AS advantage
 FROM judged WINDOW w AS (PARTITION BY doc_id)""",
+    "round_records": f"""
+WITH {COMPLETIONS},
+samples AS (
+  SELECT doc_id, reward, len({TOKENS.format("prompt")}) AS p, len({TOKENS.format("completion")}) AS w,
+    row_number() OVER (ORDER BY doc_id, gen_id) - 1 AS s, count(*) OVER () AS total
+  FROM judged
+),
+planned AS (
+  SELECT *, s // 4 + 1 AS step, least(w, 128) AS n, w >= 128 AS clipped FROM samples
+  WHERE s // 2 < total // 2
+),
+deviations AS (
+  SELECT step, avg(sd) AS reward_std FROM (
+    SELECT step, doc_id, stddev_samp(reward) AS sd FROM planned GROUP BY ALL) GROUP BY step
+),
+steps AS (
+  SELECT step, avg(clipped::INTEGER) AS clipped_ratio, min(n)::DOUBLE AS min_length,
+    avg(n) AS mean_length, max(n)::DOUBLE AS max_length,
+    coalesce(min(n) FILTER (NOT clipped), 0)::DOUBLE AS min_terminated_length,
+    coalesce(avg(n) FILTER (NOT clipped), 0)::DOUBLE AS mean_terminated_length,
+    coalesce(max(n) FILTER (NOT clipped), 0)::DOUBLE AS max_terminated_length,
+    avg(reward) AS reward, stddev_samp(reward) AS deviation, sum(p + n) AS tokens,
+    max(least(step * 4, total) / total::DOUBLE) AS epoch
+  FROM planned GROUP BY step
+),
+running AS (
+  SELECT *, sum(tokens) OVER (ORDER BY step) AS num_tokens FROM steps JOIN deviations USING (step)
+)
+SELECT ((step - 1) // 5 + 1) * 5 AS step, count(*) AS n_steps,
+  {', '.join(f'round(avg({n}), 6) + 0::DOUBLE AS completions__{n}' for n in STAT_NAMES)},
+  round(avg(reward), 6) + 0::DOUBLE AS reward, round(avg(reward_std), 6) AS reward_std,
+  round(avg(reward), 6) + 0::DOUBLE AS rewards__task_reward__mean,
+  round(avg(deviation), 6) AS rewards__task_reward__std,
+  round(arg_max(epoch, step), 6) AS epoch, arg_max(num_tokens, step)::BIGINT AS num_tokens
+FROM running GROUP BY (step - 1) // 5""",
     "unique_chars": f"SELECT doc_id, {UNIQUE} AS unique_chars FROM documents",
     "unique_chars_reward": f"SELECT doc_id, round({SCALED}, 6) AS reward FROM documents",
     "combined_reward": f"""
