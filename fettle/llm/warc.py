@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fettle.llm import words
@@ -51,11 +51,13 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     other: such a row refers to a page with an id if there is one, and is a response else. Rows
     that repeat the largest id of their payload are all responses.
 
-    ``folder`` is any location pyarrow can write; the shared folder of the session by default.
-    The index is a table in the shared folder.
+    ``folder`` is a path as Spark takes it, in a file system that pyarrow can write too (local,
+    HDFS, S3); the shared folder of the session by default. The index is a table in the shared
+    folder. Every record has an identifier of its own, also where rows repeat.
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
+    folder = _reachable(spark, folder)
     payload = F.coalesce(F.col(payload_column).cast("binary"), F.lit(b""))
     rows = pages.select(
         F.col(id_column).cast("bigint").alias("page_id"),
@@ -64,12 +66,14 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     )
     largest = (
         rows.where(F.octet_length("payload") >= min_bytes).groupBy("same")
-        .agg(F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select("same", "largest")
+        .agg(F.max(F.struct("page_id", "url")).alias("last"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("same", F.col("last.page_id").alias("largest"),
+                               F.col("last.url").alias("largest_url"))
     )
     decided = rows.join(largest, "same", "left").select(
         "page_id", "url", "payload",
         F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")).alias("refers_to"),
+        "largest_url",
     )
     return write_table(decided.mapInArrow(_writer(folder), INDEX))[0]
 
@@ -97,23 +101,35 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes,
-           refers_to: int | None) -> tuple[str, bytes]:
-    """Record id and the bytes of a WARC record."""
-    name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}')}>"
+def _reachable(spark: SparkSession, folder: str) -> str:
+    """The folder as Hadoop resolves it, under the scheme pyarrow knows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    scheme, rest = files.resolvePath(path).toString().split(":", 1)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return f"{scheme}://{rest.removeprefix('//')}"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None,
+           place: str = "", refers_url: str | None = None) -> tuple[str, bytes]:
+    """Record id and the bytes of a WARC record. ``place`` tells equal records apart."""
+    line = lambda text: " ".join((text or "").split())
+    stated = digest(payload)
+    named = f"{place} page:{page_id} {stated} {line(url)}"
+    name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, named)}>"
     fields = {
         "WARC-Type": "response" if refers_to is None else "revisit",
         "WARC-Record-ID": name,
         "WARC-Date": NO_DATE,
-        "WARC-Target-URI": " ".join((url or "").split()),
-        "WARC-Payload-Digest": f"sha1:{digest(payload)}",
+        "WARC-Target-URI": line(url),
+        "WARC-Payload-Digest": f"sha1:{stated}",
         "X-Payload-Length": str(len(payload)),
         "X-Page-ID": "" if page_id is None else str(page_id),
     }
     if refers_to is not None:
-        other = uuid.uuid5(uuid.NAMESPACE_OID, f"page:{refers_to}")
-        fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": f"<urn:uuid:{other}>",
-                   "X-Refers-To-Page": str(refers_to)}
+        fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To-Target-URI": line(refers_url),
+                   "WARC-Refers-To-Date": NO_DATE, "X-Refers-To-Page": str(refers_to)}
     block = payload if refers_to is None else b""
     fields |= {"Content-Type": "text/html; charset=utf-8", "Content-Length": str(len(block))}
     head = "".join(f"{key}: {value}\r\n" for key, value in fields.items())
@@ -187,7 +203,6 @@ def _writer(folder: str):
     columns = [part.split() for part in INDEX.split(", ")]
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     schema = pa.schema([(name, kinds[kind]) for name, kind in columns])
-    base = folder if "://" in folder else "file://" + folder.removeprefix("file:")
 
     def batch_of(rows: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -195,14 +210,17 @@ def _writer(folder: str):
             schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bundle = None
+        bundle, count = None, 0
         for batch in words.slices(batches, "payload"):
             done = []
             for row in range(batch.num_rows):
-                page_id, url, payload, refers_to = (
-                    batch.column(c)[row].as_py() for c in ("page_id", "url", "payload", "refers_to"))
-                bundle = bundle or Bundle(base)
-                done += bundle.add(page_id, *record(page_id, url, payload, refers_to))
+                page_id, url, payload, refers_to, refers_url = (
+                    batch.column(c)[row].as_py()
+                    for c in ("page_id", "url", "payload", "refers_to", "largest_url"))
+                bundle = bundle or Bundle(folder)
+                count += 1
+                done += bundle.add(page_id, *record(
+                    page_id, url, payload, refers_to, f"{bundle.file}#{count}", refers_url))
                 if bundle.written >= BUNDLE_BYTES:
                     done += bundle.close()
                     bundle = None

@@ -3,6 +3,7 @@ import hashlib
 import io
 import os
 
+import pytest
 import zstandard
 from pyspark.sql import functions as F
 
@@ -67,3 +68,29 @@ def test_frames_and_bundles_are_bounded(spark, monkeypatch):
     assert index.select("file").distinct().count() > 3
     assert index.select("file", "frame").distinct().count() > 10
     assert rows(warc.read_archives(index)) == brute(DATA)
+
+
+def test_every_record_has_an_id_of_its_own(spark):
+    data = [*DATA, (1, "other", "another payload"), (1, "other", "another payload"), (None, "n", "x"),
+            (None, "n", "y"), (7, "u", "x")]
+    index = warc.write_archives(spark.createDataFrame(data, SCHEMA).repartition(3))
+    assert index.select("record_id").distinct().count() == index.count() == len(data)
+    assert rows(warc.read_archives(index)) == brute(data)
+    found = [(r.page_id, next(warc.records(bytes(r.record)))) for r in warc.read_records(index).collect()]
+    ids = {r.record_id for r in index.collect()}
+    assert {fields["WARC-Record-ID"] for _, (fields, _) in found} == ids
+    for _, (fields, _) in found:
+        if fields["WARC-Type"] == "revisit":
+            assert fields["WARC-Refers-To-Target-URI"] in {
+                " ".join((url or "").split()) for page, url, _ in data
+                if str(page) == fields["X-Refers-To-Page"]}
+
+
+def test_folders_as_spark_takes_them(spark, tmp_path):
+    df = spark.createDataFrame(DATA[:5], SCHEMA)
+    for name in (f"{tmp_path}/plain", f"file:{tmp_path}/one", f"file://{tmp_path}/three"):
+        index = warc.write_archives(df, name)
+        assert rows(warc.read_archives(index)) == brute(DATA[:5])
+        assert {r.file.startswith(f"file://{tmp_path}/") for r in index.collect()} == {True}
+    with pytest.raises(Exception, match="(?i)scheme|filesystem"):
+        warc.write_archives(df, "nosuch://bucket/x")
