@@ -5,8 +5,9 @@ piece more than that, so any such occurrence holds at least one piece unchanged.
 finds the exact piece hits of a text; around them Myers' bit-parallel recurrence gives the least
 edit distance between the item and any stretch of the text.
 
-The items are taken in blocks of about ``BLOCK_CHARS`` characters; each block is one pass over
-the documents, and only one block at a time is on the driver and in a task.
+The items are taken in blocks of about ``BLOCK_CHARS`` characters. Each block is one pass over the
+documents, and what it finds is written before the next one begins, so only one block at a time is
+on the driver and in a task.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fettle.llm import words
+from fettle.shared import cut
 
 BLOCK_CHARS = 4_000_000
 
@@ -41,9 +43,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     schema = (f"{id_column} {kind}, {item_id} {item_kind}, distance int, n_places int, "
               "begin bigint, end bigint")
     found = None
-    for block in _blocks(items, item_id, item_text):
+    for block, more in _blocks(items, item_id, item_text):
         part = texts.mapInArrow(_reporter(block, error_rate, docs.schema[id_column].name,
                                           item_id), schema)
+        part = cut(part) if more or found is not None else part
         found = part if found is None else found.union(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
@@ -52,13 +55,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_column: str = "text",
                   item_id: str = "item_id", item_text: str = "text",
                   error_rate: float = 0.08) -> DataFrame:
     """``docs`` without the rows in which ``contaminated`` finds an item; all columns stay."""
-    for block in _blocks(items, item_id, item_text):
+    for block, more in _blocks(items, item_id, item_text):
         docs = docs.mapInArrow(_filter(block, error_rate, text_column), docs.schema)
+        docs = cut(docs) if more else docs
     return docs
 
 
-def _blocks(items: DataFrame, item_id: str, item_text: str) -> Iterator[list[tuple]]:
-    """The items as (id, normal text), some millions of characters at a time."""
+def _blocks(items: DataFrame, item_id: str, item_text: str) -> Iterator[tuple[list[tuple], bool]]:
+    """The items as (id, normal text), some millions of characters at a time, and whether more
+    blocks follow."""
     items = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where(
         "text is not null")
     total = items.agg(F.sum(F.length("text").cast("bigint")).alias("n")).first().n or 0
@@ -66,7 +71,8 @@ def _blocks(items: DataFrame, item_id: str, item_text: str) -> Iterator[list[tup
     for number in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == number)
         block = [(row.id, normal(row.text)) for row in mine.toLocalIterator()]
-        yield sorted(((i, t) for i, t in block if t), key=lambda x: (x[1], str(x[0])))
+        block = sorted(((i, t) for i, t in block if t), key=lambda x: (x[1], str(x[0])))
+        yield block, number + 1 < blocks
 
 
 def normal(text: str) -> str:
