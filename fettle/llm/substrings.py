@@ -72,8 +72,8 @@ def repeated_strings(docs: DataFrame, id_column: str = "doc_id", text_column: st
         F.collect_list(F.struct("core", "piece", "place", "weight")).alias("asked"))
     first = F.row_number().over(Window.partitionBy("t", "t2").orderBy("t"))
     pieces = cut(
-        texts.select("t", "t2", "text").mapInArrow(_packer("t", "t2"), "t bigint, t2 bigint, "
-                                                   "packed binary")
+        texts.select("t", "t2", "text").mapInArrow(_packer("t", "t2", once=("t", "t2")),
+                                                   "t bigint, t2 bigint, packed binary")
         .join(asked, "t").withColumn("copy", first).where("copy = 1")
         .select("packed", "asked").mapInArrow(_reader(length), _PIECE)
     )
@@ -91,6 +91,7 @@ def repeated_strings(docs: DataFrame, id_column: str = "doc_id", text_column: st
     )
 
 
+SEEN = 200_000  # texts a task remembers to have passed on
 _PIECE = "core bigint, piece bigint, ahead int, weight bigint, bytes binary"
 
 
@@ -178,12 +179,22 @@ def _cutter(length: int):
     return run
 
 
-def _packer(*names: str):
-    """The texts as Zstandard frames: whole texts are shuffled twice, and shrink by half so."""
+def _packer(*names: str, once: tuple[str, ...] = ()):
+    """The texts as Zstandard frames: whole texts are shuffled twice, and shrink by half so.
+
+    Of rows that agree in the columns ``once`` a task passes on the first only, as far as it
+    remembers them, so that a text with very many copies does not move as often.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
+        seen: set[tuple] = set()
         for batch in words.slices(batches):
+            if once:
+                keys = list(zip(*(batch.column(c).to_pylist() for c in once)))
+                first = {key: row for row, key in reversed(list(enumerate(keys))) if key not in seen}
+                seen = set(first) if len(seen) > SEEN else seen | set(first)
+                batch = batch.take(pa.array(sorted(first.values()), pa.int64()))
             data, offsets = words.buffers(batch.column("text"))
             view = memoryview(np.ascontiguousarray(data))
             packed = [pack(view[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
