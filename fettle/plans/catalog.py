@@ -105,7 +105,7 @@ def chat_prompt_gen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def strip_special(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_prompt(spark, sf_dir).select(
-        "conv_id", text.strip_special(F.col("prompt"), CHAT_TOKENS).alias("plain")
+        "conv_id", "part", text.strip_special(F.col("prompt"), CHAT_TOKENS).alias("plain")
     )
 
 

@@ -179,7 +179,7 @@ FROM documents ORDER BY doc_id LIMIT 1""",
     "chat_prompt_gen": _chat(f"'<|im_start|>assistant' || {NEWLINE}"),
     "strip_special": f"""
 WITH chats AS ({_chat("''")})
-SELECT conv_id, regexp_replace(prompt, '<\\|im_start\\|>|<\\|im_end\\|>', '', 'g') AS plain
+SELECT conv_id, part, regexp_replace(prompt, '<\\|im_start\\|>|<\\|im_end\\|>', '', 'g') AS plain
 FROM chats""",
     "generated_part": f"""
 WITH {PAIRS}, texts AS (SELECT *, {QA} AS text FROM pairs)
