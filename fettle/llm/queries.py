@@ -191,6 +191,28 @@ WITH v AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
   AS rank, vec_id, score
 FROM s QUALIFY rank <= 5""",
+    "op8_near_duplicates": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 1
+    THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS shingle
+  FROM words
+), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+sized AS MATERIALIZED (SELECT doc_id, shingle, n FROM sets JOIN sizes USING (doc_id)),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sized a JOIN sized b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), sides AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(a, b) AS (
+  SELECT a, b FROM sides UNION SELECT r.a, s.b FROM reached r JOIN sides s ON s.a = r.b
+), smallest AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, b) AS component_id,
+  d.doc_id = least(d.doc_id, b) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest ON a = d.doc_id""",
     "op9_sharding": f"""
 SELECT doc_id, md5(coalesce(text, '')) AS text_md5, source, slot, shard
 FROM (
