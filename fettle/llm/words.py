@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 8 << 20  # bytes of text handled at a time; a longer text forms a slice of its own
+SLICE = 1 << 20  # bytes of text handled at a time; a longer text forms a slice of its own
 BLOCK = 1 << 20  # bytes hashed at a time; a longer word forms a block of its own
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
