@@ -8,13 +8,14 @@ two collections agree: with p = s**rows they are missed with probability
 
 Copies with equal shingle sets are one node. In a table, members of a bucket are first compared
 with its smallest member only, and the links found so are contracted. Buckets that still hold
-different components are looked at by sketches: a pair is a candidate if at most 24 (for s = 0.8)
-of its 48 min-hashes, kept to four bits each, differ, which a pair at s exceeds less than once in a
-million. What leaves a bucket is not its candidates but which components have some. Of two such
-components the members of the smaller are then compared with all of the larger, on full sets and
-in blocks, so that a set is moved once per block and not once per pair. Buckets too large for one
-task, as a passage that very many documents share makes them, are cut into blocks of members too,
-and every two blocks are compared in a task of their own; no pair is left out.
+different components are looked at by sketches: a pair is near if at most 24 (for s = 0.8) of its 48
+min-hashes, kept to four bits each, differ, which a pair at s exceeds less than once in a million.
+What leaves a bucket are the members that have a near one in another component, not the pairs: they
+are joined with their full sets and compared in tasks that pass on only links between components,
+fewer than they have members. That is done in two rounds, first for eight tables without a common
+collection, in which most copies meet, then for the others with what is still apart. Buckets too
+large for one task, as a passage that very many documents share makes them, are cut into blocks of
+members, and every two blocks are compared in a task of their own; no pair is left out.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from fettle.llm.components import components
 from fettle.shared import cut
 
 TASK_BUCKET = 4_096  # members of a block of a bucket; a task compares two blocks
-BLOCK = 256  # sets of either side compared in one task
+SHINGLES = 1 << 20  # shingles of either side compared in one task; a larger set is alone on its side
 RARE = 1_000_000  # a sketch fails a pair at the threshold less than once in so many
 SKETCH = ["s0", "s1", "s2"]  # 16 min-hashes of four bits each in every number
 
@@ -55,38 +56,108 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Other columns are ignored, whatever their names.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    signed = cut(texts.mapInArrow(
+    signed, sets, found = _classed(docs, id_column, text_column, shingle_words, similarity,
+                                   collections, rows)
+    nodes = _named(sets, found)
+    several = signed.where("n > 0 and id is not null").groupBy("id").agg(
+        F.min(F.struct("f1", "f2")).alias("a"), F.max(F.struct("f1", "f2")).alias("b")).where("a <> b")
+    several = cut(several.select("id"))
+    if several.limit(1).count():  # ids with different texts join their classes
+        versions = signed.join(several, "id", "left_semi").where("n > 0").select(
+            "id", "f1", "f2").distinct().join(nodes, ["f1", "f2"])
+        first = versions.groupBy("id").agg(F.min("node").alias("first"))
+        same = versions.join(first, "id").select("first", "node")
+        joined = cut(components(same, "first", "node").select(
+            "node", F.col("component").alias("joined")))
+        nodes = nodes.join(joined, "node", "left").withColumn("node", F.coalesce("joined", "node"))
+    lowest = nodes.groupBy("node").agg(F.min("low").alias("component"))
+    classes = nodes.select("f1", "f2", "node").join(lowest, "node").select("f1", "f2", "component")
+    own = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component", "id")).cast(kind)
+    return (
+        signed.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
+        .select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
+                own.alias("component_id"), (F.col("id") == own).alias("kept"))
+    )
+
+
+def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                        shingle_words: int = 5, similarity: tuple[int, int] = (80, 100),
+                        collections: int = 16, rows: int = 3) -> DataFrame:
+    """``docs`` with one row of each class of near copies; columns unchanged.
+
+    A class is one of texts, whatever their ids: of its rows that with the smallest id stays, of
+    several such that whose text has the smallest hash, and of equal rows one. So a row whose text
+    is like no other stays, also where its id names another text that goes. Rows with a null id,
+    and each distinct id with an empty text, stay; of equal rows with an empty text one does.
+    """
+    signed, sets, found = _classed(docs, id_column, text_column, shingle_words, similarity,
+                                   collections, rows)
+    node = signed.where("id is not null").join(
+        _named(sets, found).select("f1", "f2", "node"), ["f1", "f2"], "left")
+    # Empty sets have no node: every one of those rows is its own class.
+    chosen = node.where("node is not null").groupBy("node").agg(
+        F.min(F.struct("id", "t", "t2")).alias("row")).select("row.*").union(
+        node.where("node is null").select("id", "t", "t2"))
+    text = F.col(text_column).cast("string")
+    names = _free_names(docs, "t", "t2", "place")
+    hashed = docs.where(F.col(id_column).isNotNull()).withColumns(
+        {names["t"]: F.xxhash64(text), names["t2"]: F.xxhash64(text, F.lit(1))})
+    keys = [F.col(id_column), F.col(names["t"]), F.col(names["t2"])]
+    whole = F.xxhash64(*[f.name for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(whole))
+    once = hashed.withColumn(names["place"], place).where(F.col(names["place"]) == 1)
+    wanted = chosen.distinct().select(*[
+        F.col(c).alias(f"{names['place']}_{c}") for c in ("id", "t", "t2")])
+    same = [k == F.col(f"{names['place']}_{c}") for k, c in zip(keys, ("id", "t", "t2"))]
+    kept = once.join(wanted, same, "left_semi").select(*docs.columns)
+    return kept.union(docs.where(F.col(id_column).isNull()))
+
+
+def _free_names(df: DataFrame, *names: str) -> dict[str, str]:
+    """Names for helper columns that ``df`` does not have."""
+    taken, found = {c.lower() for c in df.columns}, {}
+    for name in names:
+        free = f"__{name}"
+        while any(c.startswith(free) for c in taken):
+            free += "_"
+        found[name] = free
+    return found
+
+
+def _classed(docs: DataFrame, id_column: str, text_column: str, shingle_words: int,
+             similarity: tuple[int, int], collections: int, rows: int):
+    """Signed rows, distinct sets under numbers of their own, and the components of those."""
+    kind = docs.schema[id_column].dataType.simpleString()
+    text = F.col(text_column).cast("string")
+    texts = docs.select(F.col(id_column).alias("id"), text.alias("text"))
+    signed = cut(texts.select(
+        "*", F.xxhash64("text").alias("t"), F.xxhash64("text", F.lit(1)).alias("t2"),
+        F.monotonically_increasing_id().alias("row"),
+    ).mapInArrow(
         _signer(shingle_words, collections, rows),
-        f"id {kind}, n bigint, f1 bigint, f2 bigint, bands array<bigint>, "
-        "s0 bigint, s1 bigint, s2 bigint",
+        f"id {kind}, t bigint, t2 bigint, row bigint, n bigint, f1 bigint, f2 bigint, "
+        "bands array<bigint>, s0 bigint, s1 bigint, s2 bigint",
     ))
     sets = cut(
         signed.where("n > 0 and id is not null").groupBy("f1", "f2")
-        .agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "bands", *SKETCH)])
+        .agg(F.min("row").alias("rep"), F.min("id").alias("low"),
+             *[F.first(c).alias(c) for c in ("n", "bands", *SKETCH)])
     )
-    buckets = cut(_buckets(sets, kind, collections))
-
-    stars = likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
-                    similarity)
-    stars = cut(stars)
+    buckets = cut(_buckets(sets, collections))
+    stars = cut(likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
+                       similarity))
+    full = lambda asked: _full_sets(texts, sets, asked, kind, shingle_words)
     asked = stars.select(F.col("a").alias("rep")).union(stars.select("b")).distinct()
-    links = cut(similar(stars, _full_sets(texts, asked, kind, shingle_words), similarity))
+    links = cut(similar(stars, full(asked), similarity))
     found = cut(components(links, "a", "b"))
-    full = lambda asked: _full_sets(texts, asked, kind, shingle_words)
-    more = across(buckets, sets, found, similarity, full, _first_table)
-    joined = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    found = cut(components(joined, "a", "b"))
-
-    classes = sets.select("f1", "f2", "rep").join(
-        found.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).select("f1", "f2", F.coalesce("component", "rep").alias("component"))
-    own = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component", "id"))
-    return (
-        signed.select("id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
-        .select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
-                own.alias("component_id"), (F.col("id") == own).alias("kept"))
-    )
+    return signed, sets, across(buckets, sets, found, similarity, full, _first_table)
+
+
+def _named(sets: DataFrame, found: DataFrame) -> DataFrame:
+    """(f1, f2, low, node): the component of every set, and its smallest id."""
+    return sets.select("f1", "f2", "low", "rep").join(
+        found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "f1", "f2", "low", F.coalesce("component", "rep").alias("node"))
 
 
 def _signer(size: int, collections: int, rows: int):
@@ -102,10 +173,10 @@ def _signer(size: int, collections: int, rows: int):
             sketch = sketches(minima)
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * collections)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(np.diff(begin)), words.signed(f1), words.signed(f2),
+                [*(batch.column(c) for c in ("id", "t", "t2", "row")), pa.array(np.diff(begin)), words.signed(f1), words.signed(f2),
                  pa.ListArray.from_arrays(offsets, words.signed(bands.ravel())),
                  *map(words.signed, sketch)],
-                ["id", "n", "f1", "f2", "bands", *SKETCH],
+                ["id", "t", "t2", "row", "n", "f1", "f2", "bands", *SKETCH],
             )
 
     return run
@@ -118,81 +189,86 @@ def sketches(minima: np.ndarray) -> list[np.ndarray]:
     return [np.bitwise_or.reduce(chosen[:, k:k + 16] << shifts, axis=1) for k in (0, 16, 32)]
 
 
-def _buckets(sets: DataFrame, kind: str, collections: int) -> DataFrame:
-    """(key, rep, leader): members of shared buckets other than the smallest."""
-    pairs = list(combinations(range(collections), 2))
-    left, right = (np.array(side) for side in zip(*pairs))
-    salts = words.mix(np.arange(1, len(pairs) + 1, dtype=np.uint64) * words.BASE)
+def _tables(collections: int) -> list[tuple[int, int]]:
+    """Pairs of collections; first those of the first round, which have none in common."""
+    apart = [(k, k + 1) for k in range(0, collections - 1, 2)]
+    return apart + [p for p in combinations(range(collections), 2) if p not in apart]
+
+
+def _salts(collections: int) -> np.ndarray:
+    """A number per table; the lowest bit of a key tells whether it belongs to the first round."""
+    return words.mix(np.arange(1, len(_tables(collections)) + 1, dtype=np.uint64) * words.BASE)
+
+
+def _keys(bands: np.ndarray, left: np.ndarray, right: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Keys of one table per set, or of all in a row; even ones belong to the second round."""
+    count = bands.shape[1]
+    rows = np.arange(len(bands)).reshape(-1, *[1] * (left.ndim - 1))
+    one, two = bands[rows, left], bands[rows, right]
+    keys = words.mix(words.mix(one ^ _salts(count)[table]) ^ two)
+    early = (table < count // 2).astype(np.uint64)
+    return keys >> np.uint64(1) << np.uint64(1) | early
+
+
+def _buckets(sets: DataFrame, collections: int) -> DataFrame:
+    """(key, rep, leader, turn): members of shared buckets other than the smallest."""
+    left, right = (np.array([side]) for side in zip(*_tables(collections)))
+    every = np.arange(left.size)
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
                 bands = part.column("bands").flatten().to_numpy(False).view(np.uint64)
-                bands = bands.reshape(part.num_rows, collections)
-                keys = words.mix(words.mix(bands[:, left] ^ salts) ^ bands[:, right])
-                rows = pa.array(np.repeat(np.arange(part.num_rows), len(pairs)))
+                keys = _keys(bands.reshape(part.num_rows, collections), left, right, every)
+                rows = pa.array(np.repeat(np.arange(part.num_rows), len(every)))
                 yield pa.RecordBatch.from_arrays(
                     [words.signed(keys.ravel()), part.column("rep").take(rows)], ["key", "rep"])
 
-    return with_leader(sets.select("rep", "bands").mapInArrow(tables, f"key bigint, rep {kind}"))
+    # A set becomes 120 rows: few small files of sets must not make few large tasks.
+    spread = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = sets.select("rep", "bands").repartition(spread, "rep").mapInArrow(
+        tables, "key bigint, rep bigint")
+    return with_leader(members).withColumn("turn", 1 - F.col("key").bitwiseAND(F.lit(1)))
 
 
 def with_leader(members: DataFrame) -> DataFrame:
-    """Members of buckets other than the smallest, with the smallest."""
-    order = Window.partitionBy("key").orderBy("rep").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return members.select("key", "rep", F.first("rep").over(order).alias("leader")).where(
-        "rep <> leader")
+    """Members of buckets other than the smallest, with the smallest.
+
+    The smallest is found by an aggregate and joined back, so a large bucket is combined before it
+    moves and is no single task's.
+    """
+    leaders = members.groupBy("key").agg(
+        F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader <> last")
+    return members.join(leaders.select("key", "leader").hint("merge"), "key").where("rep <> leader")
 
 
 def across(buckets: DataFrame, sets: DataFrame, found: DataFrame, similarity: tuple[int, int],
            full_sets, first_key) -> DataFrame:
-    """(a, b): links between members of one bucket that are still in different components.
+    """Components (node, component) after all pairs of members of one bucket are looked at.
 
+    ``found`` are the components so far; in them every member is compared with its leader.
     ``full_sets`` gives the sets (rep, shingles) of a table of (rep), ``first_key`` the key of the
-    first bucket that pairs of members share, from their collections and which of them agree. Of
-    the links between two components those found first in each block are returned, at least one.
+    first bucket that pairs of members share, from their collections and which of them agree.
+    ``buckets`` are taken by their ``turn``, if they have one.
     """
-    edges = cut(_candidates(buckets, sets, found, similarity, first_key))
-    members = found.select(F.col("node").alias("rep"), "component")
-    named = edges.select(F.col("a").alias("component")).union(edges.select("b")).distinct()
-    members = cut(named.join(members, "component", "left").select(
-        "component", F.coalesce("rep", "component").alias("rep")))
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    side = [sizes.select(F.col("component").alias(x), F.col("size").alias(f"{x}_size"))
-            for x in "ab"]
-    swap = F.struct("a_size", "a") > F.struct("b_size", "b")
-    pairs = edges.join(side[0], "a").join(side[1], "b").select(
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("small"),
-        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("large"))
-    guests = pairs.join(members.withColumnRenamed("component", "small"), "small").select(
-        "large", "rep").distinct()
-    hosts = pairs.select("large").distinct().join(
-        members.withColumnRenamed("component", "large"), "large")
-    counts = guests.groupBy("large").agg(F.count(F.lit(1)).alias("guests")).join(
-        sizes.withColumnsRenamed({"component": "large", "size": "hosts"}), "large")
-    rows = None
-    for table, mine, other, which in ((guests, "guests", "hosts", 0), (hosts, "hosts", "guests", 1)):
-        blocks = F.ceil(F.col(mine) / BLOCK)
-        others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col(other) / BLOCK) - 1))
-        part = table.join(counts, "large").withColumn(
-            "mine", F.pmod(F.xxhash64("rep"), blocks)).withColumn("other", others)
-        left, right = ("mine", "other") if which == 0 else ("other", "mine")
-        part = part.select(F.xxhash64("large", left, right).alias("task"), "rep",
-                           F.lit(which).alias("side"))
-        rows = part if rows is None else rows.union(part)
-    rows = cut(rows)
-    full = full_sets(rows.select("rep").distinct())
+    turns = (0, 1) if "turn" in buckets.columns else (None,)
     kind = sets.schema["rep"].dataType.simpleString()
-    return cut(
-        rows.join(full, "rep").repartition("task").sortWithinPartitions("task", "side")
-        .mapInArrow(_compared(similarity), f"a {kind}, b {kind}"))
-
-
-def _candidates(buckets: DataFrame, sets: DataFrame, found: DataFrame,
-                similarity: tuple[int, int], first_key) -> DataFrame:
-    """(a, b): components with members in one bucket whose sketches are near enough.
+    for turn in turns:
+        mine = buckets if turn is None else buckets.where(F.col("turn") == turn)
+        rows = cut(_near_members(mine, sets, found, similarity, first_key))
+        full = full_sets(rows.select("rep").distinct())
+        links = cut(
+            rows.join(full, "rep").repartition("task").sortWithinPartitions("task")
+            .mapInArrow(_linked(similarity), f"a {kind}, b {kind}"))
+        joined = links.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        found = cut(components(joined, "a", "b"))
+    return found
+
+
+def _near_members(buckets: DataFrame, sets: DataFrame, found: DataFrame,
+                  similarity: tuple[int, int], first_key) -> DataFrame:
+    """(task, side, rep, component): members that have a near one in another component.
 
     Members meet in many tables; a pair counts in the first bucket it shares only. All members of a
     bucket are compared with all others, block by block, so its size changes nothing but the number
@@ -200,17 +276,13 @@ def _candidates(buckets: DataFrame, sets: DataFrame, found: DataFrame,
     """
     labels = found.select(F.col("node").alias("rep"), "component")
     kind = sets.schema["rep"].dataType.simpleString()
-    leaders = buckets.groupBy("key").agg(
-        F.min("leader").alias("rep"), (F.count(F.lit(1)) + 1).alias("size")).where("size > 2")
-    members = buckets.select("key", "rep").join(leaders.select("key"), "key", "left_semi")
-    members = members.union(leaders.select("key", "rep")).join(labels, "rep", "left").select(
+    members = buckets.select("key", "rep").join(labels, "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = members.groupBy("key").agg(
         (F.min("component") != F.max("component")).alias("mixed"),
         F.ceil(F.count(F.lit(1)) / TASK_BUCKET).alias("blocks"),
     ).where("mixed").select("key", "blocks")
-    members = cut(members.join(mixed, "key").join(
-        sets.select("rep", "n", "bands", *SKETCH), "rep"))
+    members = members.join(mixed, "key").join(sets.select("rep", "n", "bands", *SKETCH), "rep")
     # A member goes to the tasks of its block with every other; side 1 is the block of the two
     # with the larger number, and a block alone in its task is compared with itself.
     members = members.withColumn("mine", F.pmod(F.xxhash64("rep"), "blocks")).withColumn(
@@ -218,9 +290,10 @@ def _candidates(buckets: DataFrame, sets: DataFrame, found: DataFrame,
     task = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
     return (
         members.select(task.alias("task"), (F.col("mine") > F.col("other")).cast("int").alias("side"),
-                       "key", "component", "n", "bands", *SKETCH)
+                       "key", "rep", "component", "n", "bands", *SKETCH)
         .repartition("task").sortWithinPartitions("task")
-        .mapInArrow(_near_components(similarity, first_key), f"a {kind}, b {kind}").distinct()
+        .mapInArrow(_near(similarity, first_key),
+                    f"task bigint, side int, rep {kind}, component {kind}")
     )
 
 
@@ -242,26 +315,25 @@ def _by_key(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordB
 
 
 def _first_table(bands: np.ndarray, agree: np.ndarray) -> np.ndarray:
-    """Key of the first table, in the order of ``_buckets``, whose two collections agree."""
-    rows, count = np.arange(len(bands)), bands.shape[1]
-    left = agree.argmax(axis=1)
-    rest = agree.copy()
-    rest[rows, left] = False
-    right = rest.argmax(axis=1)
-    table = left * count - left * (left + 1) // 2 + right - left - 1
-    salt = words.mix((table + 1).astype(np.uint64) * words.BASE)
-    return words.mix(words.mix(bands[rows, left] ^ salt) ^ bands[rows, right])
-
-
-def _near_components(similarity: tuple[int, int], first_key):
-    """Per pair of blocks of a bucket: pairs of components that have members with near sketches."""
+    """Key of the first table, in the order of ``_tables``, whose two collections agree."""
+    tables = _tables(bands.shape[1])
+    left, right = (np.array(side) for side in zip(*tables))
+    table = np.empty(len(bands), dtype=np.int64)
+    for at in range(0, len(bands), 1 << 14):
+        part = agree[at:at + (1 << 14)]
+        table[at:at + len(part)] = (part[:, left] & part[:, right]).argmax(axis=1)
+    return _keys(bands, left[table], right[table], table)
+
+
+def _near(similarity: tuple[int, int], first_key):
+    """Per pair of blocks of a bucket: the members with near sketches, in tasks of bounded sets."""
     least, of = similarity
     allowed = _allowed(similarity)
     ones = np.uint64(0x1111111111111111)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for task in _by_key(batches, "task"):
-            component, names = _codes(task.column("component"))
+            component, _ = _codes(task.column("component"))
             n = task.column("n").to_numpy(False)
             key = np.int64(task.column("key")[0].as_py()).view(np.uint64)
             bands = pc.list_flatten(task.column("bands")).to_numpy(False).view(np.uint64)
@@ -269,8 +341,9 @@ def _near_components(similarity: tuple[int, int], first_key):
             sketch = [task.column(c).to_numpy(False).view(np.uint64) for c in SKETCH]
             side = task.column("side").to_numpy(False)
             left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            right = right if len(right) else left
-            near: set[tuple[int, int]] = set()
+            alone = not len(right)
+            right = left if alone else right
+            near = np.zeros(len(n), dtype=bool)
             step = max(1, (1 << 18) // max(1, len(right)))
             for at in range(0, len(left), step):
                 mine = left[at:at + step]
@@ -287,17 +360,41 @@ def _near_components(similarity: tuple[int, int], first_key):
                 row, column = mine[row], right[column]
                 if len(row):
                     here = first_key(bands[column], bands[row] == bands[column]) == key
-                    row, column = row[here], column[here]
-                one, two = component[row], component[column]
-                found = np.unique(np.minimum(one, two) * len(names) + np.maximum(one, two))
-                near.update((int(x) // len(names), int(x) % len(names)) for x in found)
-            if near:
-                a, b = (pa.array(side, pa.int64()) for side in zip(*sorted(near)))
-                yield pa.RecordBatch.from_arrays([names.take(a), names.take(b)], ["a", "b"])
+                    near[row[here]] = near[column[here]] = True
+            sides = [left[near[left]]] if alone else [left[near[left]], right[near[right]]]
+            if not all(map(len, sides)):
+                continue
+            number = np.int64(task.column("task")[0].as_py()).view(np.uint64)
+            for part, here, rows in _blocks(sides, n):
+                named = words.mix(number ^ words.mix(np.uint64(part + 1) * words.BASE))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows), named.view(np.int64))),
+                     pa.array(np.full(len(rows), here, np.int32)),
+                     task.column("rep").take(pa.array(rows)),
+                     task.column("component").take(pa.array(rows))],
+                    ["task", "side", "rep", "component"])
 
     return run
 
 
+def _blocks(sides: list[np.ndarray], n: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(part, side, rows): every two blocks of at most ``SHINGLES`` shingles as a part of their own.
+
+    Side 2 marks a block that is compared with itself.
+    """
+    cut_ = [np.split(rows, np.flatnonzero(np.diff(np.cumsum(n[rows]) // SHINGLES)) + 1)
+            for rows in sides]
+    part = 0
+    for i, one in enumerate(cut_[0]):
+        for k, two in enumerate(cut_[-1]):
+            if len(sides) > 1 or k > i:
+                yield part, 0, one
+                yield part, 1, two
+            elif k == i:
+                yield part, 2, one
+            part += 1
+
+
 def _codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Places of the values in their sorted distinct list, and the list."""
     names = values.unique()
@@ -305,34 +402,40 @@ def _codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return pc.index_in(values, names).to_numpy(False).astype(np.int64), names
 
 
-def _compared(similarity: tuple[int, int]):
-    """Per task: links between the sets of one side and those of the other."""
+def _linked(similarity: tuple[int, int]):
+    """Per task: links that join its components, of the sets of one side with those of the other."""
     least, of = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for task in _by_key(batches, "task"):
             side = task.column("side").to_numpy(False)
-            hosts = task.filter(pa.array(side == 1))
-            guests = task.filter(pa.array(side == 0))
-            lists = hosts.column("shingles")
+            label, _ = _codes(task.column("component"))
+            lists = task.column("shingles")
             sizes = lists.value_lengths().to_numpy(False).astype(np.int64)
-            values = pc.list_flatten(lists).to_numpy(False)
-            order = np.argsort(values, kind="stable")
+            ends = np.cumsum(sizes)
+            plain = pc.list_flatten(lists).to_numpy(False)
+            order = np.argsort(plain, kind="stable")
             owner = np.repeat(np.arange(len(sizes)), sizes)[order]
-            values = values[order]
+            values = plain[order]
             links: list[tuple[int, int]] = []
-            for row in range(guests.num_rows):
-                mine = guests.column("shingles")[row].values.to_numpy(False)
+            for row in np.flatnonzero(side != 1).tolist():
+                open_ = (label != label[row]) & (side != side[row] if side[row] == 0 else True)
+                if not open_.any():
+                    continue
+                mine = plain[ends[row] - sizes[row]:ends[row]]
                 low = np.searchsorted(values, mine, "left")
                 many = np.searchsorted(values, mine, "right") - low
                 at = np.arange(int(many.sum())) + np.repeat(low - (np.cumsum(many) - many), many)
                 both = np.bincount(owner[at], minlength=len(sizes))
-                hit = of * both >= least * (len(mine) + sizes - both)
-                links += [(row, int(other)) for other in np.flatnonzero(hit)[:1]]
+                hits = np.flatnonzero(open_ & (of * both >= least * (len(mine) + sizes - both)))
+                _, first = np.unique(label[hits], return_index=True)
+                for other in hits[first].tolist():
+                    links.append((row, other))
+                    label[label == label[other]] = label[row]
             if links:
-                a, b = (pa.array(side, pa.int64()) for side in zip(*links))
-                yield pa.RecordBatch.from_arrays(
-                    [guests.column("rep").take(a), hosts.column("rep").take(b)], ["a", "b"])
+                reps = task.column("rep")
+                a, b = (pa.array(ends_, pa.int64()) for ends_ in zip(*links))
+                yield pa.RecordBatch.from_arrays([reps.take(a), reps.take(b)], ["a", "b"])
 
     return run
 
@@ -371,8 +474,9 @@ def likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> Da
         "a", "b").distinct()
 
 
-def _full_sets(texts: DataFrame, asked: DataFrame, kind: str, size: int) -> DataFrame:
-    """(rep, shingles): the whole sets of the documents asked for (rep)."""
+def _full_sets(texts: DataFrame, sets: DataFrame, asked: DataFrame, kind: str,
+               size: int) -> DataFrame:
+    """(rep, shingles): the whole sets asked for (rep), from one document that has each."""
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches):
@@ -381,17 +485,15 @@ def _full_sets(texts: DataFrame, asked: DataFrame, kind: str, size: int) -> Data
             f1, f2 = words.set_fingerprints(shingles, begin)
             lists = pa.LargeListArray.from_arrays(pa.array(begin), words.signed(shingles))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), words.signed(f1), words.signed(f2),
-                 lists.cast(pa.list_(pa.int64()))],
-                ["id", "f1", "f2", "shingles"],
+                [words.signed(f1), words.signed(f2), lists.cast(pa.list_(pa.int64()))],
+                ["f1", "f2", "shingles"],
             )
 
-    return cut(
-        texts.join(asked.withColumnRenamed("rep", "id"), "id", "left_semi")
-        .mapInArrow(full_sets, f"id {kind}, f1 bigint, f2 bigint, shingles array<bigint>")
-        .groupBy("id", "f1", "f2").agg(F.first("shingles").alias("shingles"))
-        .select(F.col("id").alias("rep"), "shingles")
-    )
+    named = cut(sets.select("rep", "low", "f1", "f2").join(asked, "rep", "left_semi"))
+    found = texts.join(named.select(F.col("low").alias("id")).distinct(), "id", "left_semi").mapInArrow(
+        full_sets, "f1 bigint, f2 bigint, shingles array<bigint>")
+    return cut(found.join(named.select("rep", "f1", "f2"), ["f1", "f2"]).groupBy("rep").agg(
+        F.first("shingles").alias("shingles")))
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:

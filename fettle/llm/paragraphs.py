@@ -64,8 +64,8 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
                         F.xxhash64(F.col(text_column).cast("string")).alias("t"))
     bands = bands_for(similarity[0] / similarity[1], miss, rows)
 
-    keyed = texts.select("text").mapInArrow(
-        _keys(shingle_words, min_words, bands, rows), "key bigint, rep binary")
+    keyed = cut(texts.select("text").mapInArrow(
+        _keys(shingle_words, min_words, bands, rows), "key bigint, rep binary").distinct())
     buckets = cut(with_leader(keyed))
     asked = buckets.select("rep").union(buckets.select("leader")).distinct()
     sets = cut(
@@ -80,11 +80,9 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
                    similarity)
     links = cut(similar(stars, sets, similarity))
     found = cut(components(links, "a", "b"))
-    more = across(buckets, sets, found, similarity,
-                  lambda asked: sets.select("rep", "shingles").join(asked, "rep", "left_semi"),
-                  _first_band)
-    joined = more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    found = cut(components(joined, "a", "b"))
+    found = across(buckets, sets, found, similarity,
+                   lambda asked: sets.select("rep", "shingles").join(asked, "rep", "left_semi"),
+                   _first_band)
 
     places = texts.mapInArrow(
         _places(min_words), f"id {kind}, t bigint, passage bigint, at bigint, begin bigint, "

@@ -71,7 +71,7 @@ def test_classes_equal_brute_force(spark, size):
 
 def test_large_buckets_are_split(spark, monkeypatch):
     monkeypatch.setattr(neardup, "TASK_BUCKET", 4)
-    monkeypatch.setattr(neardup, "BLOCK", 3)
+    monkeypatch.setattr(neardup, "SHINGLES", 150)
     data = corpus()
     df = spark.createDataFrame(data, "doc_id bigint, text string")
     found = near_duplicates(df, shingle_words=2).collect()
@@ -103,10 +103,15 @@ def test_a_large_bucket_loses_no_pair(spark, monkeypatch):
     sets = spark.createDataFrame(
         [(k, 50, bands[k].tolist(), *sketch[k].tolist()) for k in range(30)],
         "rep bigint, n bigint, bands array<bigint>, s0 bigint, s1 bigint, s2 bigint")
-    buckets = neardup._buckets(sets, "bigint", 16)
+    buckets = neardup._buckets(sets, 16)
+    assert {r.turn for r in buckets.collect()} == {0}
     found = spark.createDataFrame([], "node bigint, component bigint")
-    near = neardup._candidates(buckets, sets, found, (80, 100), neardup._first_table)
-    assert sorted(map(tuple, near.collect())) == twins
+    near = neardup._near_members(buckets, sets, found, (80, 100), neardup._first_table).collect()
+    met = {}
+    for r in near:
+        met.setdefault(r.task, set()).add(r.rep)
+    assert {r.rep for r in near} == {k for pair in twins for k in pair}
+    assert all(any({a, b} <= task for task in met.values()) for a, b in twins)
 
 
 @pytest.mark.parametrize("least", [50, 70, 80, 90, 100])
@@ -115,3 +120,76 @@ def test_a_sketch_fails_a_pair_at_the_threshold_less_than_once_in_a_million(leas
                             for k in range(most + 1, 49))
     limit = neardup._allowed((least, 100))
     assert tail(limit) < 1e-6 and (limit == 0 or tail(limit - 1) >= 1e-6)
+
+
+def test_every_pair_has_one_first_table():
+    rng = np.random.default_rng(6)
+    bands = rng.integers(0, 1 << 40, (200, 16)).astype(np.uint64)
+    other = np.where(rng.random((200, 16)) < 0.4, bands, bands + np.uint64(1))
+    agree = bands == other
+    both = agree.sum(axis=1) > 1
+    left, right = (np.array([side]) for side in zip(*neardup._tables(16)))
+    every = np.arange(120)
+    assert len(set(neardup._tables(16))) == 120
+    first = neardup._first_table(bands[both], agree[both])
+    one, two = (neardup._keys(x[both], left, right, every) for x in (bands, other))
+    for k, row in enumerate(one == two):
+        assert first[k] == one[k][row.argmax()]  # the earliest shared table, in the first round if any
+    assert ((first & np.uint64(1)) == 1).sum() == (one == two)[:, :8].any(axis=1).sum()
+
+
+def test_links_join_components_and_no_more(spark, monkeypatch):
+    """Many sets near to one another leave a task as fewer links than there are sets."""
+    monkeypatch.setattr(neardup, "SHINGLES", 3_000)
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    data = []
+    for key in range(120):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            copy[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        data.append((key, " ".join(copy)))
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    found = near_duplicates(df, shingle_words=2).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute(data, 2)
+    sides = [np.arange(0, 60), np.arange(60, 100)]
+    n = np.full(100, 100)
+    for use in (sides, sides[:1]):
+        met = {}
+        for part, side, rows in neardup._blocks(use, n):
+            met.setdefault(part, []).append((side, rows))
+        seen = {(a, b) for group in met.values() for s, x in group for t, y in group
+                for a in x for b in y if s == 2 or s != t}
+        want = {(a, b) for a in use[0] for b in use[-1]}
+        assert want <= seen
+        assert all(n[rows].sum() <= 3_000 for group in met.values() for _, rows in group)
+
+
+def test_versions_of_an_id(spark):
+    a, b = "alpha beta gamma delta eps zeta", "one two three four five six"
+    c = "red green blue cyan magenta black"
+    for data in ([(5, a), (5, b), (3, b)], [(5, a), (5, c), (7, c), (4, b)],
+                 [(9, a), (9, b), (8, b), (8, c), (2, c), (1, None)]):
+        df = spark.createDataFrame(data, "doc_id bigint, text string")
+        found = near_duplicates(df, shingle_words=2).collect()
+        assert {r.doc_id: r.component_id for r in found} == brute(data, 2)
+        kept = sorted(map(tuple, neardup.without_near_copies(df).collect()), key=repr)
+        assert sorted(t for _, t in kept if t) == sorted({t for _, t in data if t})
+
+
+def test_one_row_of_each_class_stays(spark):
+    a = " ".join(f"w{k}" for k in range(60))
+    data = [(7, a, 1, "x"), (7, a, 1, "x"), (7, a, 1, "y"), (7, a.upper(), 2, "x"), (3, a + " end", 3, "z"),
+            (4, None, 4, "z"), (4, "", 5, "z"), (4, "", 5, "z"), (None, a, 6, "z"), (None, a, 6, "z"),
+            (8, "quite another text", 7, "z")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, __t int, place string")
+    kept = neardup.without_near_copies(df)
+    assert kept.columns == df.columns
+    found = sorted(map(tuple, kept.collect()), key=repr)
+    assert found == sorted([(3, a + " end", 3, "z"), (4, None, 4, "z"), (4, "", 5, "z"),
+                            (None, a, 6, "z"), (None, a, 6, "z"), (8, "quite another text", 7, "z")],
+                           key=repr)
+    equal = neardup.without_near_copies(df.where("doc_id = 7")).collect()
+    assert len(equal) == 1 and equal == neardup.without_near_copies(
+        df.where("doc_id = 7").repartition(5)).collect()
+    assert neardup.without_near_copies(df.limit(0)).collect() == []
