@@ -2,7 +2,7 @@
 
 Each stage takes the documents its predecessor kept and returns a DataFrame; all but the last
 return the columns of ``documents``. Documents whose toxicity score reaches the threshold go; of
-each near-duplicate class one document stays; documents that hold a benchmark item go; sources
+each near-duplicate class one row stays; documents that hold a benchmark item go; sources
 are mixed to their targets, so a document may be gone or there up to three times; every row gets
 its shard.
 """
@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fettle.llm.decontaminate import decontaminate
 from fettle.llm.mixing import mixed_documents
-from fettle.llm.neardup import near_duplicates
-from fettle.llm.queries import SHARDS, TOXIC_FROM
+from fettle.llm.neardup import without_near_copies
+from fettle.llm.queries import LENGTH_TILT, SHARDS, TOXIC_FROM
 from fettle.llm.sharding import assign_shards
 from fettle.llm.toxicity import fit_toxicity, keep_below
 from fettle.shared import cut
@@ -34,16 +34,12 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_below(docs, model, TOXIC_FROM)
 
 
-def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class; rows that repeat its id are dropped too.
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of near copies, whatever ids its texts have.
 
     Documents with a null id belong to no class and stay.
     """
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    once = named.withColumn("__number", number).where("__number = 1").select(*docs.columns)
-    return once.union(docs.where("doc_id is null"))
+    return without_near_copies(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +49,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    return mixed_documents(docs)
+    return mixed_documents(docs, length_tilt=LENGTH_TILT)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +59,7 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", without_toxic),
-    ("near_duplicates", without_near_copies),
+    ("near_duplicates", one_of_each),
     ("decontamination", without_benchmark),
     ("mixing", mixed),
     ("sharding", sharded),
