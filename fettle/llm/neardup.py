@@ -282,7 +282,8 @@ def _near_members(buckets: DataFrame, sets: DataFrame, found: DataFrame,
         (F.min("component") != F.max("component")).alias("mixed"),
         F.ceil(F.count(F.lit(1)) / TASK_BUCKET).alias("blocks"),
     ).where("mixed").select("key", "blocks")
-    members = members.join(mixed, "key").join(sets.select("rep", "n", "bands", *SKETCH), "rep")
+    members = members.join(mixed, "key").join(
+        sets.select("rep", "n", "bands", *SKETCH).hint("merge"), "rep")
     # A member goes to the tasks of its block with every other; side 1 is the block of the two
     # with the larger number, and a block alone in its task is compared with itself.
     members = members.withColumn("mine", F.pmod(F.xxhash64("rep"), "blocks")).withColumn(
@@ -470,7 +471,8 @@ def likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> Da
         sets.select(F.col("rep").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in traits])
         for side in "ab"
     )
-    return pairs.distinct().join(one, "a").join(two, "b").where(_may_reach(similarity)).select(
+    # Sets grow with the data: the plan is the same at every size.
+    return pairs.distinct().join(one.hint("merge"), "a").join(two.hint("merge"), "b").where(_may_reach(similarity)).select(
         "a", "b").distinct()
 
 
