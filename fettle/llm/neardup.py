@@ -36,6 +36,7 @@ from fettle.shared import cut
 
 TASK_BUCKET = 4_096  # members of a block of a bucket; a task compares two blocks
 SHINGLES = 1 << 20  # shingles of either side compared in one task; a larger set is alone on its side
+BITMAPS, BITMAP = 4_096, 1 << 15  # bitmaps that mark keys, and the bits of one, fixed by Spark
 RARE = 1_000_000  # a sketch fails a pair at the threshold less than once in so many
 SKETCH = ["s0", "s1", "s2"]  # 16 min-hashes of four bits each in every number
 
@@ -140,13 +141,14 @@ def _classed(docs: DataFrame, id_column: str, text_column: str, shingle_words: i
     ))
     sets = cut(
         signed.where("n > 0 and id is not null").groupBy("f1", "f2")
-        .agg(F.min("row").alias("rep"), F.min("id").alias("low"),
+        .agg(F.min("row").alias("rep"), F.min(F.struct("id", "t")).alias("text"),
              *[F.first(c).alias(c) for c in ("n", "bands", *SKETCH)])
+        .withColumns({"low": F.col("text.id"), "low_t": F.col("text.t")}).drop("text")
     )
     buckets = cut(_buckets(sets, collections))
     stars = cut(likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
                        similarity))
-    full = lambda asked: _full_sets(texts, sets, asked, kind, shingle_words)
+    full = lambda asked: _full_sets(texts, sets, asked, shingle_words)
     asked = stars.select(F.col("a").alias("rep")).union(stars.select("b")).distinct()
     links = cut(similar(stars, full(asked), similarity))
     found = cut(components(links, "a", "b"))
@@ -476,26 +478,43 @@ def likely(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> Da
         "a", "b").distinct()
 
 
-def _full_sets(texts: DataFrame, sets: DataFrame, asked: DataFrame, kind: str,
-               size: int) -> DataFrame:
+def _full_sets(texts: DataFrame, sets: DataFrame, asked: DataFrame, size: int) -> DataFrame:
     """(rep, shingles): the whole sets asked for (rep), from one document that has each."""
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches):
             hashes, first = words.word_hashes(batch.column("text"))
             shingles, begin = words.shingle_sets(hashes, first, size)
-            f1, f2 = words.set_fingerprints(shingles, begin)
             lists = pa.LargeListArray.from_arrays(pa.array(begin), words.signed(shingles))
+            own = map(words.signed, words.set_fingerprints(shingles, begin))
+            same = pc.and_(*map(pc.equal, own, (batch.column("f1"), batch.column("f2"))))
             yield pa.RecordBatch.from_arrays(
-                [words.signed(f1), words.signed(f2), lists.cast(pa.list_(pa.int64()))],
-                ["f1", "f2", "shingles"],
-            )
+                [batch.column("rep"), lists.cast(pa.list_(pa.int64()))],
+                ["rep", "shingles"]).filter(same)
+
+    named = cut(sets.select("rep", "low", "low_t", "f1", "f2").join(asked, "rep", "left_semi"))
+    named = named.withColumnsRenamed({"low": "id", "low_t": "t"})
+    found = _marked(texts.withColumn("t", F.xxhash64("text")), named, ["id", "t"]).join(
+        named.hint("merge"), ["id", "t"]).select("text", "rep", "f1", "f2").mapInArrow(
+        full_sets, "rep bigint, shingles array<bigint>")
+    return cut(found.groupBy("rep").agg(F.first("shingles").alias("shingles")))
 
-    named = cut(sets.select("rep", "low", "f1", "f2").join(asked, "rep", "left_semi"))
-    found = texts.join(named.select(F.col("low").alias("id")).distinct(), "id", "left_semi").mapInArrow(
-        full_sets, "f1 bigint, f2 bigint, shingles array<bigint>")
-    return cut(found.join(named.select("rep", "f1", "f2"), ["f1", "f2"]).groupBy("rep").agg(
-        F.first("shingles").alias("shingles")))
+
+def _marked(rows: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` without most of those whose ``keys`` are not among those ``asked`` for.
+
+    Keys asked for set a bit each of ``BITMAPS`` bitmaps of 4 KB, which are broadcast: 16 MB at the
+    most. A row goes only if its bit is not set, so a join with ``asked`` gives the same afterwards,
+    but wide rows that it would drop do not move. With far more keys than bits all rows stay.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(BITMAPS * BITMAP))
+    number, bit = F.bitmap_bucket_number(place + 1), F.bitmap_bit_position(place + 1)
+    bitmaps = asked.groupBy(number.alias("bitmap")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    byte = F.expr("cast(bit div 8 as int) + 1")
+    held = F.conv(F.hex(F.substr("bits", byte, F.lit(1))), 16, 10).cast("bigint")
+    is_set = held.bitwiseAND(F.expr("shiftleft(1L, cast(bit % 8 as int))")) != 0
+    return rows.withColumns({"bitmap": number, "bit": bit}).join(
+        F.broadcast(bitmaps), "bitmap").where(is_set).select(*rows.columns)
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:

@@ -193,3 +193,18 @@ def test_one_row_of_each_class_stays(spark):
     assert len(equal) == 1 and equal == neardup.without_near_copies(
         df.where("doc_id = 7").repartition(5)).collect()
     assert neardup.without_near_copies(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("bitmaps", [1, 4_096])
+def test_marked_rows_hold_all_that_are_asked_for(spark, monkeypatch, bitmaps):
+    monkeypatch.setattr(neardup, "BITMAPS", bitmaps)
+    rows = spark.range(50_000).selectExpr("id", "nullif(id % 7, 0) as t", "string(id) as text")
+    asked = spark.range(0, 50_000, 97).selectExpr("id", "nullif(id % 7, 0) as t").where("t is not null")
+    marked = neardup._marked(rows, asked, ["id", "t"])
+    assert marked.columns == rows.columns
+    left = {r.id for r in marked.collect()}
+    assert {r.id for r in asked.collect()} <= left
+    assert len(left) < (1_500 if bitmaps == 1 else 500)
+    assert neardup._marked(rows, asked.limit(0), ["id", "t"]).count() == 0
+    crowded = neardup._marked(rows, rows.select("id", "t"), ["id", "t"])
+    assert crowded.count() == 50_000
