@@ -284,8 +284,13 @@ def _near_members(buckets: DataFrame, sets: DataFrame, found: DataFrame,
         (F.min("component") != F.max("component")).alias("mixed"),
         F.ceil(F.count(F.lit(1)) / TASK_BUCKET).alias("blocks"),
     ).where("mixed").select("key", "blocks")
-    members = members.join(mixed, "key").join(
-        sets.select("rep", "n", "bands", *SKETCH).hint("merge"), "rep")
+    # A set has at most one bucket in every table; it meets its traits once, with the list of them.
+    listed = members.join(mixed, "key").groupBy("rep").agg(
+        F.first("component").alias("component"),
+        F.collect_list(F.struct("key", "blocks")).alias("shared"))
+    members = listed.join(
+        sets.select("rep", "n", "bands", *SKETCH).hint("merge"), "rep").select(
+        "rep", "component", "n", "bands", *SKETCH, F.inline("shared"))
     # A member goes to the tasks of its block with every other; side 1 is the block of the two
     # with the larger number, and a block alone in its task is compared with itself.
     members = members.withColumn("mine", F.pmod(F.xxhash64("rep"), "blocks")).withColumn(

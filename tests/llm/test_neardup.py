@@ -208,3 +208,16 @@ def test_marked_rows_hold_all_that_are_asked_for(spark, monkeypatch, bitmaps):
     assert neardup._marked(rows, asked.limit(0), ["id", "t"]).count() == 0
     crowded = neardup._marked(rows, rows.select("id", "t"), ["id", "t"])
     assert crowded.count() == 50_000
+
+
+def test_a_set_meets_its_traits_once_whatever_its_buckets(spark):
+    """Two sets that share all tables are joined as two rows, not as two of every table."""
+    sets = spark.createDataFrame(
+        [(k, 50, [7] * 16, 1, 2, 3) for k in range(3)],
+        "rep bigint, n bigint, bands array<bigint>, s0 bigint, s1 bigint, s2 bigint")
+    buckets = neardup._buckets(sets, 16)
+    found = spark.createDataFrame([], "node bigint, component bigint")
+    near = neardup._near_members(buckets, sets, found, (80, 100), neardup._first_table)
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("inline(") < plan.index("Join Inner, (rep") < plan.index("collect_list")
+    assert {r.rep for r in near.collect()} == {1, 2}
