@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from fettle.llm import words
 from fettle.llm.components import components
-from fettle.llm.neardup import SKETCH, across, likely, similar, sketches, with_leader
-from fettle.shared import cut
+from fettle.llm.neardup import (
+    SKETCH, _marked, across, likely, similar, sketches, with_leader,
+)
+from fettle.shared import cut, remove_folder, write_table
 
 LONG_LINE = 25
 RUN = 16
@@ -64,16 +66,17 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
                         F.xxhash64(F.col(text_column).cast("string")).alias("t"))
     bands = bands_for(similarity[0] / similarity[1], miss, rows)
 
-    keyed = cut(texts.select("text").mapInArrow(
+    keyed, keyed_path = write_table(texts.select("text").mapInArrow(
         _keys(shingle_words, min_words, bands, rows), "key bigint, rep binary").distinct())
     buckets = cut(with_leader(keyed))
-    asked = buckets.select("rep").union(buckets.select("leader")).distinct()
+    remove_folder(docs.sparkSession, keyed_path)  # every paragraph has a row per band in it
+    asked = cut(buckets.select("rep").union(buckets.select("leader")).distinct())
+    every = texts.select("text").mapInArrow(
+        _sets(shingle_words, min_words, bands, rows),
+        "rep binary, n bigint, bands array<bigint>, s0 bigint, s1 bigint, s2 bigint, "
+        "shingles array<bigint>")
     sets = cut(
-        texts.select("text").mapInArrow(
-            _sets(shingle_words, min_words, bands, rows),
-            "rep binary, n bigint, bands array<bigint>, s0 bigint, s1 bigint, s2 bigint, "
-            "shingles array<bigint>")
-        .join(asked, "rep", "left_semi").groupBy("rep")
+        _marked(every, asked, ["rep"]).join(asked, "rep", "left_semi").groupBy("rep")
         .agg(*[F.first(c).alias(c) for c in ("n", "bands", *SKETCH, "shingles")])
     )
     stars = likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
@@ -115,8 +118,8 @@ def _left_over(texts: DataFrame, removed: DataFrame, kind: str, min_words: int)
     every = texts.mapInArrow(
         _runs(min_words), f"u bigint, v bigint, id {kind}, t bigint, passage bigint, at bigint, "
         "begin bigint, end bigint, n_words bigint")
-    twice = every.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
-    runs = cut(every.join(twice, "u", "left_semi"))
+    twice = cut(every.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u"))
+    runs = cut(_marked(every, twice, ["u"]).join(twice, "u", "left_semi"))
     # Both sides by stretches of BLOCK words, so that a long text is no product of its own.
     last = F.expr(f"(at + n_words - 1) div {BLOCK}")
     blocks = F.explode(F.sequence(F.expr(f"at div {BLOCK}"), last)).alias("block")

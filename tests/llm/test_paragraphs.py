@@ -1,7 +1,10 @@
 import random
 import re
+from pathlib import Path
 
+from fettle.llm import paragraphs
 from fettle.llm.paragraphs import bands_for, repeated_passages
+from fettle.shared import write_table
 from tests.llm.test_neardup import LOWER
 
 
@@ -121,3 +124,28 @@ def test_every_shared_run_of_51_words_has_a_shared_passage(spark):
     own = sorted((r.begin, r.end, r.removed) for r in found if r.doc_id == 60)
     assert own and all(a[1] <= b[0] for a, b in zip(own, own[1:])) and not own[0][2]
     assert all(r.removed or r.doc_id == r.keep_id for r in found)
+
+
+def test_the_table_of_all_bands_goes_when_the_buckets_are_known(spark, monkeypatch):
+    paths = []
+
+    def written(df):
+        found = write_table(df)
+        paths.append(found[1])
+        return found
+
+    monkeypatch.setattr(paragraphs, "write_table", written)
+    line = "one two three four five six seven eight nine ten"
+    df = spark.createDataFrame([(1, line), (2, line)], "doc_id bigint, text string")
+    assert repeated_passages(df).count() == 2
+    assert len(paths) == 1 and not Path(paths[0]).exists()
+
+
+def test_only_what_is_asked_for_moves(spark, monkeypatch):
+    keys = []
+    marked = paragraphs._marked
+    monkeypatch.setattr(paragraphs, "_marked",
+                        lambda rows, asked, on: keys.append(on) or marked(rows, asked, on))
+    df = spark.createDataFrame([(1, "a b c d e f g h i j")], "doc_id bigint, text string")
+    assert repeated_passages(df).count() == 0
+    assert keys == [["rep"], ["u"]]
