@@ -25,6 +25,7 @@ from fettle.operators.ordered import ordinals
 from fettle.shared import cut
 
 WHOLE = 1_000_000_000  # shares are in billionths
+PLAIN = 9_000_000_000  # counts whose product with WHOLE is a BIGINT
 TILE = 128  # sources of either side that are compared in one task
 ROWS = 1 << 16  # rows of a block of terms
 CELLS = 1 << 20  # terms times sources compared at a time
@@ -64,7 +65,9 @@ def source_divergence(docs: DataFrame, text_column: str = "text", lang_column: s
     counts = cut(
         texts.mapInArrow(_counter(shift), "lang string, source string, digest bigint, n bigint, "
                                           "docs bigint")
-        .groupBy(*GROUP, "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        # Rows are sums over a slice already, and few meet another of their key in the same task:
+        # they are summed where they are dealt to, and not before as well.
+        .repartition(*GROUP, "digest").groupBy(*GROUP, "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     )
     strings = cut(_strings(texts, counts, least_docs, shift))
     facts = cut(_facts(texts, counts, strings, least_docs, shift))
@@ -79,9 +82,11 @@ def source_divergence(docs: DataFrame, text_column: str = "text", lang_column: s
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
+    """1 + floor(WHOLE (count + 1) / (total + terms)); in decimals only where BIGINT is too small."""
     whole = F.lit(WHOLE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
-    return F.lit(1).cast("bigint") + F.call_function(
-        "div", whole, (total + terms).cast("decimal(20,0)"))
+    wide = F.call_function("div", whole, (total + terms).cast("decimal(20,0)"))
+    plain = F.call_function("div", F.lit(WHOLE).cast("bigint") * (count + 1), total + terms)
+    return F.lit(1).cast("bigint") + F.when(count < PLAIN, plain).otherwise(wide)
 
 
 def _apart(p: Column, q: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from fettle.llm import divergence
 from fettle.llm.queries import SQL, op12_source_divergence
-from tests.helpers import rows
+from fettle.shared import cut
+from tests.helpers import plan_of, rows
 
 SCHEMA = "doc_id bigint, text string, lang string, source string"
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -93,3 +94,20 @@ def test_query_equals_sql(spark, tmp_path):
     assert [d[0] for d in want.description] == COLUMNS
     found = rows(op12_source_divergence(spark, str(tmp_path)), *COLUMNS)
     assert found == sorted(want.fetchall(), key=repr) == brute(data)
+
+
+def test_shares_in_bigint_and_decimal_agree(spark):
+    edge = divergence.PLAIN
+    counts = [0, 1, 7, edge - 2, edge - 1, edge, edge + 1, 2**50]
+    df = spark.createDataFrame([(n, n + 12345, 678) for n in counts], "n bigint, t bigint, v bigint")
+    share = divergence._share(F.col("n"), F.col("t"), F.col("v"))
+    assert [r.p for r in df.select(share.alias("p")).collect()] == [
+        1 + 10**9 * (n + 1) // (n + 12345 + 678) for n in counts]
+
+
+def test_rows_of_a_slice_are_summed_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(divergence, "cut", lambda df: plans.append(plan_of(df)) or cut(df))
+    df = spark.createDataFrame([(1, "a b", "l", "s")], SCHEMA)
+    divergence.source_divergence(df)
+    assert plans[0].count("HashAggregate") == 1
