@@ -10,11 +10,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+SLICE = 1 << 20  # bytes of text tokenized at a time
+
 
 def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: str | StructType) -> DataFrame:
     """Apply a dict-to-dict function to every row. Prefer a column expression where one will do.
@@ -50,12 +53,30 @@ def reward_udf(fn: Callable[..., list], columns: Sequence[str] = ()) -> Callable
     return lambda completion: score(completion, *[F.col(name) for name in columns])
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in runs of at most ``SLICE`` bytes, one text at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends, at = sizes.cumsum(dtype="int64"), 0
+    while at < len(texts):
+        limit = (ends[at - 1] if at else 0) + SLICE
+        stop = max(at + 1, int(ends.searchsorted(limit, side="right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def tokenizer_udf(fn: Callable[[str], list[str]]) -> Callable[[Column], Column]:
-    """Make a Column function of a Python tokenizer, usable wherever ``tokenize`` is."""
+    """Make a Column function of a Python tokenizer, usable wherever ``tokenize`` is.
 
-    @F.pandas_udf("array<string>")
-    def tokens(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: None if text is None else list(fn(text)))
+    Tokens are Python objects for at most ``SLICE`` bytes of texts at a time, or one longer text.
+    """
+
+    @F.arrow_udf("array<string>")
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for part in _slices(batch):
+                yield pa.array(
+                    [None if text is None else list(fn(text)) for text in part.to_pylist()],
+                    pa.list_(pa.string()))
 
     return tokens
 

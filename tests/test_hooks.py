@@ -1,4 +1,5 @@
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,3 +48,20 @@ def test_tokenizer_and_generator(spark):
     assert rows(hooks.generate_with(df.dropna(), shout, "t string, completion string")) == [
         ("a b", "A B")
     ]
+
+
+def test_a_tokenizer_gets_texts_in_slices(monkeypatch):
+    monkeypatch.setattr(hooks, "SLICE", 4)
+    texts = pa.array(["ab", None, "cd", "e", "0123456789", "", "f"])
+    parts = [part.to_pylist() for part in hooks._slices(texts.slice(1))]
+    assert parts == [[None, "cd", "e"], ["0123456789"], ["", "f"]]
+    assert list(hooks._slices(texts.slice(0, 0))) == []
+
+
+def test_tokenizer_over_many_slices(spark):
+    words = hooks.tokenizer_udf(str.split)
+    df = spark.range(30, numPartitions=1).selectExpr(
+        "id", "if(id % 10 = 3, null, repeat(concat('w', id, ' '), 50000)) AS text")
+    found = {r.id: (r.n, r.first) for r in df.select("id", F.size(words(F.col("text"))).alias("n"),
+                                                     words(F.col("text"))[0].alias("first")).collect()}
+    assert found == {k: (None, None) if k % 10 == 3 else (50000, f"w{k}") for k in range(30)}
