@@ -92,3 +92,16 @@ def test_training_rows_repeat_and_test_rows_do_not(spark):
     # Each text is "Question : q Answer : a" and a separator: 7 tokens.
     assert tokens(once, "train") == 30 * 7 // 8 and tokens(thrice, "train") == 90 * 7 // 8
     assert tokens(once, "test") == tokens(thrice, "test") == 10 * 7 // 8
+
+
+def test_a_text_is_tokenized_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def letters(text):
+        calls.add(1)
+        return list(text)
+
+    df = texts(spark, [(k, "ab" * k) for k in range(20)])
+    found = pack_sequences(df, "text", "k", 3, tokenizer=tokenizer_udf(letters)).collect()
+    assert len(found) == (20 + 380) // 3
+    assert calls.value == 20
