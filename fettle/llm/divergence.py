@@ -65,9 +65,7 @@ def source_divergence(docs: DataFrame, text_column: str = "text", lang_column: s
     counts = cut(
         texts.mapInArrow(_counter(shift), "lang string, source string, digest bigint, n bigint, "
                                           "docs bigint")
-        # Rows are sums over a slice already, and few meet another of their key in the same task:
-        # they are summed where they are dealt to, and not before as well.
-        .repartition(*GROUP, "digest").groupBy(*GROUP, "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        .groupBy(*GROUP, "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     )
     strings = cut(_strings(texts, counts, least_docs, shift))
     facts = cut(_facts(texts, counts, strings, least_docs, shift))
@@ -232,7 +230,7 @@ def _facts(texts: DataFrame, counts: DataFrame, strings: DataFrame, least: int,
     return counted.select(
         *GROUP, "digest", "term", "n", F.sum("n").over(mine).alias("lang_n"),
         F.sum("docs").over(mine).alias("lang_docs"),
-        (F.row_number().over(mine.orderBy("source")) == 1).alias("once"),
+        (F.col("source") == F.min("source").over(mine)).alias("once"),
     ).where(F.col("lang_docs") >= least).drop("lang_docs")
 
 
