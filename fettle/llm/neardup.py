@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from fettle.llm import words
 from fettle.llm.components import components
-from fettle.shared import cut
+from fettle.shared import cut, for_now
 
 TASK_BUCKET = 4_096  # members of a block of a bucket; a task compares two blocks
 SHINGLES = 1 << 20  # shingles of either side compared in one task; a larger set is alone on its side
@@ -234,6 +234,19 @@ def _buckets(sets: DataFrame, collections: int) -> DataFrame:
     return with_leader(members).withColumn("turn", 1 - F.col("key").bitwiseAND(F.lit(1)))
 
 
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """``with_leader`` as a table, of ``members`` (rep, key) most of which share no bucket.
+
+    Keys are counted by themselves first, so members that are alone in a bucket do not move. Members
+    may repeat; a bucket whose members are all the same one is found when they are made distinct.
+    """
+    several = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    with for_now(several) as several:
+        held = _marked(members, several, ["key"]).join(several.hint("merge"), "key")
+        with for_now(held.select("key", "rep").distinct()) as held:
+            return cut(with_leader(held))
+
+
 def with_leader(members: DataFrame) -> DataFrame:
     """Members of buckets other than the smallest, with the smallest.
 

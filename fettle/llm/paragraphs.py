@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from fettle.llm import words
 from fettle.llm.components import components
 from fettle.llm.neardup import (
-    SKETCH, _marked, across, likely, similar, sketches, with_leader,
+    SKETCH, _marked, across, likely, shared_buckets, similar, sketches,
 )
-from fettle.shared import cut, remove_folder, write_table
+from fettle.shared import cut, for_now, remove_folder, write_table
 
 LONG_LINE = 25
 RUN = 16
@@ -67,17 +67,18 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     bands = bands_for(similarity[0] / similarity[1], miss, rows)
 
     keyed, keyed_path = write_table(texts.select("text").mapInArrow(
-        _keys(shingle_words, min_words, bands, rows), "key bigint, rep binary").distinct())
-    buckets = cut(with_leader(keyed))
-    remove_folder(docs.sparkSession, keyed_path)  # every paragraph has a row per band in it
+        _keys(shingle_words, min_words, bands, rows), "rep binary, keys array<bigint>"))
+    buckets = shared_buckets(keyed.select("rep", F.explode("keys").alias("key")))
+    remove_folder(docs.sparkSession, keyed_path)  # every paragraph has a key per band in it
     asked = cut(buckets.select("rep").union(buckets.select("leader")).distinct())
-    every = texts.select("text").mapInArrow(
-        _sets(shingle_words, min_words, bands, rows),
-        "rep binary, n bigint, bands array<bigint>, s0 bigint, s1 bigint, s2 bigint, "
-        "shingles array<bigint>")
+    every = texts.select("text").mapInArrow(_units(min_words), "rep binary, text binary")
+    # Not left_semi: that would be moved below the bitmaps, and all rows with it.
     sets = cut(
-        _marked(every, asked, ["rep"]).join(asked, "rep", "left_semi").groupBy("rep")
-        .agg(*[F.first(c).alias(c) for c in ("n", "bands", *SKETCH, "shingles")])
+        _marked(every, asked, ["rep"]).join(asked, "rep").groupBy("rep")
+        .agg(F.first("text").alias("text")).mapInArrow(
+            _sets(shingle_words, min_words, bands, rows),
+            "rep binary, n bigint, bands array<bigint>, s0 bigint, s1 bigint, s2 bigint, "
+            "shingles array<bigint>")
     )
     stars = likely(buckets.select(F.col("leader").alias("a"), F.col("rep").alias("b")), sets,
                    similarity)
@@ -91,18 +92,19 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
         _places(min_words), f"id {kind}, t bigint, passage bigint, at bigint, begin bigint, "
         "end bigint, n_words bigint, rep binary")
     here = F.struct(F.col("id").isNull().alias("unnamed"), "id", "passage")
-    kinds = places.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("keep"))
-    kinds = cut(
-        kinds.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .where("n > 1 or component is not null")
-        .select("rep", "n", "keep", F.coalesce("component", "rep").alias("cluster"))
-    )
-    clusters = kinds.groupBy("cluster").agg(F.sum("n").alias("n"), F.min("keep").alias("keep"))
-    chosen = kinds.select("rep", "cluster").join(clusters.where("n > 1"), "cluster")
-    clustered = cut(places.join(chosen.select("rep", "keep"), "rep").withColumn(
-        "removed", ~here.eqNullSafe(F.col("keep"))))
-
-    runs = cut(_left_over(texts, clustered.where("removed"), kind, min_words))
+    with for_now(places) as places:
+        kinds = places.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("keep"))
+        kinds = cut(
+            kinds.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+            .where("n > 1 or component is not null")
+            .select("rep", "n", "keep", F.coalesce("component", "rep").alias("cluster"))
+        )
+        clusters = kinds.groupBy("cluster").agg(F.sum("n").alias("n"), F.min("keep").alias("keep"))
+        chosen = kinds.select("rep", "cluster").join(clusters.where("n > 1"), "cluster")
+        clustered = cut(places.join(chosen.select("rep", "keep"), "rep").withColumn(
+            "removed", ~here.eqNullSafe(F.col("keep"))))
+
+    runs = _left_over(texts, clustered.where("removed"), kind, min_words)
     again = runs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("keep"))
     runs = runs.join(again.where("n > 1"), ["u", "v"]).withColumn(
         "removed", ~here.eqNullSafe(F.col("keep")))
@@ -118,23 +120,24 @@ def _left_over(texts: DataFrame, removed: DataFrame, kind: str, min_words: int)
     every = texts.mapInArrow(
         _runs(min_words), f"u bigint, v bigint, id {kind}, t bigint, passage bigint, at bigint, "
         "begin bigint, end bigint, n_words bigint")
-    twice = cut(every.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u"))
-    runs = cut(_marked(every, twice, ["u"]).join(twice, "u", "left_semi"))
-    # Both sides by stretches of BLOCK words, so that a long text is no product of its own.
-    last = F.expr(f"(at + n_words - 1) div {BLOCK}")
-    blocks = F.explode(F.sequence(F.expr(f"at div {BLOCK}"), last)).alias("block")
-    one = runs.select("id", "t", "at", "n_words", blocks).distinct()
-    two = removed.select(
-        F.col("id").alias("p_id"), F.col("t").alias("p_t"), F.col("at").alias("p_at"),
-        F.col("n_words").alias("p_words"), blocks.alias("p_block")).distinct()
-    low = F.greatest("at", "p_at", F.col("block") * BLOCK)
-    high = F.least(F.expr("at + n_words"), F.expr("p_at + p_words"), (F.col("block") + 1) * BLOCK)
-    gone = one.join(two, F.col("id").eqNullSafe(F.col("p_id")) & F.col("t").eqNullSafe(F.col("p_t"))
-                    & (F.col("block") == F.col("p_block"))).groupBy(
-        F.col("id").alias("g_id"), F.col("t").alias("g_t"), F.col("at").alias("g_at"), "n_words"
-    ).agg(F.sum(F.greatest(high - low, F.lit(0))).alias("covered")).where("covered >= n_words")
-    return runs.join(gone.drop("n_words"), F.col("id").eqNullSafe(F.col("g_id"))
-                     & (F.col("t") == F.col("g_t")) & (F.col("at") == F.col("g_at")), "left_anti")
+    names = texts.select("text").mapInArrow(_run_names(min_words), "u bigint")
+    twice = cut(names.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u"))
+    with for_now(_marked(every, twice, ["u"]).join(twice, "u")) as runs:
+        # Both sides by stretches of BLOCK words, so that a long text is no product of its own.
+        last = F.expr(f"(at + n_words - 1) div {BLOCK}")
+        blocks = F.explode(F.sequence(F.expr(f"at div {BLOCK}"), last)).alias("block")
+        one = runs.select("id", "t", "at", "n_words").distinct().select("*", blocks)
+        two = removed.select(
+            F.col("id").alias("p_id"), F.col("t").alias("p_t"), F.col("at").alias("p_at"),
+            F.col("n_words").alias("p_words"), blocks.alias("p_block")).distinct()
+        low = F.greatest("at", "p_at", F.col("block") * BLOCK)
+        high = F.least(F.expr("at + n_words"), F.expr("p_at + p_words"), (F.col("block") + 1) * BLOCK)
+        gone = one.join(two, F.col("id").eqNullSafe(F.col("p_id")) & F.col("t").eqNullSafe(F.col("p_t"))
+                        & (F.col("block") == F.col("p_block"))).groupBy(
+            F.col("id").alias("g_id"), F.col("t").alias("g_t"), F.col("at").alias("g_at"), "n_words"
+        ).agg(F.sum(F.greatest(high - low, F.lit(0))).alias("covered")).where("covered >= n_words")
+        return cut(runs.join(gone.drop("n_words"), F.col("id").eqNullSafe(F.col("g_id"))
+                         & (F.col("t") == F.col("g_t")) & (F.col("at") == F.col("g_at")), "left_anti"))
 
 
 class Paragraphs:
@@ -160,6 +163,7 @@ class Paragraphs:
         number = np.arange(len(begin)) - np.searchsorted(owner, owner)
         self.total = np.bincount(owner, minlength=len(offsets) - 1)
         self.starts, self.ends, self.offsets, self.words = starts, ends, offsets, first
+        self.lower = lower
         keep = np.flatnonzero(count >= min_words)
         self.first, self.count, self.text = begin[keep], count[keep], owner[keep]
         self.number = number[keep]
@@ -179,6 +183,13 @@ class Paragraphs:
             out[:, 1] = words.mix(np.add.reduceat(words.mix(word + step), edges))
         return out
 
+    def once(self) -> np.ndarray:
+        """Names of the distinct paragraphs; first and count are theirs from now on."""
+        names = self.names()
+        _, at = np.unique(names.view("V16").ravel(), return_index=True)
+        self.first, self.count = self.first[at], self.count[at]
+        return names[at]
+
     def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Shingles of each paragraph, in order and perhaps repeated, and where each begins."""
         whole = np.zeros(max(0, len(self.hashes) - size + 1), dtype=np.uint64)
@@ -245,6 +256,16 @@ def runs(hashes: np.ndarray, first: np.ndarray, min_words: int):
             np.concatenate((u[at], names[0])), np.concatenate((v[at], names[1])))
 
 
+def _run_names(min_words: int):
+    """The first hash of each run of ``_runs``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.slices(batches):
+            *_, u, _ = runs(*words.word_hashes(batch.column("text")), min_words)
+            yield pa.RecordBatch.from_arrays([words.signed(u)], ["u"])
+
+    return run
+
+
 def _runs(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches):
@@ -281,14 +302,27 @@ def _keys(size: int, min_words: int, bands: int, rows: int):
         salts = words.mix(np.arange(1, bands + 1, dtype=np.uint64) * words.BASE)
         for batch in words.slices(batches):
             found = Paragraphs(batch.column("text"), min_words)
-            names = found.names()
-            # A paragraph that recurs in these texts is sent once.
-            _, once = np.unique(names.view("V16").ravel(), return_index=True)
+            names = found.once()  # a paragraph that recurs in these texts is sent once
             shingles, begin = found.shingles(size)
-            minima = words.min_hashes(shingles, begin, bands * rows)[once]
+            minima = words.min_hashes(shingles, begin, bands * rows)
             keys = words.mix(words.band_values(minima, bands, rows) ^ salts)
-            rep = _binary(names[once]).take(pa.array(np.repeat(np.arange(len(once)), bands)))
-            yield pa.RecordBatch.from_arrays([words.signed(keys.ravel()), rep], ["key", "rep"])
+            ends = pa.array(np.arange(len(names) + 1, dtype=np.int32) * bands)
+            yield pa.RecordBatch.from_arrays(
+                [_binary(names), pa.ListArray.from_arrays(ends, words.signed(keys.ravel()))],
+                ["rep", "keys"])
+
+    return run
+
+
+def _units(min_words: int):
+    """The paragraphs as texts, which have no other paragraph."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.slices(batches):
+            found = Paragraphs(batch.column("text"), min_words)
+            names, lower = found.once(), found.lower.tobytes()  # lower-case names the same words
+            begin, end = found.starts[found.first], found.ends[found.first + found.count - 1]
+            own = pa.array([lower[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary())
+            yield pa.RecordBatch.from_arrays([_binary(names), own], ["rep", "text"])
 
     return run
 

@@ -68,6 +68,16 @@ def write_table(df: DataFrame) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def for_now(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a table in the shared folder that goes with the block."""
+    table, path = write_table(df)
+    try:
+        yield table
+    finally:
+        remove_folder(df.sparkSession, path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table into the shared folder and go on from there.
 

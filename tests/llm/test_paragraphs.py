@@ -149,3 +149,65 @@ def test_only_what_is_asked_for_moves(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a b c d e f g h i j")], "doc_id bigint, text string")
     assert repeated_passages(df).count() == 0
     assert keys == [["rep"], ["u"]]
+
+
+def test_the_table_of_all_bands_has_a_row_for_each_paragraph(spark, monkeypatch):
+    rows = []
+
+    def written(df):
+        found = write_table(df)
+        rows.append(found[0].count())
+        return found
+
+    monkeypatch.setattr(paragraphs, "write_table", written)
+    lines = [" ".join(f"w{k}x{j}" for j in range(10)) for k in range(6)]
+    df = spark.createDataFrame([(1, "\n".join(lines[:5] + lines[:2])), (2, lines[5])],
+                               "doc_id bigint, text string")
+    assert repeated_passages(df).count() == 4
+    assert rows == [6]
+
+
+def test_bitmaps_come_before_what_is_asked_for(spark, monkeypatch):
+    """A semi-join is moved below the join with the bitmaps, so that all rows are exchanged."""
+    plans = []
+    for name in ("cut", "for_now"):
+        if hasattr(paragraphs, name):
+            monkeypatch.setattr(paragraphs, name, lambda df, made=getattr(paragraphs, name): (
+                plans.append(df._jdf.queryExecution().optimizedPlan().toString()), made(df))[1])
+    line = "a b c d e f g h i j"
+    df = spark.createDataFrame([(1, line), (2, line + " k")], "doc_id bigint, text string")
+    assert repeated_passages(df).count()
+    joins = [[x for x in plan.splitlines() if "Join " in x] for plan in plans]
+    marked = [x for x in joins if any("bitmap" in y for y in x)]
+    assert len(marked) == 2 and not any("bitmap" in x[0] for x in marked)
+
+
+def test_a_paragraph_by_itself_is_the_same_paragraph(spark):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = []
+    for _ in range(40):
+        made = [f"{rng.choice('aBcD')}{rng.randrange(9)}{rng.choice(['', '', '', '.', '!'])}"
+                for _ in range(rng.randrange(90))]
+        texts.append("".join(w + rng.choice([" ", " ", "\t", "\r", "  ", "\n"][:rng.randrange(1, 7)])
+                             for w in made))
+    whole = paragraphs.Paragraphs(pa.array(texts), 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    (units_,) = paragraphs._units(3)(iter([batch]))
+    alone = paragraphs.Paragraphs(units_.column("text"), 3)
+    assert units_.column("rep").to_pylist() == paragraphs._binary(alone.names()).to_pylist()
+    assert set(units_.column("rep").to_pylist()) == set(
+        paragraphs._binary(whole.names()).to_pylist())
+    assert list(alone.total) == [1] * len(alone.names())
+
+
+def test_buckets_with_one_member_are_left_out(spark):
+    from fettle.llm.neardup import shared_buckets
+
+    members = spark.createDataFrame(
+        [(1, b"a"), (1, b"a"), (2, b"a"), (3, b"c"), (3, b"b"), (3, b"b"), (3, b"d")],
+        "key bigint, rep binary")
+    found = sorted((r.key, bytes(r.rep), bytes(r.leader)) for r in shared_buckets(members).collect())
+    assert found == [(3, b"c", b"b"), (3, b"d", b"b")]
+    assert shared_buckets(members.where("key = 1")).collect() == []
