@@ -527,14 +527,27 @@ def _marked(rows: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
     """
     place = F.pmod(F.xxhash64(*keys), F.lit(BITMAPS * BITMAP))
     number, bit = F.bitmap_bucket_number(place + 1), F.bitmap_bit_position(place + 1)
-    bitmaps = asked.groupBy(number.alias("bitmap")).agg(F.bitmap_construct_agg(bit).alias("bits"))
-    byte = F.expr("cast(bit div 8 as int) + 1")
-    held = F.conv(F.hex(F.substr("bits", byte, F.lit(1))), 16, 10).cast("bigint")
-    is_set = held.bitwiseAND(F.expr("shiftleft(1L, cast(bit % 8 as int))")) != 0
+    bitmaps = asked.groupBy(number.alias("bitmap")).agg(
+        F.bitmap_construct_agg(bit).alias("bits")).mapInArrow(
+        _bits, "bitmap bigint, bits array<bigint>")
+    # An element of an array is read in place; of a binary value the whole would be copied per row.
+    held = F.get("bits", F.expr("cast(bit div 64 as int)"))
+    is_set = F.expr("shiftleft(1L, cast(bit % 64 as int))").bitwiseAND(held) != 0
     return rows.withColumns({"bitmap": number, "bit": bit}).join(
         F.broadcast(bitmaps), "bitmap").where(is_set).select(*rows.columns)
 
 
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps as lists of 64 bits each."""
+    for batch in batches:
+        bits = batch.column("bits")
+        numbers = np.frombuffer(b"".join(bits.to_pylist()), dtype="<i8")
+        ends = pa.array(np.arange(len(bits) + 1, dtype=np.int32) * (BITMAP // 64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("bitmap"), pa.ListArray.from_arrays(ends, pa.array(numbers))],
+            ["bitmap", "bits"])
+
+
 def similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose sets (rep, shingles) are similar enough."""
     one = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("one"))
