@@ -525,16 +525,41 @@ def _marked(rows: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
     most. A row goes only if its bit is not set, so a join with ``asked`` gives the same afterwards,
     but wide rows that it would drop do not move. With far more keys than bits all rows stay.
     """
-    place = F.pmod(F.xxhash64(*keys), F.lit(BITMAPS * BITMAP))
-    number, bit = F.bitmap_bucket_number(place + 1), F.bitmap_bit_position(place + 1)
-    bitmaps = asked.groupBy(number.alias("bitmap")).agg(
+    number, bit = _place(keys)
+    return rows.withColumns({"bitmap": number, "bit": bit}).join(
+        F.broadcast(_bitmaps(asked, keys)), "bitmap").where(_is_set()).select(*rows.columns)
+
+
+def flagged(rows: DataFrame, asked: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``rows`` with a column that is false only if a row's ``keys`` are not among those ``asked`` for.
+
+    As ``_marked``, but no row goes, so that the few with the flag can take another way.
+    """
+    number, bit = _place(keys)
+    bitmaps = _bitmaps(asked, keys).withColumnRenamed("bitmap", "part")
+    return rows.withColumns({"part": number, "bit": bit}).join(
+        F.broadcast(bitmaps), "part", "left").select(
+        *rows.columns, F.coalesce(_is_set(), F.lit(False)).alias(name))
+
+
+def _place(keys: list[str]) -> tuple[Column, Column]:
+    """The bitmap of a row's keys, and their bit in it."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(BITMAPS * BITMAP)) + 1
+    return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+
+
+def _bitmaps(asked: DataFrame, keys: list[str]) -> DataFrame:
+    """(bitmap, bits): the bits of all keys asked for."""
+    number, bit = _place(keys)
+    return asked.groupBy(number.alias("bitmap")).agg(
         F.bitmap_construct_agg(bit).alias("bits")).mapInArrow(
         _bits, "bitmap bigint, bits array<bigint>")
+
+
+def _is_set() -> Column:
     # An element of an array is read in place; of a binary value the whole would be copied per row.
     held = F.get("bits", F.expr("cast(bit div 64 as int)"))
-    is_set = F.expr("shiftleft(1L, cast(bit % 64 as int))").bitwiseAND(held) != 0
-    return rows.withColumns({"bitmap": number, "bit": bit}).join(
-        F.broadcast(bitmaps), "bitmap").where(is_set).select(*rows.columns)
+    return F.expr("shiftleft(1L, cast(bit % 64 as int))").bitwiseAND(held) != 0
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,14 +26,13 @@ from pyspark.sql import functions as F
 from fettle.llm import words
 from fettle.llm.components import components
 from fettle.llm.neardup import (
-    SKETCH, _marked, across, likely, shared_buckets, similar, sketches,
+    SKETCH, _marked, across, flagged, likely, shared_buckets, similar, sketches,
 )
 from fettle.shared import cut, for_now, remove_folder, write_table
 
 LONG_LINE = 25
 RUN = 16
 ANCHORS = 8  # a power of two
-BLOCK = 64  # words by which runs and paragraphs of a text are brought together
 SKETCHED = 48  # min-hashes of the paragraphs that collide
 
 STOP = np.zeros(256, dtype=bool)
@@ -101,12 +100,14 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
         )
         clusters = kinds.groupBy("cluster").agg(F.sum("n").alias("n"), F.min("keep").alias("keep"))
         chosen = kinds.select("rep", "cluster").join(clusters.where("n > 1"), "cluster")
-        clustered = cut(places.join(chosen.select("rep", "keep"), "rep").withColumn(
+        held = flagged(places, kinds, ["rep"], "held").where("held").drop("held")
+        clustered = cut(held.join(chosen.select("rep", "keep"), "rep").withColumn(
             "removed", ~here.eqNullSafe(F.col("keep"))))
 
-    runs = _left_over(texts, clustered.where("removed"), kind, min_words)
+    # Both uses of the runs are of one exchange, by the words that make a group.
+    runs = _left_over(texts, clustered.where("removed"), kind, min_words).repartition("u", "v")
     again = runs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("keep"))
-    runs = runs.join(again.where("n > 1"), ["u", "v"]).withColumn(
+    runs = runs.join(again.where("n > 1").hint("merge"), ["u", "v"]).withColumn(
         "removed", ~here.eqNullSafe(F.col("keep")))
     columns = [
         F.col("id").alias(id_column), "passage", "begin", "end", "n_words",
@@ -116,28 +117,31 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
 
 def _left_over(texts: DataFrame, removed: DataFrame, kind: str, min_words: int) -> DataFrame:
-    """Runs that may occur twice and have a word outside of the ``removed`` paragraphs."""
+    """Runs that may occur twice and have a word outside of the ``removed`` paragraphs.
+
+    Some that occur once are among them: bits are all that is known of the others' names.
+    """
     every = texts.mapInArrow(
         _runs(min_words), f"u bigint, v bigint, id {kind}, t bigint, passage bigint, at bigint, "
-        "begin bigint, end bigint, n_words bigint")
+        "begin bigint, end bigint, n_words bigint, one bigint, two bigint")
     names = texts.select("text").mapInArrow(_run_names(min_words), "u bigint")
     twice = cut(names.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u"))
-    with for_now(_marked(every, twice, ["u"]).join(twice, "u")) as runs:
-        # Both sides by stretches of BLOCK words, so that a long text is no product of its own.
-        last = F.expr(f"(at + n_words - 1) div {BLOCK}")
-        blocks = F.explode(F.sequence(F.expr(f"at div {BLOCK}"), last)).alias("block")
-        one = runs.select("id", "t", "at", "n_words").distinct().select("*", blocks)
-        two = removed.select(
-            F.col("id").alias("p_id"), F.col("t").alias("p_t"), F.col("at").alias("p_at"),
-            F.col("n_words").alias("p_words"), blocks.alias("p_block")).distinct()
-        low = F.greatest("at", "p_at", F.col("block") * BLOCK)
-        high = F.least(F.expr("at + n_words"), F.expr("p_at + p_words"), (F.col("block") + 1) * BLOCK)
-        gone = one.join(two, F.col("id").eqNullSafe(F.col("p_id")) & F.col("t").eqNullSafe(F.col("p_t"))
-                        & (F.col("block") == F.col("p_block"))).groupBy(
-            F.col("id").alias("g_id"), F.col("t").alias("g_t"), F.col("at").alias("g_at"), "n_words"
-        ).agg(F.sum(F.greatest(high - low, F.lit(0))).alias("covered")).where("covered >= n_words")
-        return cut(runs.join(gone.drop("n_words"), F.col("id").eqNullSafe(F.col("g_id"))
-                         & (F.col("t") == F.col("g_t")) & (F.col("at") == F.col("g_at")), "left_anti"))
+    removed = removed.select("id", "t", F.col("passage").alias("one")).distinct()
+    # Only a run that begins in a removed paragraph may go; the others do not move to find out.
+    runs = cut(flagged(_marked(every, twice, ["u"]), removed, ["id", "t", "one"], "maybe"))
+    maybe = F.col("maybe") & (F.col("one") >= 0)
+    # A run lies in at most RUN paragraphs: it goes if all of them are removed.
+    over = runs.where(maybe).select("id", "t", "one", "two").distinct()
+    each = over.select(F.col("id").alias("g_id"), F.col("t").alias("g_t"), F.col("one").alias("g_one"),
+                       "two", F.explode(F.sequence("one", "two")).alias("each"))
+    gone = each.join(removed, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("t") == F.col("g_t"))
+                     & (F.col("one") == F.col("each"))).groupBy(
+        "g_id", "g_t", "g_one", F.col("two").alias("g_two")).agg(
+        F.count(F.lit(1)).alias("n")).where("n = g_two - g_one + 1")
+    left = runs.where(maybe).join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (
+        F.col("t") == F.col("g_t")) & (F.col("one") == F.col("g_one")) & (
+        F.col("two") == F.col("g_two")), "left_anti")
+    return runs.where(~maybe).union(left).drop("one", "two", "maybe")
 
 
 class Paragraphs:
@@ -183,6 +187,17 @@ class Paragraphs:
             out[:, 1] = words.mix(np.add.reduceat(words.mix(word + step), edges))
         return out
 
+    def over(self, at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the first and the last paragraph of stretches that lie in paragraphs, or -1."""
+        edges = np.zeros(len(self.hashes) + 1, dtype=np.int64)
+        edges[self.first] += 1
+        edges[self.first + self.count] -= 1
+        inside = np.concatenate(([0], np.cumsum(np.cumsum(edges[:-1]))))
+        whole = inside[at + count] - inside[at] == count
+        number = np.append(self.number, -1)
+        return tuple(np.where(whole, number[np.searchsorted(self.first, word, "right") - 1], -1)
+                     for word in (at, at + count - 1))
+
     def once(self) -> np.ndarray:
         """Names of the distinct paragraphs; first and count are theirs from now on."""
         names = self.names()
@@ -277,8 +292,9 @@ def _runs(min_words: int):
                 [words.signed(u), words.signed(v), batch.column("id").take(which),
                  batch.column("t").take(which), pa.array(found.total[text] + inside),
                  pa.array(inside), pa.array(found.starts[at] - found.offsets[text]),
-                 pa.array(found.ends[at + count - 1] - found.offsets[text]), pa.array(count)],
-                ["u", "v", "id", "t", "passage", "at", "begin", "end", "n_words"])
+                 pa.array(found.ends[at + count - 1] - found.offsets[text]), pa.array(count),
+                 *map(pa.array, found.over(at, count))],
+                ["u", "v", "id", "t", "passage", "at", "begin", "end", "n_words", "one", "two"])
 
     return run
 

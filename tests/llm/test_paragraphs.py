@@ -211,3 +211,46 @@ def test_buckets_with_one_member_are_left_out(spark):
     found = sorted((r.key, bytes(r.rep), bytes(r.leader)) for r in shared_buckets(members).collect())
     assert found == [(3, b"c", b"b"), (3, b"d", b"b")]
     assert shared_buckets(members.where("key = 1")).collect() == []
+
+
+def test_runs_have_one_exchange_by_their_words(spark):
+    line = "a b c d e f g h i j k l m n o p q r s t"
+    df = spark.createDataFrame([(1, line), (2, line + " u v w")], "doc_id bigint, text string")
+    plan = repeated_passages(df)._jdf.queryExecution().optimizedPlan().toString()
+    by_words = [x.split("RepartitionByExpression")[1] for x in plan.splitlines()
+                if "RepartitionByExpression [u#" in x]
+    assert len(by_words) == 2 and all(", v#" in x for x in by_words)
+
+
+def test_paragraphs_that_hold_a_stretch_of_words():
+    import numpy as np
+    import pyarrow as pa
+
+    word = lambda n: " ".join(f"w{k}" for k in range(n))
+    found = paragraphs.Paragraphs(pa.array([
+        f"{word(9)}\n{word(8)}\n{word(3)}\n{word(20)}", None, word(10), word(2)]), 8)
+    at = np.array([0, 0, 8, 16, 16, 17, 20, 19, 40, 49, 50])
+    count = np.array([9, 17, 2, 1, 2, 3, 20, 21, 10, 1, 2])
+    one, two = found.over(at, count)
+    assert one.tolist() == [0, 0, 0, 1, -1, -1, 3, -1, 0, 0, -1]
+    assert two.tolist() == [0, 1, 1, 1, -1, -1, 3, -1, 0, 0, -1]
+    none = paragraphs.Paragraphs(pa.array([word(5), ""]), 8)
+    assert [x.tolist() for x in none.over(np.array([0]), np.array([5]))] == [[-1], [-1]]
+
+
+def test_runs_go_only_if_all_their_paragraphs_are_removed(spark):
+    rng = random.Random(11)
+    fresh = lambda n: " ".join(f"u{rng.randrange(10**9)}" for _ in range(n))
+    one, two = fresh(20), fresh(20)
+    both = one + "\n" + two
+    data = [(1, both), (2, both), (3, one + " " + fresh(1)), (4, one.replace(" ", "\n") + "\n" + two),
+            (None, both), (None, both)]
+    found = repeated_passages(spark.createDataFrame(data, "doc_id bigint, text string")).collect()
+    units_ = {1: 2, 2: 2, 3: 1, 4: 21, None: 2}
+    runs = [r for r in found if r.passage >= units_[r.doc_id]]
+    paragraphs_ = [r for r in found if r.passage < units_[r.doc_id]]
+    assert {(r.doc_id, r.removed) for r in paragraphs_} == {
+        (1, False), (2, True), (3, True), (4, True), (None, True)}
+    # Of 2 and the rows without an id all paragraphs go, and their runs with them.
+    assert {r.doc_id for r in runs} == {1, 4}
+    assert all(r.removed == (r.doc_id == 4) and r.keep_id == 1 for r in runs)
